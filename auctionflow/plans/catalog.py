@@ -114,3 +114,93 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
                        .agg(F.sum("bid_count").alias("bids_on_own_auctions"),
                             F.max("max_price").alias("max_price_on_own_auctions")))
     return nu.join(per_person, ["person_id", "window_evicting_ts"], "left")
+
+
+# --- rounds, chunks, latency ------------------------------------------------
+
+from auctionflow.operators import chunks, latency, rounds  # noqa: E402
+
+
+def auction_rounds(spark, sf):
+    return rounds.auction_rounds(B.auctions(spark, sf))
+
+
+def open_auctions(spark, sf):
+    return rounds.open_auctions(B.auctions(spark, sf))
+
+
+def last_bids_per_round(spark, sf):
+    return rounds.last_bids_per_round(B.bids(spark, sf), B.auctions(spark, sf))
+
+
+def last_bids_per_round_strict(spark, sf):
+    return rounds.last_bids_per_round(B.bids(spark, sf), B.auctions(spark, sf), strict=True)
+
+
+def round_bids_volume(spark, sf):
+    return rounds.last_bids_per_round(B.volume_bids(spark, sf), B.volume_auctions(spark, sf), strict=True)
+
+
+def bid_rounds(spark, sf):
+    return rounds.bid_rounds(B.bids(spark, sf), DAY)
+
+
+def bid_chunks(spark, sf):
+    return chunks.bid_chunks(B.bids(spark, sf), 32)
+
+
+def latency_q8(spark, sf):
+    conn = joins.connect_persons_auctions(B.persons(spark, sf), B.auctions(spark, sf), sample_n=5, subtasks=4)
+    rec = latency.q8_records(conn, F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
+    return latency.running_latency(rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"])
+
+
+def latency_q5(spark, sf):
+    r = rounds.bid_rounds(B.bids(spark, sf), HOUR)
+    rec = latency.bid_records(r, F.col("round_end"))
+    return latency.running_latency(rec, "q5", "auction_id", ["last_ts", "last_ingestion_ts", "auction_id", "round_no"])
+
+
+def latency_session(spark, sf):
+    s = sessions.bidder_sessions(B.bids(spark, sf), 5 * 60_000)
+    rec = latency.bid_records(s, F.col("session_end"))
+    return latency.running_latency(rec, "session", "person_id",
+                                   ["last_ts", "last_ingestion_ts", "person_id", "session_start"])
+
+
+def latency_winning(spark, sf):
+    r = rounds.last_bids_per_round(B.bids(spark, sf), B.auctions(spark, sf))
+    rec = latency.bid_records(r, F.col("close_ts"))
+    return latency.running_latency(rec, "winning", "auction_id",
+                                   ["last_ts", "last_ingestion_ts", "auction_id", "round_no"])
+
+
+def _window_latencies(spark, sf):
+    st = aggregates.bid_stats(B.bids(spark, sf), tumbling(DAY))
+    return st.select((F.col("window_end") - F.col("last_ts")).alias("bid"),
+                     (F.col("window_end") - F.col("last_ingestion_ts")).alias("flight"))
+
+
+def latency_summary(spark, sf):
+    return aggregates.latency_summary(_window_latencies(spark, sf), ["bid", "flight"])
+
+
+def latency_quantiles(spark, sf):
+    return aggregates.latency_summary(_window_latencies(spark, sf), ["bid", "flight"], quantiles=[0.5, 0.9, 0.99])
+
+
+QUERIES.update({
+    "auction_rounds": auction_rounds,
+    "open_auctions": open_auctions,
+    "last_bids_per_round": last_bids_per_round,
+    "last_bids_per_round_strict": last_bids_per_round_strict,
+    "round_bids_volume": round_bids_volume,
+    "bid_rounds": bid_rounds,
+    "bid_chunks": bid_chunks,
+    "latency_q8": latency_q8,
+    "latency_q5": latency_q5,
+    "latency_session": latency_session,
+    "latency_winning": latency_winning,
+    "latency_summary": latency_summary,
+    "latency_quantiles": latency_quantiles,
+})

@@ -41,7 +41,7 @@ VBIDS = """vbids AS (
 VAUCTIONS = """vauctions AS (
   SELECT epoch_us(o_orderdate) // 1000 AS ts, o_orderkey AS auction_id, o_custkey + 1 AS person_id,
          o_orderkey AS item_id, o_totalprice AS initial_price, epoch_us(o_orderdate) // 1000 AS "start",
-         epoch_us(o_orderdate) // 1000 + 365 * 86400000 AS "end", o_orderkey % 10 AS category_id,
+         epoch_us(o_orderdate) // 1000 + 31536000000 AS "end", o_orderkey % 10 AS category_id,
          epoch_us(o_orderdate) // 1000 + ((o_orderkey * 7919) % 25) * 3600000 AS ingestion_ts,
          'order' || CAST(o_orderkey AS VARCHAR) AS name, o_orderpriority AS descr
   FROM orders)"""
@@ -168,3 +168,154 @@ FROM p FULL JOIN a ON p.person_id = a.person_id""",
     "sample_every_nth": _sample("nth"),
     "sample_every_first": _sample("first"),
 }
+
+
+def with_rec(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+def _chain(src: str, key: str, close_expr: str, tie: str) -> list[str]:
+    """Round openers of ``src`` (one row per key and ts, with columns ts and
+    the close expression) as CTEs a (ranked), nx (next candidate), r
+    (recursive chain) and o (openers with next opener rank)."""
+    return [f"""a AS (
+  SELECT *, {close_expr} AS close, row_number() OVER (PARTITION BY {key} ORDER BY ts{tie}) AS rn FROM {src})""",
+            f"""nx AS (
+  SELECT a.*, (SELECT min(b.rn) FROM a b WHERE b.{key} = a.{key} AND b.rn > a.rn AND b.ts >= a.close) AS nxt
+  FROM a)""",
+            f"""r AS (
+  SELECT {key}, rn, nxt, 1 AS round_no FROM nx WHERE rn = 1
+  UNION ALL
+  SELECT nx.{key}, nx.rn, nx.nxt, r.round_no + 1 FROM r JOIN nx ON nx.{key} = r.{key} AND nx.rn = r.nxt)""",
+            f"""o AS (
+  SELECT r.{key}, r.round_no, r.rn, nx.ts AS open_ts, nx.close AS close_ts,
+         lead(r.rn) OVER (PARTITION BY r.{key} ORDER BY r.rn) AS next_rn
+  FROM r JOIN nx ON nx.{key} = r.{key} AND nx.rn = r.rn)"""]
+
+
+def _auction_rounds_ctes(src: str) -> list[str]:
+    first = f"""f AS (
+  SELECT auction_id, ts, arg_min("end", (ingestion_ts, item_id)) AS close0, count(*) AS n
+  FROM {src} GROUP BY 1, 2)"""
+    return [first] + _chain("f", "auction_id", "close0", "") + ["""rounds AS (
+  SELECT o.auction_id, o.round_no, o.open_ts, o.close_ts, CAST(sum(a.n) AS BIGINT) AS auctions_in_round
+  FROM o JOIN a ON a.auction_id = o.auction_id AND a.rn >= o.rn AND (o.next_rn IS NULL OR a.rn < o.next_rn)
+  GROUP BY 1, 2, 3, 4)"""]
+
+
+def _last_bids_ctes(bids: str, strict: bool) -> list[str]:
+    cond = " AND b.ts >= o.open_ts" if strict else ""
+    return [f"""own AS (
+  SELECT b.bid_id, b.auction_id, b.ts, b.ingestion_ts, min(o.close_ts) AS close_ts
+  FROM {bids} b JOIN rounds o ON o.auction_id = b.auction_id AND o.close_ts > b.ts
+  GROUP BY 1, 2, 3, 4)""", f"""lastbids AS (
+  SELECT o.auction_id, o.round_no, o.close_ts, max(w.ts) AS last_ts, max(w.ingestion_ts) AS last_ingestion_ts,
+         count(*) AS bid_count
+  FROM own w JOIN rounds o ON o.auction_id = w.auction_id AND o.close_ts = w.close_ts
+  WHERE TRUE{cond.replace('b.ts', 'w.ts')}
+  GROUP BY 1, 2, 3 HAVING max(w.ts) > 0)"""]
+
+
+def _bid_rounds_ctes(duration: int) -> list[str]:
+    first = """g AS (
+  SELECT auction_id, ts, max(bid) AS mx, count(*) AS n, min(ingestion_ts) AS ing FROM bids GROUP BY 1, 2)"""
+    return [first] + _chain("g", "auction_id", f"ts + {duration}", "") + ["""bround AS (
+  SELECT o.auction_id, o.round_no, o.open_ts AS round_start, o.close_ts AS round_end, max(a.mx) AS max_price,
+         max(a.ts) AS last_ts, arg_max(a.ing, a.ts) AS last_ingestion_ts, CAST(sum(a.n) AS BIGINT) AS bid_count
+  FROM o JOIN a ON a.auction_id = o.auction_id AND a.rn >= o.rn AND (o.next_rn IS NULL OR a.rn < o.next_rn)
+  GROUP BY 1, 2, 3, 4)"""]
+
+
+def _connect_ctes(n: int, subtasks: int) -> list[str]:
+    return [f"""cr AS (
+  SELECT *, row_number() OVER (PARTITION BY abs(person_id) % {subtasks}
+                               ORDER BY ts, ingestion_ts, auction_id, person_id, item_id) AS seq
+  FROM auctions)""", f"""conn AS (
+  SELECT 0::BIGINT AS window_evicting_ts, ts AS person_creation_ts, ingestion_ts AS person_ingestion_ts,
+         0::BIGINT AS auction_creation_ts, 0::BIGINT AS auction_ingestion_ts, person_id FROM persons
+  UNION ALL
+  SELECT 0, 0, 0, ts, ingestion_ts, -person_id FROM cr WHERE seq % {n} = 0)"""]
+
+
+def _std(n: str, s: str, ss: str) -> str:
+    return (f"CASE WHEN {n} > 1 THEN sqrt(CAST({n}::HUGEINT * {ss} - {s}::HUGEINT * {s} AS DOUBLE) "
+            f"/ CAST({n} * ({n} - 1) AS DOUBLE)) WHEN {n} = 1 THEN 0.0 END")
+
+
+def _running(src: str, series: dict[str, str], order: str, with_std: bool) -> str:
+    """Running statistics per subtask over ``src`` (columns subtask,
+    processed_ts, the series and _emit)."""
+    w = f"(PARTITION BY subtask ORDER BY processed_ts, {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    sel = ["subtask", "processed_ts AS ts"]
+    cnt, mean, mn, mx, std, sm = [], [], [], [], [], []
+    for s, name in series.items():
+        c, su, ss = f"count({s}) OVER {w}", f"sum({s}) OVER {w}", f"sum({s}::HUGEINT * {s}) OVER {w}"
+        cnt.append(f"{c} AS {name}Count")
+        mean.append(f"CASE WHEN {c} > 0 THEN {su} / {c} END AS {name}Mean")
+        mn.append(f"min({s}) OVER {w} AS {name}Min")
+        mx.append(f"max({s}) OVER {w} AS {name}Max")
+        std.append(f"{_std(c, su, ss)} AS {name}Std")
+        sm.append(f"CAST({su} AS BIGINT) AS {name}Sum")
+    cols = sel + cnt + mean + (std if with_std else []) + mn + mx + (sm if with_std else [])
+    return f"SELECT * EXCLUDE (_emit) FROM (SELECT {', '.join(cols)}, _emit FROM {src}) WHERE _emit"
+
+
+def _bid_latency(src: str, processed: str, key: str, order: str, with_std: bool) -> str:
+    return f""", lat AS (
+  SELECT CAST(abs({key}) % 4 AS INTEGER) AS subtask, {processed} AS processed_ts, *,
+         CASE WHEN {processed} - last_ts <= 600000 THEN {processed} - last_ts END AS bidl,
+         CASE WHEN {processed} - last_ts <= 600000 THEN {processed} - last_ingestion_ts END AS flight,
+         ({processed} - last_ts <= 600000) AS _emit
+  FROM {src})
+""" + _running("lat", {"bidl": "bidLatency", "flight": "flightTime"}, order, with_std)
+
+
+ORACLE.update({
+    "auction_rounds": with_rec(EV, AUCTIONS, *_auction_rounds_ctes("auctions")) + "SELECT * FROM rounds",
+    "open_auctions": with_rec(EV, AUCTIONS, *_auction_rounds_ctes("auctions")) +
+    "SELECT auction_id, round_no, open_ts, close_ts FROM rounds",
+    "last_bids_per_round": with_rec(EV, AUCTIONS, BIDS, *_auction_rounds_ctes("auctions"),
+                                    *_last_bids_ctes("bids", False)) + "SELECT * FROM lastbids",
+    "last_bids_per_round_strict": with_rec(EV, AUCTIONS, BIDS, *_auction_rounds_ctes("auctions"),
+                                           *_last_bids_ctes("bids", True)) + "SELECT * FROM lastbids",
+    "round_bids_volume": with_rec(VAUCTIONS, VBIDS, *_auction_rounds_ctes("vauctions"),
+                                  *_last_bids_ctes("vbids", True)) + "SELECT * FROM lastbids",
+    "bid_rounds": with_rec(EV, BIDS, *_bid_rounds_ctes(DAY)) + "SELECT * FROM bround",
+    "bid_chunks": with_(EV, BIDS, """r AS (
+  SELECT *, row_number() OVER (PARTITION BY auction_id ORDER BY ts, ingestion_ts, bid_id) AS seq FROM bids)""") + """
+SELECT auction_id, (seq - 1) // 32 AS chunk, count(*) AS bid_count, min(ts) AS first_ts, max(ts) AS last_ts,
+       max(ingestion_ts) AS last_ingestion_ts, max(bid) AS max_price
+FROM r GROUP BY 1, 2""",
+    "latency_q8": with_(EV, PERSONS, AUCTIONS, *_connect_ctes(5, 4)) + """, lat AS (
+  SELECT CAST(abs(person_id) % 4 AS INTEGER) AS subtask,
+         greatest(person_ingestion_ts, auction_ingestion_ts) AS processed_ts, *,
+         CASE WHEN person_id > 0 AND greatest(person_ingestion_ts, auction_ingestion_ts) - person_creation_ts < 600000
+              THEN greatest(person_ingestion_ts, auction_ingestion_ts) - person_creation_ts END AS person,
+         CASE WHEN person_id <= 0 AND greatest(person_ingestion_ts, auction_ingestion_ts) - auction_creation_ts <= 600000
+              THEN greatest(person_ingestion_ts, auction_ingestion_ts) - auction_creation_ts END AS auction,
+         CASE WHEN person_id <= 0 AND greatest(person_ingestion_ts, auction_ingestion_ts) - auction_creation_ts <= 600000
+              THEN greatest(person_ingestion_ts, auction_ingestion_ts) - auction_ingestion_ts END AS flight,
+         (person_id <= 0 AND greatest(person_ingestion_ts, auction_ingestion_ts) - auction_creation_ts <= 600000) AS _emit
+  FROM conn)
+""" + _running("lat", {"person": "person", "auction": "auction", "flight": "flightTime"},
+               "person_creation_ts, auction_creation_ts, person_id", False),
+    "latency_q5": with_rec(EV, BIDS, *_bid_rounds_ctes(HOUR)) +
+    _bid_latency("bround", "round_end", "auction_id", "last_ts, last_ingestion_ts, auction_id, round_no", False),
+    "latency_session": with_(EV, BIDS, _sessions(5 * 60_000)) +
+    _bid_latency("sess", "session_end", "person_id", "last_ts, last_ingestion_ts, person_id, session_start", False),
+    "latency_winning": with_rec(EV, AUCTIONS, BIDS, *_auction_rounds_ctes("auctions"),
+                                *_last_bids_ctes("bids", False)) +
+    _bid_latency("lastbids", "close_ts", "auction_id", "last_ts, last_ingestion_ts, auction_id, round_no", True),
+    "latency_summary": with_(EV, BIDS) + f""", st AS (
+  SELECT ts - ts % {DAY} + {DAY} AS we, max(ts) AS last_ts, arg_max(ingestion_ts, (ts, -ingestion_ts)) AS last_ing
+  FROM bids GROUP BY ts - ts % {DAY}, auction_id),
+v AS (SELECT we - last_ts AS bid, we - last_ing AS flight FROM st),
+agg AS (SELECT count(bid) AS bn, sum(bid) AS bs, min(bid) AS bmin, max(bid) AS bmax, sum(bid::HUGEINT * bid) AS bss,
+               count(flight) AS fn, sum(flight) AS fs, min(flight) AS fmin, max(flight) AS fmax,
+               sum(flight::HUGEINT * flight) AS fss FROM v)
+SELECT bn AS bid_count, bs / bn AS bid_mean, bmin AS bid_min, bmax AS bid_max, CAST(bs AS BIGINT) AS bid_sum,
+       {_std('bn', 'bs', 'bss')} AS bid_std,
+       fn AS flight_count, fs / fn AS flight_mean, fmin AS flight_min, fmax AS flight_max,
+       CAST(fs AS BIGINT) AS flight_sum, {_std('fn', 'fs', 'fss')} AS flight_std
+FROM agg""",
+})

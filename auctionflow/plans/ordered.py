@@ -170,7 +170,8 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
         found = (found.join(carry_all, keys + ["_slice"], "left")
                       .withColumn("_found", F.coalesce("_found", "_carry"))
                       .drop("_carry"))
-    out = found.where(F.col("_kind") == 1).select(*row_cols, *[F.col(f"_found.{p}").alias(p) for p in payload])
+    out = found.where(F.col("_kind") == 1).select(*keys, *row_cols,
+                                                  *[F.col(f"_found.{p}").alias(p) for p in payload])
     return out.drop("_slice") if "_slice" in out.columns else out
 
 
