@@ -204,3 +204,40 @@ QUERIES.update({
     "latency_summary": latency_summary,
     "latency_quantiles": latency_quantiles,
 })
+
+
+# --- pages -----------------------------------------------------------------
+
+from auctionflow.sources import pages  # noqa: E402
+
+
+def _bid_pages(spark, sf):
+    return pages.write_pages(B.bids(spark, sf), "bid", ["ts", "bid_id"], partitions=2, partition_key="auction_id")
+
+
+def pages_bids_roundtrip(spark, sf):
+    return pages.decode_pages(_bid_pages(spark, sf), "bid")
+
+
+def pages_auctions_roundtrip(spark, sf):
+    p = pages.write_pages(B.auctions(spark, sf), "auction", ["ts", "item_id"], partitions=2,
+                          partition_key="auction_id")
+    return pages.decode_pages(p, "auction", strip_padding=True)
+
+
+def pages_persons_roundtrip(spark, sf):
+    p = pages.write_pages(B.person_wire_fields(spark, sf), "person", ["ts", "card0"], partitions=2,
+                          partition_key="person_id")
+    return pages.decode_pages(p, "person", strip_padding=True)
+
+
+def page_progress(spark, sf):
+    return pages.page_progress(_bid_pages(spark, sf))
+
+
+QUERIES.update({
+    "pages_bids_roundtrip": pages_bids_roundtrip,
+    "pages_auctions_roundtrip": pages_auctions_roundtrip,
+    "pages_persons_roundtrip": pages_persons_roundtrip,
+    "page_progress": page_progress,
+})

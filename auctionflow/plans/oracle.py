@@ -319,3 +319,31 @@ SELECT bn AS bid_count, bs / bn AS bid_mean, bmin AS bid_min, bmax AS bid_max, C
        CAST(fs AS BIGINT) AS flight_sum, {_std('fn', 'fs', 'fss')} AS flight_std
 FROM agg""",
 })
+
+
+def _paged(src: str, key: str, order: str, cap: int) -> str:
+    return f"""pg AS (
+  SELECT *, ({key}) % 2 AS part,
+         (row_number() OVER (PARTITION BY ({key}) % 2 ORDER BY {order}) - 1) // {cap} AS page
+  FROM {src}),
+pt AS (SELECT *, max(ts) OVER (PARTITION BY part, page) AS page_ts FROM pg)"""
+
+
+ORACLE.update({
+    "pages_bids_roundtrip": with_(EV, BIDS, _paged("bids", "auction_id", "ts, bid_id", 255)) + """
+SELECT page_ts AS ingestion_ts, ts, auction_id, person_id, -1::BIGINT AS bid_id, bid FROM pt""",
+    "pages_auctions_roundtrip": with_(EV, AUCTIONS, _paged("auctions", "auction_id", "ts, item_id", 30)) + """
+SELECT ts, auction_id, person_id, item_id, CAST(CAST(trunc(initial_price) AS INTEGER) AS DOUBLE) AS initial_price,
+       "start", "end", category_id, page_ts AS ingestion_ts, name, descr FROM pt""",
+    "pages_persons_roundtrip": with_(EV, PERSONS, _paged("(SELECT p.*, e.event_id * 1000003 AS card0 FROM persons p "
+                                                         "JOIN ev e ON e.event_type = 'signup' AND "
+                                                         "CAST(e.event_id * 1000003 AS VARCHAR) = p.creditcard)",
+                                                         "person_id", "ts, card0", 39)) + """
+SELECT ts, person_id, name, email, city, country, province, zipcode, homepage, creditcard,
+       page_ts AS ingestion_ts FROM pt""",
+    "page_progress": with_(EV, BIDS, """c AS (SELECT auction_id % 2 AS part, count(*) AS n FROM bids GROUP BY 1)""") + """
+SELECT 'nexmark_bids' AS topic, CAST(part AS INTEGER) AS "partition", CAST((n + 254) // 255 AS BIGINT) AS pages,
+       CAST(n AS BIGINT) AS items, CAST(n - ((n + 254) // 255 - 1) * 255 AS BIGINT) AS min_backlog,
+       TRUE AS is_complete
+FROM c""",
+})

@@ -117,3 +117,24 @@ def volume_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
         bid_id.alias("bid_id"),
         F.col("l_extendedprice").alias("bid"),
     )
+
+
+def person_wire_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw person page fields whose decoding (with padding stripped) equals
+    :func:`persons` except for the ingestion time."""
+    e = _events(spark, sf_dir, ["signup"])
+    return e.select(
+        "person_id",
+        F.concat(F.lit("F"), F.col("person_id").cast("string")).alias("first"),
+        F.concat(F.lit("L"), F.col("k").cast("string")).alias("last"),
+        F.concat(F.lit("mail"), F.pmod("k", F.lit(7)).cast("string"), F.lit(".com")).alias("domain"),
+        F.concat(F.lit("city"), F.pmod("k", F.lit(13)).cast("string")).alias("city"),
+        F.concat(F.lit("country"), F.pmod("person_id", F.lit(5)).cast("string")).alias("country"),
+        (F.col("event_id") * 1_000_003).alias("card0"),
+        F.lit(0).cast("long").alias("card1"),
+        (F.pmod("event_id", F.lit(1000)) - 500).cast("int").alias("a"),
+        F.pmod("event_id", F.lit(97)).cast("int").alias("b"),
+        F.lit(0).cast("int").alias("c"),
+        F.pmod("event_id", F.lit(2)).cast("short").alias("sex"),
+        "ts",
+    )
