@@ -241,3 +241,30 @@ QUERIES.update({
     "pages_persons_roundtrip": pages_persons_roundtrip,
     "page_progress": page_progress,
 })
+
+
+# --- generators --------------------------------------------------------------
+
+from auctionflow.sources import generate  # noqa: E402
+
+
+def _event_counters(spark, sf):
+    """Generator counters taken from the events table (4 subtasks)."""
+    ev = B.table(spark, sf, "events")
+    return ev.select(F.pmod("event_id", F.lit(4)).cast("int").alias("subtask"),
+                     F.expr("event_id div 4").alias("e"))
+
+
+def gen_persons(spark, sf):
+    return generate.generate_persons(_event_counters(spark, sf))
+
+
+def gen_auctions(spark, sf):
+    return generate.generate_auctions(_event_counters(spark, sf))
+
+
+def gen_bids(spark, sf):
+    return generate.generate_bids(_event_counters(spark, sf))
+
+
+QUERIES.update({"gen_persons": gen_persons, "gen_auctions": gen_auctions, "gen_bids": gen_bids})

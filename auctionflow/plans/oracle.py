@@ -347,3 +347,65 @@ SELECT 'nexmark_bids' AS topic, CAST(part AS INTEGER) AS "partition", CAST((n +
        TRUE AS is_complete
 FROM c""",
 })
+
+
+# Generators: the same portable hash written out for DuckDB.
+from auctionflow.functions.hashing import portable_hash_sql  # noqa: E402
+from auctionflow.sources import generate as _g  # noqa: E402
+
+
+def _r(salt: int, seed: int = 42) -> str:
+    return portable_hash_sql(f"e * 64 + subtask + {seed * 7919}", salt)
+
+
+def _lst(values: list[str], r: str) -> str:
+    lit = "[" + ", ".join("'" + v + "'" for v in values) + "]"
+    return f"{lit}[CAST(({r}) % {len(values)} AS BIGINT) + 1]"
+
+
+GEN_BASE = f"""c AS (
+  SELECT CAST(event_id % 4 AS INTEGER) AS subtask, event_id // 4 AS e FROM events),
+g AS (
+  SELECT subtask, e, e // 9 AS epoch, e % 9 AS "offset", subtask * 10800000::BIGINT AS min_person,
+         subtask * 10800000000::BIGINT AS min_auction, {_g.DEFAULT_BASE_MS}::BIGINT + (e * 1000) // {_g.DEFAULT_RATE} AS ts
+  FROM c)"""
+
+
+def _pool(width: int, seed: int = 42) -> str:
+    h = portable_hash_sql(f"id * 1024 + i + {seed * 7919 + width}", 31)
+    return f"""p{width} AS (
+  SELECT id AS pool_id,
+         array_to_string(list_transform(range(0, {width}),
+             lambda i: CASE WHEN ({h}) % 13 = 0 THEN ' ' ELSE chr(CAST(({h}) % 26 + 97 AS INTEGER)) END), '') AS txt
+  FROM range(0, 2000) t(id))"""
+
+
+ORACLE.update({
+    "gen_persons": with_(GEN_BASE) + f"""
+SELECT ts, min_person + epoch AS person_id,
+       {_lst(_g.FIRST_NAMES, _r(4))} || ' ' || {_lst(_g.LAST_NAMES, _r(5))} AS name,
+       {_lst(_g.DOMAINS, _r(3))} AS email, {_lst(_g.CITIES, _r(1))} AS city,
+       {_lst(_g.COUNTRIES, _r(2))} AS country, {_lst(_g.DOMAINS, _r(6))} AS province,
+       NULL::VARCHAR AS zipcode, {_lst(_g.FIRST_NAMES, _r(7))} AS homepage, '00000000000' AS creditcard,
+       ts AS ingestion_ts
+FROM g""",
+    "gen_auctions": with_(GEN_BASE, _pool(20), _pool(200), f"""a AS (
+  SELECT ts,
+         min_auction + (CASE WHEN "offset" < 1 THEN epoch - 1 ELSE epoch END) * 4 + 3 AS auction_id,
+         CASE WHEN ({_r(11)}) % 100 > 85 THEN min_person + (epoch // 100) * 100
+              ELSE min_person + (epoch + 1) + least(epoch + 1, 20000)
+                   - ({_r(12)}) % (least(epoch + 1, 20000) + 100) END AS person_id,
+         ({_r(13)}) % 2000 AS n20, ({_r(14)}) % 2000 AS n200
+  FROM g)""") + """
+SELECT ts, auction_id, person_id, 0::BIGINT AS item_id, 0.0::DOUBLE AS initial_price, ts AS "start",
+       ts + 10000 AS "end", 0::BIGINT AS category_id, ts AS ingestion_ts, p20.txt AS name, p200.txt AS descr
+FROM a JOIN p20 ON p20.pool_id = a.n20 JOIN p200 ON p200.pool_id = a.n200""",
+    "gen_bids": with_(GEN_BASE, """b AS (SELECT *, epoch * 4 + 3 AS bb, greatest(0, epoch * 4 + 3 - 20000) AS lo FROM g)""") + f"""
+SELECT ts AS ingestion_ts, ts,
+       abs(min_auction + CASE WHEN ({_r(21)}) % 100 > 85 THEN (bb // 100) * 100
+                              ELSE lo + ({_r(22)}) % (bb - lo + 101) END) AS auction_id,
+       abs(CASE WHEN ({_r(23)}) % 100 > 85 THEN min_person + (epoch // 100) * 100
+                ELSE min_person + epoch + least(epoch, 60000) - ({_r(24)}) % (least(epoch, 60000) + 100) END) AS person_id,
+       -1::BIGINT AS bid_id, (({_r(25)}) % 1000000000) / 100.0 AS bid
+FROM b""",
+})
