@@ -70,7 +70,7 @@ def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out:
     w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
     return (sliced.join(offsets, keys + ["_slice"])
                   .withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long"))
-                  .drop("_slice", "_off"))
+                  .select(*df.columns, out))
 
 
 def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str],
@@ -109,7 +109,6 @@ def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], va
     offsets = summary.select(*carry)
     w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     out = sliced.join(offsets, keys + ["_slice"])
-    drop = ["_slice"]
     for v in value_cols:
         local_s = F.sum(v).over(w)
         local_ss = F.sum(sq(v)).over(w)
@@ -121,8 +120,8 @@ def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], va
             F.greatest(F.col(f"_{v}_phi"), F.max(v).over(w)).alias(f"{v}_rmax"),
             _add_nullable(F.col(f"_{v}_pss"), local_ss).alias(f"{v}_rss"),
         )
-        drop += [f"_{v}_pc", f"_{v}_ps", f"_{v}_plo", f"_{v}_phi", f"_{v}_pss"]
-    return out.drop(*drop)
+    added = [f"{v}_{s}" for v in value_cols for s in ("rcount", "rsum", "rmin", "rmax", "rss")]
+    return out.select(*df.columns, *added)
 
 
 def _add_nullable(a: Column, b: Column) -> Column:
