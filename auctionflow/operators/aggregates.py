@@ -25,7 +25,7 @@ def bid_stats(bids: DataFrame, spec: WindowSpec, key: str = "auction_id",
     bid_count``.  Works on streams (with a watermark set by the caller)."""
     if spec.kind == SESSION:
         raise ValueError("bid_stats takes tumbling or sliding windows")
-    groups = [window_column(spec).alias("window"), F.col(key)] + list(extra_keys or [])
+    groups = [window_column(spec, streaming=bids.isStreaming).alias("window"), F.col(key)] + list(extra_keys or [])
     out = (bids.groupBy(*groups)
                .agg(F.max("bid").alias("max_price"), _last_by_ts().alias("_last"),
                     F.count(F.lit(1)).alias("bid_count")))
@@ -59,7 +59,12 @@ def highest_per_window(df: DataFrame, window_ms: int, order_col: str = "last_ts"
     tie_cols = tie_cols or []
     order = F.struct(F.col(order_col), -F.col(key), *[-F.col(c) for c in tie_cols])
     payload = [c for c in df.columns]
-    w = F.window(event_time(F.col(time_col) - 1), ms_interval(window_ms))
+    if df.isStreaming:
+        # chained after a windowed stream aggregate: the input window's last instant
+        w = F.window(F.window_time("window"), ms_interval(window_ms))
+        payload = [c for c in payload if c != "window"]
+    else:
+        w = F.window(event_time(F.col(time_col) - 1), ms_interval(window_ms))
     out = df.groupBy(w.alias("window")).agg(F.max_by(F.struct(*payload), order).alias("_top"))
     return out.select(from_event_time("window.start").alias("window_start"),
                       from_event_time("window.end").alias("window_end"),

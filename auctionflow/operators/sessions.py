@@ -49,7 +49,8 @@ def session_table(df: DataFrame, keys: list[str], gap_ms: int, ts_col: str = "ts
 
 
 def streaming_session(df: DataFrame, gap_ms: int, ts_col: str = "ts") -> Column:
-    return F.session_window(event_time(ts_col), ms_interval(gap_ms))
+    """Session window on the watermarked ``event_time`` column of a stream."""
+    return F.session_window(F.col("event_time"), ms_interval(gap_ms))
 
 
 def bidder_sessions(bids: DataFrame, gap_ms: int, allowed_lateness_ms: int = 0,
@@ -60,11 +61,11 @@ def bidder_sessions(bids: DataFrame, gap_ms: int, allowed_lateness_ms: int = 0,
     ``allowed_lateness_ms`` only widens the streaming watermark (T4)."""
     if bids.isStreaming:
         s = streaming_session(bids, gap_ms)
-        out = (bids.groupBy(key, s.alias("session"))
+        out = (bids.groupBy(key, s.alias("window"))
                    .agg(F.max("ts").alias("last_ts"), F.max("ingestion_ts").alias("last_ingestion_ts"),
                         F.count(F.lit(1)).alias("bid_count")))
-        return out.select(key, from_event_time("session.start").alias("session_start"),
-                          from_event_time("session.end").alias("session_end"),
+        return out.select(key, "window", from_event_time("window.start").alias("session_start"),
+                          from_event_time("window.end").alias("session_end"),
                           "last_ts", "last_ingestion_ts", "bid_count")
     b = (bids.groupBy(key, gap_bucket("ts", gap_ms).alias("_bucket"))
              .agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"),

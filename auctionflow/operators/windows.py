@@ -62,9 +62,14 @@ def session(gap_ms: int) -> WindowSpec:
     return WindowSpec(SESSION, gap_ms)
 
 
-def window_column(spec: WindowSpec, ts_col: str = "ts") -> Column:
-    """``window`` struct column (start/end timestamps) for a BIGINT ms column."""
-    t = event_time(ts_col)
+EVENT_TIME = "event_time"
+
+
+def window_column(spec: WindowSpec, ts_col: str = "ts", streaming: bool = False) -> Column:
+    """``window`` struct column (start/end timestamps) for a BIGINT ms column.
+    On streams the watermarked ``event_time`` column is used (see
+    :func:`auctionflow.streaming.queries.with_event_time`)."""
+    t = F.col(EVENT_TIME) if streaming else event_time(ts_col)
     if spec.kind == TUMBLING:
         return F.window(t, ms_interval(spec.size_ms))
     if spec.kind == SLIDING:

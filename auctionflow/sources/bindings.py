@@ -27,8 +27,11 @@ def ingestion_delay(event_id: Column) -> Column:
     return F.pmod(event_id * F.lit(7919), F.lit(25)) * F.lit(HOUR_MS)
 
 
-def _events(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
-    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin(types))
+def _events(spark: SparkSession | DataFrame, sf_dir: str | None, types: list[str]) -> DataFrame:
+    """``spark, sf_dir`` reads the events table; a DataFrame (batch or
+    stream) of the events schema may be passed instead as ``spark``."""
+    ev = spark if isinstance(spark, DataFrame) else table(spark, sf_dir, "events")
+    ev = ev.where(F.col("event_type").isin(types))
     return ev.select(
         "event_id",
         epoch_ms("ts").alias("ts"),
@@ -38,7 +41,7 @@ def _events(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
     )
 
 
-def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def persons(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
     e = _events(spark, sf_dir, ["signup"])
     first = F.concat(F.lit("F"), F.col("person_id").cast("string"))
     last = F.concat(F.lit("L"), F.col("k").cast("string"))
@@ -58,7 +61,7 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def auctions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def auctions(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
     e = _events(spark, sf_dir, ["view"])
     return e.select(
         "ts",
@@ -75,7 +78,7 @@ def auctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bids(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
     e = _events(spark, sf_dir, ["click", "purchase"])
     return e.select(
         (F.col("ts") + ingestion_delay(F.col("event_id"))).alias("ingestion_ts"),
@@ -119,7 +122,7 @@ def volume_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def person_wire_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+def person_wire_fields(spark: SparkSession | DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Raw person page fields whose decoding (with padding stripped) equals
     :func:`persons` except for the ingestion time."""
     e = _events(spark, sf_dir, ["signup"])
