@@ -10,13 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auctionflow.functions.ordering import order_key
 from auctionflow.functions.time import event_time, from_event_time, ms_interval
-from auctionflow.operators.windows import SESSION, WindowSpec, window_column
+from auctionflow.operators.windows import (SESSION, WindowSpec, explode_pane, pane_start, panes_apply,
+                                           window_column)
 
 
-def _last_by_ts() -> Column:
-    """(ts, ingestion_ts) of the latest bid; equal ts -> smallest ingestion."""
-    return F.max_by(F.struct("ts", "ingestion_ts"), F.struct(F.col("ts"), -F.col("ingestion_ts")))
+def _last_bid(ts: str = "ts", ing: str = "ingestion_ts") -> list[Column]:
+    """``last_ts`` and the ingestion time of that bid (equal ts -> smallest
+    ingestion), as fixed-width aggregates (hash aggregation)."""
+    return [F.max(ts).alias("last_ts"),
+            F.max_by(ing, order_key(ts, ing, b_desc=True)).alias("last_ingestion_ts")]
 
 
 def bid_stats(bids: DataFrame, spec: WindowSpec, key: str = "auction_id",
@@ -25,39 +29,45 @@ def bid_stats(bids: DataFrame, spec: WindowSpec, key: str = "auction_id",
     bid_count``.  Works on streams (with a watermark set by the caller)."""
     if spec.kind == SESSION:
         raise ValueError("bid_stats takes tumbling or sliding windows")
+    if panes_apply(spec) and not bids.isStreaming:
+        return _bid_stats_panes(bids, spec, key, extra_keys)
     groups = [window_column(spec, streaming=bids.isStreaming).alias("window"), F.col(key)] + list(extra_keys or [])
     out = (bids.groupBy(*groups)
-               .agg(F.max("bid").alias("max_price"), _last_by_ts().alias("_last"),
-                    F.count(F.lit(1)).alias("bid_count")))
-    rest = [c for c in out.columns if c not in ("window", "_last", "max_price", "bid_count")]
+               .agg(F.max("bid").alias("max_price"), *_last_bid(), F.count(F.lit(1)).alias("bid_count")))
+    rest = [c for c in out.columns if c not in ("window", "max_price", "last_ts", "last_ingestion_ts", "bid_count")]
     return out.select(from_event_time("window.start").alias("window_start"),
                       from_event_time("window.end").alias("window_end"),
-                      *rest, "max_price",
-                      F.col("_last.ts").alias("last_ts"),
-                      F.col("_last.ingestion_ts").alias("last_ingestion_ts"),
-                      "bid_count")
+                      *rest, "max_price", "last_ts", "last_ingestion_ts", "bid_count")
+
+
+def _bid_stats_panes(bids: DataFrame, spec: WindowSpec, key: str, extra_keys) -> DataFrame:
+    extra = list(extra_keys or [])
+    panes = (bids.groupBy(pane_start("ts", spec).alias("_pane"), F.col(key), *extra)
+                 .agg(F.max("bid").alias("_mx"), *_last_bid(), F.count(F.lit(1)).alias("_n")))
+    rest = [c for c in panes.columns if c not in ("_pane", "_mx", "last_ts", "last_ingestion_ts", "_n")]
+    wins = panes.select(explode_pane("_pane", spec).alias("window_start"), *rest, "_mx",
+                        F.col("last_ts").alias("_lt"), F.col("last_ingestion_ts").alias("_li"), "_n")
+    out = (wins.groupBy("window_start", *rest)
+               .agg(F.max("_mx").alias("max_price"), *_last_bid("_lt", "_li"), F.sum("_n").alias("bid_count")))
+    return out.select("window_start", (F.col("window_start") + F.lit(spec.size_ms)).alias("window_end"),
+                      *rest, "max_price", "last_ts", "last_ingestion_ts", "bid_count")
 
 
 def bid_stats_by(bids: DataFrame, keys: list[Column | str]) -> DataFrame:
     """A2 over arbitrary grouping columns (no window)."""
-    out = (bids.groupBy(*keys)
-               .agg(F.max("bid").alias("max_price"), _last_by_ts().alias("_last"),
-                    F.count(F.lit(1)).alias("bid_count")))
-    return out.select(*[c for c in out.columns if c not in ("_last", "max_price", "bid_count")],
-                      "max_price", F.col("_last.ts").alias("last_ts"),
-                      F.col("_last.ingestion_ts").alias("last_ingestion_ts"), "bid_count")
+    return (bids.groupBy(*keys)
+                .agg(F.max("bid").alias("max_price"), *_last_bid(), F.count(F.lit(1)).alias("bid_count")))
 
 
 def highest_per_window(df: DataFrame, window_ms: int, order_col: str = "last_ts",
-                       time_col: str = "session_end", key: str = "person_id",
-                       tie_cols: list[str] | None = None) -> DataFrame:
+                       time_col: str = "session_end", key: str = "person_id") -> DataFrame:
     """In each tumbling window over all keys, the row with the greatest
-    ``order_col``.  A row belongs to the window holding ``time_col - 1 ms``
-    (the last instant of a session).  Ties: smallest key, then smallest
-    ``tie_cols``.  Two-stage (partial then final ``max_by``), so the global
-    window never funnels its rows through one task."""
-    tie_cols = tie_cols or []
-    order = F.struct(F.col(order_col), -F.col(key), *[-F.col(c) for c in tie_cols])
+    ``order_col``; ties go to the smallest ``key``.  (key, order value)
+    must identify a row, as it does for sessions of one key.  A row belongs
+    to the window holding ``time_col - 1 ms`` (the last instant of a
+    session).  Every output column is a hash-aggregated ``max_by`` on one
+    fixed-width key, so the global window is reduced map-side and never
+    funnels its rows through one task."""
     payload = [c for c in df.columns]
     if df.isStreaming:
         # chained after a windowed stream aggregate: the input window's last instant
@@ -65,10 +75,10 @@ def highest_per_window(df: DataFrame, window_ms: int, order_col: str = "last_ts"
         payload = [c for c in payload if c != "window"]
     else:
         w = F.window(event_time(F.col(time_col) - 1), ms_interval(window_ms))
-    out = df.groupBy(w.alias("window")).agg(F.max_by(F.struct(*payload), order).alias("_top"))
+    k = order_key(order_col, key, b_desc=True)
+    out = df.groupBy(w.alias("window")).agg(*[F.max_by(c, k).alias(c) for c in payload])
     return out.select(from_event_time("window.start").alias("window_start"),
-                      from_event_time("window.end").alias("window_end"),
-                      *[F.col(f"_top.{c}").alias(c) for c in payload])
+                      from_event_time("window.end").alias("window_end"), *payload)
 
 
 def exact_std(n: Column, s: Column, ss: Column) -> Column:

@@ -11,29 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auctionflow.functions.ordering import order_key
 from auctionflow.functions.time import from_event_time
 from auctionflow.operators.sampling import sample_every
 from auctionflow.operators.sessions import gap_bucket, session_ids
-from auctionflow.operators.windows import SESSION, WindowSpec, window_column
+from auctionflow.operators.windows import (SESSION, WindowSpec, explode_pane, pane_start, panes_apply,
+                                           window_column)
 from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE
 
 AUCTION_ORDER = ["ts", "ingestion_ts", "auction_id", "person_id", "item_id"]
 PERSON_ORDER = ["ts", "ingestion_ts", "person_id"]
 
 
-def latest_auction() -> Column:
-    """Auction with the greatest ingestion time; ties: smallest ts, then
-    smallest auction id (the reference keeps the first arrived)."""
-    return F.max_by(F.struct("ts", "ingestion_ts"),
-                    F.struct(F.col("ingestion_ts"), -F.col("ts"), -F.col("auction_id")))
+def latest_auction(ts: str = "ts", ing: str = "ingestion_ts") -> list[Column]:
+    """``_a_ing`` / ``_a_ts`` of the auction with the greatest ingestion
+    time; ties: smallest ts (the reference keeps the first arrived; equal
+    ingestion and ts give equal outputs whichever auction wins).  Fixed-width
+    aggregates, so partial and final aggregation are hash based, and the
+    result can be merged again with ``latest_auction("_a_ts", "_a_ing")``."""
+    return [F.max(ing).alias("_a_ing"), F.max_by(ts, order_key(ing, ts, b_desc=True)).alias("_a_ts")]
 
 
 def _output(joined: DataFrame, evict: Column) -> DataFrame:
     return joined.select(evict.alias("window_evicting_ts"),
                          F.col("p_ts").alias("person_creation_ts"),
                          F.col("p_ing").alias("person_ingestion_ts"),
-                         F.col("_a.ts").alias("auction_creation_ts"),
-                         F.col("_a.ingestion_ts").alias("auction_ingestion_ts"),
+                         F.col("_a_ts").alias("auction_creation_ts"),
+                         F.col("_a_ing").alias("auction_ingestion_ts"),
                          "person_id")
 
 
@@ -43,10 +47,21 @@ def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec)
     ``window_evicting_ts`` is the window end (event time, not wall clock)."""
     if spec.kind == SESSION:
         return _new_user_auctions_session(persons, auctions, spec.size_ms)
+    if panes_apply(spec) and not persons.isStreaming:
+        # the auction side is reduced per pane before it is expanded
+        p = persons.select("person_id", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"),
+                           pane_start("ts", spec).alias("_pane")) \
+                   .select("person_id", "p_ts", "p_ing", explode_pane("_pane", spec).alias("ws"))
+        a = (auctions.groupBy("person_id", pane_start("ts", spec).alias("_pane"))
+                     .agg(*latest_auction()))
+        a = (a.select("person_id", "_a_ts", "_a_ing", explode_pane("_pane", spec).alias("ws"))
+              .groupBy("person_id", "ws")
+              .agg(*latest_auction("_a_ts", "_a_ing")))
+        return _output(p.join(a, ["ws", "person_id"]), F.col("ws") + F.lit(spec.size_ms))
     p = persons.select(window_column(spec).alias("window"), "person_id",
                        F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"))
     a = (auctions.groupBy(window_column(spec).alias("window"), "person_id")
-                 .agg(latest_auction().alias("_a")))
+                 .agg(*latest_auction()))
     return _output(p.join(a, ["window", "person_id"]), from_event_time("window.end"))
 
 
@@ -58,7 +73,7 @@ def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms:
     find their session by an equi-join on (person, bucket)."""
     pb = persons.select("person_id", "ts", "ingestion_ts", gap_bucket("ts", gap_ms).alias("_bucket"))
     ab = (auctions.groupBy("person_id", gap_bucket("ts", gap_ms).alias("_bucket"))
-                  .agg(latest_auction().alias("_a"), F.min("ts").alias("_alo"), F.max("ts").alias("_ahi")))
+                  .agg(*latest_auction(), F.min("ts").alias("_alo"), F.max("ts").alias("_ahi")))
     pbk = (pb.groupBy("person_id", "_bucket")
              .agg(F.min("ts").alias("_plo"), F.max("ts").alias("_phi")))
     buckets = (pbk.join(ab.select("person_id", "_bucket", "_alo", "_ahi"), ["person_id", "_bucket"], "full")
@@ -70,7 +85,7 @@ def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms:
     bucket_sid = sess.select("person_id", "_bucket", "_sid")
     a_sess = (ab.join(bucket_sid, ["person_id", "_bucket"])
                 .groupBy("person_id", "_sid")
-                .agg(F.max_by("_a", F.struct(F.col("_a.ingestion_ts"), -F.col("_a.ts"))).alias("_a"))
+                .agg(*latest_auction("_a_ts", "_a_ing"))
                 .join(bounds, ["person_id", "_sid"]))
     p_sess = (pb.join(bucket_sid, ["person_id", "_bucket"])
                 .select("person_id", "_sid", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing")))
@@ -116,15 +131,15 @@ def person_auction_state(persons: DataFrame, auctions: DataFrame) -> DataFrame:
     ingestion) and a summary of the auctions kept for that key.  Keys seen on
     one side only are kept (full outer join of two per-key aggregates)."""
     p = (persons.groupBy("person_id")
-                .agg(F.max_by(F.struct("ts", "ingestion_ts"), F.struct("ts", "ingestion_ts")).alias("_p"),
+                .agg(F.max("ts").alias("person_ts"),
+                     F.max_by("ingestion_ts", order_key("ts", "ingestion_ts")).alias("person_ingestion_ts"),
                      F.count(F.lit(1)).alias("person_events")))
     a = (auctions.groupBy("person_id")
                  .agg(F.count(F.lit(1)).alias("auction_count"), F.min("ts").alias("first_auction_ts"),
                       F.max("ts").alias("last_auction_ts"),
                       F.max("ingestion_ts").alias("last_auction_ingestion_ts")))
     j = p.join(a, "person_id", "full")
-    return j.select("person_id", F.col("_p.ts").alias("person_ts"),
-                    F.col("_p.ingestion_ts").alias("person_ingestion_ts"),
+    return j.select("person_id", "person_ts", "person_ingestion_ts",
                     F.coalesce("person_events", F.lit(0)).alias("person_events"),
                     F.coalesce("auction_count", F.lit(0)).alias("auction_count"),
                     "first_auction_ts", "last_auction_ts", "last_auction_ingestion_ts")

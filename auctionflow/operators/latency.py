@@ -73,7 +73,7 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
     series = ["person", "auction", "flight"] if kind == "q8" else ["bid", "flight"]
     cols = ["subtask", "processed_ts", *order_cols, *series, "_emit"]
     run = running_aggregates(r.select(*dict.fromkeys(cols)), ["subtask"], ["processed_ts", *order_cols],
-                             series, rows_per_slice=rows_per_slice)
+                             series, rows_per_slice=rows_per_slice, key_bound=subtasks)
     run = run.where("_emit")
     if kind == "q8":
         names = {"person": "person", "auction": "auction", "flight": "flightTime"}

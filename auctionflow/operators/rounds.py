@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auctionflow.functions.ordering import order_key
 from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, next_marker
 
 _FOLD_FIELDS = [("round_no", pa.int64()), ("open_t", pa.int64()), ("round_close", pa.int64()),
@@ -96,7 +97,7 @@ def auction_rounds(auctions: DataFrame) -> DataFrame:
     item_id) order; only the first of equal ts can open a round, so they are
     collapsed by a partial aggregate before the fold."""
     firsts = (auctions.groupBy("auction_id", "ts")
-                      .agg(F.min_by(F.col("end"), F.struct("ingestion_ts", "item_id")).alias("end"),
+                      .agg(F.min_by(F.col("end"), order_key("ingestion_ts", "item_id")).alias("end"),
                            F.count(F.lit(1)).alias("_n")))
     folded = fold_rounds(firsts, "auction_id", "ts", "end")
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")

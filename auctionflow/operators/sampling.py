@@ -31,6 +31,7 @@ def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, sub
     if phase not in ("nth", "first"):
         raise ValueError("phase is 'nth' or 'first'")
     tagged = df.withColumn("subtask", subtask_of(F.col(key_col), subtasks))
-    numbered = sequence_numbers(tagged, ["subtask"], order_cols, out="seq", rows_per_slice=rows_per_slice)
+    numbered = sequence_numbers(tagged, ["subtask"], order_cols, out="seq", rows_per_slice=rows_per_slice,
+                                key_bound=subtasks)
     keep = (F.col("seq") % n == 0) if phase == "nth" else ((F.col("seq") - 1) % n == 0)
     return numbered.where(keep)

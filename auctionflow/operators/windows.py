@@ -87,3 +87,24 @@ def assign_window(df: DataFrame, spec: WindowSpec, ts_col: str = "ts") -> DataFr
               .withColumn("window_start", from_event_time("_w.start"))
               .withColumn("window_end", from_event_time("_w.end"))
               .drop("_w"))
+
+
+def panes_apply(spec: WindowSpec) -> bool:
+    """Batch sliding windows whose size is a multiple of the slide are built
+    from panes (one pane = one slide): aggregate per pane first, then expand
+    each pane row into the size/slide windows that contain it.  Mergeable
+    aggregates give the same result as expanding every input row, but the
+    expansion now multiplies pane rows, not events."""
+    return spec.kind == SLIDING and spec.size_ms % spec.slide_ms == 0
+
+
+def pane_start(ts_col: str, spec: WindowSpec) -> Column:
+    step = int(spec.slide_ms if spec.kind == SLIDING else spec.size_ms)
+    return F.expr(f"{ts_col} - pmod({ts_col}, {step})")
+
+
+def explode_pane(pane_col: str, spec: WindowSpec) -> Column:
+    """Window starts (ms) of every sliding window containing the pane."""
+    n = spec.size_ms // spec.slide_ms
+    return F.explode(F.sequence(F.col(pane_col) - F.lit((n - 1) * spec.slide_ms), F.col(pane_col),
+                                F.lit(spec.slide_ms).cast("long")))

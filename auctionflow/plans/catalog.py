@@ -41,8 +41,7 @@ def bidder_sessions(spark, sf):
 
 def highest_session_per_window(spark, sf):
     s = sessions.bidder_sessions(B.bids(spark, sf), 6 * HOUR)
-    return aggregates.highest_per_window(s, DAY, order_col="last_ts", time_col="session_end",
-                                         key="person_id", tie_cols=["session_start"])
+    return aggregates.highest_per_window(s, DAY, order_col="last_ts", time_col="session_end", key="person_id")
 
 
 def new_user_auctions_tumbling(spark, sf):

@@ -32,35 +32,68 @@ DEFAULT_ROWS_PER_SLICE = 4_000_000
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def add_slices(df: DataFrame, keys: list[str], t_col: str,
-               rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Add ``_slice`` (0 for ordinary keys).  Returns (df, any_hot_key)."""
+def hot_keys(df: DataFrame, keys: list[str], t_col: str,
+             rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
+    """Keys with more than ``rows_per_slice`` rows, with their slice origin
+    ``_lo`` and width ``_width``; and their number (one small job)."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
     stats = (df.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_lo"), F.max(t_col).alias("_hi")))
     hot = (stats.where(F.col("_n") > F.lit(rows_per_slice))
                 .select(*keys, "_lo",
-                        ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
-                        .cast("long").alias("_w0")))
-    hot = hot.select(*keys, "_lo", (F.col("_w0") + 1).alias("_width"))
-    n_hot = hot.count()
+                        (((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
+                         .cast("long") + 1).alias("_width")))
+    return hot, hot.count()
+
+
+def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_col: str,
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Add ``_slice`` = floor((t - _lo) / _width) for hot keys, 0 otherwise;
+    monotone in t within a key."""
     if n_hot == 0:
-        return df.withColumn("_slice", F.lit(0).cast("long")), False
+        return df.withColumn("_slice", F.lit(0).cast("long"))
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-    sliced = (df.join(side, keys, "left")
-                .withColumn("_slice", F.coalesce(F.expr(f"({t_col} - _lo) div _width"), F.lit(0).cast("long")))
-                .drop("_lo", "_width"))
-    return sliced, True
+    x = f"({t_col} - _lo)"
+    return (df.join(side, keys, "left")
+              .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _width)) div _width"),
+                                               F.lit(0).cast("long")))
+              .drop("_lo", "_width"))
+
+
+def add_slices(df: DataFrame, keys: list[str], t_col: str,
+               rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               key_bound: int | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced).
+
+    ``key_bound``: a proven bound on the number of distinct keys (e.g. the
+    number of subtasks).  Then every key's slice width is computed in the
+    same plan and the per-key table is broadcast without a counting job."""
+    if key_bound is not None and key_bound <= broadcast_rows:
+        if df.isStreaming:
+            raise ValueError("ordered scans are batch operators; use the streaming processors")
+        stats = (df.groupBy(*keys)
+                   .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_lo"), F.max(t_col).alias("_hi"))
+                   .select(*keys, "_lo",
+                           (((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
+                            .cast("long") + 1).alias("_width")))
+        x = f"({t_col} - _lo)"
+        sliced = (df.join(F.broadcast(stats), keys, "left")
+                    .withColumn("_slice", F.expr(f"({x} - pmod({x}, _width)) div _width"))
+                    .drop("_lo", "_width"))
+        return sliced, True
+    hot, n_hot = hot_keys(df, keys, t_col, rows_per_slice)
+    return apply_slices(df, hot, n_hot, keys, t_col, broadcast_rows), n_hot > 0
 
 
 def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "_seq",
                      rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     key_bound: int | None = None) -> DataFrame:
     """1-based ``row_number`` per ``keys`` in ``order_cols`` order (the first
     order column must be the numeric time), parallel within hot keys."""
-    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, broadcast_rows)
+    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, broadcast_rows, key_bound)
     if not any_hot:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
@@ -75,11 +108,12 @@ def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out:
 
 def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str],
                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                       key_bound: int | None = None) -> DataFrame:
     """Running count / sum / min / max / sum of squares (DECIMAL) of each
     value column per ``keys`` in order, current row included, nulls skipped.
     Adds ``{v}_rcount, {v}_rsum, {v}_rmin, {v}_rmax, {v}_rss``."""
-    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, broadcast_rows)
+    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, broadcast_rows, key_bound)
 
     def sq(v: str) -> Column:
         return F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)")
@@ -154,7 +188,11 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
                                                 for c in row_cols], "_m")
     both = r.withColumn("_m", F.lit(None).cast(mk.schema["_m"].dataType)).select(*m_full.columns)
     both = both.unionByName(m_full)
-    sliced, any_hot = add_slices(both, keys, "_t", rows_per_slice, broadcast_rows)
+    # hot keys are judged on the rows (the large side) so the markers' plan
+    # is not run twice; markers take the same slice boundaries
+    hot, n_hot = hot_keys(rows, keys, t_col, rows_per_slice)
+    any_hot = n_hot > 0
+    sliced = apply_slices(both, hot, n_hot, keys, "_t", broadcast_rows)
     part = keys + (["_slice"] if any_hot else [])
     back = (Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_kind").desc())
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -94,11 +94,11 @@ def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec)
     p = persons.select(window_column(spec, streaming=True).alias("window"), "person_id",
                        F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"))
     a = (auctions.groupBy(window_column(spec, streaming=True).alias("window"), "person_id")
-                 .agg(latest_auction().alias("_a")))
+                 .agg(*latest_auction()))
     j = p.join(a, ["window", "person_id"])
     return j.select(F.unix_millis(F.col("window.end")).alias("window_evicting_ts"),
                     F.col("p_ts").alias("person_creation_ts"), F.col("p_ing").alias("person_ingestion_ts"),
-                    F.col("_a.ts").alias("auction_creation_ts"), F.col("_a.ingestion_ts").alias("auction_ingestion_ts"),
+                    F.col("_a_ts").alias("auction_creation_ts"), F.col("_a_ing").alias("auction_ingestion_ts"),
                     "person_id")
 
 
