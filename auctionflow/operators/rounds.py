@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auctionflow.functions.ordering import order_key
-from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, next_marker
+from auctionflow.plans.chains import chain_openers
+from auctionflow.plans.ordered import (DEFAULT_BROADCAST_ROWS, DEFAULT_ROWS_PER_SLICE, hot_keys, next_marker,
+                                       sequence_numbers)
 
 _FOLD_FIELDS = [("round_no", pa.int64()), ("open_t", pa.int64()), ("round_close", pa.int64()),
                 ("opener", pa.bool_())]
@@ -75,15 +77,30 @@ def _fold_batches(batches):
         yield pa.RecordBatch.from_arrays(cols, names=list(batch.schema.names) + [f for f, _ in _FOLD_FIELDS])
 
 
-def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None = None) -> DataFrame:
+def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None = None,
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """Annotate every row with its round: ``round_no`` (1-based per key),
     ``open_t``, ``round_close`` and ``opener``.  Rows are renamed to ``key``,
-    ``t``, ``close_t``; other columns pass through.  ``tie`` orders rows of
-    equal ``t`` (only the first of them can open a round)."""
+    ``t``, ``close_t``; other columns pass through.  ``(key, t)`` must be
+    unique (callers collapse equal times first).
+
+    Keys with more than ``rows_per_slice`` rows take the parallel pointer-
+    doubling route (:mod:`plans.chains`); all others one sorted streaming
+    pass."""
     close_col = F.col(close_t) if isinstance(close_t, str) else close_t
     rest = [c for c in df.columns if c not in (key, t) and not (isinstance(close_t, str) and c == close_t)]
     inp = df.select(F.col(key).cast("long").alias("key"), F.col(t).cast("long").alias("t"),
                     close_col.cast("long").alias("close_t"), *rest)
+    hot, n_hot = hot_keys(inp, ["key"], "t", rows_per_slice)
+    if n_hot == 0:
+        return _fold_sorted(inp, tie)
+    hk = hot.select("key")
+    hk = F.broadcast(hk) if n_hot <= DEFAULT_BROADCAST_ROWS else hk
+    normal = _fold_sorted(inp.join(hk, "key", "left_anti"), tie)
+    return normal.unionByName(_rounds_by_doubling(inp.join(hk, "key", "left_semi"), rows_per_slice))
+
+
+def _fold_sorted(inp: DataFrame, tie: list[str] | None) -> DataFrame:
     sorted_in = inp.repartition("key").sortWithinPartitions("key", "t", *(tie or []))
     schema = inp.schema
     for name, _ in _FOLD_FIELDS:
@@ -91,7 +108,26 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
     return sorted_in.mapInArrow(_fold_batches, schema)
 
 
-def auction_rounds(auctions: DataFrame) -> DataFrame:
+def _rounds_by_doubling(rows: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Same annotation as the fold, for hot keys: chain openers by pointer
+    doubling, round numbers by distributed row numbers, and each row's round
+    = (round of the next opener after it) - 1, or the key's last round."""
+    openers = chain_openers(rows.select("key", "t", "close_t"), "key", rows_per_slice)
+    numbered = sequence_numbers(openers.join(rows.select("key", "t", "close_t"), ["key", "t"]),
+                                ["key"], ["t"], out="round_no", rows_per_slice=rows_per_slice)
+    marks = numbered.select("key", F.col("t").alias("_ot"), F.col("round_no").alias("_next_round"))
+    ahead = next_marker(rows, marks, ["key"], "t", "_ot", ["_next_round"], strict=True,
+                        rows_per_slice=rows_per_slice)
+    totals = numbered.groupBy("key").agg(F.max("round_no").alias("_last_round"))
+    info = numbered.select("key", "round_no", F.col("t").alias("open_t"), F.col("close_t").alias("round_close"))
+    out = (ahead.join(totals, "key")
+                .withColumn("round_no", F.coalesce(F.col("_next_round") - 1, F.col("_last_round")))
+                .join(info, ["key", "round_no"])
+                .withColumn("opener", F.col("t") == F.col("open_t")))
+    return out.select(*rows.columns, *[n for n, _ in _FOLD_FIELDS])
+
+
+def auction_rounds(auctions: DataFrame, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """J3 rounds: per auction id, ``round_no, open_ts, close_ts,
     auctions_in_round``.  Auctions of one id are taken in (ts, ingestion_ts,
     item_id) order; only the first of equal ts can open a round, so they are
@@ -99,7 +135,7 @@ def auction_rounds(auctions: DataFrame) -> DataFrame:
     firsts = (auctions.groupBy("auction_id", "ts")
                       .agg(F.min_by(F.col("end"), order_key("ingestion_ts", "item_id")).alias("end"),
                            F.count(F.lit(1)).alias("_n")))
-    folded = fold_rounds(firsts, "auction_id", "ts", "end")
+    folded = fold_rounds(firsts, "auction_id", "ts", "end", rows_per_slice=rows_per_slice)
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")
                   .agg(F.min("open_t").alias("open_ts"), F.min("round_close").alias("close_ts"),
                        F.sum("_n").alias("auctions_in_round")))
@@ -117,7 +153,7 @@ def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = Fal
     last_ts, last_ingestion_ts, bid_count`` (independent maxima; rounds whose
     max ts is not > 0 are not emitted).  Round i owns bids with
     close(i-1) <= ts < close(i); ``strict`` keeps only open_ts <= ts."""
-    rounds = auction_rounds(auctions)
+    rounds = auction_rounds(auctions, rows_per_slice)
     b = bids.select("auction_id", "ts", "ingestion_ts")
     owned = next_marker(b, rounds, ["auction_id"], "ts", "close_ts",
                         ["round_no", "open_ts", "close_ts"], strict=True, rows_per_slice=rows_per_slice)
@@ -130,7 +166,7 @@ def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = Fal
     return out.where(F.col("last_ts") > 0)
 
 
-def bid_rounds(bids: DataFrame, duration_ms: int) -> DataFrame:
+def bid_rounds(bids: DataFrame, duration_ms: int, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """A1: per auction, rounds anchored at the first bid: [first.ts,
     first.ts + duration); output ``auction_id, round_no, round_start,
     round_end, max_price, last_ts, last_ingestion_ts, bid_count`` with the
@@ -139,7 +175,8 @@ def bid_rounds(bids: DataFrame, duration_ms: int) -> DataFrame:
     per_ts = (bids.groupBy("auction_id", "ts")
                   .agg(F.max("bid").alias("_max"), F.count(F.lit(1)).alias("_n"),
                        F.min("ingestion_ts").alias("_ing")))
-    folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms))
+    folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms),
+                         rows_per_slice=rows_per_slice)
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")
                   .agg(F.min("open_t").alias("round_start"), F.min("round_close").alias("round_end"),
                        F.max("_max").alias("max_price"), F.max("t").alias("last_ts"),
