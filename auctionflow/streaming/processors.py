@@ -10,10 +10,15 @@ copy of the rows: buffers only hold rows newer than the watermark.
 
 Timers fire when the watermark reaches them; late rows (older than the
 watermark) are dropped before buffering (T8).
+
+Every output row carries ``event_time`` = the watermark at emission (the
+oldest time Spark lets an operator emit), declared as the output event-time
+column, so processors can be chained (e.g. rounds -> latency lines).
 """
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Iterator
 
@@ -97,7 +102,8 @@ class OrderedProcessor(StatefulProcessor):
             self.pending.put(rest)
         self._store(st)
         self._set_timer(self._next_timer(st, rest))
-        return iter(out)
+        stamp = datetime.datetime.fromtimestamp(max(wm, 0) / 1000.0, tz=datetime.timezone.utc)
+        return iter(Row(**r.asDict(), event_time=stamp) for r in out)
 
     def close(self) -> None:
         pass
@@ -286,41 +292,47 @@ class SampleEvery(OrderedProcessor):
 
 
 class RunningLatency(OrderedProcessor):
-    """K2-K4 per subtask: running count / sum / min / max / sum of squares of
-    bid latency and flight time over rows ordered by processed time; one
-    line per accepted row."""
-
-    row_fields = [("processed_ts", _L), ("last_ts", _L), ("last_ingestion_ts", _L), ("key", _L), ("tie", _L),
-                  ("bid", _L), ("flight", _L), ("emit", _B)]
-    state_fields = [(f"{s}_{a}", _L) for s in ("b", "f") for a in ("n", "s", "lo", "hi", "ss")]
+    """K1-K4 per subtask: running count / sum / min / max / sum of squares
+    of each latency series over rows ordered by processed time; one line
+    per accepted row.  ``series`` maps a row field to its CSV name
+    (``{"bid": "bidLatency", "flight": "flightTime"}`` for K2-K4,
+    person / auction / flight for K1)."""
 
-    def __init__(self, columns: list[str], with_std: bool = False):
+    def __init__(self, columns: list[str], series: dict[str, str], with_std: bool = False):
         self.columns = columns
+        self.series = series
         self.with_std = with_std
+        self.row_fields = ([("etime", _L), ("processed_ts", _L), ("o1", _L), ("o2", _L), ("o3", _L)] +
+                           [(f, _L) for f in series] + [("emit", _B)])
+        self.state_fields = [(f"{f}_{a}", _L) for f in series for a in ("n", "s", "lo", "hi", "ss")]
+
+    def sort_key(self, r):
+        return r[1:5]
 
     def initial_state(self):
         return {n: (0 if n.endswith(("_n", "_s", "_ss")) else None) for n, _ in self.state_fields}
 
     def on_event(self, key, st, ev):
-        for s, v in (("b", ev["bid"]), ("f", ev["flight"])):
+        for f in self.series:
+            v = ev[f]
             if v is None:
                 continue
-            st[f"{s}_n"] += 1
-            st[f"{s}_s"] += v
-            st[f"{s}_ss"] += v * v
-            st[f"{s}_lo"] = v if st[f"{s}_lo"] is None else min(st[f"{s}_lo"], v)
-            st[f"{s}_hi"] = v if st[f"{s}_hi"] is None else max(st[f"{s}_hi"], v)
+            st[f"{f}_n"] += 1
+            st[f"{f}_s"] += v
+            st[f"{f}_ss"] += v * v
+            st[f"{f}_lo"] = v if st[f"{f}_lo"] is None else min(st[f"{f}_lo"], v)
+            st[f"{f}_hi"] = v if st[f"{f}_hi"] is None else max(st[f"{f}_hi"], v)
         if not ev["emit"]:
             return []
         line = {"subtask": key[0], "ts": ev["processed_ts"]}
-        for s, name in (("b", "bidLatency"), ("f", "flightTime")):
-            n = st[f"{s}_n"]
+        for f, name in self.series.items():
+            n = st[f"{f}_n"]
             line[f"{name}Count"] = n
-            line[f"{name}Mean"] = st[f"{s}_s"] / n if n else None
-            line[f"{name}Min"], line[f"{name}Max"] = st[f"{s}_lo"], st[f"{s}_hi"]
+            line[f"{name}Mean"] = st[f"{f}_s"] / n if n else None
+            line[f"{name}Min"], line[f"{name}Max"] = st[f"{f}_lo"], st[f"{f}_hi"]
             if self.with_std:
                 # same rounding steps as aggregates.exact_std
-                num = float(n * st[f"{s}_ss"] - st[f"{s}_s"] ** 2)
+                num = float(n * st[f"{f}_ss"] - st[f"{f}_s"] ** 2)
                 line[f"{name}Std"] = (math.sqrt(num / float(n * (n - 1))) if n > 1 else (0.0 if n == 1 else None))
-                line[f"{name}Sum"] = st[f"{s}_s"] if n else None
+                line[f"{name}Sum"] = st[f"{f}_s"] if n else None
         return [Row(**{c: line[c] for c in self.columns})]

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from auctionflow.functions.time import event_time, ms_interval
 from auctionflow.operators import latency as L
@@ -35,7 +35,10 @@ def with_event_time(df: DataFrame, delay_ms: int, ts_col: str = "ts", allowed_la
 
 
 def _tws(df: DataFrame, key: str, processor, schema: StructType) -> DataFrame:
-    return df.groupBy(key).transformWithState(processor, schema, "Append", "EventTime")
+    """Run a processor; its output gets the propagated ``event_time`` column."""
+    out = StructType(list(schema.fields) + [StructField(EVENT_TIME, TimestampType())])
+    return df.groupBy(key).transformWithState(processor, out, "Append", "EventTime",
+                                               eventTimeColumnName=EVENT_TIME)
 
 
 def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = False) -> DataFrame:
@@ -71,18 +74,48 @@ def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, sub
     return _tws(tagged, "subtask", proc, out)
 
 
-def running_latency(records: DataFrame, kind: str, key_col: str, tie_col: str, subtasks: int = 4) -> DataFrame:
-    """K2-K4 on a stream of ``bid_records`` (processed_ts, last_ts,
-    last_ingestion_ts, bid, flight, _emit)."""
-    layout = L.WINNING_COLUMNS if kind == "winning" else L.BID_COLUMNS
+def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: list[str],
+                    subtasks: int = 4) -> DataFrame:
+    """K1-K4 on a stream of ``q8_records`` / ``bid_records`` (same
+    arguments as :func:`operators.latency.running_latency`; up to three
+    order columns after ``processed_ts``).  Rows are buffered by their
+    watermarked ``event_time`` and ordered by ``processed_ts``: exact when
+    ``processed_ts`` never exceeds ``event_time`` and rows are emitted once
+    the watermark passes ``processed_ts`` (round and session closes)."""
+    if kind == "q8":
+        layout, series = L.Q8_COLUMNS, {"person": "person", "auction": "auction", "flight": "flightTime"}
+    else:
+        layout = L.WINNING_COLUMNS if kind == "winning" else L.BID_COLUMNS
+        series = {"bid": "bidLatency", "flight": "flightTime"}
+    order = (list(order_cols) + [None] * 3)[:3]
+    if len(order_cols) > 3:
+        raise ValueError("at most three order columns")
     r = records.select(subtask_of(F.col(key_col), subtasks).cast("long").alias("subtask"),
-                       "processed_ts", "last_ts", "last_ingestion_ts", F.col(key_col).alias("key"),
-                       F.col(tie_col).alias("tie"), "bid", "flight", F.col("_emit").alias("emit"),
-                       F.timestamp_millis("processed_ts").alias(EVENT_TIME))
-    types = {"subtask": P._L, "ts": P._L}
-    schema = StructType([StructField(c, types.get(c, P._D if ("Mean" in c or "Std" in c) else P._L))
-                         for c in layout])
-    return _tws(r, "subtask", P.RunningLatency(layout, kind == "winning"), schema)
+                       F.unix_millis(EVENT_TIME).alias("etime"), "processed_ts",
+                       *[(F.col(c) if c else F.lit(0)).cast("long").alias(f"o{i + 1}") for i, c in enumerate(order)],
+                       *[F.col(f).cast("long").alias(f) for f in series], F.col("_emit").alias("emit"),
+                       EVENT_TIME)
+    schema = StructType([StructField(c, P._L if c in ("subtask", "ts") or c.endswith(("Count", "Min", "Max", "Sum"))
+                                     else P._D) for c in layout])
+    return _tws(r, "subtask", P.RunningLatency(layout, series, kind == "winning"), schema)
+
+
+def connect_persons_auctions(persons: DataFrame, auctions: DataFrame, sample_n: int = 200_000,
+                             subtasks: int = 1) -> DataFrame:
+    """J2 on watermarked streams: every person row, plus every ``sample_n``-th
+    auction per subtask (counter in state)."""
+    from auctionflow.operators.joins import AUCTION_ORDER
+    p = persons.select(F.lit(0).cast("long").alias("window_evicting_ts"), F.col("ts").alias("person_creation_ts"),
+                       F.col("ingestion_ts").alias("person_ingestion_ts"),
+                       F.lit(0).cast("long").alias("auction_creation_ts"),
+                       F.lit(0).cast("long").alias("auction_ingestion_ts"), "person_id", EVENT_TIME)
+    s = sample_every(auctions.select(*AUCTION_ORDER, EVENT_TIME), sample_n, AUCTION_ORDER, "person_id",
+                     subtasks, "nth")
+    a = s.select(F.lit(0).cast("long").alias("window_evicting_ts"), F.lit(0).cast("long").alias("person_creation_ts"),
+                 F.lit(0).cast("long").alias("person_ingestion_ts"), F.col("ts").alias("auction_creation_ts"),
+                 F.col("ingestion_ts").alias("auction_ingestion_ts"), (-F.col("person_id")).alias("person_id"),
+                 EVENT_TIME)
+    return p.unionByName(a)
 
 
 def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec) -> DataFrame:

@@ -120,3 +120,51 @@ def test_stream_new_user_join_equals_batch(spark, replay):
     want = joins.new_user_auctions(B.persons(spark, SF01), B.auctions(spark, SF01), tumbling(6 * HOUR))
     cols = want.columns
     assert rows(out, cols) == rows(want, cols)
+
+
+def test_stream_running_latency_equals_batch(spark, replay):
+    from auctionflow.operators import latency as L
+    root, src, schema = replay
+    bids = S.with_event_time(B.bids(stream_events(spark, src, schema)), 0)
+    rec = L.bid_records(S.bid_rounds(bids, HOUR), F.col("round_end"))
+    out = run_stream(spark, root, S.running_latency(rec, "winning", "auction_id",
+                                                    ["last_ts", "last_ingestion_ts", "round_no"]), "s_latency")
+    brec = L.bid_records(rounds.bid_rounds(B.bids(spark, SF01), HOUR), F.col("round_end"))
+    want = L.running_latency(brec, "winning", "auction_id", ["last_ts", "last_ingestion_ts", "round_no"])
+    cols = want.columns
+    assert rows(out, cols) == rows(want, cols)
+
+
+def test_stream_connect_equals_batch(spark, replay):
+    root, src, schema = replay
+    ev = stream_events(spark, src, schema)
+    p = S.with_event_time(B.persons(ev), 0)
+    a = S.with_event_time(B.auctions(ev), 0)
+    out = run_stream(spark, root, S.connect_persons_auctions(p, a, 100, 4), "s_connect")
+    want = joins.connect_persons_auctions(B.persons(spark, SF01), B.auctions(spark, SF01), 100, 4)
+    cols = want.columns
+    got = out.where(F.abs("person_id") != FLUSH_KEY + 1)
+    assert rows(got, cols) == rows(want, cols)
+
+
+def test_stream_page_decode(spark, tmp_path):
+    from auctionflow.sources import pages
+    written = pages.write_pages(B.bids(spark, SF01), "bid", ["ts", "bid_id"], partitions=2,
+                                partition_key="auction_id")
+    path = str(tmp_path / "pages")
+    written.write.parquet(path)
+    stream = pages.decode_pages(pages.read_pages(spark, path, "bid", stream=True), "bid")
+    out = run_stream(spark, str(tmp_path), stream, "s_pages")
+    want = pages.decode_pages(pages.read_pages(spark, path, "bid"), "bid")
+    assert rows(out) == rows(want)
+    assert out.count() == B.bids(spark, SF01).count()
+
+
+def test_observe_gauge(spark):
+    from pyspark.sql import Observation
+    from auctionflow.operators import latency as L
+    obs = Observation("lat")
+    df = spark.range(10).select(F.col("id").alias("v"))
+    df.observe(obs, F.avg("v").alias("mean"), F.count("v").alias("count")).collect()
+    assert obs.get == {"mean": 4.5, "count": 10}
+    assert L.observe_latency(df, "lat2", "v").count() == 10
