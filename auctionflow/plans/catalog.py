@@ -267,3 +267,10 @@ def gen_bids(spark, sf):
 
 
 QUERIES.update({"gen_persons": gen_persons, "gen_auctions": gen_auctions, "gen_bids": gen_bids})
+
+
+def bid_round_snapshots(spark, sf):
+    return rounds.bid_round_snapshots(B.bids(spark, sf), DAY, n=5, subtasks=4)
+
+
+QUERIES["bid_round_snapshots"] = bid_round_snapshots

@@ -409,3 +409,19 @@ SELECT ts AS ingestion_ts, ts,
        -1::BIGINT AS bid_id, (({_r(25)}) % 1000000000) / 100.0 AS bid
 FROM b""",
 })
+
+
+ORACLE["bid_round_snapshots"] = with_rec(EV, BIDS, *_bid_rounds_ctes(DAY), f"""rb AS (
+  SELECT b.*, (SELECT max(o.round_no) FROM o WHERE o.auction_id = b.auction_id AND o.open_ts <= b.ts) AS round_no
+  FROM bids b)""", """run AS (
+  SELECT *, count(*) OVER w AS pos, max(bid) OVER w AS mx
+  FROM rb WINDOW w AS (PARTITION BY auction_id, round_no ORDER BY ts, ingestion_ts, bid_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+nf AS (
+  SELECT *, row_number() OVER (PARTITION BY abs(auction_id) % 4 ORDER BY ts, ingestion_ts, bid_id) AS seq
+  FROM run WHERE pos > 1),
+firsts AS (SELECT auction_id, round_no, ts, min(ingestion_ts) AS ing FROM rb GROUP BY 1, 2, 3)""") + """
+SELECT nf.auction_id, nf.round_no, nf.mx AS max_price, nf.ts AS last_ts, f.ing AS last_ingestion_ts,
+       nf.pos AS bid_count
+FROM nf JOIN firsts f ON f.auction_id = nf.auction_id AND f.round_no = nf.round_no AND f.ts = nf.ts
+WHERE (nf.seq - 1) % 5 = 0"""
