@@ -168,8 +168,9 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
                 rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """As-of lookup forward: for every row, the payload of the first marker of
-    the same key with ``marker_t > t`` (``>=`` when ``strict`` is False).
-    Rows without such a marker get NULLs.
+    the same key with ``marker_t > t`` (``>=`` when ``strict`` is False);
+    among markers of equal time the smallest payload wins.  Rows without
+    such a marker get NULLs.
 
     Rows and markers are merged into one ordered stream per (key, slice); the
     answer inside a slice is a running ``last(ignorenulls)`` over the stream
@@ -194,13 +195,15 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     any_hot = n_hot > 0
     sliced = apply_slices(both, hot, n_hot, keys, "_t", broadcast_rows)
     part = keys + (["_slice"] if any_hot else [])
-    back = (Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_kind").desc())
+    # the payload breaks ties between markers of equal time, so the pick is
+    # the same in every run (recomputed tasks give identical rows)
+    back = (Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_kind").desc(), F.col("_m").desc())
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = sliced.withColumn("_found", F.last("_m", ignorenulls=True).over(back))
     if any_hot:
         firsts = (sliced.where(F.col("_m").isNotNull())
                         .groupBy(*keys, "_slice")
-                        .agg(F.min_by("_m", F.struct("_t", "_kind")).alias("_first")))
+                        .agg(F.min_by("_m", F.struct("_t", "_kind", "_m")).alias("_first")))
         # slices without markers still need the carry of the slices after them
         slices = sliced.select(*keys, "_slice").distinct()
         carry_all = _carry_for_all(slices, firsts, keys)

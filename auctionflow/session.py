@@ -57,3 +57,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="auctionflow-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Starting settings for a cluster run over ``input_bytes`` of Parquet.
+
+    * ``spark.sql.files.maxPartitionBytes`` = ``partition_bytes`` (scan splits);
+    * ``spark.sql.shuffle.partitions`` = enough for ~``partition_bytes`` per
+      reducer if the whole input were shuffled, at least 2x the cores (AQE
+      coalesces small ones at run time);
+    * AQE advisory size and skew-join thresholds at the same scale, so a
+      hot join key is split instead of landing in one task.
+    At 100 TB with 256 MB partitions this gives ~400k shuffle partitions.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
