@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_SLICE = 4_000_000
 DEFAULT_BROADCAST_ROWS = 1_000_000
+MAX_LITERAL_KEYS = 1_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], t_col: str,
@@ -68,21 +69,32 @@ def add_slices(df: DataFrame, keys: list[str], t_col: str,
     """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced).
 
     ``key_bound``: a proven bound on the number of distinct keys (e.g. the
-    number of subtasks).  Then every key's slice width is computed in the
-    same plan and the per-key table is broadcast without a counting job."""
-    if key_bound is not None and key_bound <= broadcast_rows:
+    number of subtasks, at most 50).  The per-key summary (at most that many
+    rows) is read on the driver: without hot keys the plain window is used,
+    otherwise the slice widths become literal expressions (no join)."""
+    if key_bound is not None and key_bound <= MAX_LITERAL_KEYS:
+        # At most key_bound (e.g. subtasks <= 50) summary rows: read them on
+        # the driver and turn the slice widths into literal expressions.
         if df.isStreaming:
             raise ValueError("ordered scans are batch operators; use the streaming processors")
         stats = (df.groupBy(*keys)
-                   .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_lo"), F.max(t_col).alias("_hi"))
-                   .select(*keys, "_lo",
-                           (((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
-                            .cast("long") + 1).alias("_width")))
-        x = f"({t_col} - _lo)"
-        sliced = (df.join(F.broadcast(stats), keys, "left")
-                    .withColumn("_slice", F.expr(f"({x} - pmod({x}, _width)) div _width"))
-                    .drop("_lo", "_width"))
-        return sliced, True
+                   .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_lo"), F.max(t_col).alias("_hi")))
+        rows = stats.collect()
+        if len(rows) > key_bound:
+            raise ValueError(f"more than {key_bound} distinct keys")
+        hot = [r for r in rows if r["_n"] > rows_per_slice]
+        if not hot:
+            return df.withColumn("_slice", F.lit(0).cast("long")), False
+        slice_col = F.lit(0).cast("long")
+        for r in hot:
+            width = (r["_hi"] - r["_lo"]) // -(-r["_n"] // rows_per_slice) + 1
+            x = f"({t_col} - {int(r['_lo'])})"
+            match = None
+            for k in keys:
+                cond = F.col(k) == F.lit(r[k])
+                match = cond if match is None else (match & cond)
+            slice_col = F.when(match, F.expr(f"({x} - pmod({x}, {int(width)})) div {int(width)}")).otherwise(slice_col)
+        return df.withColumn("_slice", slice_col), True
     hot, n_hot = hot_keys(df, keys, t_col, rows_per_slice)
     return apply_slices(df, hot, n_hot, keys, t_col, broadcast_rows), n_hot > 0
 
