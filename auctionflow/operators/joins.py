@@ -68,27 +68,23 @@ def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec)
 def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms: int) -> DataFrame:
     """Sessions are formed over the events of *both* inputs of a person.
 
-    Both inputs are reduced to (person, gap bucket) rows first; sessions are
-    numbered over those, auctions are aggregated per session, and person rows
-    find their session by an equi-join on (person, bucket)."""
-    pb = persons.select("person_id", "ts", "ingestion_ts", gap_bucket("ts", gap_ms).alias("_bucket"))
-    ab = (auctions.groupBy("person_id", gap_bucket("ts", gap_ms).alias("_bucket"))
-                  .agg(*latest_auction(), F.min("ts").alias("_alo"), F.max("ts").alias("_ahi")))
-    pbk = (pb.groupBy("person_id", "_bucket")
-             .agg(F.min("ts").alias("_plo"), F.max("ts").alias("_phi")))
-    buckets = (pbk.join(ab.select("person_id", "_bucket", "_alo", "_ahi"), ["person_id", "_bucket"], "full")
-                  .select("person_id", "_bucket",
-                          F.least("_plo", "_alo").alias("_lo"), F.greatest("_phi", "_ahi").alias("_hi")))
+    The union of both inputs is reduced to one row per (person, gap bucket)
+    by a partial aggregate; sessions are numbered over those rows, auctions
+    are reduced per bucket and then per session, and person rows find their
+    session by an equi-join on (person, bucket)."""
+    bucket = gap_bucket("ts", gap_ms).alias("_bucket")
+    both = persons.select("person_id", "ts").unionByName(auctions.select("person_id", "ts"))
+    buckets = both.groupBy("person_id", bucket).agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
     sess = session_ids(buckets, ["person_id"], gap_ms)
-    bounds = (sess.groupBy("person_id", "_sid")
-                  .agg((F.max("_hi") + F.lit(gap_ms)).alias("_end")))
     bucket_sid = sess.select("person_id", "_bucket", "_sid")
-    a_sess = (ab.join(bucket_sid, ["person_id", "_bucket"])
-                .groupBy("person_id", "_sid")
-                .agg(*latest_auction("_a_ts", "_a_ing"))
-                .join(bounds, ["person_id", "_sid"]))
-    p_sess = (pb.join(bucket_sid, ["person_id", "_bucket"])
-                .select("person_id", "_sid", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing")))
+    bounds = sess.groupBy("person_id", "_sid").agg((F.max("_hi") + F.lit(gap_ms)).alias("_end"))
+    a_sess = (auctions.groupBy("person_id", bucket).agg(*latest_auction())
+                      .join(bucket_sid, ["person_id", "_bucket"])
+                      .groupBy("person_id", "_sid")
+                      .agg(*latest_auction("_a_ts", "_a_ing"))
+                      .join(bounds, ["person_id", "_sid"]))
+    p_sess = (persons.select("person_id", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"), bucket)
+                     .join(bucket_sid, ["person_id", "_bucket"]))
     return _output(p_sess.join(a_sess, ["person_id", "_sid"]), F.col("_end"))
 
 
