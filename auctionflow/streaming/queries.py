@@ -121,9 +121,9 @@ def connect_persons_auctions(persons: DataFrame, auctions: DataFrame, sample_n:
 def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec) -> DataFrame:
     """J1 on two watermarked streams (tumbling or sliding): raw person rows
     carrying their window joined with the windowed latest-auction aggregate."""
-    if spec.kind == SESSION:
-        raise ValueError("session co-groups run in batch (operators.joins)")
     from auctionflow.operators.joins import latest_auction
+    if spec.kind == SESSION:
+        return _new_user_sessions(persons, auctions, spec.size_ms, latest_auction)
     p = persons.select(window_column(spec, streaming=True).alias("window"), "person_id",
                        F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"))
     a = (auctions.groupBy(window_column(spec, streaming=True).alias("window"), "person_id")
@@ -135,6 +135,29 @@ def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec)
                     "person_id")
 
 
+def _new_user_sessions(persons: DataFrame, auctions: DataFrame, gap_ms: int, latest_auction) -> DataFrame:
+    """W6 on streams: sessions over the union of both inputs
+    (``session_window`` on the watermarked ``event_time``), each with its
+    latest auction; person rows join the session that contains them (a
+    stream-stream join with a time-range condition)."""
+    u = (persons.select("person_id", "ts", F.lit(None).cast("long").alias("a_ts"),
+                        F.lit(None).cast("long").alias("a_ing"), EVENT_TIME)
+         .unionByName(auctions.select("person_id", "ts", F.col("ts").alias("a_ts"),
+                                      F.col("ingestion_ts").alias("a_ing"), EVENT_TIME)))
+    sess = (u.groupBy("person_id", F.session_window(EVENT_TIME, ms_interval(gap_ms)).alias("window"))
+             .agg(*latest_auction("a_ts", "a_ing"), F.count("a_ts").alias("_auctions"))
+             .where(F.col("_auctions") > 0)
+             .select(F.col("person_id").alias("s_person"), "window", "_a_ts", "_a_ing"))
+    p = persons.select("person_id", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"),
+                       F.col(EVENT_TIME).alias("p_time"))
+    j = p.join(sess, (p["person_id"] == sess["s_person"]) & (p["p_time"] >= sess["window.start"]) &
+               (p["p_time"] < sess["window.end"]))
+    return j.select(F.unix_millis(F.col("window.end")).alias("window_evicting_ts"),
+                    F.col("p_ts").alias("person_creation_ts"), F.col("p_ing").alias("person_ingestion_ts"),
+                    F.col("_a_ts").alias("auction_creation_ts"), F.col("_a_ing").alias("auction_ingestion_ts"),
+                    "person_id")
+
+
 def start(df: DataFrame, checkpoint: str, sink: str = "memory", name: str | None = None,
           output_mode: str = "append", trigger: dict | None = None, path: str | None = None,
           fmt: str = "parquet", foreach_batch=None):

@@ -168,3 +168,25 @@ def test_observe_gauge(spark):
     df.observe(obs, F.avg("v").alias("mean"), F.count("v").alias("count")).collect()
     assert obs.get == {"mean": 4.5, "count": 10}
     assert L.observe_latency(df, "lat2", "v").count() == 10
+
+
+def test_stream_session_cogroup_equals_batch(spark, replay):
+    from auctionflow.operators.windows import session
+    root, src, schema = replay
+    ev = stream_events(spark, src, schema)
+    p = S.with_event_time(B.persons(ev), 0)
+    a = S.with_event_time(B.auctions(ev), 0)
+    out = run_stream(spark, root, S.new_user_auctions(p, a, session(6 * HOUR)), "s_new_user_sessions")
+    want = joins.new_user_auctions(B.persons(spark, SF01), B.auctions(spark, SF01), session(6 * HOUR))
+    cols = want.columns
+    assert rows(out, cols) == rows(want, cols)
+
+
+def test_stream_highest_session_per_window_equals_batch(spark, replay):
+    root, src, schema = replay
+    bids = S.with_event_time(B.bids(stream_events(spark, src, schema)), 0)
+    s = sessions.bidder_sessions(bids, 6 * HOUR)
+    out = run_stream(spark, root, aggregates.highest_per_window(s, DAY), "s_highest")
+    want = aggregates.highest_per_window(sessions.bidder_sessions(B.bids(spark, SF01), 6 * HOUR), DAY)
+    cols = [c for c in want.columns]
+    assert rows(out, cols) == rows(want, cols)
