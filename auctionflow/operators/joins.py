@@ -124,18 +124,18 @@ def connect_persons_auctions(persons: DataFrame, auctions: DataFrame, sample_n:
 
 def person_auction_state(persons: DataFrame, auctions: DataFrame) -> DataFrame:
     """J2 state view: per person id, the last person event (by ts, then
-    ingestion) and a summary of the auctions kept for that key.  Keys seen on
-    one side only are kept (full outer join of two per-key aggregates)."""
-    p = (persons.groupBy("person_id")
-                .agg(F.max("ts").alias("person_ts"),
-                     F.max_by("ingestion_ts", order_key("ts", "ingestion_ts")).alias("person_ingestion_ts"),
-                     F.count(F.lit(1)).alias("person_events")))
-    a = (auctions.groupBy("person_id")
-                 .agg(F.count(F.lit(1)).alias("auction_count"), F.min("ts").alias("first_auction_ts"),
-                      F.max("ts").alias("last_auction_ts"),
-                      F.max("ingestion_ts").alias("last_auction_ingestion_ts")))
-    j = p.join(a, "person_id", "full")
-    return j.select("person_id", "person_ts", "person_ingestion_ts",
-                    F.coalesce("person_events", F.lit(0)).alias("person_events"),
-                    F.coalesce("auction_count", F.lit(0)).alias("auction_count"),
-                    "first_auction_ts", "last_auction_ts", "last_auction_ingestion_ts")
+    ingestion) and a summary of the auctions kept for that key; keys seen on
+    one side only are kept.  One aggregate over the tagged union (a single
+    shuffle with map-side combine); on streams it runs in update or
+    complete output mode."""
+    u = (persons.select("person_id", "ts", "ingestion_ts", F.lit(True).alias("_is_person"))
+         .unionByName(auctions.select("person_id", "ts", "ingestion_ts", F.lit(False).alias("_is_person"))))
+    u = u.withColumn("_k", order_key("ts", "ingestion_ts"))
+    return (u.groupBy("person_id")
+             .agg(F.expr("max(ts) FILTER (WHERE _is_person)").alias("person_ts"),
+                  F.expr("max_by(ingestion_ts, _k) FILTER (WHERE _is_person)").alias("person_ingestion_ts"),
+                  F.expr("count(1) FILTER (WHERE _is_person)").alias("person_events"),
+                  F.expr("count(1) FILTER (WHERE NOT _is_person)").alias("auction_count"),
+                  F.expr("min(ts) FILTER (WHERE NOT _is_person)").alias("first_auction_ts"),
+                  F.expr("max(ts) FILTER (WHERE NOT _is_person)").alias("last_auction_ts"),
+                  F.expr("max(ingestion_ts) FILTER (WHERE NOT _is_person)").alias("last_auction_ingestion_ts")))

@@ -190,3 +190,16 @@ def test_stream_highest_session_per_window_equals_batch(spark, replay):
     want = aggregates.highest_per_window(sessions.bidder_sessions(B.bids(spark, SF01), 6 * HOUR), DAY)
     cols = [c for c in want.columns]
     assert rows(out, cols) == rows(want, cols)
+
+
+def test_stream_person_auction_state_complete_mode(spark, replay):
+    root, src, schema = replay
+    ev = stream_events(spark, src, schema)
+    state = joins.person_auction_state(B.persons(ev), B.auctions(ev))
+    q = S.start(state, os.path.join(root, "ck-state"), sink="memory", name="s_state", output_mode="complete",
+                trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.table("s_state").where(F.col("person_id") != FLUSH_KEY + 1)
+    want = joins.person_auction_state(B.persons(spark, SF01), B.auctions(spark, SF01))
+    cols = want.columns
+    assert rows(out, cols) == rows(want, cols)
