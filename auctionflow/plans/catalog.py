@@ -32,7 +32,7 @@ def bid_stats_sliding(spark, sf):
 
 def bid_stats_volume(spark, sf):
     bids = B.volume_bids(spark, sf)
-    return aggregates.bid_stats_by(bids, ["auction_id", F.year(utc_wall_clock("ts")).alias("year")])
+    return aggregates.bid_stats_by(bids, ["auction_id", F.year(utc_wall_clock("ts")).cast("long").alias("year")])
 
 
 def bidder_sessions(spark, sf):

@@ -184,7 +184,7 @@ def _chain(src: str, key: str, close_expr: str, tie: str) -> list[str]:
   SELECT a.*, (SELECT min(b.rn) FROM a b WHERE b.{key} = a.{key} AND b.rn > a.rn AND b.ts >= a.close) AS nxt
   FROM a)""",
             f"""r AS (
-  SELECT {key}, rn, nxt, 1 AS round_no FROM nx WHERE rn = 1
+  SELECT {key}, rn, nxt, 1::BIGINT AS round_no FROM nx WHERE rn = 1
   UNION ALL
   SELECT nx.{key}, nx.rn, nx.nxt, r.round_no + 1 FROM r JOIN nx ON nx.{key} = r.{key} AND nx.rn = r.nxt)""",
             f"""o AS (
