@@ -181,8 +181,8 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """As-of lookup forward: for every row, the payload of the first marker of
     the same key with ``marker_t > t`` (``>=`` when ``strict`` is False);
-    among markers of equal time the smallest payload wins.  Rows without
-    such a marker get NULLs.
+    among markers of equal time the one with the smallest payload hash wins.
+    Rows without such a marker get NULLs.
 
     Rows and markers are merged into one ordered stream per (key, slice); the
     answer inside a slice is a running ``last(ignorenulls)`` over the stream
@@ -195,11 +195,13 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     # found: t < marker_t is required) and after it otherwise.
     mk = markers.select(*keys, F.col(marker_t).alias("_t"),
                         F.lit(0 if strict else 2).alias("_kind"),
-                        F.struct(*payload).alias("_m"))
+                        F.struct(*payload).alias("_m"),
+                        F.xxhash64(*payload).alias("_tb"))
     row_cols = [c for c in r.columns if c not in keys + ["_t", "_kind"]]
     m_full = mk.select(*keys, "_t", "_kind", *[F.lit(None).cast(rows.schema[c].dataType).alias(c)
-                                                for c in row_cols], "_m")
-    both = r.withColumn("_m", F.lit(None).cast(mk.schema["_m"].dataType)).select(*m_full.columns)
+                                                for c in row_cols], "_m", "_tb")
+    both = (r.withColumn("_m", F.lit(None).cast(mk.schema["_m"].dataType))
+             .withColumn("_tb", F.lit(None).cast("long")).select(*m_full.columns))
     both = both.unionByName(m_full)
     # hot keys are judged on the rows (the large side) so the markers' plan
     # is not run twice; markers take the same slice boundaries
@@ -207,15 +209,15 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     any_hot = n_hot > 0
     sliced = apply_slices(both, hot, n_hot, keys, "_t", broadcast_rows)
     part = keys + (["_slice"] if any_hot else [])
-    # the payload breaks ties between markers of equal time, so the pick is
-    # the same in every run (recomputed tasks give identical rows)
-    back = (Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_kind").desc(), F.col("_m").desc())
+    # a hash of the payload breaks ties between markers of equal time, so the
+    # pick is the same in every run (recomputed tasks give identical rows)
+    back = (Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_kind").desc(), F.col("_tb").desc())
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = sliced.withColumn("_found", F.last("_m", ignorenulls=True).over(back))
     if any_hot:
         firsts = (sliced.where(F.col("_m").isNotNull())
                         .groupBy(*keys, "_slice")
-                        .agg(F.min_by("_m", F.struct("_t", "_kind", "_m")).alias("_first")))
+                        .agg(F.min_by("_m", F.struct("_t", "_kind", "_tb")).alias("_first")))
         # slices without markers still need the carry of the slices after them
         slices = sliced.select(*keys, "_slice").distinct()
         carry_all = _carry_for_all(slices, firsts, keys)
