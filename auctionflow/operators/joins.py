@@ -41,12 +41,13 @@ def _output(joined: DataFrame, evict: Column) -> DataFrame:
                          "person_id")
 
 
-def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec) -> DataFrame:
+def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec,
+                      rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """One row per person event that has at least one auction of the same
     person in the same window, carrying that window's latest auction.
     ``window_evicting_ts`` is the window end (event time, not wall clock)."""
     if spec.kind == SESSION:
-        return _new_user_auctions_session(persons, auctions, spec.size_ms)
+        return _new_user_auctions_session(persons, auctions, spec.size_ms, rows_per_slice)
     if panes_apply(spec) and not persons.isStreaming:
         # the auction side is reduced per pane before it is expanded
         p = persons.select("person_id", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"),
@@ -65,7 +66,8 @@ def new_user_auctions(persons: DataFrame, auctions: DataFrame, spec: WindowSpec)
     return _output(p.join(a, ["window", "person_id"]), from_event_time("window.end"))
 
 
-def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms: int) -> DataFrame:
+def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms: int,
+                               rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """Sessions are formed over the events of *both* inputs of a person.
 
     The union of both inputs is reduced to one row per (person, gap bucket)
@@ -75,7 +77,7 @@ def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms:
     bucket = gap_bucket("ts", gap_ms).alias("_bucket")
     both = persons.select("person_id", "ts").unionByName(auctions.select("person_id", "ts"))
     buckets = both.groupBy("person_id", bucket).agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
-    sess = session_ids(buckets, ["person_id"], gap_ms)
+    sess = session_ids(buckets, ["person_id"], gap_ms, rows_per_slice=rows_per_slice)
     bucket_sid = sess.select("person_id", "_bucket", "_sid")
     bounds = sess.groupBy("person_id", "_sid").agg((F.max("_hi") + F.lit(gap_ms)).alias("_end"))
     a_sess = (auctions.groupBy("person_id", bucket).agg(*latest_auction())

@@ -36,30 +36,30 @@ MAX_LITERAL_KEYS = 1_000
 def hot_keys(df: DataFrame, keys: list[str], t_col: str,
              rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_slice`` rows, with their slice origin
-    ``_lo`` and width ``_width``; and their number (one small job)."""
+    ``_slo`` and width ``_swidth``; and their number (one small job)."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
     stats = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_lo"), F.max(t_col).alias("_hi")))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_slo"), F.max(t_col).alias("_hi")))
     hot = (stats.where(F.col("_n") > F.lit(rows_per_slice))
-                .select(*keys, "_lo",
-                        (((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
-                         .cast("long") + 1).alias("_width")))
+                .select(*keys, "_slo",
+                        (((F.col("_hi") - F.col("_slo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
+                         .cast("long") + 1).alias("_swidth")))
     return hot, hot.count()
 
 
 def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_col: str,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Add ``_slice`` = floor((t - _lo) / _width) for hot keys, 0 otherwise;
+    """Add ``_slice`` = floor((t - _slo) / _width) for hot keys, 0 otherwise;
     monotone in t within a key."""
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long"))
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-    x = f"({t_col} - _lo)"
+    x = f"({t_col} - _slo)"
     return (df.join(side, keys, "left")
-              .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _width)) div _width"),
+              .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _swidth)) div _swidth"),
                                                F.lit(0).cast("long")))
-              .drop("_lo", "_width"))
+              .drop("_slo", "_swidth"))
 
 
 def add_slices(df: DataFrame, keys: list[str], t_col: str,

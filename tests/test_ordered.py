@@ -64,3 +64,16 @@ def test_rounds_by_doubling_equal_fold(spark):
     e = rounds.last_bids_per_round(bids, auctions, rows_per_slice=4)
     f = rounds.last_bids_per_round(bids, auctions)
     assert rows(e) == rows(f)
+
+
+def test_sliced_sessions_equal_unsliced(spark):
+    from auctionflow.operators import joins, sessions
+    from auctionflow.operators.windows import session
+    bids = B.bids(spark, SF01)
+    a = sessions.bidder_sessions(bids, 3_600_000, rows_per_slice=3)
+    b = sessions.bidder_sessions(bids, 3_600_000)
+    assert rows(a) == rows(b)
+    p, au = B.persons(spark, SF01), B.auctions(spark, SF01)
+    c = joins.new_user_auctions(p, au, session(6 * 3_600_000), rows_per_slice=2)
+    d = joins.new_user_auctions(p, au, session(6 * 3_600_000))
+    assert rows(c) == rows(d)
