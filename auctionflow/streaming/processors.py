@@ -336,3 +336,50 @@ class RunningLatency(OrderedProcessor):
                 line[f"{name}Std"] = (math.sqrt(num / float(n * (n - 1))) if n > 1 else (0.0 if n == 1 else None))
                 line[f"{name}Sum"] = st[f"{f}_s"] if n else None
         return [Row(**{c: line[c] for c in self.columns})]
+
+
+class ArrivalRounds(StatefulProcessor):
+    """J3 with processing-time timers (T3), the reference's literal form:
+    events are taken as they arrive (sorted within a micro-batch so a replay
+    is repeatable); the first auction while no round is open registers a
+    processing-time timer at its ``end`` (read as wall-clock ms); bids are
+    accumulated whether or not a round is open; when the timer fires, the
+    round's maxima are emitted if the max ts is > 0, and the round closes.
+    Results depend on wall-clock progress, so the event-time
+    :class:`LastBidsPerRound` is the default."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("round", StructType(
+            [StructField(n, _L) for n in ("round_no", "close_ts", "n", "last_ts", "last_ing")]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        s = self.state.get() if self.state.exists() else None
+        st = dict(zip(("round_no", "close_ts", "n", "last_ts", "last_ing"), s)) if s else \
+            {"round_no": 0, "close_ts": None, "n": 0, "last_ts": None, "last_ing": None}
+        for r in sorted(rows, key=lambda r: (r["ts"], 0 if r["is_auction"] else 1, r["tie"])):
+            if r["is_auction"]:
+                if st["close_ts"] is None:
+                    st["round_no"] += 1
+                    st["close_ts"] = r["end"]
+                    self.handle.registerTimer(r["end"])
+            else:
+                st["n"] += 1
+                st["last_ts"] = r["ts"] if st["last_ts"] is None else max(st["last_ts"], r["ts"])
+                st["last_ing"] = (r["ingestion_ts"] if st["last_ing"] is None
+                                  else max(st["last_ing"], r["ingestion_ts"]))
+        self.state.update(tuple(st[k] for k in ("round_no", "close_ts", "n", "last_ts", "last_ing")))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        s = self.state.get()
+        st = dict(zip(("round_no", "close_ts", "n", "last_ts", "last_ing"), s))
+        out = []
+        if st["n"] > 0 and st["last_ts"] is not None and st["last_ts"] > 0:
+            out.append(Row(auction_id=key[0], round_no=st["round_no"], close_ts=st["close_ts"],
+                           last_ts=st["last_ts"], last_ingestion_ts=st["last_ing"], bid_count=st["n"]))
+        self.state.update((st["round_no"], None, 0, None, None))
+        return iter(out)
+
+    def close(self) -> None:
+        pass

@@ -41,12 +41,19 @@ def _tws(df: DataFrame, key: str, processor, schema: StructType) -> DataFrame:
                                                eventTimeColumnName=EVENT_TIME)
 
 
-def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = False) -> DataFrame:
-    """J3 on two watermarked streams (tagged union keyed by auction id)."""
+def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = False,
+                        time_mode: str = "EventTime") -> DataFrame:
+    """J3 on two watermarked streams (tagged union keyed by auction id).
+    ``time_mode="ProcessingTime"`` runs the arrival-order form with
+    wall-clock timers at each round's ``end`` (T3)."""
     a = auctions.select("auction_id", "ts", F.lit(True).alias("is_auction"), F.col("end"),
                         "ingestion_ts", F.col("item_id").alias("tie"), EVENT_TIME)
     b = bids.select("auction_id", "ts", F.lit(False).alias("is_auction"), F.lit(None).cast("long").alias("end"),
                     "ingestion_ts", F.col("bid_id").alias("tie"), EVENT_TIME)
+    if time_mode == "ProcessingTime":
+        u = a.unionByName(b).drop(EVENT_TIME)
+        return u.groupBy("auction_id").transformWithState(P.ArrivalRounds(), P.LAST_BIDS_SCHEMA, "Append",
+                                                           "ProcessingTime")
     return _tws(a.unionByName(b), "auction_id", P.LastBidsPerRound(strict), P.LAST_BIDS_SCHEMA)
 
 

@@ -203,3 +203,27 @@ def test_stream_person_auction_state_complete_mode(spark, replay):
     want = joins.person_auction_state(B.persons(spark, SF01), B.auctions(spark, SF01))
     cols = want.columns
     assert rows(out, cols) == rows(want, cols)
+
+
+def test_processing_time_rounds(spark, tmp_path):
+    """Wall-clock timers at each round's end.  Ends in the past fire on
+    the next batch: every auction id with bids before its first close
+    reports once."""
+    a = spark.createDataFrame([(100, 1, 9, 1, 100, 200), (150, 1, 9, 2, 150, 400), (300, 2, 9, 3, 300, 400)],
+                              "ts long, auction_id long, person_id long, item_id long, ingestion_ts long, end long")
+    b = spark.createDataFrame([(5, 5, 1, 1, 1, 1.0), (199, 199, 1, 1, 2, 1.0), (350, 350, 2, 1, 3, 2.0)],
+                              "ingestion_ts long, ts long, auction_id long, person_id long, bid_id long, bid double")
+    src = str(tmp_path / "src")
+    a.withColumn("kind", F.lit("a")).write.parquet(src + "/a")
+    b.withColumn("kind", F.lit("b")).write.parquet(src + "/b")
+    sa = S.with_event_time(spark.readStream.schema(a.schema).parquet(src + "/a"), 0)
+    sb = S.with_event_time(spark.readStream.schema(b.schema).parquet(src + "/b"), 0)
+    q = S.start(S.last_bids_per_round(sb, sa, time_mode="ProcessingTime"), str(tmp_path / "ck"), name="s_ptime",
+                trigger={"processingTime": "1 second"})
+    import time
+    deadline = time.time() + 60
+    while time.time() < deadline and spark.table("s_ptime").count() < 2:
+        time.sleep(1)
+    q.stop()
+    got = sorted((r.auction_id, r.round_no, r.last_ts, r.bid_count) for r in spark.table("s_ptime").collect())
+    assert got == [(1, 1, 199, 2), (2, 1, 350, 1)]
