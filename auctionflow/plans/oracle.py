@@ -205,10 +205,12 @@ def _auction_rounds_ctes(src: str) -> list[str]:
 
 def _last_bids_ctes(bids: str, strict: bool) -> list[str]:
     cond = " AND b.ts >= o.open_ts" if strict else ""
+    # one row per bid row (bids may repeat exactly, so no grouping by identity)
     return [f"""own AS (
-  SELECT b.bid_id, b.auction_id, b.ts, b.ingestion_ts, min(o.close_ts) AS close_ts
-  FROM {bids} b JOIN rounds o ON o.auction_id = b.auction_id AND o.close_ts > b.ts
-  GROUP BY 1, 2, 3, 4)""", f"""lastbids AS (
+  SELECT * FROM (
+    SELECT b.auction_id, b.ts, b.ingestion_ts,
+           (SELECT min(o.close_ts) FROM rounds o WHERE o.auction_id = b.auction_id AND o.close_ts > b.ts) AS close_ts
+    FROM {bids} b) WHERE close_ts IS NOT NULL)""", f"""lastbids AS (
   SELECT o.auction_id, o.round_no, o.close_ts, max(w.ts) AS last_ts, max(w.ingestion_ts) AS last_ingestion_ts,
          count(*) AS bid_count
   FROM own w JOIN rounds o ON o.auction_id = w.auction_id AND o.close_ts = w.close_ts
