@@ -19,7 +19,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -260,66 +259,102 @@ def page_progress(pages: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------ writer
 
-def _ascii(values, width: int) -> np.ndarray:
-    """Substring to ``width`` and US-ASCII encode, NUL padded."""
-    out = np.zeros(len(values), dtype=f"V{width}")
-    raw = [("" if v is None else str(v))[:width].encode("ascii", "replace").ljust(width, b"\0") for v in values]
-    out[:] = [np.void(r) for r in raw]
+def _fixed_ascii(arr, width: int) -> np.ndarray:
+    """Strings cut to ``width`` characters and US-ASCII encoded (others
+    become '?'), NUL padded, as an (n, width) uint8 matrix."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    s = pc.fill_null(arr.cast(pa.string()), "")
+    s = pc.replace_substring_regex(s, r"[^\x00-\x7f]", "?")
+    b = pc.cast(pc.utf8_slice_codeunits(s, 0, width), pa.binary())
+    n = len(b)
+    offsets = np.frombuffer(b.buffers()[1], dtype=np.int32, count=n + 1, offset=b.offset * 4)
+    data = np.frombuffer(b.buffers()[2], dtype=np.uint8) if b.buffers()[2] is not None else np.zeros(0, np.uint8)
+    out = np.zeros((n, width), dtype=np.uint8)
+    out[np.arange(width)[None, :] < np.diff(offsets)[:, None]] = data[offsets[0]:offsets[-1]]
     return out
 
 
-def _encode_records(kind: str, pdf: pd.DataFrame) -> bytes:
-    """Records of one page as big-endian bytes."""
+def _encode_records(kind: str, t: pa.Table) -> np.ndarray:
+    """Records of ``t`` as an (n, record_bytes) uint8 matrix (big-endian)."""
     k = kind_of(kind)
-    rec = np.zeros(len(pdf), dtype=k.dtype)
+    rec = np.zeros(t.num_rows, dtype=k.dtype)
+
+    def col(name, dtype=np.int64):
+        return t.column(name).to_numpy(zero_copy_only=False).astype(dtype)
+
+    def text(name, width):
+        return _fixed_ascii(t.column(name), width).view(f"V{width}").reshape(-1)
+
     if kind == "bid":
-        rec["bidder"], rec["auction"] = pdf["person_id"].to_numpy(), pdf["auction_id"].to_numpy()
-        rec["price"], rec["ts"] = pdf["bid"].to_numpy(), pdf["ts"].to_numpy()
+        rec["bidder"], rec["auction"] = col("person_id"), col("auction_id")
+        rec["price"], rec["ts"] = col("bid", np.float64), col("ts")
     elif kind == "auction":
-        rec["id"], rec["seller"] = pdf["auction_id"].to_numpy(), pdf["person_id"].to_numpy()
-        rec["category"] = pdf["category_id"].to_numpy().astype(np.int64).astype(np.int8)
-        rec["item"] = pdf["item_id"].to_numpy().astype(np.int64).astype(np.int32)
-        rec["start"], rec["end"] = pdf["start"].to_numpy(), pdf["end"].to_numpy()
-        rec["price"] = pdf["initial_price"].to_numpy().astype(np.int64).astype(np.int32)
-        rec["name"], rec["descr"] = _ascii(pdf["name"], 20), _ascii(pdf["descr"], 200)
-        rec["ts"] = pdf["ts"].to_numpy()
+        rec["id"], rec["seller"] = col("auction_id"), col("person_id")
+        rec["category"] = col("category_id").astype(np.int8)
+        rec["item"] = col("item_id").astype(np.int32)
+        rec["start"], rec["end"] = col("start"), col("end")
+        rec["price"] = col("initial_price", np.float64).astype(np.int64).astype(np.int32)
+        rec["name"], rec["descr"] = text("name", 20), text("descr", 200)
+        rec["ts"] = col("ts")
     else:
-        rec["id"] = pdf["person_id"].to_numpy()
+        rec["id"] = col("person_id")
         for f in ("first", "last", "domain", "city", "country"):
-            rec[f] = _ascii(pdf[f], 32)
+            rec[f] = text(f, 32)
         for f in ("card0", "card1", "a", "b", "c", "sex", "ts"):
-            rec[f] = pdf[f].to_numpy()
-    return rec.tobytes()
+            rec[f] = col(f)
+    return rec.view(np.uint8).reshape(t.num_rows, k.record_bytes)
 
 
 def _encode_pages(kind: str):
-    """Rows sorted by (partition, page, seq) -> one row per page.  A page may
-    straddle two Arrow batches, so the unfinished last page is carried."""
+    """Rows sorted by (partition, page, seq) -> one row per page, vectorised
+    per Arrow batch: records are written into a (pages, capacity,
+    record_bytes) view of a zeroed page matrix.  A page may straddle two
+    batches, so the unfinished last page is carried."""
     k = kind_of(kind)
+    cap, size = k.capacity, k.record_bytes
     magic = k.magic if k.magic < 2**31 else k.magic - 2**32
-
-    def page_row(pdf: pd.DataFrame) -> dict:
-        header = np.array([(magic, len(pdf), int(pdf["_backlog"].iloc[0]))],
-                          dtype=[("m", ">i4"), ("n", ">i4"), ("b", ">i8")]).tobytes()
-        value = (header + _encode_records(kind, pdf)).ljust(PAGE_BYTES, b"\0")
-        return {"partition": int(pdf["_part"].iloc[0]), "offset": int(pdf["_page"].iloc[0]),
-                "value": value, "_ts": int(pdf["ts"].max())}
+    out_schema = pa.schema([("partition", pa.int32()), ("offset", pa.int64()), ("value", pa.binary()),
+                            ("_ts", pa.int64())])
+
+    def flush(t: pa.Table) -> pa.RecordBatch:
+        part = t.column("_part").to_numpy(zero_copy_only=False).astype(np.int64)
+        page = t.column("_page").to_numpy(zero_copy_only=False).astype(np.int64)
+        seq = t.column("_seq").to_numpy(zero_copy_only=False).astype(np.int64)
+        ts = t.column("ts").to_numpy(zero_copy_only=False).astype(np.int64)
+        backlog = t.column("_backlog").to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (page[1:] != page[:-1])])
+        idx = np.cumsum(np.r_[True, (part[1:] != part[:-1]) | (page[1:] != page[:-1])]) - 1
+        n_pages = len(starts)
+        mat = np.zeros((n_pages, PAGE_BYTES), dtype=np.uint8)
+        header = np.zeros(n_pages, dtype=[("m", ">i4"), ("n", ">i4"), ("b", ">i8")])
+        header["m"], header["n"], header["b"] = magic, np.bincount(idx, minlength=n_pages), backlog[starts]
+        mat[:, :HEADER_BYTES] = header.view(np.uint8).reshape(n_pages, HEADER_BYTES)
+        body = mat[:, HEADER_BYTES:HEADER_BYTES + cap * size].reshape(n_pages, cap, size)
+        body[idx, (seq - 1) % cap] = _encode_records(kind, t)
+        offsets = np.arange(n_pages + 1, dtype=np.int32) * PAGE_BYTES
+        value = pa.Array.from_buffers(pa.binary(), n_pages, [None, pa.py_buffer(offsets), pa.py_buffer(mat)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[starts].astype(np.int32)), pa.array(page[starts]), value,
+             pa.array(np.maximum.reduceat(ts, starts))], schema=out_schema)
 
     def run(batches):
         carry = None
-        for pdf in batches:
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
             if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if pdf.empty:
+                t = pa.concat_tables([carry, t])
+            if t.num_rows == 0:
                 continue
-            last = (pdf["_part"].iloc[-1], pdf["_page"].iloc[-1])
-            tail = (pdf["_part"] == last[0]) & (pdf["_page"] == last[1])
-            carry, done = pdf[tail], pdf[~tail]
-            out = [page_row(g) for _, g in done.groupby(["_part", "_page"], sort=False)]
-            if out:
-                yield pd.DataFrame(out)
-        if carry is not None and not carry.empty:
-            yield pd.DataFrame([page_row(carry)])
+            part = t.column("_part").to_numpy(zero_copy_only=False)
+            page = t.column("_page").to_numpy(zero_copy_only=False)
+            tail = (part == part[-1]) & (page == page[-1])
+            first_tail = int(np.argmax(tail))
+            carry = t.slice(first_tail)
+            if first_tail > 0:
+                yield flush(t.slice(0, first_tail).combine_chunks())
+        if carry is not None and carry.num_rows:
+            yield flush(carry.combine_chunks())
     return run
 
 
@@ -345,9 +380,9 @@ def write_pages(records: DataFrame, kind: str, order_cols: list[str], partitions
           .withColumn("_backlog", F.col("_total") - F.col("_page") * F.lit(k.capacity)))
     out_schema = "partition int, offset long, value binary, _ts long"
     # pages are contiguous runs of (partition, page): cluster and sort, then
-    # stream them through one Arrow pass (no per-page Python group call)
+    # stream them through one vectorised Arrow pass
     pages = (r.repartition("_part", "_page").sortWithinPartitions("_part", "_page", "_seq")
-              .mapInPandas(_encode_pages(kind), out_schema))
+              .mapInArrow(_encode_pages(kind), out_schema))
     return pages.select(F.lit(None).cast("binary").alias("key"), "value",
                         F.lit(topic or k.topic).alias("topic"), "partition", "offset",
                         F.timestamp_millis("_ts").alias("timestamp"))
