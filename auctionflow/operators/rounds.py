@@ -37,9 +37,10 @@ def _fold_batches(batches):
     """Annotate rows sorted by (key, t) with their round.
 
     State carried between batches: the current key and its open round's
-    close, opening time and number.  Within a batch each key run is walked
-    round by round with ``searchsorted``, so the Python work is per round,
-    not per row.  Input columns pass through unchanged."""
+    close, opening time and number.  Runs that fit in one round are
+    assigned with array operations; the other runs are walked round by round
+    with ``searchsorted``, so Python work is per round of multi-round keys,
+    never per row.  Input columns pass through unchanged."""
     cur_key = None
     cur_close = cur_open = 0
     cur_no = 0
@@ -56,7 +57,18 @@ def _fold_batches(batches):
         round_close = np.empty(n, dtype=np.int64)
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         ends = np.r_[starts[1:], n]
-        for s, e in zip(starts.tolist(), ends.tolist()):
+        # Runs that fit in their first round (the usual case) are assigned
+        # without Python work per run; only the others are walked below.
+        single = t[ends - 1] < close_t[starts]
+        if len(starts) and key[0] == cur_key:
+            single[0] = False
+        lengths = ends - starts
+        mask = np.repeat(single, lengths)
+        round_no[mask] = 1
+        open_t[mask] = np.repeat(t[starts], lengths)[mask]
+        round_close[mask] = np.repeat(close_t[starts], lengths)[mask]
+        opener[starts[single]] = True
+        for s, e in zip(starts[~single].tolist(), ends[~single].tolist()):
             k = key[s]
             if k != cur_key:
                 cur_key, cur_no = k, 0
@@ -73,6 +85,10 @@ def _fold_batches(batches):
                 j = max(s + int(np.searchsorted(t[s:e], cur_close, side="left")), i + 1)
                 round_no[i:j], open_t[i:j], round_close[i:j] = cur_no, cur_open, cur_close
                 i = j
+        if single[-1]:
+            # the batch ends inside a single-round run: carry its open round
+            cur_key, cur_no = key[starts[-1]], 1
+            cur_open, cur_close = int(t[starts[-1]]), int(close_t[starts[-1]])
         cols = list(batch.columns) + [pa.array(round_no), pa.array(open_t), pa.array(round_close),
                                       pa.array(opener)]
         yield pa.RecordBatch.from_arrays(cols, names=list(batch.schema.names) + [f for f, _ in _FOLD_FIELDS])

@@ -171,3 +171,25 @@ def test_window_type_selector():
         WindowSpec.from_type(1, 1)   # slide 0 is invalid
     with pytest.raises(ValueError):
         WindowSpec.from_type(3, 1000)
+
+
+def test_fold_carries_state_across_batches(spark):
+    """Many keys, several Arrow batches per partition: runs that end a batch
+    (single- or multi-round) continue correctly in the next batch."""
+    from auctionflow.operators.rounds import _fold_batches
+    import pyarrow as pa
+    keys = [1] * 3 + [2] * 5 + [3] * 1 + [4] * 4
+    ts = [0, 5, 9, 0, 10, 20, 30, 40, 7, 0, 1, 2, 100]
+    close = [t + 15 for t in ts]
+    full = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ts, pa.int64()),
+                                       pa.array(close, pa.int64())], names=["key", "t", "close_t"])
+
+    def fold(batches):
+        out = list(_fold_batches(batches))
+        return [tuple(r.values()) for b in out for r in b.to_pylist()]
+    whole = fold([full])
+    for cut in range(1, full.num_rows):
+        assert fold([full.slice(0, cut), full.slice(cut)]) == whole
+    got = {(r[0], r[1]): r[3] for r in whole}
+    assert got[(2, 0)] == 1 and got[(2, 10)] == 1 and got[(2, 20)] == 2 and got[(2, 40)] == 3
+    assert got[(4, 100)] == 2
