@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auctionflow.functions.time import event_time, from_event_time, ms_interval
+from auctionflow.functions.time import from_event_time, ms_interval
 from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, apply_slices, hot_keys
 
 

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from auctionflow import schemas
 from auctionflow.operators import aggregates, chunks, joins, latency, rounds, sampling, sessions
 from auctionflow.operators.windows import WindowSpec, session, sliding, tumbling
 from auctionflow.sources import pages
@@ -59,7 +58,6 @@ def test_sessions_touching_merge_and_gap_plus_one_splits(spark):
     b = bids(spark, [(0, 0, 1, 1, 1, 1.0), (100, 100, 1, 1, 2, 1.0), (201, 201, 1, 1, 3, 1.0)])
     out = sessions.bidder_sessions(b, 100)
     assert rows(out, ["session_start", "session_end", "bid_count"]) == [(0, 200, 2), (201, 301, 1)]
-    s = b.withColumn("t", F.timestamp_millis("ts"))
     native = b.groupBy("person_id", F.session_window(F.timestamp_millis("ts"), "100 milliseconds")).count()
     assert native.count() == 2
 
