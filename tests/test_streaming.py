@@ -39,6 +39,10 @@ def replay(spark):
             "props": ['{"k": %d}' % FLUSH_KEY] * 3}
     flush = pa.table({f.name: pa.array(cols[f.name], f.type) for f in t.schema})
     pq.write_table(flush, os.path.join(src, "part-9.parquet"))
+    # the file source orders files by modification time: make it strictly
+    # increasing so the replay order is the time order in every run
+    for i, name in enumerate(sorted(os.listdir(src))):
+        os.utime(os.path.join(src, name), (1_700_000_000 + i, 1_700_000_000 + i))
     schema = spark.read.parquet(f"{SF01}/events.parquet").schema
     return root, src, schema
 
