@@ -20,7 +20,10 @@ split such keys into time slices:
 
 The slice width assumes a roughly even rate within a hot key; a burst makes
 one slice larger but never merges keys.  All steps are built-in SQL
-operators; nothing is collected to the driver except the hot-key count.
+operators.  The driver only sees the hot-key count and, when at most
+``MAX_LITERAL_KEYS`` keys are hot (or the keys have such a bound, e.g.
+subtasks), their per-key origin and width, which become literal slice
+expressions instead of a join.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_SLICE = 4_000_000
 DEFAULT_BROADCAST_ROWS = 1_000_000
-MAX_LITERAL_KEYS = 1_000
+MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
 
 
 def hot_keys(df: DataFrame, keys: list[str], t_col: str,
@@ -48,12 +51,30 @@ def hot_keys(df: DataFrame, keys: list[str], t_col: str,
     return hot, hot.count()
 
 
+def _literal_slices(df: DataFrame, rows: list, keys: list[str], t_col: str) -> DataFrame:
+    """``_slice`` from a few (key, origin, width) rows as one flat CASE."""
+    slice_col = None
+    for r in rows:
+        x = f"({t_col} - {int(r['_slo'])})"
+        w = int(r["_swidth"])
+        match = None
+        for k in keys:
+            cond = F.col(k) == F.lit(r[k])
+            match = cond if match is None else (match & cond)
+        value = F.expr(f"({x} - pmod({x}, {w})) div {w}")
+        slice_col = F.when(match, value) if slice_col is None else slice_col.when(match, value)
+    return df.withColumn("_slice", slice_col.otherwise(F.lit(0).cast("long")))
+
+
 def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_col: str,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Add ``_slice`` = floor((t - _slo) / _width) for hot keys, 0 otherwise;
-    monotone in t within a key."""
+    """Add ``_slice`` = floor((t - _slo) / _swidth) for hot keys, 0 otherwise;
+    monotone in t within a key.  Up to ``MAX_LITERAL_KEYS`` hot keys become
+    literals; more are joined (broadcast below ``broadcast_rows``)."""
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long"))
+    if n_hot <= MAX_LITERAL_KEYS:
+        return _literal_slices(df, hot.collect(), keys, t_col)
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     x = f"({t_col} - _slo)"
     return (df.join(side, keys, "left")
@@ -82,19 +103,11 @@ def add_slices(df: DataFrame, keys: list[str], t_col: str,
         rows = stats.collect()
         if len(rows) > key_bound:
             raise ValueError(f"more than {key_bound} distinct keys")
-        hot = [r for r in rows if r["_n"] > rows_per_slice]
+        hot = [dict(r.asDict(), _slo=r["_lo"], _swidth=(r["_hi"] - r["_lo"]) // -(-r["_n"] // rows_per_slice) + 1)
+               for r in rows if r["_n"] > rows_per_slice]
         if not hot:
             return df.withColumn("_slice", F.lit(0).cast("long")), False
-        slice_col = F.lit(0).cast("long")
-        for r in hot:
-            width = (r["_hi"] - r["_lo"]) // -(-r["_n"] // rows_per_slice) + 1
-            x = f"({t_col} - {int(r['_lo'])})"
-            match = None
-            for k in keys:
-                cond = F.col(k) == F.lit(r[k])
-                match = cond if match is None else (match & cond)
-            slice_col = F.when(match, F.expr(f"({x} - pmod({x}, {int(width)})) div {int(width)}")).otherwise(slice_col)
-        return df.withColumn("_slice", slice_col), True
+        return _literal_slices(df, hot, keys, t_col), True
     hot, n_hot = hot_keys(df, keys, t_col, rows_per_slice)
     return apply_slices(df, hot, n_hot, keys, t_col, broadcast_rows), n_hot > 0
 

@@ -13,7 +13,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from auctionflow.session import local_session
     s = local_session("*", shuffle_partitions=8, app="auctionflow-tests",
-                      extra={"spark.sql.streaming.stateStore.providerClass":
+                      extra={"spark.driver.memory": "4g",
+                             "spark.sql.streaming.stateStore.providerClass":
                              "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
     yield s
 
