@@ -47,3 +47,55 @@ def test_jobs_run_on_generated_input(spark):
     jobs.run("debug", spark, inputs)
     with pytest.raises(ValueError):
         jobs.run("q9", spark, inputs)
+
+
+def test_page_progress_incomplete_and_drop_mode(spark):
+    from auctionflow.sources import bindings as B
+    from auctionflow.sources import pages
+    from conftest import SF001
+    written = pages.write_pages(B.bids(spark, SF001), "bid", ["ts", "bid_id"], partitions=1)
+    n_pages = written.count()
+    # without the last page the partition is not complete
+    partial = written.where(F.col("offset") < n_pages - 1)
+    prog = pages.page_progress(partial).collect()[0]
+    assert prog.pages == n_pages - 1 and not prog.is_complete
+    full = pages.page_progress(written).collect()[0]
+    assert full.is_complete and full.items == B.bids(spark, SF001).count()
+    bad = written.withColumn("value", F.substring("value", 1, 100))
+    assert pages.validate_pages(written.unionByName(bad), "bid", "drop").count() == n_pages
+
+
+def test_csv_sink_layout(spark, tmp_path):
+    from auctionflow.operators import latency
+    lines = spark.createDataFrame([(0, 1, 2), (1, 3, 4)], "subtask int, ts long, bidLatencyCount long")
+    out = str(tmp_path / "csv")
+    latency.write_latency_csv(lines, out)
+    dirs = sorted(d for d in os.listdir(out) if d.startswith("subtask="))
+    assert dirs == ["subtask=0", "subtask=1"]
+    part = [f for f in os.listdir(os.path.join(out, dirs[0])) if f.endswith(".csv")][0]
+    with open(os.path.join(out, dirs[0], part)) as f:
+        assert f.readline().strip() == "ts,bidLatencyCount"
+
+
+def test_debug_job_reads_page_files(spark, tmp_path):
+    from auctionflow.sources import bindings as B
+    from auctionflow.sources import pages
+    from conftest import SF001
+    path = str(tmp_path / "persons")
+    pages.write_pages(B.person_wire_fields(spark, SF001), "person", ["ts", "card0"]).write.parquet(path)
+    jobs.run("debug", spark, jobs.Inputs(autogen=False, pages={"person": path}))
+    decoded = jobs.Inputs(autogen=False, pages={"person": path}).events(spark, "person")
+    assert decoded.count() == B.persons(spark, SF001).count()
+
+
+def test_rate_source_generator(spark, tmp_path):
+    c = generate.stream_counters(spark, rows_per_second=50, subtasks=2)
+    q = (generate.generate_bids(c).writeStream.format("memory").queryName("gen_rate")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="1 second").start())
+    import time
+    deadline = time.time() + 60
+    while time.time() < deadline and spark.table("gen_rate").count() == 0:
+        time.sleep(1)
+    q.stop()
+    got = spark.table("gen_rate")
+    assert got.count() > 0 and got.where("bid_id <> -1").count() == 0
