@@ -7,10 +7,14 @@ the next round.  Whether an event opens a round depends on the previous
 round, so the chain is a fold in (ts, tie-break) order.
 
 Plan:
-* the fold sees only *candidate openers* (auctions, or the distinct
-  (auction, ts) pairs of bids after a partial aggregate), hash-partitioned by
-  key and sorted within partitions; it streams through Arrow batches with
-  O(1) state per key (key, close, round number), never holding a group;
+* only *candidate openers* enter the chain: auctions collapsed to one row
+  per (id, ts), or bids collapsed to one row per (auction, ts) by a partial
+  aggregate;
+* ordinary keys are folded in one pass over data hash-partitioned by key and
+  sorted within partitions, streaming through Arrow batches with O(1) state
+  per key (key, close, round number) and never holding a group;
+* keys with more than ``rows_per_slice`` candidates take the parallel
+  pointer-doubling route of :mod:`plans.chains` (same result);
 * everything else is built-in: bids are assigned to rounds by an as-of
   lookup (:func:`plans.ordered.next_marker`, parallel within hot keys) or
   by the fold's annotation, and rounds are summarised by partial aggregates.
@@ -25,9 +29,9 @@ from pyspark.sql import functions as F
 
 from auctionflow.functions.ordering import order_key
 from auctionflow.plans.chains import chain_openers
-from auctionflow.session import ensure_checkpoint_dir
 from auctionflow.plans.ordered import (DEFAULT_BROADCAST_ROWS, DEFAULT_ROWS_PER_SLICE, hot_keys, next_marker,
                                        sequence_numbers)
+from auctionflow.session import ensure_checkpoint_dir
 
 _FOLD_FIELDS = [("round_no", pa.int64()), ("open_t", pa.int64()), ("round_close", pa.int64()),
                 ("opener", pa.bool_())]
