@@ -106,3 +106,80 @@ def run(name: str, spark: SparkSession, inputs: Inputs, **params):
     except KeyError:
         raise ValueError(f"unknown job {name!r}; expected one of {sorted(JOBS)}") from None
     return job(spark, inputs, **params)
+
+
+# --------------------------------------------------------------------------- streams
+
+@dataclass
+class StreamInputs:
+    """Stream sources: generators on the ``rate`` source (``autogen``), or
+    page sources (Kafka option dicts or folders of page files) per kind."""
+
+    autogen: bool = True
+    rows_per_second: int = 1_000
+    subtasks: int = 1
+    seed: int = 42
+    pages: dict = field(default_factory=dict)
+
+    def events(self, spark: SparkSession, kind: str) -> DataFrame:
+        from auctionflow.streaming.queries import GENERATOR_DELAY_MS, KAFKA_DELAY_MS, with_event_time
+        if self.autogen:
+            c = generate.stream_counters(spark, self.rows_per_second, self.subtasks)
+            fn = {"person": generate.generate_persons, "auction": generate.generate_auctions,
+                  "bid": generate.generate_bids}[kind]
+            return with_event_time(fn(c, self.seed, rows_per_second=self.rows_per_second), GENERATOR_DELAY_MS)
+        if kind not in self.pages:
+            raise ValueError(f"no page source for {kind}")
+        decoded = pages.decode_pages(pages.read_pages(spark, self.pages[kind], kind, stream=True), kind)
+        return with_event_time(decoded, KAFKA_DELAY_MS)
+
+
+def start_job(name: str, spark: SparkSession, inputs: StreamInputs, checkpoint_root: str,
+              output_root: str | None = None, trigger: dict | None = None, **params) -> dict:
+    """Start a job as Structured Streaming queries (one per output) and
+    return ``{output name: StreamingQuery}``.  Outputs go to Parquet folders
+    under ``output_root`` (``noop`` when None); every query has its own
+    checkpoint under ``checkpoint_root`` (a shared folder on clusters).
+
+    * ``debug``: person pages decoded and discarded (E1);
+    * ``q8``: J2 connect + K1 latency lines (E2);
+    * ``q5``: A1 bid rounds + K2 latency lines (E3);
+    * ``qx``: J3 winning bids + K4 lines, J4 chunks, A5 sessions, A6 highest session (E4).
+    """
+    from auctionflow.streaming import queries as S
+
+    def sink(df: DataFrame, out: str):
+        kwargs = {"sink": "file", "path": f"{output_root}/{out}"} if output_root else {"sink": "noop"}
+        return S.start(df, f"{checkpoint_root}/{out}", name=None, trigger=trigger, **kwargs)
+
+    subtasks = params.get("subtasks", 4)
+    if name == "debug":
+        src = StreamInputs(autogen=False, pages=inputs.pages) if inputs.pages else inputs
+        return {"persons": sink(src.events(spark, "person"), "persons")}
+    if name == "q8":
+        conn = S.connect_persons_auctions(inputs.events(spark, "person"), inputs.events(spark, "auction"),
+                                          params.get("sample_n", 200_000), subtasks)
+        rec = latency.q8_records(conn, F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
+        lines = S.running_latency(rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"],
+                                  subtasks)
+        return {"q8_latency": sink(lines.drop("event_time"), "q8_latency")}
+    if name == "q5":
+        r = S.bid_rounds(inputs.events(spark, "bid"), params.get("duration_ms", 60_000))
+        lines = S.running_latency(latency.bid_records(r, F.col("round_end")), "q5", "auction_id",
+                                  ["last_ts", "last_ingestion_ts", "round_no"], subtasks)
+        return {"q5_latency": sink(lines.drop("event_time"), "q5_latency")}
+    if name == "qx":
+        bids, auctions = inputs.events(spark, "bid"), inputs.events(spark, "auction")
+        winning = S.last_bids_per_round(bids, auctions)
+        sess = sessions.bidder_sessions(bids, params.get("session_gap_ms", 60_000),
+                                        params.get("allowed_lateness_ms", 15_000))
+        return {
+            "winning_latency": sink(S.running_latency(latency.bid_records(winning, F.col("close_ts")), "winning",
+                                                      "auction_id", ["last_ts", "last_ingestion_ts", "round_no"],
+                                                      subtasks).drop("event_time"), "winning_latency"),
+            "bid_chunks": sink(S.bid_chunks(bids, params.get("chunk_size", 32)).drop("event_time"), "bid_chunks"),
+            "bidder_sessions": sink(sess.drop("window"), "bidder_sessions"),
+            "highest_session": sink(aggregates.highest_per_window(sess, params.get("window_ms", 10_000)),
+                                    "highest_session"),
+        }
+    raise ValueError(f"unknown job {name!r}; expected one of {sorted(JOBS)}")

@@ -99,3 +99,22 @@ def test_rate_source_generator(spark, tmp_path):
     q.stop()
     got = spark.table("gen_rate")
     assert got.count() > 0 and got.where("bid_id <> -1").count() == 0
+
+
+def test_streaming_jobs_start_and_write(spark, tmp_path):
+    import time
+    inputs = jobs.StreamInputs(autogen=True, rows_per_second=200, subtasks=2)
+    handles = {}
+    for name in ("q5", "qx", "q8", "debug"):
+        handles.update(jobs.start_job(name, spark, inputs, str(tmp_path / "ck" / name), str(tmp_path / "out"),
+                                      trigger={"processingTime": "1 second"}, duration_ms=2_000,
+                                      session_gap_ms=1_000, window_ms=2_000, chunk_size=4, sample_n=10))
+    deadline = time.time() + 90
+    while time.time() < deadline and not all(h.lastProgress for h in handles.values()):
+        time.sleep(1)
+    time.sleep(5)
+    for h in handles.values():
+        assert h.exception() is None
+        h.stop()
+    chunks_out = spark.read.parquet(str(tmp_path / "out" / "bid_chunks"))
+    assert chunks_out.count() > 0 and chunks_out.where("bid_count <> 4").count() == 0
