@@ -12,16 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auctionflow.functions.time import utc_wall_clock
-from auctionflow.operators import aggregates, joins, sampling, sessions
+from auctionflow.operators import aggregates, chunks, joins, latency, rounds, sampling, sessions
 from auctionflow.operators.windows import session, sliding, tumbling
 from auctionflow.sources import bindings as B
+from auctionflow.sources import generate, pages
 
 HOUR = 3_600_000
 DAY = 86_400_000
+BID_ORDER = ["ts", "ingestion_ts", "bid_id"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# --- windowed statistics and sessions ------------------------------------------
+
+
 def bid_stats_tumbling(spark, sf):
     return aggregates.bid_stats(B.bids(spark, sf), tumbling(DAY))
 
@@ -44,6 +49,9 @@ def highest_session_per_window(spark, sf):
     return aggregates.highest_per_window(s, DAY, order_col="last_ts", time_col="session_end", key="person_id")
 
 
+# --- joins, union, sampling ----------------------------------------------------
+
+
 def new_user_auctions_tumbling(spark, sf):
     return joins.new_user_auctions(B.persons(spark, sf), B.auctions(spark, sf), tumbling(6 * HOUR))
 
@@ -73,9 +81,6 @@ def person_auction_state(spark, sf):
     return joins.person_auction_state(B.persons(spark, sf), B.auctions(spark, sf))
 
 
-BID_ORDER = ["ts", "ingestion_ts", "bid_id"]
-
-
 def sample_every_nth(spark, sf):
     return sampling.sample_every(B.bids(spark, sf), 7, BID_ORDER, "auction_id", subtasks=4, phase="nth")
 
@@ -84,40 +89,7 @@ def sample_every_first(spark, sf):
     return sampling.sample_every(B.bids(spark, sf), 7, BID_ORDER, "auction_id", subtasks=4, phase="first")
 
 
-QUERIES: dict[str, Query] = {
-    "bid_stats_tumbling": bid_stats_tumbling,
-    "bid_stats_sliding": bid_stats_sliding,
-    "bid_stats_volume": bid_stats_volume,
-    "bidder_sessions": bidder_sessions,
-    "highest_session_per_window": highest_session_per_window,
-    "new_user_auctions_tumbling": new_user_auctions_tumbling,
-    "new_user_auctions_sliding": new_user_auctions_sliding,
-    "new_user_auctions_session": new_user_auctions_session,
-    "tagged_union": tagged_union,
-    "connect_persons_auctions": connect_persons_auctions,
-    "person_auction_state": person_auction_state,
-    "sample_every_nth": sample_every_nth,
-    "sample_every_first": sample_every_first,
-}
-
-
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """New users and their latest auction per 6 h window (J1), with the bid
-    statistics (A2) of that window for the auctions of the same person."""
-    persons, auctions, bids = B.persons(spark, sf), B.auctions(spark, sf), B.bids(spark, sf)
-    nu = joins.new_user_auctions(persons, auctions, tumbling(6 * HOUR))
-    stats = aggregates.bid_stats(bids, tumbling(6 * HOUR))
-    seller_auctions = (auctions.select("person_id", "auction_id").distinct())
-    per_person = (stats.join(seller_auctions, "auction_id")
-                       .groupBy("person_id", F.col("window_end").alias("window_evicting_ts"))
-                       .agg(F.sum("bid_count").alias("bids_on_own_auctions"),
-                            F.max("max_price").alias("max_price_on_own_auctions")))
-    return nu.join(per_person, ["person_id", "window_evicting_ts"], "left")
-
-
-# --- rounds, chunks, latency ------------------------------------------------
-
-from auctionflow.operators import chunks, latency, rounds  # noqa: E402
+# --- rounds and chunks ---------------------------------------------------------
 
 
 def auction_rounds(spark, sf):
@@ -144,10 +116,23 @@ def bid_rounds(spark, sf):
     return rounds.bid_rounds(B.bids(spark, sf), DAY)
 
 
+def bid_round_snapshots(spark, sf):
+    return rounds.bid_round_snapshots(B.bids(spark, sf), DAY, n=5, subtasks=4)
+
+
 def bid_chunks(spark, sf):
     return chunks.bid_chunks(B.bids(spark, sf), 32)
 
 
+# --- latency -------------------------------------------------------------------
+
+
+def _window_latencies(spark, sf):
+    st = aggregates.bid_stats(B.bids(spark, sf), tumbling(DAY))
+    return st.select((F.col("window_end") - F.col("last_ts")).alias("bid"),
+                     (F.col("window_end") - F.col("last_ingestion_ts")).alias("flight"))
+
+
 def latency_q8(spark, sf):
     conn = joins.connect_persons_auctions(B.persons(spark, sf), B.auctions(spark, sf), sample_n=5, subtasks=4)
     rec = latency.q8_records(conn, F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
@@ -174,12 +159,6 @@ def latency_winning(spark, sf):
                                    ["last_ts", "last_ingestion_ts", "auction_id", "round_no"])
 
 
-def _window_latencies(spark, sf):
-    st = aggregates.bid_stats(B.bids(spark, sf), tumbling(DAY))
-    return st.select((F.col("window_end") - F.col("last_ts")).alias("bid"),
-                     (F.col("window_end") - F.col("last_ingestion_ts")).alias("flight"))
-
-
 def latency_summary(spark, sf):
     return aggregates.latency_summary(_window_latencies(spark, sf), ["bid", "flight"])
 
@@ -188,26 +167,7 @@ def latency_quantiles(spark, sf):
     return aggregates.latency_summary(_window_latencies(spark, sf), ["bid", "flight"], quantiles=[0.5, 0.9, 0.99])
 
 
-QUERIES.update({
-    "auction_rounds": auction_rounds,
-    "open_auctions": open_auctions,
-    "last_bids_per_round": last_bids_per_round,
-    "last_bids_per_round_strict": last_bids_per_round_strict,
-    "round_bids_volume": round_bids_volume,
-    "bid_rounds": bid_rounds,
-    "bid_chunks": bid_chunks,
-    "latency_q8": latency_q8,
-    "latency_q5": latency_q5,
-    "latency_session": latency_session,
-    "latency_winning": latency_winning,
-    "latency_summary": latency_summary,
-    "latency_quantiles": latency_quantiles,
-})
-
-
-# --- pages -----------------------------------------------------------------
-
-from auctionflow.sources import pages  # noqa: E402
+# --- pages ---------------------------------------------------------------------
 
 
 def _bid_pages(spark, sf):
@@ -234,17 +194,7 @@ def page_progress(spark, sf):
     return pages.page_progress(_bid_pages(spark, sf))
 
 
-QUERIES.update({
-    "pages_bids_roundtrip": pages_bids_roundtrip,
-    "pages_auctions_roundtrip": pages_auctions_roundtrip,
-    "pages_persons_roundtrip": pages_persons_roundtrip,
-    "page_progress": page_progress,
-})
-
-
-# --- generators --------------------------------------------------------------
-
-from auctionflow.sources import generate  # noqa: E402
+# --- generators ----------------------------------------------------------------
 
 
 def _event_counters(spark, sf):
@@ -266,11 +216,53 @@ def gen_bids(spark, sf):
     return generate.generate_bids(_event_counters(spark, sf))
 
 
-QUERIES.update({"gen_persons": gen_persons, "gen_auctions": gen_auctions, "gen_bids": gen_bids})
-
-
-def bid_round_snapshots(spark, sf):
-    return rounds.bid_round_snapshots(B.bids(spark, sf), DAY, n=5, subtasks=4)
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """New users and their latest auction per 6 h window (J1), with the bid
+    statistics (A2) of that window for the auctions of the same person."""
+    persons, auctions, bids = B.persons(spark, sf), B.auctions(spark, sf), B.bids(spark, sf)
+    nu = joins.new_user_auctions(persons, auctions, tumbling(6 * HOUR))
+    stats = aggregates.bid_stats(bids, tumbling(6 * HOUR))
+    seller_auctions = (auctions.select("person_id", "auction_id").distinct())
+    per_person = (stats.join(seller_auctions, "auction_id")
+                       .groupBy("person_id", F.col("window_end").alias("window_evicting_ts"))
+                       .agg(F.sum("bid_count").alias("bids_on_own_auctions"),
+                            F.max("max_price").alias("max_price_on_own_auctions")))
+    return nu.join(per_person, ["person_id", "window_evicting_ts"], "left")
 
 
-QUERIES["bid_round_snapshots"] = bid_round_snapshots
+QUERIES: dict[str, Query] = {
+    "bid_stats_tumbling": bid_stats_tumbling,
+    "bid_stats_sliding": bid_stats_sliding,
+    "bid_stats_volume": bid_stats_volume,
+    "bidder_sessions": bidder_sessions,
+    "highest_session_per_window": highest_session_per_window,
+    "new_user_auctions_tumbling": new_user_auctions_tumbling,
+    "new_user_auctions_sliding": new_user_auctions_sliding,
+    "new_user_auctions_session": new_user_auctions_session,
+    "tagged_union": tagged_union,
+    "connect_persons_auctions": connect_persons_auctions,
+    "person_auction_state": person_auction_state,
+    "sample_every_nth": sample_every_nth,
+    "sample_every_first": sample_every_first,
+    "auction_rounds": auction_rounds,
+    "open_auctions": open_auctions,
+    "last_bids_per_round": last_bids_per_round,
+    "last_bids_per_round_strict": last_bids_per_round_strict,
+    "round_bids_volume": round_bids_volume,
+    "bid_rounds": bid_rounds,
+    "bid_chunks": bid_chunks,
+    "latency_q8": latency_q8,
+    "latency_q5": latency_q5,
+    "latency_session": latency_session,
+    "latency_winning": latency_winning,
+    "latency_summary": latency_summary,
+    "latency_quantiles": latency_quantiles,
+    "pages_bids_roundtrip": pages_bids_roundtrip,
+    "pages_auctions_roundtrip": pages_auctions_roundtrip,
+    "pages_persons_roundtrip": pages_persons_roundtrip,
+    "page_progress": page_progress,
+    "gen_persons": gen_persons,
+    "gen_auctions": gen_auctions,
+    "gen_bids": gen_bids,
+    "bid_round_snapshots": bid_round_snapshots,
+}
