@@ -79,8 +79,11 @@ class OrderedProcessor(StatefulProcessor):
         new = [r for r in new if wm <= 0 or r[0] >= wm]
         if new:
             self.pending.appendList(new)
-        pending = list(self.pending.get()) if self.pending.exists() else []
-        self._set_timer(self._next_timer(self._load(), pending))
+            # New rows can only move the timer earlier: no need to read the
+            # buffered rows back (the timer already covers them and any close).
+            at = min(r[0] for r in new) + 1
+            cur = self.timer.get()[0] if self.timer.exists() else None
+            self._set_timer(at if cur is None else min(cur, at))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
