@@ -70,23 +70,28 @@ def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms:
                                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """Sessions are formed over the events of *both* inputs of a person.
 
-    The union of both inputs is reduced to one row per (person, gap bucket)
-    by a partial aggregate; sessions are numbered over those rows, auctions
-    are reduced per bucket and then per session, and person rows find their
-    session by an equi-join on (person, bucket)."""
+    One partial aggregate over the union of both inputs gives, per (person,
+    gap bucket), the time range and the bucket's latest auction; sessions
+    are numbered over those rows and reduced to (end, latest auction) per
+    session; person rows find their session by an equi-join on (person,
+    bucket)."""
     bucket = gap_bucket("ts", gap_ms).alias("_bucket")
-    both = persons.select("person_id", "ts").unionByName(auctions.select("person_id", "ts"))
-    buckets = both.groupBy("person_id", bucket).agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
+    both = (persons.select("person_id", "ts", F.lit(None).cast("long").alias("ingestion_ts"),
+                           F.lit(False).alias("_is_a"))
+            .unionByName(auctions.select("person_id", "ts", "ingestion_ts", F.lit(True).alias("_is_a"))))
+    both = both.withColumn("_k", order_key("ingestion_ts", "ts", b_desc=True))
+    buckets = (both.groupBy("person_id", bucket)
+                   .agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"),
+                        F.expr("max(ingestion_ts) FILTER (WHERE _is_a)").alias("_a_ing"),
+                        F.expr("max_by(ts, _k) FILTER (WHERE _is_a)").alias("_a_ts")))
     sess = session_ids(buckets, ["person_id"], gap_ms, rows_per_slice=rows_per_slice)
-    bucket_sid = sess.select("person_id", "_bucket", "_sid")
-    bounds = sess.groupBy("person_id", "_sid").agg((F.max("_hi") + F.lit(gap_ms)).alias("_end"))
-    a_sess = (auctions.groupBy("person_id", bucket).agg(*latest_auction())
-                      .join(bucket_sid, ["person_id", "_bucket"])
-                      .groupBy("person_id", "_sid")
-                      .agg(*latest_auction("_a_ts", "_a_ing"))
-                      .join(bounds, ["person_id", "_sid"]))
+    a_sess = (sess.withColumn("_k", order_key("_a_ing", "_a_ts", b_desc=True))
+                  .groupBy("person_id", "_sid")
+                  .agg((F.max("_hi") + F.lit(gap_ms)).alias("_end"), F.max("_a_ing").alias("_a_ing"),
+                       F.expr("max_by(_a_ts, _k) FILTER (WHERE _a_ing IS NOT NULL)").alias("_a_ts"))
+                  .where(F.col("_a_ing").isNotNull()))
     p_sess = (persons.select("person_id", F.col("ts").alias("p_ts"), F.col("ingestion_ts").alias("p_ing"), bucket)
-                     .join(bucket_sid, ["person_id", "_bucket"]))
+                     .join(sess.select("person_id", "_bucket", "_sid"), ["person_id", "_bucket"]))
     return _output(p_sess.join(a_sess, ["person_id", "_sid"]), F.col("_end"))
 
 
