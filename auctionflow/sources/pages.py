@@ -234,8 +234,11 @@ def decode_pages(pages: DataFrame, kind: str, ingestion_col: Column | None = Non
                  strip_padding: bool = False, validate: str | None = "fail") -> DataFrame:
     """Page rows -> record rows of the kind's schema.
     ``ingestion_col`` (epoch ms) defaults to the Kafka ``timestamp``; pass
-    ``F.unix_millis(F.current_timestamp())`` for wall-clock stamping.  Only
-    ``value`` and the ingestion time enter the Python worker."""
+    ``F.unix_millis(F.current_timestamp())`` for wall-clock stamping.
+    ``validate`` is "fail" (default), "drop" or None.  Only ``value`` and the
+    ingestion time enter the Python worker."""
+    if validate == "quarantine":
+        raise ValueError("split pages with validate_pages(..., 'quarantine') and decode the good ones")
     if validate:
         pages = validate_pages(pages, kind, validate)
     ing = ingestion_col if ingestion_col is not None else F.unix_millis(F.col("timestamp"))
