@@ -155,7 +155,12 @@ def validate_pages(pages: DataFrame, kind: str, on_error: str = "fail"):
 def _fixed(records: np.ndarray, field: str, width: int, strip: bool) -> pa.Array:
     raw = np.ascontiguousarray(records[field]).view(np.uint8).tobytes()
     arr = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(records), [None, pa.py_buffer(raw)])
-    s = pc.cast(pc.cast(arr, pa.binary()), pa.string())
+    try:
+        s = pc.cast(pc.cast(arr, pa.binary()), pa.string())
+    except pa.ArrowInvalid:
+        # invalid UTF-8 in a text field: decode with replacement characters
+        # (as a JVM String constructor would) instead of failing the job
+        s = pa.array([v.decode("utf-8", "replace") for v in arr.to_pylist()], pa.string())
     return pc.utf8_rtrim(s, characters="\x00") if strip else s
 
 

@@ -191,3 +191,14 @@ def test_fold_carries_state_across_batches(spark):
     got = {(r[0], r[1]): r[3] for r in whole}
     assert got[(2, 0)] == 1 and got[(2, 10)] == 1 and got[(2, 20)] == 2 and got[(2, 40)] == 3
     assert got[(4, 100)] == 2
+
+
+def test_auction_page_with_invalid_utf8_text(spark):
+    rec = np.zeros(2, dtype=pages.AUCTION_DTYPE)
+    rec["id"], rec["ts"] = [1, 2], [10, 20]
+    rec["name"] = [np.void(b"ok".ljust(20, b"\0")), np.void(b"bad\xff\xfe".ljust(20, b"\0"))]
+    page = _page(pages.AUCTION_MAGIC, 2, 2, rec.tobytes())
+    df = spark.createDataFrame([(page, 0)], "value binary, offset long").withColumn(
+        "timestamp", F.timestamp_millis(F.lit(5)))
+    out = sorted((r.auction_id, r.name) for r in pages.decode_pages(df, "auction", strip_padding=True).collect())
+    assert out[0] == (1, "ok") and out[1][1].startswith("bad") and "�" in out[1][1]
