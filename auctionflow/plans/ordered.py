@@ -31,6 +31,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A slice is sized like one shuffle partition: 4M rows of ~64-100 bytes are a
+# few hundred MB, the scale of `session.cluster_conf` partitions.  The hot-key
+# table then has at most N / 4M rows (250k at 10^12 rows).
 DEFAULT_ROWS_PER_SLICE = 4_000_000
 DEFAULT_BROADCAST_ROWS = 1_000_000
 MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
