@@ -8,18 +8,12 @@ from pyspark.sql import functions as F
 
 
 def epoch_ms(col: str | Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP or TIMESTAMP_NTZ column, truncated.
-
-    NTZ wall-clock values are read as UTC regardless of the session time zone.
-    """
+    """Epoch milliseconds (truncated) of a TIMESTAMP_NTZ column, its wall
+    clock read as UTC whatever the session time zone: ``timestampdiff`` on
+    two NTZ values is plain calendar arithmetic.  (For a zoned TIMESTAMP
+    instant use ``F.unix_millis``.)"""
     c = F.col(col) if isinstance(col, str) else col
-    return _ms_from_any(c)
-
-
-def _ms_from_any(c: Column) -> Column:
-    # timestampdiff on NTZ operands is pure wall-clock arithmetic (no zone).
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            c.cast("timestamp_ntz"))
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
 def event_time(col: str | Column = "ts") -> Column:
