@@ -38,8 +38,10 @@ def _mean(prefix: str) -> Column:
 def q8_records(records: DataFrame, processed: Column, threshold_ms: int = LATENCY_THRESHOLD_MS) -> DataFrame:
     """P2/P3 on J2 output: person rows (id > 0) give a person latency when it
     is < threshold; other rows give auction latency and flight time when the
-    auction latency is <= threshold, and only those rows write a line."""
-    r = records.withColumn("processed_ts", processed)
+    auction latency is <= threshold, and only those rows write a line.
+    Adds ``processed_ts, person, auction, flight, _emit`` (replacing any
+    input columns of those names)."""
+    r = records.withColumn("processed_ts", processed).drop("person", "auction", "flight", "_emit")
     is_person = F.col("person_id") > 0
     p_lat = F.col("processed_ts") - F.col("person_creation_ts")
     a_lat = F.col("processed_ts") - F.col("auction_creation_ts")
@@ -54,8 +56,9 @@ def q8_records(records: DataFrame, processed: Column, threshold_ms: int = LATENC
 
 def bid_records(results: DataFrame, processed: Column, threshold_ms: int = LATENCY_THRESHOLD_MS) -> DataFrame:
     """P2 on (key, last_ts, last_ingestion_ts) results: accepted when
-    processed - last_ts <= threshold."""
-    r = results.withColumn("processed_ts", processed)
+    processed - last_ts <= threshold.  Adds ``processed_ts, bid, flight,
+    _emit`` (replacing any input columns of those names)."""
+    r = results.withColumn("processed_ts", processed).drop("bid", "flight", "_emit")
     lat = F.col("processed_ts") - F.col("last_ts")
     accepted = lat <= threshold_ms
     return r.select("*", F.when(accepted, lat).alias("bid"),
@@ -65,12 +68,14 @@ def bid_records(results: DataFrame, processed: Column, threshold_ms: int = LATEN
 
 def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: list[str],
                     subtasks: int = 4, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, close_lines: bool = False) -> DataFrame:
     """K1-K4 lines.  ``records`` come from :func:`q8_records` (kind "q8") or
     :func:`bid_records` (kinds "q5", "session", "winning").  Rows are routed
     to ``pmod(|key|, subtasks)`` and ordered by ``processed_ts`` then
     ``order_cols``; counts are real counts (the reference's K3/K4 write sums
-    under the count headers; "winning" adds separate sum columns)."""
+    under the count headers; "winning" adds separate sum columns).
+    ``close_lines`` appends each subtask's closing line (statistics over all
+    its rows, ts = its last processed time)."""
     series = ["person", "auction", "flight"] if kind == "q8" else ["bid", "flight"]
     cols = ["subtask", "processed_ts", *order_cols, *series, "_emit"]
     r = records.withColumn("subtask", subtask_of(F.col(key_col), subtasks)).select(*dict.fromkeys(cols))
@@ -98,7 +103,24 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
         out[f"{n}Std"] = exact_std(F.col(f"{s}_rcount"), F.col(f"{s}_rsum"), F.col(f"{s}_rss"))
         out[f"{n}Sum"] = F.col(f"{s}_rsum")
     layout = Q8_COLUMNS if kind == "q8" else (WINNING_COLUMNS if kind == "winning" else BID_COLUMNS)
-    return run.select(*[out[c].alias(c) for c in layout])
+    lines = run.select(*[out[c].alias(c) for c in layout])
+    if not close_lines:
+        return lines
+    # The line written at close holds the statistics over all rows of the
+    # subtask, i.e. per-subtask totals: a partial aggregate, no ordered pass.
+    tot = r.groupBy("subtask").agg(
+        F.max("processed_ts").alias("_ts"),
+        *[a for v in series for a in (F.count(v).alias(f"{v}_rcount"), F.sum(v).alias(f"{v}_rsum"),
+                                      F.min(v).alias(f"{v}_rmin"), F.max(v).alias(f"{v}_rmax"),
+                                      F.sum(F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)"))
+                                      .alias(f"{v}_rss"))])
+    close = {"subtask": F.col("subtask"), "ts": F.col("_ts")}
+    for v, n in names.items():
+        close[f"{n}Count"], close[f"{n}Mean"] = F.col(f"{v}_rcount"), _mean(v)
+        close[f"{n}Min"], close[f"{n}Max"] = F.col(f"{v}_rmin"), F.col(f"{v}_rmax")
+        close[f"{n}Std"] = exact_std(F.col(f"{v}_rcount"), F.col(f"{v}_rsum"), F.col(f"{v}_rss"))
+        close[f"{n}Sum"] = F.col(f"{v}_rsum")
+    return lines.unionByName(tot.select(*[close[c].alias(c) for c in layout]))
 
 
 def write_latency_csv(lines: DataFrame, path: str, mode: str = "append") -> None:

@@ -202,3 +202,19 @@ def test_auction_page_with_invalid_utf8_text(spark):
         "timestamp", F.timestamp_millis(F.lit(5)))
     out = sorted((r.auction_id, r.name) for r in pages.decode_pages(df, "auction", strip_padding=True).collect())
     assert out[0] == (1, "ok") and out[1][1].startswith("bad") and "�" in out[1][1]
+
+
+def test_latency_close_lines_equal_last_running_line(spark):
+    b = bids(spark, [(i * 7 % 50, 1000 + i, 1 + i % 3, 1, i, 1.0) for i in range(40)])
+    rec = latency.bid_records(b.withColumnRenamed("ts", "last_ts").withColumnRenamed("ingestion_ts",
+                                                                                     "last_ingestion_ts"),
+                              F.col("last_ts") + 5)
+    order = ["last_ts", "last_ingestion_ts", "bid_id"]
+    lines = latency.running_latency(rec, "winning", "auction_id", order, subtasks=2, close_lines=True)
+    plain = latency.running_latency(rec, "winning", "auction_id", order, subtasks=2)
+    assert lines.count() == plain.count() + 2
+    for sub in (0, 1):
+        last = plain.where(F.col("subtask") == sub).orderBy(F.col("ts").desc(), F.col("bidLatencyCount").desc()).first()
+        got = [r for r in lines.where(F.col("subtask") == sub).collect()
+               if r.bidLatencyCount == last.bidLatencyCount and r.ts == last.ts]
+        assert len(got) == 2 and got[0] == got[1]
