@@ -218,3 +218,16 @@ def test_latency_close_lines_equal_last_running_line(spark):
         got = [r for r in lines.where(F.col("subtask") == sub).collect()
                if r.bidLatencyCount == last.bidLatencyCount and r.ts == last.ts]
         assert len(got) == 2 and got[0] == got[1]
+
+
+def test_assign_window_and_session_table(spark):
+    from auctionflow.operators.windows import assign_window
+    b = bids(spark, [(0, 0, 1, 1, 1, 1.0), (100, 100, 1, 1, 2, 1.0), (1500, 1500, 1, 1, 3, 1.0)])
+    t = assign_window(b, tumbling(1000))
+    assert rows(t, ["ts", "window_start", "window_end"]) == [(0, 0, 1000), (100, 0, 1000), (1500, 1000, 2000)]
+    s = assign_window(b, sliding(1000, 500))
+    assert s.where("ts = 1500").count() == 2
+    with pytest.raises(ValueError):
+        assign_window(b, session(100))
+    st = sessions.session_table(b, ["person_id"], 200)
+    assert rows(st, ["_bucket", "session_start", "session_end"]) == [(0, 0, 300), (7, 1500, 1700)]
