@@ -4,9 +4,13 @@
 * Windowed operators (bid statistics, sessions, highest per window, J1)
   are the same functions as in batch; they detect ``isStreaming``.
 * Sequential operators run as ``transformWithState`` processors
-  (:mod:`auctionflow.streaming.processors`) with event-time timers (T2, T5).
+  (:mod:`auctionflow.streaming.processors`) with event-time timers (T2, T5);
+  their output carries ``event_time`` (the watermark at emission) as the
+  declared event-time column, so they chain (rounds -> latency lines).
+  J3 also has the processing-time, arrival-order form (T3).
 * :func:`start` writes a stream with a checkpoint (T6) to a file, memory or
-  ``noop`` sink, or through ``foreachBatch``.
+  ``noop`` sink, or through ``foreachBatch``; :func:`plans.jobs.start_job`
+  starts whole jobs.
 """
 
 from __future__ import annotations
