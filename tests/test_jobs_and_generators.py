@@ -109,10 +109,15 @@ def test_streaming_jobs_start_and_write(spark, tmp_path):
         handles.update(jobs.start_job(name, spark, inputs, str(tmp_path / "ck" / name), str(tmp_path / "out"),
                                       trigger={"processingTime": "1 second"}, duration_ms=2_000,
                                       session_gap_ms=1_000, window_ms=2_000, chunk_size=4, sample_n=10))
-    deadline = time.time() + 90
-    while time.time() < deadline and not all(h.lastProgress for h in handles.values()):
+    def chunk_rows():
+        try:
+            return spark.read.parquet(str(tmp_path / "out" / "bid_chunks")).count()
+        except Exception:  # no committed file yet
+            return 0
+
+    deadline = time.time() + 120
+    while time.time() < deadline and not (all(h.lastProgress for h in handles.values()) and chunk_rows() > 0):
         time.sleep(1)
-    time.sleep(5)
     for h in handles.values():
         assert h.exception() is None
         h.stop()
