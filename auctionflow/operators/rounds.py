@@ -175,7 +175,10 @@ def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = Fal
     max ts is not > 0 are not emitted).  Round i owns bids with
     close(i-1) <= ts < close(i); ``strict`` keeps only open_ts <= ts."""
     rounds = auction_rounds(auctions, rows_per_slice)
-    b = bids.select("auction_id", "ts", "ingestion_ts")
+    # all bids of an auction at one ts fall in the same round: collapse them
+    # (map-side) before the ordered lookup, which then sorts fewer rows
+    b = (bids.groupBy("auction_id", "ts")
+             .agg(F.max("ingestion_ts").alias("_ing"), F.count(F.lit(1)).alias("_n")))
     owned = next_marker(b, rounds, ["auction_id"], "ts", "close_ts",
                         ["round_no", "open_ts", "close_ts"], strict=True, rows_per_slice=rows_per_slice)
     owned = owned.where(F.col("round_no").isNotNull())
@@ -183,7 +186,7 @@ def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = Fal
         owned = owned.where(F.col("ts") >= F.col("open_ts"))
     out = (owned.groupBy("auction_id", "round_no")
                 .agg(F.min("close_ts").alias("close_ts"), F.max("ts").alias("last_ts"),
-                     F.max("ingestion_ts").alias("last_ingestion_ts"), F.count(F.lit(1)).alias("bid_count")))
+                     F.max("_ing").alias("last_ingestion_ts"), F.sum("_n").alias("bid_count")))
     return out.where(F.col("last_ts") > 0)
 
 
