@@ -241,19 +241,34 @@ CHUNK_SCHEMA = StructType([StructField("auction_id", _L), StructField("chunk", _
 
 
 class BidChunks(OrderedProcessor):
-    """Full chunks of ``size`` bids per auction in arrival order.  A
-    partial chunk stays in state until it fills (the batch form also
-    reports partial last chunks)."""
+    """Chunks of ``size`` bids per auction in arrival order.  A partial
+    chunk stays in state until it fills, or, with ``idle_flush_ms``, until
+    the watermark passes the auction's last bid time plus that idle time;
+    then it is reported and the next bid starts a new chunk.  (The batch
+    form reports partial last chunks; with an idle time longer than any gap
+    of an auction the stream gives the same chunks.)"""
 
     row_fields = [("ts", _L), ("ingestion_ts", _L), ("bid_id", _L), ("bid", _D)]
     state_fields = [("chunk", _L), ("n", _L), ("first_ts", _L), ("last_ts", _L), ("last_ing", _L), ("mx", _D)]
 
-    def __init__(self, size: int = 32):
+    def __init__(self, size: int = 32, idle_flush_ms: int | None = None):
         self.size = size
+        self.idle_flush_ms = idle_flush_ms
 
     def initial_state(self):
         return {"chunk": 0, "n": 0, "first_ts": None, "last_ts": None, "last_ing": None, "mx": None}
 
+    def close_time(self, st):
+        if self.idle_flush_ms is None or st["n"] == 0:
+            return None
+        return st["last_ts"] + self.idle_flush_ms
+
+    def _emit(self, key, st):
+        row = Row(auction_id=key[0], chunk=st["chunk"], bid_count=st["n"], first_ts=st["first_ts"],
+                  last_ts=st["last_ts"], last_ingestion_ts=st["last_ing"], max_price=st["mx"])
+        st.update(chunk=st["chunk"] + 1, n=0, first_ts=None, last_ts=None, last_ing=None, mx=None)
+        return [row]
+
     def on_event(self, key, st, ev):
         if st["n"] == 0:
             st["first_ts"] = ev["ts"]
@@ -261,12 +276,10 @@ class BidChunks(OrderedProcessor):
         st["last_ts"] = ev["ts"] if st["last_ts"] is None else max(st["last_ts"], ev["ts"])
         st["last_ing"] = ev["ingestion_ts"] if st["last_ing"] is None else max(st["last_ing"], ev["ingestion_ts"])
         st["mx"] = ev["bid"] if st["mx"] is None else max(st["mx"], ev["bid"])
-        if st["n"] < self.size:
-            return []
-        row = Row(auction_id=key[0], chunk=st["chunk"], bid_count=st["n"], first_ts=st["first_ts"],
-                  last_ts=st["last_ts"], last_ingestion_ts=st["last_ing"], max_price=st["mx"])
-        st.update(chunk=st["chunk"] + 1, n=0, first_ts=None, last_ts=None, last_ing=None, mx=None)
-        return [row]
+        return self._emit(key, st) if st["n"] >= self.size else []
+
+    def on_close_time(self, key, st):
+        return self._emit(key, st) if st["n"] > 0 else []
 
 
 class SampleEvery(OrderedProcessor):

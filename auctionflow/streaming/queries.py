@@ -67,10 +67,11 @@ def bid_rounds(bids: DataFrame, duration_ms: int) -> DataFrame:
     return _tws(b, "auction_id", P.BidRounds(duration_ms), P.BID_ROUNDS_SCHEMA)
 
 
-def bid_chunks(bids: DataFrame, size: int = 32) -> DataFrame:
-    """J4 (full chunks) on a watermarked bid stream."""
+def bid_chunks(bids: DataFrame, size: int = 32, idle_flush_ms: int | None = None) -> DataFrame:
+    """J4 on a watermarked bid stream: full chunks, and partial chunks of
+    auctions idle for ``idle_flush_ms`` (event time) when it is given."""
     b = bids.select("auction_id", "ts", "ingestion_ts", "bid_id", "bid", EVENT_TIME)
-    return _tws(b, "auction_id", P.BidChunks(size), P.CHUNK_SCHEMA)
+    return _tws(b, "auction_id", P.BidChunks(size, idle_flush_ms), P.CHUNK_SCHEMA)
 
 
 def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, subtasks: int = 1,

@@ -272,3 +272,14 @@ def test_restart_from_checkpoint_equals_batch(spark, tmp_path):
     want = rounds.last_bids_per_round(B.bids(spark, SF01), B.auctions(spark, SF01))
     cols = want.columns
     assert rows(got, cols) == rows(want, cols)
+
+
+def test_stream_chunks_with_idle_flush_equal_batch(spark, replay):
+    """With an idle time longer than any gap between bids of an auction,
+    partial chunks are reported too and the stream equals batch."""
+    root, src, schema = replay
+    bids = S.with_event_time(B.bids(stream_events(spark, src, schema)), 0)
+    out = run_stream(spark, root, S.bid_chunks(bids, 32, idle_flush_ms=20 * DAY), "s_chunks_idle")
+    want = chunks.bid_chunks(B.bids(spark, SF01), 32)
+    cols = want.columns
+    assert rows(out.where(F.col("auction_id") != FLUSH_KEY), cols) == rows(want, cols)
