@@ -42,15 +42,22 @@ MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
 def hot_keys(df: DataFrame, keys: list[str], t_col: str,
              rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_slice`` rows, with their slice origin
-    ``_slo`` and width ``_swidth``; and their number (one small job)."""
+    ``_slo``, width ``_swidth`` and last slice ``_smax``; and their number."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
     stats = (df.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_slo"), F.max(t_col).alias("_hi")))
     hot = (stats.where(F.col("_n") > F.lit(rows_per_slice))
-                .select(*keys, "_slo",
+                .select(*keys, "_slo", "_hi",
                         (((F.col("_hi") - F.col("_slo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
-                         .cast("long") + 1).alias("_swidth")))
+                         .cast("long") + 1).alias("_swidth"))
+                .select(*keys, "_slo", "_swidth", F.expr("(_hi - _slo) div _swidth").alias("_smax")))
+    # One job in the common case: up to MAX_LITERAL_KEYS hot keys come back
+    # as local rows (no second run of the plan behind ``df``); only more hot
+    # keys need a separate count, and stay a distributed table.
+    first = hot.limit(MAX_LITERAL_KEYS + 1).collect()
+    if len(first) <= MAX_LITERAL_KEYS:
+        return df.sparkSession.createDataFrame(first, hot.schema), len(first)
     return hot, hot.count()
 
 
@@ -80,7 +87,7 @@ def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_c
         return _literal_slices(df, hot.collect(), keys, t_col)
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     x = f"({t_col} - _slo)"
-    return (df.join(side, keys, "left")
+    return (df.join(side.drop("_smax"), keys, "left")
               .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _swidth)) div _swidth"),
                                                F.lit(0).cast("long")))
               .drop("_slo", "_swidth"))
@@ -234,9 +241,11 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
         firsts = (sliced.where(F.col("_m").isNotNull())
                         .groupBy(*keys, "_slice")
                         .agg(F.min_by("_m", F.struct("_t", "_kind", "_tb")).alias("_first")))
-        # slices without markers still need the carry of the slices after them
-        slices = sliced.select(*keys, "_slice").distinct()
-        carry_all = _carry_for_all(slices, firsts, keys)
+        # Every slice of a hot key needs the first marker of the slices after
+        # it.  The slices are known from the hot-key table (0.._smax), so the
+        # row stream is not read again for them.
+        hot_slices = hot.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_smax"))).alias("_slice"))
+        carry_all = _carry_for_all(hot_slices, firsts, keys)
         found = (found.join(carry_all, keys + ["_slice"], "left")
                       .withColumn("_found", F.coalesce("_found", "_carry"))
                       .drop("_carry"))
