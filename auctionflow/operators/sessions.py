@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from auctionflow.functions.time import from_event_time, ms_interval
 from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, apply_slices, hot_keys
+from auctionflow.session import ensure_checkpoint_dir
 
 
 def gap_bucket(ts_col: str, gap_ms: int) -> Column:
@@ -52,6 +53,10 @@ def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo
     loc = (sliced.withColumn("_prev", F.lag(hi).over(w))
                  .withColumn("_lnew", F.when(F.col("_prev").isNull(), 0)
                                       .when((F.col(lo) - F.col("_prev")) > F.lit(gap_ms), 1).otherwise(0)))
+    # read twice below (slice summary, final pass): write it once rather than
+    # re-running the bucket aggregation over all events for each read
+    ensure_checkpoint_dir(buckets.sparkSession)
+    loc = loc.checkpoint()
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     summ = (loc.groupBy(*part)
                .agg(F.min(lo).alias("_flo"), F.max(hi).alias("_shi"), F.sum("_lnew").alias("_sn"))
