@@ -33,6 +33,11 @@ from auctionflow.plans.ordered import (DEFAULT_BROADCAST_ROWS, DEFAULT_ROWS_PER_
                                        sequence_numbers)
 from auctionflow.session import ensure_checkpoint_dir
 
+# The fold streams about a million candidates per second in one task, so a
+# key is handed to the parallel pointer-doubling route (O(log n) join
+# levels, each a job) only when it holds more candidates than this.
+DEFAULT_CHAIN_ROWS = 50_000_000
+
 _FOLD_FIELDS = [("round_no", pa.int64()), ("open_t", pa.int64()), ("round_close", pa.int64()),
                 ("opener", pa.bool_())]
 
@@ -99,20 +104,20 @@ def _fold_batches(batches):
 
 
 def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None = None,
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
     """Annotate every row with its round: ``round_no`` (1-based per key),
     ``open_t``, ``round_close`` and ``opener``.  Rows are renamed to ``key``,
     ``t``, ``close_t``; other columns pass through.  ``(key, t)`` must be
     unique (callers collapse equal times first).
 
-    Keys with more than ``rows_per_slice`` rows take the parallel pointer-
-    doubling route (:mod:`plans.chains`); all others one sorted streaming
-    pass."""
+    Keys with more than ``chain_rows`` rows take the parallel pointer-
+    doubling route (:mod:`plans.chains`, whose scans slice at
+    ``rows_per_slice``); all others one sorted streaming pass."""
     close_col = F.col(close_t) if isinstance(close_t, str) else close_t
     rest = [c for c in df.columns if c not in (key, t) and not (isinstance(close_t, str) and c == close_t)]
     inp = df.select(F.col(key).cast("long").alias("key"), F.col(t).cast("long").alias("t"),
                     close_col.cast("long").alias("close_t"), *rest)
-    hot, n_hot = hot_keys(inp, ["key"], "t", rows_per_slice)
+    hot, n_hot = hot_keys(inp, ["key"], "t", chain_rows)
     if n_hot == 0:
         return _fold_sorted(inp, tie)
     hk = hot.select("key")
@@ -148,7 +153,8 @@ def _rounds_by_doubling(rows: DataFrame, rows_per_slice: int) -> DataFrame:
     return out.select(*rows.columns, *[n for n, _ in _FOLD_FIELDS])
 
 
-def auction_rounds(auctions: DataFrame, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+def auction_rounds(auctions: DataFrame, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+                   chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
     """J3 rounds: per auction id, ``round_no, open_ts, close_ts,
     auctions_in_round``.  Auctions of one id are taken in (ts, ingestion_ts,
     item_id) order; only the first of equal ts can open a round, so they are
@@ -156,7 +162,7 @@ def auction_rounds(auctions: DataFrame, rows_per_slice: int = DEFAULT_ROWS_PER_S
     firsts = (auctions.groupBy("auction_id", "ts")
                       .agg(F.min_by(F.col("end"), order_key("ingestion_ts", "item_id")).alias("end"),
                            F.count(F.lit(1)).alias("_n")))
-    folded = fold_rounds(firsts, "auction_id", "ts", "end", rows_per_slice=rows_per_slice)
+    folded = fold_rounds(firsts, "auction_id", "ts", "end", rows_per_slice=rows_per_slice, chain_rows=chain_rows)
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")
                   .agg(F.min("open_t").alias("open_ts"), F.min("round_close").alias("close_ts"),
                        F.sum("_n").alias("auctions_in_round")))
@@ -169,12 +175,13 @@ def open_auctions(auctions: DataFrame) -> DataFrame:
 
 
 def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = False,
-                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+                        chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
     """J3 output: per round with bids, ``auction_id, round_no, close_ts,
     last_ts, last_ingestion_ts, bid_count`` (independent maxima; rounds whose
     max ts is not > 0 are not emitted).  Round i owns bids with
     close(i-1) <= ts < close(i); ``strict`` keeps only open_ts <= ts."""
-    rounds = auction_rounds(auctions, rows_per_slice)
+    rounds = auction_rounds(auctions, rows_per_slice, chain_rows)
     # all bids of an auction at one ts fall in the same round: collapse them
     # (map-side) before the ordered lookup, which then sorts fewer rows
     b = (bids.groupBy("auction_id", "ts")
@@ -190,7 +197,8 @@ def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = Fal
     return out.where(F.col("last_ts") > 0)
 
 
-def bid_rounds(bids: DataFrame, duration_ms: int, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+def bid_rounds(bids: DataFrame, duration_ms: int, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+               chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
     """A1: per auction, rounds anchored at the first bid: [first.ts,
     first.ts + duration); output ``auction_id, round_no, round_start,
     round_end, max_price, last_ts, last_ingestion_ts, bid_count`` with the
@@ -200,7 +208,7 @@ def bid_rounds(bids: DataFrame, duration_ms: int, rows_per_slice: int = DEFAULT_
                   .agg(F.max("bid").alias("_max"), F.count(F.lit(1)).alias("_n"),
                        F.min("ingestion_ts").alias("_ing")))
     folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms),
-                         rows_per_slice=rows_per_slice)
+                         rows_per_slice=rows_per_slice, chain_rows=chain_rows)
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")
                   .agg(F.min("open_t").alias("round_start"), F.min("round_close").alias("round_end"),
                        F.max("_max").alias("max_price"), F.max("t").alias("last_ts"),
@@ -208,7 +216,8 @@ def bid_rounds(bids: DataFrame, duration_ms: int, rows_per_slice: int = DEFAULT_
 
 
 def bid_round_snapshots(bids: DataFrame, duration_ms: int, n: int = 300_000, subtasks: int = 1,
-                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+                        chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
     """A1's intermediate output (P5, third variant): among the bids that are
     not the first of their round, every n-th per subtask (the first, then
     every n; subtask = pmod(auction, subtasks)) reports its round's
@@ -222,7 +231,7 @@ def bid_round_snapshots(bids: DataFrame, duration_ms: int, n: int = 300_000, sub
     order = ["ts", "ingestion_ts", "bid_id"]
     per_ts = bids.groupBy("auction_id", "ts").agg(F.count(F.lit(1)).alias("_n"))
     folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms),
-                         rows_per_slice=rows_per_slice)
+                         rows_per_slice=rows_per_slice, chain_rows=chain_rows)
     b = (bids.select("auction_id", *order, "bid")
              .join(folded.select(F.col("key").alias("auction_id"), F.col("t").alias("ts"), "round_no"),
                    ["auction_id", "ts"]))

@@ -55,13 +55,13 @@ def test_running_latency_sliced(spark):
 def test_rounds_by_doubling_equal_fold(spark):
     """Forcing every key onto the pointer-doubling route gives the fold's rounds."""
     bids, auctions = B.bids(spark, SF01), B.auctions(spark, SF01)
-    a = rounds.auction_rounds(auctions, rows_per_slice=3)
+    a = rounds.auction_rounds(auctions, rows_per_slice=3, chain_rows=3)
     b = rounds.auction_rounds(auctions)
     assert rows(a) == rows(b)
-    c = rounds.bid_rounds(bids, 86_400_000, rows_per_slice=5)
+    c = rounds.bid_rounds(bids, 86_400_000, rows_per_slice=5, chain_rows=5)
     d = rounds.bid_rounds(bids, 86_400_000)
     assert rows(c) == rows(d)
-    e = rounds.last_bids_per_round(bids, auctions, rows_per_slice=4)
+    e = rounds.last_bids_per_round(bids, auctions, rows_per_slice=4, chain_rows=4)
     f = rounds.last_bids_per_round(bids, auctions)
     assert rows(e) == rows(f)
 
