@@ -123,7 +123,8 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
     hk = hot.select("key")
     hk = F.broadcast(hk) if n_hot <= DEFAULT_BROADCAST_ROWS else hk
     normal = _fold_sorted(inp.join(hk, "key", "left_anti"), tie)
-    return normal.unionByName(_rounds_by_doubling(inp.join(hk, "key", "left_semi"), rows_per_slice))
+    max_n = hot.agg(F.max("_n")).first()[0]
+    return normal.unionByName(_rounds_by_doubling(inp.join(hk, "key", "left_semi"), rows_per_slice, max_n))
 
 
 def _fold_sorted(inp: DataFrame, tie: list[str] | None) -> DataFrame:
@@ -134,11 +135,11 @@ def _fold_sorted(inp: DataFrame, tie: list[str] | None) -> DataFrame:
     return sorted_in.mapInArrow(_fold_batches, schema)
 
 
-def _rounds_by_doubling(rows: DataFrame, rows_per_slice: int) -> DataFrame:
+def _rounds_by_doubling(rows: DataFrame, rows_per_slice: int, max_n: int | None = None) -> DataFrame:
     """Same annotation as the fold, for hot keys: chain openers by pointer
     doubling, round numbers by distributed row numbers, and each row's round
     = (round of the next opener after it) - 1, or the key's last round."""
-    openers = chain_openers(rows.select("key", "t", "close_t"), "key", rows_per_slice)
+    openers = chain_openers(rows.select("key", "t", "close_t"), "key", rows_per_slice, max_n)
     numbered = sequence_numbers(openers.join(rows.select("key", "t", "close_t"), ["key", "t"]),
                                 ["key"], ["t"], out="round_no", rows_per_slice=rows_per_slice)
     marks = numbered.select("key", F.col("t").alias("_ot"), F.col("round_no").alias("_next_round"))

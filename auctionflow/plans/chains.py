@@ -32,15 +32,19 @@ from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, next_marker
 from auctionflow.session import ensure_checkpoint_dir
 
 
-def chain_openers(cands: DataFrame, key: str = "key", rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+def chain_openers(cands: DataFrame, key: str = "key", rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+                  max_n: int | None = None) -> DataFrame:
     """Openers ``(key, t)`` of the greedy chain of every key.  ``cands`` has
-    ``key, t, close_t`` with ``(key, t)`` unique."""
+    ``key, t, close_t`` with ``(key, t)`` unique; ``max_n`` (the largest
+    number of candidates of one key) is counted when not given."""
     ensure_checkpoint_dir(cands.sparkSession)
     probes = cands.select(key, "t", F.greatest(F.col("close_t"), F.col("t") + 1).alias("_p"))
     marks = cands.select(key, F.col("t").alias("_mt"))
     nxt = next_marker(probes, marks, [key], "_p", "_mt", ["_mt"], strict=False, rows_per_slice=rows_per_slice)
     level = nxt.where(F.col("_mt").isNotNull()).select(key, "t", F.col("_mt").alias("nxt")).checkpoint()
-    max_n = cands.groupBy(key).count().agg(F.max("count")).first()[0] or 1
+    if max_n is None:
+        max_n = cands.groupBy(key).count().agg(F.max("count")).first()[0]
+    max_n = max_n or 1
     levels = [level]
     for _ in range(max(0, math.ceil(math.log2(max_n)))):
         a, b = level.alias("a"), level.alias("b")

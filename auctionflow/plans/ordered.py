@@ -42,16 +42,17 @@ MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
 def hot_keys(df: DataFrame, keys: list[str], t_col: str,
              rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_slice`` rows, with their slice origin
-    ``_slo``, width ``_swidth`` and last slice ``_smax``; and their number."""
+    ``_slo``, width ``_swidth``, last slice ``_smax`` and row count ``_n``;
+    and their number."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
     stats = (df.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_slo"), F.max(t_col).alias("_hi")))
     hot = (stats.where(F.col("_n") > F.lit(rows_per_slice))
-                .select(*keys, "_slo", "_hi",
+                .select(*keys, "_slo", "_hi", "_n",
                         (((F.col("_hi") - F.col("_slo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
                          .cast("long") + 1).alias("_swidth"))
-                .select(*keys, "_slo", "_swidth", F.expr("(_hi - _slo) div _swidth").alias("_smax")))
+                .select(*keys, "_slo", "_swidth", F.expr("(_hi - _slo) div _swidth").alias("_smax"), "_n"))
     # One job in the common case: up to MAX_LITERAL_KEYS hot keys come back
     # as local rows (no second run of the plan behind ``df``); only more hot
     # keys need a separate count, and stay a distributed table.
@@ -87,7 +88,7 @@ def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_c
         return _literal_slices(df, hot.collect(), keys, t_col)
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     x = f"({t_col} - _slo)"
-    return (df.join(side.drop("_smax"), keys, "left")
+    return (df.join(side.drop("_smax", "_n"), keys, "left")
               .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _swidth)) div _swidth"),
                                                F.lit(0).cast("long")))
               .drop("_slo", "_swidth"))
