@@ -123,3 +123,18 @@ def test_streaming_jobs_start_and_write(spark, tmp_path):
         h.stop()
     chunks_out = spark.read.parquet(str(tmp_path / "out" / "bid_chunks"))
     assert chunks_out.count() > 0 and chunks_out.where("bid_count <> 4").count() == 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from auctionflow.session import cluster_conf
+    conf = cluster_conf(100 * 1024**4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(1024**3, total_cores=64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128      # at least 2x the cores
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from auctionflow.session import ensure_checkpoint_dir
+    d = ensure_checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
