@@ -18,9 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from auctionflow.llm.bitmap import id_bitmap, in_bitmap
 from auctionflow.llm.components import components
 from auctionflow.llm.shared import mixed, rolling, staged, texts, word_hashes
 
@@ -208,3 +209,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     component = F.coalesce(own, F.col("doc_id")).alias("component_id")
     out = out.select("doc_id", "n_shingles", component)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, columns as they are, that stay when one document of each near-duplicate group is kept.
+
+    Rows that share a doc_id are one document and leave one row (the least by hash of its text).  Rows without doc_id
+    count as documents by their text and come after all others.  Only rows that a bitmap of the dropped and the repeated
+    ids lets through are joined; all others pass in place, without a shuffle of their texts.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    surrogate = F.xxhash64(text).bitwiseAND(F.lit(2 ** 61 - 1)) + F.lit(2 ** 62)
+    key = F.coalesce(F.col("doc_id").cast("long"), surrogate)
+    found = staged(near_duplicates(docs.select(key.alias("doc_id"), text.alias("text")), width, percent), "groups")
+    dropped = found.where("not kept").select(F.col("doc_id").alias("_key"), F.lit(True).alias("_drop"))
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_key"), F.lit(False).alias("_drop"))
+    marks = staged(dropped.unionByName(again).groupBy("_key").agg(F.max("_drop").alias("_drop")), "marks")
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"), F.xxhash64(key).alias("_h"))
+    rows = in_bitmap(rows, "_h", id_bitmap(marks.select(F.xxhash64("_key").alias("h"))), ["_row", "_key"])
+    marked = rows.where("found").join(marks, "_key", "left").where("not coalesce(_drop, false)")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(F.col("_row.text").cast("string"))))
+    marked = marked.withColumn("_n", first).where("_n = 1")
+    return rows.where("not found").select("_row.*").unionByName(marked.select("_row.*"))

@@ -20,12 +20,16 @@ CYCLE = (5.0, 2.0, 1.0)
 SHAPES = ((3.0, 1.0, 1.0), (1.0, 1.0, 1.0), (1.0, 1.0, 3.0))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the text, null: 0) and the md5 of the id, which gives the order within a source."""
+def measured(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """doc_id, source, size (words of the text, null: 0) and the md5 of the id, which gives the order within a source.
+
+    With ``whole_rows`` also row, the whole row as a struct.
+    """
     words = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD_PATTERN)), F.lit(0))
     doc = F.col("doc_id").cast("long")
+    row = [F.struct("*").alias("row")] if whole_rows else []
     return docs.select(doc.alias("doc_id"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size"),
-                       F.md5(F.coalesce(doc.cast("string"), F.lit("")).cast("binary")).alias("h"))
+                       F.md5(F.coalesce(doc.cast("string"), F.lit("")).cast("binary")).alias("h"), *row)
 
 
 def sources_of(rows: DataFrame) -> DataFrame:
@@ -87,18 +91,20 @@ def _time(fraction: Column, schedule: Column) -> Column:
     return F.aggregate(areas, start, walk, solve)
 
 
-def assign(rows: DataFrame, sources: DataFrame, rows_per_bucket: int = 50_000) -> DataFrame:
+def assign(rows: DataFrame, sources: DataFrame, rows_per_bucket: int = 50_000, narrow: DataFrame | None = None) -> DataFrame:
     """Training positions of every document: its source's attributes, taken and copies array<struct<copy, words, position>>.
 
-    ``rows`` (as of ``measured``, with any further columns) is read twice; stage it.  ``sources`` has source,
-    source_size, weight, schedule and target.  The words taken from a source are its target rounded, the last copy cut.
-    Documents without words take none; ties and repeated rows follow each other.
+    ``rows`` (as of ``measured``, with any further columns) is read twice; stage it, or give its plain columns, staged, as
+    ``narrow``.  ``sources`` has source, source_size, weight, schedule and target.  The words taken from a source are its
+    target rounded, the last copy cut.  Documents without words take none; ties and repeated rows follow each other.
     """
     name = [F.coalesce("source", F.lit("")).alias("_source"), F.col("source").isNull().alias("_null")]
-    buckets = bucket_count(rows.count(), rows_per_bucket)
-    keyed = rows.select("*", *name, F.floor(F.conv(F.substring("h", 1, 7), 16, 10).cast("long") * buckets / 16 ** 7).alias("_bucket"))
+    buckets = bucket_count((rows if narrow is None else narrow).count(), rows_per_bucket)
+    bucket = F.floor(F.conv(F.substring("h", 1, 7), 16, 10).cast("long") * buckets / 16 ** 7).alias("_bucket")
+    keyed = lambda df: df.select("*", *name, bucket)
     extra = sources.select(*name, "source_size", "weight", "schedule", "target").withColumn("_words", F.round("target").cast("long"))
-    placed = with_offsets(keyed, ["_source", "_null"], "_bucket", ["h", "doc_id", "size"], F.col("size"), "_before", extra)
+    placed = with_offsets(keyed(rows), ["_source", "_null"], "_bucket", ["h", "doc_id", "size"], F.col("size"), "_before", extra,
+                          None if narrow is None else keyed(narrow))
     size = F.col("source_size")
     last = F.when(size > 0, F.floor((F.col("_words") - 1 - F.col("_before")) / size)).otherwise(F.lit(-1)).cast("int")
     start = lambda k: F.col("_before") + k * size
@@ -118,8 +124,36 @@ def training_order(assigned: DataFrame, partitions: int | None = None) -> DataFr
     return rows.repartitionByRange(n, "position", "h").sortWithinPartitions("position", "h", "doc_id", "copy")
 
 
+def targets_of(rows: DataFrame, share: float, most_repeats: float) -> DataFrame:
+    """The sources of staged ``rows`` with their cycled weights and targets, staged."""
+    return staged(with_targets(staged(cycled_weights(sources_of(rows)), "sources"), share, most_repeats), "targets")
+
+
 def mix_documents(docs: DataFrame, share: float = 1.5, most_repeats: float = 2.0) -> DataFrame:
     """``assign`` over all ``docs`` with the cycled weights: doc_id, source, size, source_size, target, taken, copies, h."""
     rows = staged(measured(docs), "measured")
-    sources = staged(with_targets(staged(cycled_weights(sources_of(rows)), "sources"), share, most_repeats), "targets")
-    return assign(rows, sources)
+    return assign(rows, targets_of(rows, share, most_repeats))
+
+
+def mixed_documents(docs: DataFrame, share: float = 1.5, most_repeats: float = 2.0) -> DataFrame:
+    """The mix itself: a row for each copy that is taken, columns as in ``docs``, in training order.
+
+    A copy that is cut keeps its first words, joined by single spaces; n_chars, where it is a column, follows.
+    """
+    narrow = staged(measured(docs), "measured")
+    assigned = assign(measured(docs, whole_rows=True), targets_of(narrow, share, most_repeats), 5_000, narrow)
+    ordered = training_order(assigned.select("doc_id", "h", "size", "copies", "row"))
+    words = F.regexp_extract_all(F.col("row.text").cast("string"), F.lit(WORD_PATTERN), F.lit(0))
+    cut = F.col("words") < F.col("size")
+    text = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), " ")).otherwise(F.col("row.text"))
+    ordered = ordered.select("row", text.alias("_text"), cut.alias("_cut"))
+    kind = dict(docs.dtypes)
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("_text").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("_cut"), F.length("_text").cast(kind[c])).otherwise(F.col("row.n_chars")).alias(c)
+        return F.col("row")[c].alias(c)
+
+    return ordered.select(*[column(c) for c in docs.columns])

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auctionflow.llm.bitmap import id_bitmap, in_bitmap
 from auctionflow.llm.shared import staged, texts
 
 
@@ -148,25 +149,36 @@ def joined(spans: Column) -> Column:
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every finding in text replaced by ``mark`` and n_chars, where it is a column, brought up to date.
 
-    Overlapping findings are replaced as one.  Rows without findings pass as they are; nothing is dropped.
+    Overlapping findings are replaced as one.  Rows without findings pass as they are; nothing is dropped.  Findings
+    meet only the rows that a bitmap of the blobs with findings lets through.
     """
-    keyed = addressed(docs.withColumn("_text", F.col("text"))).withColumnRenamed("blob", "_blob")
-    found = docs.select(F.col("doc_id").cast("long").alias("path"), F.col("text").cast("string").alias("text"))
-    spans = findings_by_blob(staged(update_ledger(found, None, rules), "ledger"), rules)
-    spans = spans.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    # merged spans, then the pieces of text between them
-    merged = F.aggregate("_spans", F.array().cast("array<struct<start:long,end:long>>"), lambda acc, x: F.when(
-        (F.size(acc) > 0) & (x["start"] < F.coalesce(F.get(acc, F.size(acc) - 1)["end"], F.lit(-1))),
-        F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
-            F.get(acc, F.size(acc) - 1)["start"].alias("start"), F.greatest(F.get(acc, F.size(acc) - 1)["end"], x["end"]).alias("end")))))
-        .otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))))
-    rows = keyed.drop("_text").join(spans, "_blob", "left").withColumn("_merged", merged)
-    pieces = F.transform("_merged", lambda x, i: F.substring("text", (F.coalesce(F.get("_merged", i - 1)["end"], F.lit(0)) + 1).cast("int"),
-                                                            (x["start"] - F.coalesce(F.get("_merged", i - 1)["end"], F.lit(0))).cast("int")))
-    tail = F.substring(F.col("text"), (F.element_at("_merged", -1)["end"] + 1).cast("int"), F.lit(2 ** 31 - 1))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, mark), F.lit(mark), tail))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        rows = rows.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
-    return rows.select(*docs.columns)
+    versions = docs.select(F.col("doc_id").cast("long").alias("path"), F.col("text").cast("string").alias("text"))
+    spans = staged(findings_by_blob(staged(update_ledger(versions, None, rules), "ledger"), rules), "findings")
+    blob = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    rows = docs.select(F.struct("*").alias("_row"), blob.alias("blob")).withColumn("_h", F.xxhash64("blob"))
+    rows = in_bitmap(rows, "_h", id_bitmap(spans.select(F.xxhash64("blob").alias("h"))), ["_row", "blob"])
+    hit = rows.where("found").join(spans, "blob", "left").select("_row", "spans")
+    columns = docs.columns
+    at = columns.index("text")
+    size = columns.index("n_chars") if "n_chars" in columns else None
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, found = batch.column(0).flatten(), batch.column(1).to_pylist()
+            new = []
+            for text, own in zip(row[at].to_pylist(), found):
+                if own:
+                    out, done = [], 0
+                    for s, e in sorted((x["start"], x["end"]) for x in own):
+                        if s >= done:
+                            out += (text[done:s], mark)
+                        done = max(done, e)
+                    text = "".join(out) + text[done:]
+                new.append(text)
+            if size is not None:
+                old = row[size].to_pylist()
+                row[size] = pa.array([len(t) if own else n for t, own, n in zip(new, found, old)], row[size].type)
+            row[at] = pa.array(new, row[at].type)
+            yield pa.RecordBatch.from_arrays(row, names=columns)
+
+    return rows.where("not found").select("_row.*").unionByName(hit.mapInArrow(replace, docs.schema))

@@ -47,15 +47,16 @@ def bucket_count(rows: int, rows_per_bucket: int) -> int:
 
 
 def with_offsets(df: DataFrame, keys: list[str], bucket: str, order: list[str], amount: Column, out: str,
-                 extra: DataFrame | None = None) -> DataFrame:
+                 extra: DataFrame | None = None, narrow: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the sum of ``amount`` over the rows of the same ``keys`` that come before, by (bucket, order).
 
     ``bucket`` must agree with ``order``, or stand before it, so a hot key is summed bucket by bucket: totals of
     (keys, bucket) are partial aggregates, their running sum sees one row per bucket, and the rows themselves are
     windowed within (keys, bucket).  ``keys`` and ``bucket`` must not be null.  ``extra`` (one row per ``keys``) is
-    joined to the totals and so reaches every row without another shuffle of the rows.
+    joined to the totals and so reaches every row without another shuffle of the rows.  ``narrow`` has the same rows as
+    ``df`` with fewer columns; the totals are taken from it.
     """
-    totals = df.groupBy(*keys, bucket).agg(F.sum(amount).alias("_total"))
+    totals = (df if narrow is None else narrow).groupBy(*keys, bucket).agg(F.sum(amount).alias("_total"))
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_base", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
     if extra is not None:

@@ -144,22 +144,34 @@ def aggregated(p: np.ndarray, owner: np.ndarray, docs: int) -> np.ndarray:
 
 
 def telling(docs: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Features tied to the toxic label: likelihood ratio against chance beyond 2 log(number of features tried)."""
+    """Features tied to the toxic label: at least half of their occurrences are in toxic documents, and the likelihood
+    ratio of their documents against chance is beyond 2 log(number of features tried).  A document with n occurrences
+    counts 1 + log(n) times there."""
     base = float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
-    toxic, clean = Counter(), Counter()
-    for words, label in zip(docs, labels):
+    found: dict[int, tuple[Counter, Counter]] = {1: (Counter(), Counter()), 0: (Counter(), Counter())}  # documents' weight, occurrences
+    seen: Counter = Counter()
+    tried: set[str] = set()
+    for label in (1, 0):
+        in_docs, in_all = found[label]
+        for words, own in zip(docs, labels):
+            if own == label:
+                here: Counter = Counter()
+                for word, n in Counter(words).items():
+                    for f in features(word):
+                        if label or f in tried:
+                            here[f] += n
+                in_all.update(here)
+                in_docs.update({f: 1 + math.log(n) for f, n in here.items()})
+                if label:
+                    seen.update(here.keys())
         if label:
-            toxic.update({f for w in set(words) for f in features(w)})
-    tried = {f for f, n in toxic.items() if n >= 3}
-    for words, label in zip(docs, labels):
-        if not label:
-            clean.update({f for w in set(words) for f in features(w)} & tried)
+            tried = {f for f, n in seen.items() if n >= 3}
     least = 2 * math.log(len(tried) + 2)
     chosen = set()
     for f in tried:
-        k, n = toxic[f], toxic[f] + clean[f]
+        k, n = found[1][0][f], found[1][0][f] + found[0][0][f]
         rate = k / n
-        if rate <= 2 * base and rate < 0.9:
+        if rate <= base or found[1][1][f] < found[0][1][f]:
             continue
         gain = 2 * (k * math.log(rate / base) + ((n - k) * math.log((1 - rate) / (1 - base)) if k < n else 0.0))
         if gain >= least:
