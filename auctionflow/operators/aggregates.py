@@ -7,7 +7,7 @@ partial row per input partition, never a whole group in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auctionflow.functions.ordering import order_key
@@ -83,30 +83,64 @@ def highest_per_window(df: DataFrame, window_ms: int, order_col: str = "last_ts"
 
 def exact_std(n: Column, s: Column, ss: Column) -> Column:
     """Sample standard deviation from count, integer sum and integer sum of
-    squares (DECIMAL(38,0)); exact up to the final division.  n = 1 gives 0."""
-    num = (n.cast("decimal(38,0)") * ss - s.cast("decimal(38,0)") * s.cast("decimal(38,0)")).cast("double")
-    den = (n * (n - 1)).cast("double")
+    squares (DECIMAL(38,0)).  n = 1 gives 0.
+
+    The squares are centred at the whole part q of the mean, D = sum (x - q)^2
+    with remainder r = s - q n, since n D - r^2 = n ss - s^2 has far fewer
+    digits.  It is exact up to the final division while it fits in 38 digits
+    (10^11 day-long latencies and more) and taken in doubles beyond, where
+    the centring has already removed the cancellation."""
+    dec = lambda c: c.cast("decimal(38,0)")
+    q = F.floor(s / n)
+    r = dec(s) - dec(q) * dec(n)
+    d = dec(ss) - dec(q) * dec(s) * 2 + dec(dec(q) * dec(q)) * dec(n)
+    exact = dec(F.try_subtract(F.try_multiply(dec(n), dec(d)), F.try_multiply(dec(r), dec(r)))).cast("double")
+    rough = n.cast("double") * d.cast("double") - r.cast("double") * r.cast("double")
+    num = F.greatest(F.coalesce(exact, rough), F.lit(0.0))
+    den = n.cast("double") * (n - 1).cast("double")
     return F.when(n > 1, F.sqrt(num / den)).when(n == 1, F.lit(0.0))
 
 
-def latency_summary(df: DataFrame, value_cols: list[str], group_cols: list[str] | None = None,
-                    quantiles: list[float] | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value_cols: list[str], quantiles: list[float], bucket: int = 4096) -> DataFrame:
+    """One row: for each series and q the smallest value whose rank is at
+    least ceil(q n), as ``{v}_p{100 q}``; NULL values are not counted.
+
+    The values are integers, so they are first counted per distinct value (a
+    partial aggregate).  Running counts go over buckets of ``bucket`` values,
+    then over the values of one bucket, so no task sorts all values."""
+    parts = []
+    for v in value_cols:
+        seen = df.where(F.col(v).isNotNull()).groupBy(F.col(v).cast("long").alias("v")).agg(F.count("*").alias("c"))
+        parts.append(seen.select(F.lit(v).alias("series"), "v", "c"))
+    counts = parts[0]
+    for more in parts[1:]:
+        counts = counts.unionByName(more)
+    counts = counts.withColumn("b", F.floor(F.col("v") / bucket))
+    before = Window.partitionBy("series").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (counts.groupBy("series", "b").agg(F.sum("c").alias("t"))
+                    .withColumn("base", F.coalesce(F.sum("t").over(before), F.lit(0))))
+    n = totals.groupBy("series").agg(F.sum("t").alias("n"))
+    own = Window.partitionBy("series", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (counts.join(totals.select("series", "b", "base"), ["series", "b"]).join(n, "series")
+                    .withColumn("upto", F.col("base") + F.sum("c").over(own)))
+    picked = [F.min(F.when((F.col("series") == v) & (F.col("upto") >= F.ceil(F.lit(q) * F.col("n"))), F.col("v")))
+              .alias(f"{v}_p{round(100 * q)}") for v in value_cols for q in quantiles]
+    return ranked.groupBy().agg(*picked)
+
+
+def latency_summary(df: DataFrame, value_cols: list[str], group_cols: list[str] | None = None) -> DataFrame:
     """Count, mean, min, max, sum, sample std per series (integer ms
-    values).  Optional approximate quantiles (``percentile_approx``)."""
+    values).  :func:`exact_quantiles` gives the histogram's quantiles."""
     group_cols = group_cols or []
     aggs = []
     for v in value_cols:
         aggs += [F.count(v).alias(f"{v}_count"), F.sum(v).alias(f"{v}_sum"),
                  F.min(v).alias(f"{v}_min"), F.max(v).alias(f"{v}_max"),
                  F.sum(F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)")).alias(f"_{v}_ss")]
-        if quantiles:
-            aggs.append(F.percentile_approx(v, quantiles).alias(f"{v}_quantiles"))
     out = df.groupBy(*group_cols).agg(*aggs)
     cols = list(group_cols)
     for v in value_cols:
         n, s, ss = F.col(f"{v}_count"), F.col(f"{v}_sum"), F.col(f"_{v}_ss")
         cols += [n.alias(f"{v}_count"), (s / n).alias(f"{v}_mean"), F.col(f"{v}_min"),
                  F.col(f"{v}_max"), s.alias(f"{v}_sum"), exact_std(n, s, ss).alias(f"{v}_std")]
-        if quantiles:
-            cols.append(F.col(f"{v}_quantiles"))
     return out.select(*cols)

@@ -13,7 +13,7 @@ Plan:
 * ordinary keys are folded in one pass over data hash-partitioned by key and
   sorted within partitions, streaming through Arrow batches with O(1) state
   per key (key, close, round number) and never holding a group;
-* keys with more than ``rows_per_slice`` candidates take the parallel
+* keys with more than ``chain_rows`` candidates take the parallel
   pointer-doubling route of :mod:`plans.chains` (same result);
 * everything else is built-in: bids are assigned to rounds by an as-of
   lookup (:func:`plans.ordered.next_marker`, parallel within hot keys) or
@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from auctionflow.functions.ordering import order_key
 from auctionflow.plans.chains import chain_openers
-from auctionflow.plans.ordered import (DEFAULT_BROADCAST_ROWS, DEFAULT_ROWS_PER_SLICE, hot_keys, next_marker,
-                                       sequence_numbers)
+from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, hot_keys, next_marker, placed, sequence_numbers
 from auctionflow.session import ensure_checkpoint_dir
 
 # The fold streams about a million candidates per second in one task, so a
@@ -108,7 +107,8 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
     """Annotate every row with its round: ``round_no`` (1-based per key),
     ``open_t``, ``round_close`` and ``opener``.  Rows are renamed to ``key``,
     ``t``, ``close_t``; other columns pass through.  ``(key, t)`` must be
-    unique (callers collapse equal times first).
+    unique (callers collapse equal times first).  Rows without a key, a time
+    or a close are dropped: they neither open nor belong to a round.
 
     Keys with more than ``chain_rows`` rows take the parallel pointer-
     doubling route (:mod:`plans.chains`, whose scans slice at
@@ -117,11 +117,11 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
     rest = [c for c in df.columns if c not in (key, t) and not (isinstance(close_t, str) and c == close_t)]
     inp = df.select(F.col(key).cast("long").alias("key"), F.col(t).cast("long").alias("t"),
                     close_col.cast("long").alias("close_t"), *rest)
+    inp = placed(inp, ["key", "close_t"], "t")
     hot, n_hot = hot_keys(inp, ["key"], "t", chain_rows)
     if n_hot == 0:
         return _fold_sorted(inp, tie)
     hk = hot.select("key")
-    hk = F.broadcast(hk) if n_hot <= DEFAULT_BROADCAST_ROWS else hk
     normal = _fold_sorted(inp.join(hk, "key", "left_anti"), tie)
     max_n = hot.agg(F.max("_n")).first()[0]
     return normal.unionByName(_rounds_by_doubling(inp.join(hk, "key", "left_semi"), rows_per_slice, max_n))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auctionflow.functions.time import from_event_time, ms_interval
-from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, apply_slices, hot_keys
+from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, apply_slices, hot_keys, placed
 from auctionflow.session import ensure_checkpoint_dir
 
 
@@ -31,7 +31,8 @@ def gap_bucket(ts_col: str, gap_ms: int) -> Column:
 def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo", hi: str = "_hi",
                 rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """Number the sessions of a bucket table (one row per key and bucket with
-    the min ``lo`` / max ``hi`` event time).  Adds ``_sid`` (per key).
+    the min ``lo`` / max ``hi`` event time).  Adds ``_sid`` (per key).  Buckets
+    without a key or time are dropped.
 
     A key with more than ``rows_per_slice`` buckets is cut into slices of
     buckets; each slice looks back within itself (``lag``) and, for its first
@@ -39,6 +40,7 @@ def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo
     slice become prefix offsets.  One join of a per-slice table."""
     if buckets.isStreaming:
         raise ValueError("use session_window on streams")
+    buckets = placed(buckets, keys, "_bucket")
     hot, n_hot = hot_keys(buckets, keys, "_bucket", rows_per_slice)
     if n_hot == 0:
         w = Window.partitionBy(*keys).orderBy("_bucket")

@@ -164,7 +164,7 @@ def latency_summary(spark, sf):
 
 
 def latency_quantiles(spark, sf):
-    return aggregates.latency_summary(_window_latencies(spark, sf), ["bid", "flight"], quantiles=[0.5, 0.9, 0.99])
+    return aggregates.exact_quantiles(_window_latencies(spark, sf), ["bid", "flight"], [0.5, 0.9, 0.99])
 
 
 # --- pages ---------------------------------------------------------------------

@@ -308,6 +308,15 @@ FROM r GROUP BY 1, 2""",
     "latency_winning": with_rec(EV, AUCTIONS, BIDS, *_auction_rounds_ctes("auctions"),
                                 *_last_bids_ctes("bids", False)) +
     _bid_latency("lastbids", "close_ts", "auction_id", "last_ts, last_ingestion_ts, auction_id, round_no", True),
+    "latency_quantiles": with_(EV, BIDS) + f""", st AS (
+  SELECT ts - ts % {DAY} + {DAY} AS we, max(ts) AS last_ts, arg_max(ingestion_ts, (ts, -ingestion_ts)) AS last_ing
+  FROM bids GROUP BY ts - ts % {DAY}, auction_id),
+v AS (SELECT we - last_ts AS bid, we - last_ing AS flight FROM st),
+r AS (SELECT bid, flight, row_number() OVER (ORDER BY bid) AS rb, row_number() OVER (ORDER BY flight) AS rf,
+             count(*) OVER () AS n FROM v)
+SELECT """ + ", ".join(f"min({c}) FILTER (WHERE {r} >= ceil({q}::DOUBLE * n)) AS {c}_p{round(100 * q)}"
+                       for c, r in (("bid", "rb"), ("flight", "rf")) for q in (0.5, 0.9, 0.99)) + """
+FROM r""",
     "latency_summary": with_(EV, BIDS) + f""", st AS (
   SELECT ts - ts % {DAY} + {DAY} AS we, max(ts) AS last_ts, arg_max(ingestion_ts, (ts, -ingestion_ts)) AS last_ing
   FROM bids GROUP BY ts - ts % {DAY}, auction_id),

@@ -7,9 +7,7 @@ split such keys into time slices:
 
 1. ``groupBy(key).agg(count, min t, max t)`` (partial aggregation) finds keys
    with more than ``rows_per_slice`` rows.  At most ``N / rows_per_slice`` keys
-   qualify, so the hot-key table has a proven bound; it is broadcast only
-   when its counted size is below ``broadcast_rows`` and joined normally
-   otherwise.
+   qualify; few become literals, more are joined without a broadcast hint.
 2. Each hot key is cut into ``ceil(count / rows_per_slice)`` slices of equal
    time width (``_slice``); other keys have one slice.  Rows with equal ``t``
    always share a slice, so slices are contiguous in the scan order.
@@ -18,6 +16,9 @@ split such keys into time slices:
    slice its carry-in.  The row-level window then runs per (key, slice),
    which is the shuffle key of the carry join, so no extra exchange is added.
 
+Rows whose key or time is NULL have no place in an ordered scan.  They are
+dropped before anything else, whatever the number of rows (``placed``).
+
 The slice width assumes a roughly even rate within a hot key; a burst makes
 one slice larger but never merges keys.  All steps are built-in SQL
 operators.  The driver only sees the hot-key count and, when at most
@@ -31,14 +32,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auctionflow.functions.ordering import order_key
+from auctionflow.session import ensure_checkpoint_dir
+
 # A slice is sized like one shuffle partition: 4M rows of ~64-100 bytes are a
 # few hundred MB, the scale of `session.cluster_conf` partitions.  The hot-key
 # table then has at most N / 4M rows (250k at 10^12 rows).
 DEFAULT_ROWS_PER_SLICE = 4_000_000
-DEFAULT_BROADCAST_ROWS = 1_000_000
 MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
 
 
+def placed(df: DataFrame, keys: list[str], t_col: str) -> DataFrame:
+    """Rows with a key and a time; the others have no place in the scan."""
+    for c in [*keys, t_col]:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
 def hot_keys(df: DataFrame, keys: list[str], t_col: str,
              rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_slice`` rows, with their slice origin
@@ -77,18 +87,16 @@ def _literal_slices(df: DataFrame, rows: list, keys: list[str], t_col: str) -> D
     return df.withColumn("_slice", slice_col.otherwise(F.lit(0).cast("long")))
 
 
-def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_col: str,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_col: str) -> DataFrame:
     """Add ``_slice`` = floor((t - _slo) / _swidth) for hot keys, 0 otherwise;
     monotone in t within a key.  Up to ``MAX_LITERAL_KEYS`` hot keys become
-    literals; more are joined (broadcast below ``broadcast_rows``)."""
+    literals; more are joined (broadcast only if the planner measures them small)."""
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long"))
     if n_hot <= MAX_LITERAL_KEYS:
         return _literal_slices(df, hot.collect(), keys, t_col)
-    side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     x = f"({t_col} - _slo)"
-    return (df.join(side.drop("_smax", "_n"), keys, "left")
+    return (df.join(hot.drop("_smax", "_n"), keys, "left")
               .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _swidth)) div _swidth"),
                                                F.lit(0).cast("long")))
               .drop("_slo", "_swidth"))
@@ -96,7 +104,6 @@ def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_c
 
 def add_slices(df: DataFrame, keys: list[str], t_col: str,
                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                key_bound: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced).
 
@@ -120,16 +127,16 @@ def add_slices(df: DataFrame, keys: list[str], t_col: str,
             return df.withColumn("_slice", F.lit(0).cast("long")), False
         return _literal_slices(df, hot, keys, t_col), True
     hot, n_hot = hot_keys(df, keys, t_col, rows_per_slice)
-    return apply_slices(df, hot, n_hot, keys, t_col, broadcast_rows), n_hot > 0
+    return apply_slices(df, hot, n_hot, keys, t_col), n_hot > 0
 
 
 def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "_seq",
                      rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                      key_bound: int | None = None) -> DataFrame:
     """1-based ``row_number`` per ``keys`` in ``order_cols`` order (the first
     order column must be the numeric time), parallel within hot keys."""
-    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, broadcast_rows, key_bound)
+    df = placed(df, keys, order_cols[0])
+    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, key_bound)
     if not any_hot:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
@@ -144,12 +151,12 @@ def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out:
 
 def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str],
                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                        key_bound: int | None = None) -> DataFrame:
     """Running count / sum / min / max / sum of squares (DECIMAL) of each
     value column per ``keys`` in order, current row included, nulls skipped.
     Adds ``{v}_rcount, {v}_rsum, {v}_rmin, {v}_rmax, {v}_rss``."""
-    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, broadcast_rows, key_bound)
+    df = placed(df, keys, order_cols[0])
+    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, key_bound)
 
     def sq(v: str) -> Column:
         return F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)")
@@ -201,12 +208,12 @@ def _add_nullable(a: Column, b: Column) -> Column:
 
 def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str, marker_t: str,
                 payload: list[str], strict: bool = True,
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """As-of lookup forward: for every row, the payload of the first marker of
     the same key with ``marker_t > t`` (``>=`` when ``strict`` is False);
     among markers of equal time the one with the smallest payload hash wins.
-    Rows without such a marker get NULLs.
+    Rows without such a marker get NULLs.  Rows and markers without a key or
+    time are dropped.
 
     Rows and markers are merged into one ordered stream per (key, slice); the
     answer inside a slice is a running ``last(ignorenulls)`` over the stream
@@ -214,6 +221,15 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     marker of the following slices (an exclusive suffix over the small
     per-slice table).
     """
+    rows, markers = placed(rows, keys, t_col), placed(markers, keys, marker_t)
+    # hot keys are judged on the rows (the large side); markers take the same
+    # slice boundaries.  A sliced scan reads the markers twice, so their plan
+    # (a fold) is run once and kept.
+    hot, n_hot = hot_keys(rows, keys, t_col, rows_per_slice)
+    any_hot = n_hot > 0
+    if any_hot:
+        ensure_checkpoint_dir(rows.sparkSession)
+        markers = markers.select(*dict.fromkeys([*keys, marker_t, *payload])).checkpoint()
     r = rows.select("*", F.col(t_col).alias("_t"), F.lit(1).alias("_kind"))
     # At equal t a marker sorts before the row when strict (it must not be
     # found: t < marker_t is required) and after it otherwise.
@@ -227,11 +243,7 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     both = (r.withColumn("_m", F.lit(None).cast(mk.schema["_m"].dataType))
              .withColumn("_tb", F.lit(None).cast("long")).select(*m_full.columns))
     both = both.unionByName(m_full)
-    # hot keys are judged on the rows (the large side) so the markers' plan
-    # is not run twice; markers take the same slice boundaries
-    hot, n_hot = hot_keys(rows, keys, t_col, rows_per_slice)
-    any_hot = n_hot > 0
-    sliced = apply_slices(both, hot, n_hot, keys, "_t", broadcast_rows)
+    sliced = apply_slices(both, hot, n_hot, keys, "_t")
     part = keys + (["_slice"] if any_hot else [])
     # a hash of the payload breaks ties between markers of equal time, so the
     # pick is the same in every run (recomputed tasks give identical rows)
@@ -239,14 +251,15 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = sliced.withColumn("_found", F.last("_m", ignorenulls=True).over(back))
     if any_hot:
+        k = order_key(F.col("_t") * 4 + F.col("_kind"), "_tb")
         firsts = (sliced.where(F.col("_m").isNotNull())
                         .groupBy(*keys, "_slice")
-                        .agg(F.min_by("_m", F.struct("_t", "_kind", "_tb")).alias("_first")))
+                        .agg(*[F.min_by(f"_m.{p}", k).alias(f"_f_{p}") for p in payload]))
         # Every slice of a hot key needs the first marker of the slices after
         # it.  The slices are known from the hot-key table (0.._smax), so the
         # row stream is not read again for them.
         hot_slices = hot.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_smax"))).alias("_slice"))
-        carry_all = _carry_for_all(hot_slices, firsts, keys)
+        carry_all = _carry_for_all(hot_slices, firsts, keys, payload)
         found = (found.join(carry_all, keys + ["_slice"], "left")
                       .withColumn("_found", F.coalesce("_found", "_carry"))
                       .drop("_carry"))
@@ -255,10 +268,14 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     return out.drop("_slice") if "_slice" in out.columns else out
 
 
-def _carry_for_all(slices: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+def _carry_for_all(slices: DataFrame, firsts: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
     """For each (key, slice), the first marker of any later slice."""
-    tagged = (slices.select(*keys, "_slice", F.lit(None).cast(firsts.schema["_first"].dataType).alias("_first"))
-                    .unionByName(firsts.select(*keys, F.col("_slice"), "_first")))
-    tagged = tagged.groupBy(*keys, "_slice").agg(F.first("_first", ignorenulls=True).alias("_first"))
+    cols = [f"_f_{p}" for p in payload]
+    has = lambda df, yes: df.withColumn("_has", F.lit(yes))
+    none = has(slices.select(*keys, "_slice", *[F.lit(None).cast(firsts.schema[c].dataType).alias(c) for c in cols]), 0)
+    # a (key, slice) has one row of firsts at most, so max takes its value
+    tagged = none.unionByName(has(firsts, 1)).groupBy(*keys, "_slice").agg(F.max("_has").alias("_has"),
+                                                                         *[F.max(c).alias(c) for c in cols])
+    marker = F.when(F.col("_has") == 1, F.struct(*[F.col(c).alias(p) for c, p in zip(cols, payload)]))
     after = Window.partitionBy(*keys).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return tagged.select(*keys, "_slice", F.last("_first", ignorenulls=True).over(after).alias("_carry"))
+    return tagged.select(*keys, "_slice", F.last(marker, ignorenulls=True).over(after).alias("_carry"))

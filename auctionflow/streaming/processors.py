@@ -320,13 +320,16 @@ class RunningLatency(OrderedProcessor):
         self.with_std = with_std
         self.row_fields = ([("etime", _L), ("processed_ts", _L), ("o1", _L), ("o2", _L), ("o3", _L)] +
                            [(f, _L) for f in series] + [("emit", _B)])
-        self.state_fields = [(f"{f}_{a}", _L) for f in series for a in ("n", "s", "lo", "hi", "ss")]
+        # the sum of squares outgrows a BIGINT within 1,300 day-long latencies,
+        # so it is kept as two halves of 62 bits, and only where a std is written
+        squares = ("ssh", "ssl") if with_std else ()
+        self.state_fields = [(f"{f}_{a}", _L) for f in series for a in ("n", "s", "lo", "hi", *squares)]
 
     def sort_key(self, r):
         return r[1:5]
 
     def initial_state(self):
-        return {n: (0 if n.endswith(("_n", "_s", "_ss")) else None) for n, _ in self.state_fields}
+        return {n: (None if n.endswith(("_lo", "_hi")) else 0) for n, _ in self.state_fields}
 
     def on_event(self, key, st, ev):
         for f in self.series:
@@ -335,7 +338,9 @@ class RunningLatency(OrderedProcessor):
                 continue
             st[f"{f}_n"] += 1
             st[f"{f}_s"] += v
-            st[f"{f}_ss"] += v * v
+            if self.with_std:
+                ss = (st[f"{f}_ssh"] << 62) + st[f"{f}_ssl"] + v * v
+                st[f"{f}_ssh"], st[f"{f}_ssl"] = ss >> 62, ss & ((1 << 62) - 1)
             st[f"{f}_lo"] = v if st[f"{f}_lo"] is None else min(st[f"{f}_lo"], v)
             st[f"{f}_hi"] = v if st[f"{f}_hi"] is None else max(st[f"{f}_hi"], v)
         if not ev["emit"]:
@@ -348,7 +353,8 @@ class RunningLatency(OrderedProcessor):
             line[f"{name}Min"], line[f"{name}Max"] = st[f"{f}_lo"], st[f"{f}_hi"]
             if self.with_std:
                 # same rounding steps as aggregates.exact_std
-                num = float(n * st[f"{f}_ss"] - st[f"{f}_s"] ** 2)
+                ss = (st[f"{f}_ssh"] << 62) + st[f"{f}_ssl"]
+                num = float(n * ss - st[f"{f}_s"] ** 2)
                 line[f"{name}Std"] = (math.sqrt(num / float(n * (n - 1))) if n > 1 else (0.0 if n == 1 else None))
                 line[f"{name}Sum"] = st[f"{f}_s"] if n else None
         return [Row(**{c: line[c] for c in self.columns})]
