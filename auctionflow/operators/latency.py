@@ -22,6 +22,7 @@ from auctionflow.session import ensure_checkpoint_dir
 
 LATENCY_THRESHOLD_MS = 10 * 60 * 1000
 
+# Fixed: the column names and their order must equal the published CSV headers.
 Q8_COLUMNS = ["subtask", "ts", "personCount", "auctionCount", "flightTimeCount", "personMean", "auctionMean",
               "flightTimeMean", "personMin", "auctionMin", "flightTimeMin", "personMax", "auctionMax",
               "flightTimeMax"]
@@ -124,8 +125,10 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
 
 
 def write_latency_csv(lines: DataFrame, path: str, mode: str = "append") -> None:
-    """K5: one folder per subtask (``subtask=<i>``), header per file."""
-    lines.write.mode(mode).partitionBy("subtask").option("header", True).csv(path)
+    """K5: one folder per subtask (``sink=<i>``); each file has a header, all
+    columns of its layout (``subtask`` first) and its lines in ``ts`` order."""
+    (lines.withColumn("sink", F.col("subtask")).sortWithinPartitions("sink", "ts")
+          .write.mode(mode).partitionBy("sink").option("header", True).csv(path))
 
 
 def discard(df: DataFrame) -> None:

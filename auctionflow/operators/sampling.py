@@ -23,7 +23,7 @@ def subtask_of(key: Column, subtasks: int) -> Column:
     return F.pmod(F.abs(key), F.lit(subtasks)).cast("int")
 
 
-def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, subtasks: int = 1,
+def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, subtasks: int = 4,
                  phase: str = "nth", rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """Keep every n-th row per subtask; adds ``subtask`` and ``seq``."""
     if n < 1:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from auctionflow.functions.time import utc_wall_clock
 from auctionflow.operators import aggregates, chunks, joins, latency, rounds, sampling, sessions
-from auctionflow.operators.windows import session, sliding, tumbling
+from auctionflow.operators.windows import WindowSpec, session, sliding, tumbling
+from auctionflow.plans import jobs
 from auctionflow.sources import bindings as B
 from auctionflow.sources import generate, pages
 
@@ -216,17 +217,49 @@ def gen_bids(spark, sf):
     return generate.generate_bids(_event_counters(spark, sf))
 
 
+# --- jobs over the tables --------------------------------------------------------
+
+
+def _inputs(spark, sf):
+    return jobs.Inputs(tables={"person": B.persons(spark, sf), "auction": B.auctions(spark, sf), "bid": B.bids(spark, sf)})
+
+
+def job_new_users(spark, sf):
+    return jobs.run("q8", spark, _inputs(spark, sf), sample_n=5)
+
+
+def job_bid_stats(spark, sf):
+    return jobs.run("q5", spark, _inputs(spark, sf), duration_ms=HOUR)
+
+
+def job_combo_probe(spark, sf):
+    return jobs.run("qx_probe", spark, _inputs(spark, sf), sample_n=5)
+
+
+def new_user_auctions_by_type(spark, sf):
+    """E2 with each window type of the numeric selector: 0 tumbling, 1 sliding (by half), 2 session."""
+    out = None
+    for kind in (0, 1, 2):
+        spec = WindowSpec.from_type(kind, 6 * HOUR)
+        rows = jobs.run("q8", spark, _inputs(spark, sf), window=spec).withColumn("window_type", F.lit(kind))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """New users and their latest auction per 6 h window (J1), with the bid
-    statistics (A2) of that window for the auctions of the same person."""
+    statistics (A2) of that window for the auctions of the same person.  The
+    statistics start from the few (person, window) pairs of the join."""
     persons, auctions, bids = B.persons(spark, sf), B.auctions(spark, sf), B.bids(spark, sf)
     nu = joins.new_user_auctions(persons, auctions, tumbling(6 * HOUR))
-    stats = aggregates.bid_stats(bids, tumbling(6 * HOUR))
-    seller_auctions = (auctions.select("person_id", "auction_id").distinct())
-    per_person = (stats.join(seller_auctions, "auction_id")
-                       .groupBy("person_id", F.col("window_end").alias("window_evicting_ts"))
-                       .agg(F.sum("bid_count").alias("bids_on_own_auctions"),
-                            F.max("max_price").alias("max_price_on_own_auctions")))
+    wanted = nu.select("person_id", "window_evicting_ts").distinct()
+    own = auctions.select("person_id", "auction_id").distinct()
+    stats = (aggregates.bid_stats(bids, tumbling(6 * HOUR))
+             .select("auction_id", F.col("window_end").alias("window_evicting_ts"), "bid_count", "max_price"))
+    per_person = (wanted.join(own, "person_id").join(stats, ["auction_id", "window_evicting_ts"])
+                        .groupBy("person_id", "window_evicting_ts")
+                        .agg(F.sum("bid_count").alias("bids_on_own_auctions"),
+                             F.max("max_price").alias("max_price_on_own_auctions")))
     return nu.join(per_person, ["person_id", "window_evicting_ts"], "left")
 
 
@@ -265,4 +298,9 @@ QUERIES: dict[str, Query] = {
     "gen_auctions": gen_auctions,
     "gen_bids": gen_bids,
     "bid_round_snapshots": bid_round_snapshots,
+    "job_new_users": job_new_users,
+    "job_bid_stats": job_bid_stats,
+    "job_combo_probe": job_combo_probe,
+    "new_user_auctions_by_type": new_user_auctions_by_type,
+    "flagship": flagship,
 }

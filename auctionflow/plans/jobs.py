@@ -14,15 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auctionflow.operators import aggregates, chunks, joins, latency, rounds, sessions
+from auctionflow.operators.sampling import sample_every
 from auctionflow.operators.windows import WindowSpec
 from auctionflow.sources import generate, pages
 
 
 @dataclass
 class Inputs:
-    """Where events come from.  ``autogen`` uses the generators with
-    ``n_per_subtask`` events per subtask; otherwise ``pages`` maps a kind
-    ("person", "auction", "bid") to a page path or Kafka option dict."""
+    """Where events come from.  ``tables`` maps a kind ("person", "auction",
+    "bid") to a DataFrame of decoded records and comes first; ``autogen``
+    uses the generators with ``n_per_subtask`` events per subtask; otherwise
+    ``pages`` maps a kind to a page path or Kafka option dict."""
 
     autogen: bool = True
     n_per_subtask: int = 1_000_000
@@ -30,8 +32,11 @@ class Inputs:
     seed: int = 42
     rows_per_second: int = generate.DEFAULT_RATE
     pages: dict = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)
 
     def events(self, spark: SparkSession, kind: str) -> DataFrame:
+        if kind in self.tables:
+            return self.tables[kind]
         if self.autogen:
             c = generate.counters(spark, self.n_per_subtask, self.subtasks)
             fn = {"person": generate.generate_persons, "auction": generate.generate_auctions,
@@ -75,11 +80,29 @@ def job_bid_stats(spark: SparkSession, inputs: Inputs, duration_ms: int = 60_000
     return lines
 
 
+def job_combo_probe(spark: SparkSession, inputs: Inputs, sample_n: int = 200_000, subtasks: int = 4,
+                    csv_dir: str | None = None) -> DataFrame:
+    """E4's live output: the first of every ``sample_n`` bids per subtask goes
+    to the winning-bid sink as it is read (now = its ingestion) -> K4 lines."""
+    order = ["ts", "ingestion_ts", "bid_id"]
+    probe = sample_every(inputs.events(spark, "bid").select("auction_id", *order), sample_n, order, "auction_id",
+                         subtasks, "first")
+    probe = probe.select("auction_id", "bid_id", F.col("ts").alias("last_ts"),
+                         F.col("ingestion_ts").alias("last_ingestion_ts"))
+    rec = latency.bid_records(probe, F.col("last_ingestion_ts"))
+    lines = latency.running_latency(rec, "winning", "auction_id",
+                                    ["last_ts", "last_ingestion_ts", "auction_id", "bid_id"], subtasks)
+    if csv_dir:
+        latency.write_latency_csv(lines, f"{csv_dir}/winning")
+    return lines
+
+
 def job_combo(spark: SparkSession, inputs: Inputs, session_gap_ms: int = 60_000, window_ms: int = 10_000,
               chunk_size: int = 32, subtasks: int = 4) -> dict[str, DataFrame]:
     """The combined job over shared bid / auction inputs: winning bids
     per round (J3 + K4), bid chunks (J4), bidder sessions (A5 + K3) and the
-    highest session per window (A6)."""
+    highest session per window (A6).  :func:`job_combo_probe` is the live
+    sampled output of the same job."""
     bids, auctions = inputs.events(spark, "bid"), inputs.events(spark, "auction")
     winning = rounds.last_bids_per_round(bids, auctions)
     sess = sessions.bidder_sessions(bids, session_gap_ms)
@@ -96,11 +119,12 @@ def job_combo(spark: SparkSession, inputs: Inputs, session_gap_ms: int = 60_000,
     }
 
 
-JOBS = {"debug": job_decode_throughput, "q8": job_new_users, "q5": job_bid_stats, "qx": job_combo}
+JOBS = {"debug": job_decode_throughput, "q8": job_new_users, "q5": job_bid_stats, "qx": job_combo,
+        "qx_probe": job_combo_probe}
 
 
 def run(name: str, spark: SparkSession, inputs: Inputs, **params):
-    """E5: run a job by name ("debug", "q8", "q5", "qx")."""
+    """E5: run a job by name ("debug", "q8", "q5", "qx", "qx_probe")."""
     try:
         job = JOBS[name]
     except KeyError:

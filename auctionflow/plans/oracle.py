@@ -353,7 +353,7 @@ SELECT ts, auction_id, person_id, item_id, CAST(CAST(trunc(initial_price) AS INT
 SELECT ts, person_id, name, email, city, country, province, zipcode, homepage, creditcard,
        page_ts AS ingestion_ts FROM pt""",
     "page_progress": with_(EV, BIDS, """c AS (SELECT auction_id % 2 AS part, count(*) AS n FROM bids GROUP BY 1)""") + """
-SELECT 'nexmark_bids' AS topic, CAST(part AS INTEGER) AS "partition", CAST((n + 254) // 255 AS BIGINT) AS pages,
+SELECT 'bids' AS topic, CAST(part AS INTEGER) AS "partition", CAST((n + 254) // 255 AS BIGINT) AS pages,
        CAST(n AS BIGINT) AS items, CAST(n - ((n + 254) // 255 - 1) * 255 AS BIGINT) AS min_backlog,
        TRUE AS is_complete
 FROM c""",
@@ -436,3 +436,27 @@ SELECT nf.auction_id, nf.round_no, nf.mx AS max_price, nf.ts AS last_ts, f.ing A
        nf.pos AS bid_count
 FROM nf JOIN firsts f ON f.auction_id = nf.auction_id AND f.round_no = nf.round_no AND f.ts = nf.ts
 WHERE (nf.seq - 1) % 5 = 0"""
+
+
+# Jobs over the tables: the same SQL as the operators they chain.
+ORACLE.update({
+    "job_new_users": ORACLE["latency_q8"],
+    "job_bid_stats": ORACLE["latency_q5"],
+    "job_combo_probe": with_(EV, BIDS) + """, probe AS (
+  SELECT auction_id, bid_id, ts AS last_ts, ingestion_ts AS last_ingestion_ts
+  FROM (SELECT *, row_number() OVER (PARTITION BY abs(auction_id) % 4 ORDER BY ts, ingestion_ts, bid_id) AS rn FROM bids)
+  WHERE (rn - 1) % 5 = 0)
+""" + _bid_latency("probe", "last_ingestion_ts", "auction_id", "last_ts, last_ingestion_ts, auction_id, bid_id", True),
+    "new_user_auctions_by_type": "\nUNION ALL\n".join(
+        f"SELECT {kind} AS window_type, * FROM ({sql})" for kind, sql in
+        ((0, _new_user_windows(6 * HOUR, 6 * HOUR)), (1, _new_user_windows(6 * HOUR, 3 * HOUR)), (2, _new_user_session(6 * HOUR)))),
+    "flagship": f"""WITH nu AS (SELECT * FROM ({_new_user_windows(6 * HOUR, 6 * HOUR)})),
+""" + with_(EV, AUCTIONS, BIDS).removeprefix("WITH ") + f""", st AS (
+  SELECT auction_id, ts - ts % {6 * HOUR} + {6 * HOUR} AS window_evicting_ts, max(bid) AS mx, count(*) AS n
+  FROM bids GROUP BY ALL),
+own AS (SELECT DISTINCT person_id, auction_id FROM auctions),
+pp AS (SELECT person_id, window_evicting_ts, CAST(sum(n) AS BIGINT) AS bids_on_own_auctions, max(mx) AS max_price_on_own_auctions
+       FROM st JOIN own USING (auction_id) GROUP BY ALL)
+SELECT nu.*, pp.bids_on_own_auctions, pp.max_price_on_own_auctions
+FROM nu LEFT JOIN pp USING (person_id, window_evicting_ts)""",
+})

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go when no plan refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Broadcast only what the planner has measured to be small.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
@@ -83,6 +85,7 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }

@@ -30,10 +30,11 @@ from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, sequence_numbers
 PAGE_BYTES = 8192
 HEADER_BYTES = 16
 
+# Default topics; a deployment may name its own (no page check reads them).
+PERSONS_TOPIC = "persons"
+AUCTIONS_TOPIC = "auctions"
+BIDS_TOPIC = "bids"
 # Fixed values of the wire format (must equal the producer's).
-PERSONS_TOPIC = "nexmark_persons"
-AUCTIONS_TOPIC = "nexmark_auctions"
-BIDS_TOPIC = "nexmark_bids"
 PERSON_MAGIC = 0x30011991
 AUCTION_MAGIC = 0x30061992
 BID_MAGIC = 0xDEEDBEAF  # read as signed int32: -554844497

@@ -74,7 +74,7 @@ def bid_chunks(bids: DataFrame, size: int = 32, idle_flush_ms: int | None = None
     return _tws(b, "auction_id", P.BidChunks(size, idle_flush_ms), P.CHUNK_SCHEMA)
 
 
-def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, subtasks: int = 1,
+def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, subtasks: int = 4,
                  phase: str = "nth") -> DataFrame:
     """P5 on a stream; ``order_cols[0]`` is the event time in ms."""
     payload = [c for c in df.columns if c not in order_cols and c != EVENT_TIME]
@@ -113,7 +113,7 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
 
 
 def connect_persons_auctions(persons: DataFrame, auctions: DataFrame, sample_n: int = 200_000,
-                             subtasks: int = 1) -> DataFrame:
+                             subtasks: int = 4) -> DataFrame:
     """J2 on watermarked streams: every person row, plus every ``sample_n``-th
     auction per subtask (counter in state)."""
     from auctionflow.operators.joins import AUCTION_ORDER

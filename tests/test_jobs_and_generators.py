@@ -38,7 +38,7 @@ def test_jobs_run_on_generated_input(spark):
     inputs = jobs.Inputs(autogen=True, n_per_subtask=2000, subtasks=2)
     out = tempfile.mkdtemp(prefix="auctionflow-csv-")
     lines = jobs.run("q5", spark, inputs, duration_ms=60_000, csv_dir=out)
-    assert lines.count() >= 0
+    assert lines.count() > 0 and set(lines.columns) == set(latency.BID_COLUMNS)
     assert os.path.isdir(os.path.join(out, "q5"))
     q8 = jobs.run("q8", spark, inputs, sample_n=50, subtasks=2)
     assert set(q8.columns) >= {"personCount", "auctionCount", "flightTimeCount"}
@@ -66,15 +66,24 @@ def test_page_progress_incomplete_and_drop_mode(spark):
 
 
 def test_csv_sink_layout(spark, tmp_path):
+    """Header, ``subtask`` first and lines in time order, for the winning-bid layout."""
     from auctionflow.operators import latency
-    lines = spark.createDataFrame([(0, 1, 2), (1, 3, 4)], "subtask int, ts long, bidLatencyCount long")
+    names = latency.WINNING_COLUMNS
+    rows_ = [tuple([i % 2, 100 - i] + [i] * (len(names) - 2)) for i in range(40)]
     out = str(tmp_path / "csv")
-    latency.write_latency_csv(lines, out)
-    dirs = sorted(d for d in os.listdir(out) if d.startswith("subtask="))
-    assert dirs == ["subtask=0", "subtask=1"]
-    part = [f for f in os.listdir(os.path.join(out, dirs[0])) if f.endswith(".csv")][0]
-    with open(os.path.join(out, dirs[0], part)) as f:
-        assert f.readline().strip() == "ts,bidLatencyCount"
+    latency.write_latency_csv(spark.createDataFrame(rows_, names).repartition(3), out)
+    dirs = sorted(d for d in os.listdir(out) if d.startswith("sink="))
+    assert dirs == ["sink=0", "sink=1"]
+    seen = 0
+    for k, d in enumerate(dirs):
+        for name in (f for f in os.listdir(os.path.join(out, d)) if f.endswith(".csv")):
+            with open(os.path.join(out, d, name)) as f:
+                head, *lines = [line.strip().split(",") for line in f]
+            assert head == names and {line[0] for line in lines} == {str(k)}
+            times = [int(line[1]) for line in lines]
+            assert times == sorted(times)
+            seen += len(lines)
+    assert seen == 40
 
 
 def test_debug_job_reads_page_files(spark, tmp_path):
