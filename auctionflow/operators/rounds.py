@@ -118,7 +118,7 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
     inp = df.select(F.col(key).cast("long").alias("key"), F.col(t).cast("long").alias("t"),
                     close_col.cast("long").alias("close_t"), *rest)
     inp = placed(inp, ["key", "close_t"], "t")
-    hot, n_hot = hot_keys(inp, ["key"], "t", chain_rows)
+    hot, n_hot = hot_keys(inp, ["key"], chain_rows)
     if n_hot == 0:
         return _fold_sorted(inp, tie)
     hk = hot.select("key")

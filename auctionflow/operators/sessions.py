@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auctionflow.functions.time import from_event_time, ms_interval
-from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, apply_slices, hot_keys, placed
+from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, add_slices, placed
 from auctionflow.session import ensure_checkpoint_dir
 
 
@@ -41,15 +41,14 @@ def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo
     if buckets.isStreaming:
         raise ValueError("use session_window on streams")
     buckets = placed(buckets, keys, "_bucket")
-    hot, n_hot = hot_keys(buckets, keys, "_bucket", rows_per_slice)
-    if n_hot == 0:
+    sliced, any_hot = add_slices(buckets, keys, ["_bucket"], rows_per_slice)
+    if not any_hot:
         w = Window.partitionBy(*keys).orderBy("_bucket")
         prev_hi = F.lag(hi).over(w)
         new = F.when(prev_hi.isNull() | ((F.col(lo) - prev_hi) > F.lit(gap_ms)), 1).otherwise(0)
         return (buckets.withColumn("_new", new)
                        .withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
                        .drop("_new"))
-    sliced = apply_slices(buckets, hot, n_hot, keys, "_bucket")
     part = [*keys, "_slice"]
     w = Window.partitionBy(*part).orderBy("_bucket")
     loc = (sliced.withColumn("_prev", F.lag(hi).over(w))

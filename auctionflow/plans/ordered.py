@@ -3,28 +3,26 @@
 A window ``partitionBy(key).orderBy(t)`` sends a whole key to one task.  When
 one key may hold a large share of all rows (a hot auction, or a handful of
 "subtasks" covering everything), that task becomes the job.  These helpers
-split such keys into time slices:
-
-1. ``groupBy(key).agg(count, min t, max t)`` (partial aggregation) finds keys
-   with more than ``rows_per_slice`` rows.  At most ``N / rows_per_slice`` keys
-   qualify; few become literals, more are joined without a broadcast hint.
-2. Each hot key is cut into ``ceil(count / rows_per_slice)`` slices of equal
-   time width (``_slice``); other keys have one slice.  Rows with equal ``t``
-   always share a slice, so slices are contiguous in the scan order.
+split such keys into slices of like size:
+
+1. ``groupBy(key).agg(count)`` (partial aggregation) finds keys with more than
+   ``rows_per_slice`` rows.  At most ``N / rows_per_slice`` keys qualify.
+2. Each hot key is cut at quantiles of its times, so an outlier or a burst
+   costs nothing.  Where one time alone fills a slice, its rows are cut again
+   at quantiles of the second order column.  ``_slice`` counts the cuts at or
+   before a row's (time, second column), so slices are contiguous in the scan
+   order; other keys have slice 0.
 3. Per slice, a small summary (count, sum, min, max) is computed; an
    exclusive prefix over the slices of a key (one row per slice) gives each
    slice its carry-in.  The row-level window then runs per (key, slice),
    which is the shuffle key of the carry join, so no extra exchange is added.
 
-Rows whose key or time is NULL have no place in an ordered scan.  They are
-dropped before anything else, whatever the number of rows (``placed``).
-
-The slice width assumes a roughly even rate within a hot key; a burst makes
-one slice larger but never merges keys.  All steps are built-in SQL
-operators.  The driver only sees the hot-key count and, when at most
-``MAX_LITERAL_KEYS`` keys are hot (or the keys have such a bound, e.g.
-subtasks), their per-key origin and width, which become literal slice
-expressions instead of a join.
+Without hot keys the only extra work is the count, over the key and time
+columns.  Rows whose key or time is NULL have no place in an ordered scan.
+They are dropped before anything else, whatever the number of rows
+(``placed``).  All steps are built-in SQL operators; the driver sees the hot
+keys and their cuts only while both are few, and they then become literals
+instead of a join.
 """
 
 from __future__ import annotations
@@ -40,6 +38,9 @@ from auctionflow.session import ensure_checkpoint_dir
 # table then has at most N / 4M rows (250k at 10^12 rows).
 DEFAULT_ROWS_PER_SLICE = 4_000_000
 MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
+MAX_LITERAL_CUTS = 2_048
+_LOWEST = -(2 ** 63)
+_CUTS = "array<decimal(38,0)>"
 
 
 def placed(df: DataFrame, keys: list[str], t_col: str) -> DataFrame:
@@ -49,85 +50,106 @@ def placed(df: DataFrame, keys: list[str], t_col: str) -> DataFrame:
     return df
 
 
-def hot_keys(df: DataFrame, keys: list[str], t_col: str,
-             rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
-    """Keys with more than ``rows_per_slice`` rows, with their slice origin
-    ``_slo``, width ``_swidth``, last slice ``_smax`` and row count ``_n``;
-    and their number."""
+def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
+    """Keys with more than ``rows_per_slice`` rows and their count ``_n``; and
+    the number of such keys."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
-    stats = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_slo"), F.max(t_col).alias("_hi")))
-    hot = (stats.where(F.col("_n") > F.lit(rows_per_slice))
-                .select(*keys, "_slo", "_hi", "_n",
-                        (((F.col("_hi") - F.col("_slo")) / F.ceil(F.col("_n") / F.lit(rows_per_slice)))
-                         .cast("long") + 1).alias("_swidth"))
-                .select(*keys, "_slo", "_swidth", F.expr("(_hi - _slo) div _swidth").alias("_smax"), "_n"))
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(rows_per_slice))
     # One job in the common case: up to MAX_LITERAL_KEYS hot keys come back
-    # as local rows (no second run of the plan behind ``df``); only more hot
-    # keys need a separate count, and stay a distributed table.
+    # as local rows; more are written once and stay a distributed table.
     first = hot.limit(MAX_LITERAL_KEYS + 1).collect()
     if len(first) <= MAX_LITERAL_KEYS:
         return df.sparkSession.createDataFrame(first, hot.schema), len(first)
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint()
     return hot, hot.count()
 
 
-def _literal_slices(df: DataFrame, rows: list, keys: list[str], t_col: str) -> DataFrame:
-    """``_slice`` from a few (key, origin, width) rows as one flat CASE."""
-    slice_col = None
-    for r in rows:
-        x = f"({t_col} - {int(r['_slo'])})"
-        w = int(r["_swidth"])
-        match = None
-        for k in keys:
-            cond = F.col(k) == F.lit(r[k])
-            match = cond if match is None else (match & cond)
-        value = F.expr(f"({x} - pmod({x}, {w})) div {w}")
-        slice_col = F.when(match, value) if slice_col is None else slice_col.when(match, value)
-    return df.withColumn("_slice", slice_col.otherwise(F.lit(0).cast("long")))
-
-
-def apply_slices(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], t_col: str) -> DataFrame:
-    """Add ``_slice`` = floor((t - _slo) / _swidth) for hot keys, 0 otherwise;
-    monotone in t within a key.  Up to ``MAX_LITERAL_KEYS`` hot keys become
-    literals; more are joined (broadcast only if the planner measures them small)."""
+def _position(t: Column, tie: Column | None) -> Column:
+    """Rank of a row in the scan order, as one fixed-width key (NULL ties first)."""
+    return order_key(t, F.lit(_LOWEST) if tie is None else F.coalesce(tie.cast("long"), F.lit(_LOWEST)))
+
+
+def slice_cuts(df: DataFrame, hot: DataFrame, keys: list[str], t_col: str, rows_per_slice: int,
+               tie_col: str | None = None) -> DataFrame:
+    """``keys`` and ``_cuts``: the ascending positions at which the slices of
+    the hot keys begin (all but the first).  No slice has more than about
+    ``rows_per_slice`` rows, unless rows agree in both order columns."""
+    parts = -(-hot.agg(F.max("_n")).first()[0] // rows_per_slice)
+    at = [i / parts for i in range(1, parts)]
+    accuracy = max(10_000, 20 * parts)
+    own = df.join(hot.select(*keys), keys, "left_semi")
+    marks = own.groupBy(*keys).agg(F.percentile_approx(t_col, at, accuracy).alias("_q"))
+    marks = marks.select(*keys, F.explode(F.col("_q").cast("array<bigint>")).alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    cuts = marks.select(*keys, _position(F.col("_v"), None).alias("_p"))
+    if tie_col is not None:
+        # a time that is two quantiles at once fills a slice alone
+        full = marks.where("_c > 1").select(*keys, "_v")
+        within = (own.select(*keys, F.col(t_col).alias("_v"), F.col(tie_col).alias("_tie")).join(full, [*keys, "_v"])
+                     .groupBy(*keys, "_v").agg(F.percentile_approx("_tie", at, accuracy).alias("_q")))
+        within = within.select(*keys, "_v", F.explode(F.col("_q").cast("array<bigint>")).alias("_tie"))
+        cuts = (cuts.unionByName(full.select(*keys, _position(F.col("_v") + 1, None).alias("_p")))
+                    .unionByName(within.select(*keys, _position(F.col("_v"), F.col("_tie")).alias("_p"))))
+    return cuts.groupBy(*keys).agg(F.sort_array(F.collect_set("_p")).alias("_cuts"))
+
+
+def _cuts_before(cuts: Column, position: Column, steps: int) -> Column:
+    """How many of the ascending ``cuts`` are at or before ``position``, by binary search."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        after = F.get(cuts, mid) <= position
+        done = s["lo"] >= s["hi"]
+        return F.struct(F.when(done | ~after, s["lo"]).otherwise(mid + 1).alias("lo"),
+                        F.when(done | after, s["hi"]).otherwise(mid).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["lo"].cast("long"))
+
+
+def apply_slices(df: DataFrame, cuts: DataFrame, n_hot: int, keys: list[str], t_col: str,
+                 tie_col: str | None = None) -> DataFrame:
+    """Add ``_slice``, the cuts of the row's key at or before it; 0 for
+    ordinary keys.  Few cuts become literals; more are joined (broadcast only
+    if the planner measures them small)."""
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long"))
-    if n_hot <= MAX_LITERAL_KEYS:
-        return _literal_slices(df, hot.collect(), keys, t_col)
-    x = f"({t_col} - _slo)"
-    return (df.join(hot.drop("_smax", "_n"), keys, "left")
-              .withColumn("_slice", F.coalesce(F.expr(f"({x} - pmod({x}, _swidth)) div _swidth"),
-                                               F.lit(0).cast("long")))
-              .drop("_slo", "_swidth"))
-
-
-def add_slices(df: DataFrame, keys: list[str], t_col: str,
+    total, most = cuts.agg(F.sum(F.size("_cuts")), F.max(F.size("_cuts"))).first()
+    position = _position(F.col(t_col), None if tie_col is None else F.col(tie_col))
+    steps = int(most or 0).bit_length() + 1
+    if n_hot <= MAX_LITERAL_KEYS and (total or 0) <= MAX_LITERAL_CUTS:
+        own = None
+        for r in cuts.collect():
+            match = None
+            for k in keys:
+                cond = F.col(k) == F.lit(r[k])
+                match = cond if match is None else (match & cond)
+            value = F.array(*[F.lit(c) for c in r["_cuts"]]).cast(_CUTS)
+            own = F.when(match, value) if own is None else own.when(match, value)
+        df = df.withColumn("_cuts", own if own is not None else F.lit(None).cast(_CUTS))
+    else:
+        df = df.join(cuts, keys, "left")
+    found = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(_cuts_before(F.col("_cuts"), position, steps))
+    return df.withColumn("_slice", found).drop("_cuts")
+
+
+def add_slices(df: DataFrame, keys: list[str], order_cols: list[str],
                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
                key_bound: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced).
 
     ``key_bound``: a proven bound on the number of distinct keys (e.g. the
-    number of subtasks, at most 50).  The per-key summary (at most that many
-    rows) is read on the driver: without hot keys the plain window is used,
-    otherwise the slice widths become literal expressions (no join)."""
-    if key_bound is not None and key_bound <= MAX_LITERAL_KEYS:
-        # At most key_bound (e.g. subtasks <= 50) summary rows: read them on
-        # the driver and turn the slice widths into literal expressions.
-        if df.isStreaming:
-            raise ValueError("ordered scans are batch operators; use the streaming processors")
-        stats = (df.groupBy(*keys)
-                   .agg(F.count(F.lit(1)).alias("_n"), F.min(t_col).alias("_lo"), F.max(t_col).alias("_hi")))
-        rows = stats.collect()
-        if len(rows) > key_bound:
-            raise ValueError(f"more than {key_bound} distinct keys")
-        hot = [dict(r.asDict(), _slo=r["_lo"], _swidth=(r["_hi"] - r["_lo"]) // -(-r["_n"] // rows_per_slice) + 1)
-               for r in rows if r["_n"] > rows_per_slice]
-        if not hot:
-            return df.withColumn("_slice", F.lit(0).cast("long")), False
-        return _literal_slices(df, hot, keys, t_col), True
-    hot, n_hot = hot_keys(df, keys, t_col, rows_per_slice)
-    return apply_slices(df, hot, n_hot, keys, t_col), n_hot > 0
+    number of subtasks); more keys are an error at every size."""
+    hot, n_hot = hot_keys(df, keys, rows_per_slice)
+    if key_bound is not None and n_hot > key_bound:
+        raise ValueError(f"more than {key_bound} distinct keys")
+    if n_hot == 0:
+        return df.withColumn("_slice", F.lit(0).cast("long")), False
+    tie = next((c for c in order_cols[1:2] if dict(df.dtypes)[c] in ("bigint", "int", "smallint", "tinyint")), None)
+    ensure_checkpoint_dir(df.sparkSession)
+    cuts = slice_cuts(df, hot, keys, order_cols[0], rows_per_slice, tie).checkpoint()
+    return apply_slices(df, cuts, n_hot, keys, order_cols[0], tie), True
 
 
 def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "_seq",
@@ -136,7 +158,7 @@ def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out:
     """1-based ``row_number`` per ``keys`` in ``order_cols`` order (the first
     order column must be the numeric time), parallel within hot keys."""
     df = placed(df, keys, order_cols[0])
-    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, key_bound)
+    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice, key_bound)
     if not any_hot:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
@@ -156,7 +178,7 @@ def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], va
     value column per ``keys`` in order, current row included, nulls skipped.
     Adds ``{v}_rcount, {v}_rsum, {v}_rmin, {v}_rmax, {v}_rss``."""
     df = placed(df, keys, order_cols[0])
-    sliced, any_hot = add_slices(df, keys, order_cols[0], rows_per_slice, key_bound)
+    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice, key_bound)
 
     def sq(v: str) -> Column:
         return F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)")
@@ -225,10 +247,12 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     # hot keys are judged on the rows (the large side); markers take the same
     # slice boundaries.  A sliced scan reads the markers twice, so their plan
     # (a fold) is run once and kept.
-    hot, n_hot = hot_keys(rows, keys, t_col, rows_per_slice)
+    hot, n_hot = hot_keys(rows, keys, rows_per_slice)
     any_hot = n_hot > 0
+    cuts = None
     if any_hot:
         ensure_checkpoint_dir(rows.sparkSession)
+        cuts = slice_cuts(rows, hot, keys, t_col, rows_per_slice).checkpoint()
         markers = markers.select(*dict.fromkeys([*keys, marker_t, *payload])).checkpoint()
     r = rows.select("*", F.col(t_col).alias("_t"), F.lit(1).alias("_kind"))
     # At equal t a marker sorts before the row when strict (it must not be
@@ -243,7 +267,7 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     both = (r.withColumn("_m", F.lit(None).cast(mk.schema["_m"].dataType))
              .withColumn("_tb", F.lit(None).cast("long")).select(*m_full.columns))
     both = both.unionByName(m_full)
-    sliced = apply_slices(both, hot, n_hot, keys, "_t")
+    sliced = apply_slices(both, cuts, n_hot, keys, "_t")
     part = keys + (["_slice"] if any_hot else [])
     # a hash of the payload breaks ties between markers of equal time, so the
     # pick is the same in every run (recomputed tasks give identical rows)
@@ -256,9 +280,9 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
                         .groupBy(*keys, "_slice")
                         .agg(*[F.min_by(f"_m.{p}", k).alias(f"_f_{p}") for p in payload]))
         # Every slice of a hot key needs the first marker of the slices after
-        # it.  The slices are known from the hot-key table (0.._smax), so the
-        # row stream is not read again for them.
-        hot_slices = hot.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_smax"))).alias("_slice"))
+        # it.  The slices are known from the cuts, so the row stream is not read
+        # again for them.
+        hot_slices = cuts.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.size("_cuts").cast("long"))).alias("_slice"))
         carry_all = _carry_for_all(hot_slices, firsts, keys, payload)
         found = (found.join(carry_all, keys + ["_slice"], "left")
                       .withColumn("_found", F.coalesce("_found", "_carry"))

@@ -94,3 +94,30 @@ def test_exact_quantiles(spark):
         for q in (0.0, 0.5, 0.9, 1.0):
             assert got[f"{name}_p{round(100 * q)}"] == own[max(math.ceil(q * len(own)) - 1, 0)]
     assert got.a_p50 == statistics.median_low(values)
+
+
+def slice_sizes(df, keys, order, n):
+    from auctionflow.plans.ordered import add_slices
+    sliced, hot = add_slices(df, keys, order, n)
+    assert hot
+    return [r["count"] for r in sliced.groupBy(*keys, "_slice").count().collect()]
+
+
+def test_slices_are_even_beside_an_outlier_a_burst_and_equal_times(spark):
+    even = spark.range(10_000).select(F.lit(1).cast("long").alias("k"), (F.col("id") * 50 + 10**12).alias("ts"), F.col("id").alias("tie"))
+    outlier = even.unionByName(spark.sql("SELECT 1L k, 0L ts, -1L tie"))
+    burst = even.withColumn("ts", F.when(F.col("tie") % 10 < 8, F.col("tie") % 7 + 10**12).otherwise(F.col("ts")))
+    same = even.withColumn("ts", F.lit(10**12))
+    for df in (even, outlier, burst, same):
+        sizes = slice_sizes(df, ["k"], ["ts", "tie"], 100)
+        assert max(sizes) <= 200 and sum(sizes) == df.count()
+        few, one = (sequence_numbers(df, ["k"], ["ts", "tie"], "seq", rows_per_slice=n) for n in (500, BIG))
+        assert rows(few) == rows(one)
+
+
+def test_many_hot_keys_join_their_cuts(spark, monkeypatch):
+    from auctionflow.plans import ordered
+    monkeypatch.setattr(ordered, "MAX_LITERAL_KEYS", 2)
+    df = spark.range(4_000).select((F.col("id") % 5).alias("k"), (F.col("id") % 97).alias("ts"), F.col("id").alias("tie"))
+    few, one = (sequence_numbers(df, ["k"], ["ts", "tie"], "seq", rows_per_slice=n) for n in (50, BIG))
+    assert rows(few) == rows(one)
