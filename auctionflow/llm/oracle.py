@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from auctionflow.llm.quality import CLASS_LIMIT, COMMON, WORD_LIMIT
+
 # The words taken from a source follow from prefix sums in md5 order; targets level off at twice a source's size.
 OP4 = r"""
 WITH RECURSIVE d AS (
@@ -30,4 +32,130 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-ORACLE: dict[str, str] = {"op4_curriculum_mix": OP4}
+# Shares of character classes and common words against the sums of the language's longer documents.
+OP5 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), tri AS (
+  SELECT r, i, w[i:i+2] AS k FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM tri) WHERE n > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + j) AS n FROM twice, range(0, 3) AS x(j) GROUP BY r
+), c AS (
+  SELECT d.*, regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS c0 FROM d
+), c1 AS (SELECT *, regexp_replace(c0, '[a-z]+', '', 'g') AS a1 FROM c
+), c2 AS (SELECT *, regexp_replace(a1, '[A-Z]+', '', 'g') AS a2 FROM c1
+), c3 AS (SELECT *, regexp_replace(a2, '[0-9]+', '', 'g') AS a3 FROM c2
+), c4 AS (SELECT *, regexp_replace(a3, '[#*$%&|<>]+', '', 'g') AS a4 FROM c3
+), c5 AS (SELECT *, regexp_replace(a4, '[.,;:!?''\"()-]+', '', 'g') AS a5 FROM c4
+), c6 AS (SELECT *, regexp_replace(a5, '\p{L}+', '', 'g') AS a6 FROM c5
+), m AS (
+  SELECT c6.r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(c0) AS BIGINT) AS word_chars,
+         CAST(length(a3) - length(a4) AS BIGINT) AS n_symbols,
+         CAST(len([x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')])
+              - len(list_distinct([x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')])) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(v.n, 0) AS BIGINT) AS n_repeat_words,
+         [length(c0) - length(a1), length(a1) - length(a2), length(a2) - length(a3), length(a3) - length(a4),
+          length(a4) - length(a5), length(a5) - length(a6), length(a6), length(t) - length(c0)] AS classes,
+         [len([z FOR z IN low IF z = x]) FOR x IN COMMON_LISTS] AS hits
+  FROM (SELECT *, [lower(y) FOR y IN w] AS low FROM c6) c6 LEFT JOIN covered v ON v.r = c6.r
+), h AS (
+  SELECT *, CASE WHEN len(hits) > 0 THEN list_append(hits, n_words - list_sum(hits)) ELSE hits END AS common FROM m
+), bins AS (
+  SELECT r, lang, n_words, 'c' AS kind, unnest(range(0, 8)) AS i, unnest(classes) AS n FROM h
+  UNION ALL
+  SELECT r, lang, n_words, 'w', unnest(range(0, CAST(len(common) AS BIGINT))), unnest(common) FROM h WHERE len(common) > 0
+), p AS (
+  SELECT *, n / CAST(sum(n) OVER (PARTITION BY r, kind) AS DOUBLE) AS share FROM bins
+), q AS (
+  SELECT lang, kind, i, sum(n) / CAST(sum(sum(n)) OVER (PARTITION BY lang, kind) AS DOUBLE) AS share
+  FROM bins WHERE n_words >= 50 GROUP BY lang, kind, i
+), js AS (
+  SELECT p.r, p.kind, sqrt(greatest(sum(
+    (CASE WHEN p.share > 0 THEN p.share * log2(2 * p.share / (p.share + q.share)) ELSE 0 END
+     + CASE WHEN q.share > 0 THEN q.share * log2(2 * q.share / (p.share + q.share)) ELSE 0 END) / 2), 0)) AS x
+  FROM p JOIN q USING (lang, kind, i) WHERE p.n_words >= CASE WHEN p.kind = 'c' THEN 50 ELSE 100 END
+  GROUP BY p.r, p.kind
+), far AS (
+  SELECT DISTINCT r FROM js WHERE x > CASE WHEN kind = 'c' THEN CLASS_LIMIT ELSE WORD_LIMIT END
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND far.r IS NULL AS kept
+FROM h LEFT JOIN far USING (r)
+"""
+
+OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, w[i:i+2] AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a
+), least_ AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least_ USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+OP8 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<turn><text></turn>') + length(replace(replace(role, '\', '\\'), '<', '\l'))
+                + length(replace(replace(text, '\', '\\'), '<', '\l'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+OP9 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), least_ AS (
+  SELECT k, min(doc_id) AS m FROM win GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, i + j AS i FROM win JOIN least_ USING (k), range(0, 13) AS x(j) WHERE doc_id > m
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
+"""
+
+
+def _op5() -> str:
+    lists = "CASE lang " + " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in COMMON.items()) + " ELSE [] END"
+    return OP5.replace("COMMON_LISTS", lists).replace("CLASS_LIMIT", repr(CLASS_LIMIT)).replace("WORD_LIMIT", repr(WORD_LIMIT))
+
+
+ORACLE: dict[str, str] = {
+    "op4_curriculum_mix": OP4,
+    "op5_divergence_quality": _op5(),
+    "op6_similarity_sketch_dedup": OP6,
+    "op8_offset_masks": OP8,
+    "op9_lempel_ziv_substrings": OP9,
+}

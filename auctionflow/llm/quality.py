@@ -25,6 +25,10 @@ COMMON = {
 }
 
 
+#: Largest distances from the language's reference.
+CLASS_LIMIT, WORD_LIMIT = 0.25, 0.24
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of ``value``, which is computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -78,7 +82,7 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(_sum(F.zip_with(p, q, lambda a, b: (part(a, b) + part(b, a)) / 2)), F.lit(0.0)))
 
 
-def judged(docs: DataFrame, class_limit: float = 0.25, word_limit: float = 0.45, class_words: int = 50, word_words: int = 100) -> DataFrame:
+def judged(docs: DataFrame, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT, class_words: int = 50, word_words: int = 100) -> DataFrame:
     """Every row's base measures, base_failed, class_distance, word_distance and kept.
 
     base_failed: fewer than 50 words, or more than half of the words in repeated 3-word windows.  The class rule holds

@@ -23,13 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auctionflow.llm.minhash import band_keys, shingle_set, sketches
 from auctionflow.llm.shared import texts
 
 _TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)
-#: Training documents of either label at most, chosen by hash of the id; and those whose tokens fit the CRF.
-TRAIN_DOCS = {1: 1500, 0: 3000}
+#: Labelled training documents at most, chosen by hash of the id whatever their label (the labels' shares are part of the
+#: evidence); and those of either label whose tokens fit the CRF.
+TRAIN_DOCS = 6000
 CRF_DOCS = 300
+#: How much more frequent a telling feature is in toxic documents.
+LIFT = 5
 #: Words whose emission a worker remembers.
 MOST_WORDS = 300_000
 
@@ -144,9 +148,9 @@ def aggregated(p: np.ndarray, owner: np.ndarray, docs: int) -> np.ndarray:
 
 
 def telling(docs: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Features tied to the toxic label: at least half of their occurrences are in toxic documents, and the likelihood
-    ratio of their documents against chance is beyond 2 log(number of features tried).  A document with n occurrences
-    counts 1 + log(n) times there."""
+    """Features tied to the toxic label: they are ``LIFT`` times as frequent in toxic documents as in clean ones, at
+    least a third of their occurrences are there, and the likelihood ratio of their documents against chance is beyond
+    2 log(number of features tried).  A document with n occurrences counts 1 + log(n) times there."""
     base = float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
     found: dict[int, tuple[Counter, Counter]] = {1: (Counter(), Counter()), 0: (Counter(), Counter())}  # documents' weight, occurrences
     seen: Counter = Counter()
@@ -171,7 +175,8 @@ def telling(docs: list[list[str]], labels: np.ndarray) -> set[str]:
     for f in tried:
         k, n = found[1][0][f], found[1][0][f] + found[0][0][f]
         rate = k / n
-        if rate <= base or found[1][1][f] < found[0][1][f]:
+        toxic, clean = found[1][1][f], found[0][1][f]
+        if rate <= base or 2 * toxic < clean or toxic * (1 - base) < LIFT * clean * base:
             continue
         gain = 2 * (k * math.log(rate / base) + ((n - k) * math.log((1 - rate) / (1 - base)) if k < n else 0.0))
         if gain >= least:
@@ -179,8 +184,24 @@ def telling(docs: list[list[str]], labels: np.ndarray) -> set[str]:
     return chosen
 
 
+def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """One of each group of alike texts, the first: copies of one document are no further evidence."""
+    seen: set[int] = set()
+    out = []
+    for start in range(0, len(rows), 500):
+        part = rows[start:start + 500]
+        sets = [shingle_set(text, 3) for text, _ in part]
+        for row, own, keys in zip(part, sets, band_keys(sketches(sets, 12), 2).tolist()):
+            if not len(own) or not seen.intersection(keys):
+                out.append(row)
+            if len(own):
+                seen.update(keys)
+    return out
+
+
 def fit(rows: list[tuple[str, int]], steps: int = 40, ridge: float = 1e-3) -> Model:
     """The model of labelled texts (text, 0 or 1).  Without both labels nothing can be learned: every score is low."""
+    rows = without_copies(rows)
     labels = np.array([int(bool(y)) for _, y in rows], dtype=np.int64)
     if not len(rows) or labels.min() == labels.max():
         return Model()
@@ -277,23 +298,17 @@ def held_out(doc: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> Model:
-    """Fit on labelled documents that are not held out: at most ``most[label]`` of either label, chosen by hash of the id.
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
+    """Fit on labelled documents that are not held out: at most ``most``, chosen by hash of the id.
 
     The bound keeps the driver's memory fixed; it is a parameter.  Rows of ``labels`` with null id or label don't count;
     an id labelled twice takes the larger label.
     """
-    most = most or TRAIN_DOCS
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = known.where(~held_out())
-    rows: list[tuple[int, int]] = []
-    for label, n in most.items():
-        chosen = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-        rows += [(r["doc_id"], label) for r in chosen.select("doc_id").collect()]
+    rows = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
     if not rows:
         return Model()
-    spark = docs.sparkSession
-    ids = spark.createDataFrame(rows, "doc_id long, toxic int")  # at most sum(most) rows
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in rows], "doc_id long, toxic int")  # ``most`` rows
     of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = of.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id")
     return fit([(r["text"], r["toxic"]) for r in found.collect()])
