@@ -84,7 +84,7 @@ def _new_user_auctions_session(persons: DataFrame, auctions: DataFrame, gap_ms:
                    .agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"),
                         F.expr("max(ingestion_ts) FILTER (WHERE _is_a)").alias("_a_ing"),
                         F.expr("max_by(ts, _k) FILTER (WHERE _is_a)").alias("_a_ts")))
-    sess = session_ids(buckets, ["person_id"], gap_ms, rows_per_slice=rows_per_slice)
+    sess = session_ids(buckets, ["person_id"], gap_ms, rows_per_slice=rows_per_slice, at_most=both)
     a_sess = (sess.withColumn("_k", order_key("_a_ing", "_a_ts", b_desc=True))
                   .groupBy("person_id", "_sid")
                   .agg((F.max("_hi") + F.lit(gap_ms)).alias("_end"), F.max("_a_ing").alias("_a_ing"),

@@ -103,7 +103,8 @@ def _fold_batches(batches):
 
 
 def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None = None,
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, chain_rows: int = DEFAULT_CHAIN_ROWS,
+                at_most: DataFrame | None = None) -> DataFrame:
     """Annotate every row with its round: ``round_no`` (1-based per key),
     ``open_t``, ``round_close`` and ``opener``.  Rows are renamed to ``key``,
     ``t``, ``close_t``; other columns pass through.  ``(key, t)`` must be
@@ -118,7 +119,7 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
     inp = df.select(F.col(key).cast("long").alias("key"), F.col(t).cast("long").alias("t"),
                     close_col.cast("long").alias("close_t"), *rest)
     inp = placed(inp, ["key", "close_t"], "t")
-    hot, n_hot = hot_keys(inp, ["key"], chain_rows)
+    hot, n_hot = hot_keys(inp, ["key"], chain_rows, at_most)
     if n_hot == 0:
         return _fold_sorted(inp, tie)
     hk = hot.select("key")
@@ -163,7 +164,8 @@ def auction_rounds(auctions: DataFrame, rows_per_slice: int = DEFAULT_ROWS_PER_S
     firsts = (auctions.groupBy("auction_id", "ts")
                       .agg(F.min_by(F.col("end"), order_key("ingestion_ts", "item_id")).alias("end"),
                            F.count(F.lit(1)).alias("_n")))
-    folded = fold_rounds(firsts, "auction_id", "ts", "end", rows_per_slice=rows_per_slice, chain_rows=chain_rows)
+    folded = fold_rounds(firsts, "auction_id", "ts", "end", rows_per_slice=rows_per_slice, chain_rows=chain_rows,
+                         at_most=auctions)
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")
                   .agg(F.min("open_t").alias("open_ts"), F.min("round_close").alias("close_ts"),
                        F.sum("_n").alias("auctions_in_round")))
@@ -188,7 +190,8 @@ def last_bids_per_round(bids: DataFrame, auctions: DataFrame, strict: bool = Fal
     b = (bids.groupBy("auction_id", "ts")
              .agg(F.max("ingestion_ts").alias("_ing"), F.count(F.lit(1)).alias("_n")))
     owned = next_marker(b, rounds, ["auction_id"], "ts", "close_ts",
-                        ["round_no", "open_ts", "close_ts"], strict=True, rows_per_slice=rows_per_slice)
+                        ["round_no", "open_ts", "close_ts"], strict=True, rows_per_slice=rows_per_slice,
+                        at_most=bids)
     owned = owned.where(F.col("round_no").isNotNull())
     if strict:
         owned = owned.where(F.col("ts") >= F.col("open_ts"))
@@ -209,7 +212,7 @@ def bid_rounds(bids: DataFrame, duration_ms: int, rows_per_slice: int = DEFAULT_
                   .agg(F.max("bid").alias("_max"), F.count(F.lit(1)).alias("_n"),
                        F.min("ingestion_ts").alias("_ing")))
     folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms),
-                         rows_per_slice=rows_per_slice, chain_rows=chain_rows)
+                         rows_per_slice=rows_per_slice, chain_rows=chain_rows, at_most=bids)
     return (folded.groupBy(F.col("key").alias("auction_id"), "round_no")
                   .agg(F.min("open_t").alias("round_start"), F.min("round_close").alias("round_end"),
                        F.max("_max").alias("max_price"), F.max("t").alias("last_ts"),
@@ -232,7 +235,7 @@ def bid_round_snapshots(bids: DataFrame, duration_ms: int, n: int = 300_000, sub
     order = ["ts", "ingestion_ts", "bid_id"]
     per_ts = bids.groupBy("auction_id", "ts").agg(F.count(F.lit(1)).alias("_n"))
     folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms),
-                         rows_per_slice=rows_per_slice, chain_rows=chain_rows)
+                         rows_per_slice=rows_per_slice, chain_rows=chain_rows, at_most=bids)
     b = (bids.select("auction_id", *order, "bid")
              .join(folded.select(F.col("key").alias("auction_id"), F.col("t").alias("ts"), "round_no"),
                    ["auction_id", "ts"]))

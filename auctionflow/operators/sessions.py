@@ -29,7 +29,7 @@ def gap_bucket(ts_col: str, gap_ms: int) -> Column:
 
 
 def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo", hi: str = "_hi",
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | None = None) -> DataFrame:
     """Number the sessions of a bucket table (one row per key and bucket with
     the min ``lo`` / max ``hi`` event time).  Adds ``_sid`` (per key).  Buckets
     without a key or time are dropped.
@@ -41,7 +41,7 @@ def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo
     if buckets.isStreaming:
         raise ValueError("use session_window on streams")
     buckets = placed(buckets, keys, "_bucket")
-    sliced, any_hot = add_slices(buckets, keys, ["_bucket"], rows_per_slice)
+    sliced, any_hot = add_slices(buckets, keys, ["_bucket"], rows_per_slice, at_most=at_most)
     if not any_hot:
         w = Window.partitionBy(*keys).orderBy("_bucket")
         prev_hi = F.lag(hi).over(w)
@@ -77,7 +77,7 @@ def session_table(df: DataFrame, keys: list[str], gap_ms: int, ts_col: str = "ts
     session_end`` (end = last event + gap, as ``session_window``)."""
     b = (df.groupBy(*keys, gap_bucket(ts_col, gap_ms).alias("_bucket"))
            .agg(F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")))
-    b = session_ids(b, keys, gap_ms, rows_per_slice=rows_per_slice)
+    b = session_ids(b, keys, gap_ms, rows_per_slice=rows_per_slice, at_most=df)
     w = Window.partitionBy(*keys, "_sid")
     return b.select(*keys, "_bucket",
                     F.min("_lo").over(w).alias("session_start"),
@@ -106,7 +106,7 @@ def bidder_sessions(bids: DataFrame, gap_ms: int, allowed_lateness_ms: int = 0,
     b = (bids.groupBy(key, gap_bucket("ts", gap_ms).alias("_bucket"))
              .agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"),
                   F.max("ingestion_ts").alias("_ing"), F.count(F.lit(1)).alias("_n")))
-    b = session_ids(b, [key], gap_ms, rows_per_slice=rows_per_slice)
+    b = session_ids(b, [key], gap_ms, rows_per_slice=rows_per_slice, at_most=bids)
     return (b.groupBy(key, "_sid")
              .agg(F.min("_lo").alias("session_start"), F.max("_hi").alias("last_ts"),
                   F.max("_ing").alias("last_ingestion_ts"), F.sum("_n").alias("bid_count"))

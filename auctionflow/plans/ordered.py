@@ -50,11 +50,18 @@ def placed(df: DataFrame, keys: list[str], t_col: str) -> DataFrame:
     return df
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> tuple[DataFrame, int]:
+def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+             at_most: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_slice`` rows and their count ``_n``; and
-    the number of such keys."""
+    the number of such keys.
+
+    ``at_most`` is a cheaper table with at least as many rows, such as the
+    scan that ``df`` aggregates.  If even all its rows fit one slice, no key
+    is hot and the plan behind ``df`` is not run."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
+    if at_most is not None and at_most.count() <= rows_per_slice:
+        return df.sparkSession.createDataFrame([], df.select(*keys, F.lit(0).cast("long").alias("_n")).schema), 0
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(rows_per_slice))
     # One job in the common case: up to MAX_LITERAL_KEYS hot keys come back
     # as local rows; more are written once and stay a distributed table.
@@ -136,14 +143,9 @@ def apply_slices(df: DataFrame, cuts: DataFrame, n_hot: int, keys: list[str], t_
 
 def add_slices(df: DataFrame, keys: list[str], order_cols: list[str],
                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-               key_bound: int | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced).
-
-    ``key_bound``: a proven bound on the number of distinct keys (e.g. the
-    number of subtasks); more keys are an error at every size."""
-    hot, n_hot = hot_keys(df, keys, rows_per_slice)
-    if key_bound is not None and n_hot > key_bound:
-        raise ValueError(f"more than {key_bound} distinct keys")
+               at_most: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced)."""
+    hot, n_hot = hot_keys(df, keys, rows_per_slice, at_most)
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long")), False
     tie = next((c for c in order_cols[1:2] if dict(df.dtypes)[c] in ("bigint", "int", "smallint", "tinyint")), None)
@@ -153,12 +155,11 @@ def add_slices(df: DataFrame, keys: list[str], order_cols: list[str],
 
 
 def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "_seq",
-                     rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                     key_bound: int | None = None) -> DataFrame:
+                     rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """1-based ``row_number`` per ``keys`` in ``order_cols`` order (the first
     order column must be the numeric time), parallel within hot keys."""
     df = placed(df, keys, order_cols[0])
-    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice, key_bound)
+    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice)
     if not any_hot:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
@@ -172,13 +173,12 @@ def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out:
 
 
 def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str],
-                       rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                       key_bound: int | None = None) -> DataFrame:
+                       rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
     """Running count / sum / min / max / sum of squares (DECIMAL) of each
     value column per ``keys`` in order, current row included, nulls skipped.
     Adds ``{v}_rcount, {v}_rsum, {v}_rmin, {v}_rmax, {v}_rss``."""
     df = placed(df, keys, order_cols[0])
-    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice, key_bound)
+    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice)
 
     def sq(v: str) -> Column:
         return F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)")
@@ -230,7 +230,7 @@ def _add_nullable(a: Column, b: Column) -> Column:
 
 def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str, marker_t: str,
                 payload: list[str], strict: bool = True,
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | None = None) -> DataFrame:
     """As-of lookup forward: for every row, the payload of the first marker of
     the same key with ``marker_t > t`` (``>=`` when ``strict`` is False);
     among markers of equal time the one with the smallest payload hash wins.
@@ -247,7 +247,7 @@ def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str
     # hot keys are judged on the rows (the large side); markers take the same
     # slice boundaries.  A sliced scan reads the markers twice, so their plan
     # (a fold) is run once and kept.
-    hot, n_hot = hot_keys(rows, keys, rows_per_slice)
+    hot, n_hot = hot_keys(rows, keys, rows_per_slice, at_most)
     any_hot = n_hot > 0
     cuts = None
     if any_hot:
