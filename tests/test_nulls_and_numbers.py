@@ -121,3 +121,22 @@ def test_many_hot_keys_join_their_cuts(spark, monkeypatch):
     df = spark.range(4_000).select((F.col("id") % 5).alias("k"), (F.col("id") % 97).alias("ts"), F.col("id").alias("tie"))
     few, one = (sequence_numbers(df, ["k"], ["ts", "tie"], "seq", rows_per_slice=n) for n in (50, BIG))
     assert rows(few) == rows(one)
+
+
+@pytest.mark.parametrize("series,std", [({"person": "person", "auction": "auction", "flight": "flightTime"}, False),
+                                        ({"bid": "bidLatency", "flight": "flightTime"}, False),
+                                        ({"bid": "bidLatency", "flight": "flightTime"}, True)])
+def test_stream_state_holds_day_long_latencies(series, std):
+    """K1-K4: 5,000 rows of 24 h keep every state field in 64 bits, and the last line is exact."""
+    from auctionflow.operators import latency
+    from auctionflow.streaming.processors import RunningLatency
+    names = latency.Q8_COLUMNS if "person" in series else latency.WINNING_COLUMNS if std else latency.BID_COLUMNS
+    p = RunningLatency(names, series, std)
+    state, line = p.initial_state(), None
+    values = [-86_399_999 + i % 7 for i in range(5_000)]
+    for v in values:
+        line = p.on_event((3,), state, {"processed_ts": 1, "emit": True, **dict.fromkeys(series, v)})[0]
+        assert set(state) == {n for n, _ in p.state_fields} and all(x is None or abs(x) < 2**63 for x in state.values())
+    assert line.flightTimeCount == 5_000 and line.flightTimeMean == sum(values) / 5_000 and line.flightTimeMax == max(values)
+    if std:
+        assert line.flightTimeStd == pytest.approx(statistics.stdev(values), rel=1e-12) and line.flightTimeSum == sum(values)
