@@ -149,26 +149,58 @@ def fullest(lengths: list[int], counts: dict[int, int], room: int) -> dict[int,
     return chosen
 
 
-def plan_bins(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
-    """[(how many bins, {length: copies in each}), ...] over all pieces of ``histogram`` ({length: pieces})."""
+def _slack_plan(histogram: dict[int, int], capacity: int, held: int) -> list[tuple[int, dict[int, int]]]:
+    """Minimum bin slack over the lengths above ``held``; the shorter ones then fill what is left in those bins, the
+    narrowest first, by the same step, and the rest of them are packed alike."""
     counts = {length: n for length, n in histogram.items() if n > 0}
-    assert all(0 < length <= capacity for length in counts)
-    order, plan = sorted(counts, reverse=True), []
-    while order:
-        seed = order[0]
-        counts[seed] -= 1
-        room = capacity - seed
-        chosen = fullest([x for x in order if x <= room], counts, room)
-        counts[seed] += 1
-        chosen[seed] = chosen.get(seed, 0) + 1
-        bins = min(counts[x] // n for x, n in chosen.items())
-        for x, n in chosen.items():
+    plan: list[tuple[int, dict[int, int]]] = []
+
+    def pack_all(order: list[int]) -> None:
+        while order:
+            seed = order[0]
+            counts[seed] -= 1
+            chosen = fullest([x for x in order if x <= capacity - seed], counts, capacity - seed)
+            counts[seed] += 1
+            chosen[seed] = chosen.get(seed, 0) + 1
+            take(min(counts[x] // n for x, n in chosen.items()), chosen, chosen)
+            order = [x for x in order if counts[x]]
+
+    def take(bins: int, used: dict[int, int], chosen: dict[int, int]) -> None:
+        for x, n in used.items():
             counts[x] -= bins * n
-        order = [x for x in order if counts[x]]
         plan.append((bins, chosen))
+
+    pack_all(sorted((x for x in counts if x > held), reverse=True))
+    open_bins = sorted(((capacity - sum(x * n for x, n in chosen.items()), bins, chosen) for bins, chosen in plan), key=lambda b: b[0])
+    plan.clear()
+    for room, bins, chosen in open_bins:
+        while bins:
+            more = fullest([x for x in sorted(counts, reverse=True) if x <= min(held, room) and counts[x]], counts, room)
+            now = min([bins, *(counts[x] // n for x, n in more.items())])
+            take(now, more, chosen | more)
+            bins -= now
+    pack_all(sorted((x for x in counts if counts[x]), reverse=True))
     return plan
 
 
+def plan_bins(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """[(how many bins, {length: copies in each}), ...] over all pieces of ``histogram`` ({length: pieces}).
+
+    Short pieces used up early are missed at the end, so the plan is made with several shares of the short lengths held
+    back and the one with the fewest bins is taken.  Its cost depends on ``capacity`` alone.
+    """
+    assert all(0 < length <= capacity for length, n in histogram.items() if n)
+    least = -(-sum(length * n for length, n in histogram.items()) // capacity)
+    best: list[tuple[int, dict[int, int]]] | None = None
+    for held in (0, *(capacity >> k for k in (7, 6, 5, 4, 3, 2, 1))):
+        plan = _slack_plan(histogram, capacity, held)
+        if best is None or sum(b for b, _ in plan) < sum(b for b, _ in best):
+            best = plan
+        if sum(b for b, _ in best) == least:
+            break
+    return best or []
+
+
 def _places(plan: list[tuple[int, dict[int, int]]]) -> dict[int, np.ndarray]:
     """{length: rows of (first rank, copies a bin, first bin, offset)}, ascending by rank."""
     first, places, bin_id = {}, {}, 0
