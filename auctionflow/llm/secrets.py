@@ -93,12 +93,12 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _heads(versions: DataFrame) -> DataFrame:
-    """One row (blob, text) for each distinct text of ``versions`` (path, text)."""
-    rows = addressed(versions.select("path", "text"))
-    first = rows.groupBy("blob").agg(F.min(F.coalesce(F.col("path").cast("string"), F.lit(""))).alias("path"))
-    mine = rows.select("blob", F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """One row (blob, text) for each distinct text of ``versions`` (path, text): the first by hash of its path."""
+    rows = addressed(versions.select("path", "text")).withColumn("h", F.xxhash64(F.coalesce(F.col("path").cast("string"), F.lit(""))))
+    first = rows.groupBy("blob").agg(F.min("h").alias("h"))
     # rows that repeat path and text would be scanned again, harmlessly: the ledger keeps one entry a pair
-    return mine.join(first, ["blob", "path"], "left_semi").select("blob", "text")
+    mine = rows.select("blob", "h", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return mine.join(first, ["blob", "h"], "left_semi").select("blob", "text")
 
 
 def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
