@@ -10,8 +10,8 @@ from auctionflow.llm.shared import staged
 
 
 def _priority(node: Column, turn: int) -> Column:
-    """A total order of nodes that differs from turn to turn; the node is its low half."""
-    return order_key(F.shiftright(F.xxhash64(node, F.lit(turn)), 4), node)
+    """A total order of nodes, by id in even turns and by a new hash in odd ones; the node is its low half."""
+    return order_key(F.shiftright(F.xxhash64(node, F.lit(turn)), 4) if turn % 2 else F.lit(0).cast("long"), node)
 
 
 def _node(priority: Column) -> Column:
@@ -22,8 +22,9 @@ def _node(priority: Column) -> Column:
 def components(links: DataFrame) -> DataFrame:
     """node and component (its smallest node) of every node in ``links`` (a, b: long, not null); direction doesn't count.
 
-    Each turn every node joins the neighbour (or itself) that comes first in that turn's random order, and the links
-    are contracted.  The expected number of nodes falls by a constant factor a turn, so chains take O(log n) turns too.
+    Each turn every node joins the neighbour (or itself) that comes first in that turn's order, and the links are
+    contracted.  Stars around their smallest node take one turn.  In random order the expected number of nodes falls by a
+    constant factor, so chains take O(log n) turns too.
     Every turn is staged: a lost executor costs one turn's tasks at most.
     """
     ends = lambda df, a, b: df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct()
@@ -46,3 +47,16 @@ def components(links: DataFrame) -> DataFrame:
         return rest.select(F.col("a").alias("node"), F.col("b").alias("component"))
     smallest = labels.groupBy("label").agg(F.min("node").alias("component"))
     return staged(labels.join(smallest, "label").select("node", "component"), "components")
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component; None at first) after ``links`` (a, b) join components: only links between components
+    that were different are worked on."""
+    if labels is None:
+        return components(links)
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    step = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    to = step.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = labels.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return staged(old.unionByName(step.join(labels.select("node"), "node", "left_anti")), "components")

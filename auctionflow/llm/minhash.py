@@ -6,9 +6,9 @@ rounds none is empty whatever the size of the set.  Large sets fill in a round o
 probability equal to the Jaccard similarity, with the concentration of independent samples.
 
 Bands of coordinates give candidates.  Documents with equal sets are one class first, so exact copies never meet in a
-bucket.  In each bucket all members are compared with one leader (as many pairs as rows), verified links are joined
-into components, and only pairs of one bucket that are still in different components are compared further: by more
-leaders while there are many such pairs, and at last one by one, all of them.
+bucket.  In each bucket all members are compared with one leader (as many pairs as rows) and verified links are joined
+into components.  Documents of one bucket that are still in different components then meet by an exact prefix filter
+on their shingles, which makes pairs only where a link is possible and between components only.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from auctionflow.functions.ordering import order_key
 from auctionflow.llm.bitmap import id_bitmap, in_bitmap
-from auctionflow.llm.components import components
+from auctionflow.llm.components import merged
 from auctionflow.llm.shared import mixed, rolling, staged, texts, word_hashes
 
 EMPTY = np.uint64(2 ** 64 - 1)
@@ -139,45 +140,69 @@ def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return buckets.join(named, "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
 
 
-def link_classes(buckets: DataFrame, documents: DataFrame, width: int, percent: int, most_leaders: int = 6) -> DataFrame | None:
-    """node, component of the verified links among ``buckets`` (bucket, doc; staged); None without any link."""
-    links, tested, labels, turn = None, None, None, 0
-    while True:
-        members = staged(_labelled(buckets, labels), "members")
-        lead = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        members = staged(members.join(lead.select("bucket"), "bucket"), "open")
-        n = members.count()
-        if not n:
-            return labels
-        # pairs of one bucket in different components, counted without making them
-        sizes = members.groupBy("bucket", "component").agg(F.count("*").cast("double").alias("n"))
-        cross = sizes.groupBy("bucket").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"))
-        cross = cross.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0]
-        last = turn >= most_leaders or (turn > 0 and cross <= 2 * n)
-        other = members.select("bucket", F.col("doc").alias("b"), F.col("component").alias("cb"))
-        if last:
-            pairs = members.select("bucket", F.col("doc").alias("a"), F.col("component").alias("ca")).join(other, "bucket").where("ca < cb")
-        else:
-            pick = F.xxhash64("doc", F.lit(turn)) if turn else F.col("doc")
-            ranked = members.select("bucket", "doc", "component", pick.alias("p"))
-            first = ranked.groupBy("bucket").agg(F.min("p").alias("p"))
-            heads = ranked.join(first, ["bucket", "p"]).groupBy("bucket").agg(F.min("doc").alias("a"))
-            if turn:
-                heads = heads.join(members.select("bucket", F.col("doc").alias("a"), F.col("component").alias("ca")), ["bucket", "a"])
-            else:
-                heads = heads.withColumn("ca", F.col("a"))
-            pairs = heads.join(other, "bucket").where("ca != cb")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        found = staged(verified(pairs, documents, width, percent), "found")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        if last:
-            return labels
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        turn += 1
+def leader_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b): every member of a bucket with the bucket's smallest document; no more pairs than rows."""
+    lead = buckets.groupBy("bucket").agg(F.min("doc").alias("a"))
+    return buckets.join(lead, "bucket").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
+
+
+def prefix_pairs(members: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of documents in different components of ``members`` (doc, component) that can be similar.
+
+    Exact prefix filtering: in a common order of shingles, rarest first, two similar sets share one of the first
+    n - ceil(percent * n / 100) + 1 shingles of either.  Shingles that no other member has take the first places, so a
+    document with many edits of its own is settled without a partner.  A pair is made at its first common shingle only,
+    and only if what is left of both sets there can still be similar enough.  For each shingle only the documents outside
+    its most frequent component look for partners: a large group that is linked already makes no pairs within itself.
+    """
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                sets = [shingle_set(t, width) for t in texts(part.column(2))]
+                sizes = [len(s) for s in sets]
+                rows = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(np.repeat(sizes, sizes).astype(np.int64)),
+                                                  pa.array(np.concatenate(sets).astype(np.int64))], names=["doc", "component", "n", "s"])
+
+    own = members.join(documents.select(F.col("doc_id").alias("doc"), "text"), "doc").select("doc", "component", "text")
+    each = staged(own.mapInArrow(shingle, "doc long, component long, n long, s long"), "shingles")
+    shared = each.groupBy("s").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("df > 1")
+    each = each.join(shared.select("s", "df", (F.col("lo") < F.col("hi")).alias("across")), "s")
+    # one row a document: its shared shingles in the common order; those that are in one component only make no pair
+    rows = each.groupBy("doc", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s", "across"))).alias("l"))
+    rows = rows.withColumn("alone", F.col("n") - F.size("l"))
+    length = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - F.col("alone")).cast("int")
+    rows = rows.withColumn("l", F.slice("l", F.lit(1), F.greatest(length, F.lit(0))))
+    rows = rows.withColumn("l", F.filter(F.transform("l", lambda x, i: F.struct(x["s"].alias("s"), i.alias("i"), x["across"].alias("across"))), lambda x: x["across"]))
+    rows = rows.withColumn("p", F.transform("l", lambda x: x["s"])).select("doc", "component", "n", "alone", "p", F.posexplode("l").alias("k", "x"))
+    each = staged(rows.select("doc", "component", F.col("x.s").alias("s"), (F.col("n") - F.col("alone") - F.col("x.i")).alias("rest"), "n",
+                              F.slice("p", F.lit(1), F.col("k")).alias("before")), "prefixes")
+    sizes = each.groupBy("s", "component").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("s").agg(F.max_by("component", order_key("c", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
+    outside = each.join(main, "s").where("component != main").drop("main", "k")
+    side = lambda df, t: df.select("s", *[F.col(c).alias(c + t) for c in ("doc", "component", "n", "rest", "before")])
+    # at their first common shingle a pair can share no more than what is left of either
+    most = F.least("rest_x", "rest_y")
+    alike = (F.col("component_x") != F.col("component_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
+    alike = alike & ~F.arrays_overlap("before_x", "before_y")
+    pairs = side(outside, "_x").join(side(each, "_y"), "s").where(alike)
+    return pairs.select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct()
+
+
+def link_classes(buckets: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """node, component of all similar documents that share a bucket (``buckets``: bucket, doc; staged); None if none do."""
+    pairs = staged(leader_pairs(buckets), "pairs")
+    labels = merged(None, staged(verified(pairs, documents, width, percent), "found"))
+    # documents of one bucket in different components: not all of them met
+    members = staged(_labelled(buckets, labels), "members")
+    mixed_ = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    left = staged(members.join(mixed_.select("bucket"), "bucket").select("doc", "component").distinct(), "open")
+    if left.isEmpty():
+        return labels
+    more = staged(prefix_pairs(left, documents, width, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    return merged(labels, staged(verified(more, documents, width, percent), "found"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, band_rows: int = 4) -> DataFrame:
