@@ -13,6 +13,7 @@ begins, cut into blocks that advance side by side.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -301,17 +302,26 @@ def held_out(doc: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
     """Fit on labelled documents that are not held out: at most ``most``, chosen by hash of the id.
 
-    The bound keeps the driver's memory fixed; it is a parameter.  Rows of ``labels`` with null id or label don't count;
-    an id labelled twice takes the larger label.
+    The bound keeps the memory of the one task that fits the model fixed; it is a parameter.  Rows of ``labels`` with
+    null id or label don't count; an id labelled twice takes the larger label.  The model comes back as a few hundred
+    weights.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
-    if not rows:
-        return Model()
-    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in rows], "doc_id long, toxic int")  # ``most`` rows
+    chosen = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # ``most`` narrow rows
     of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = of.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id")
-    return fit([(r["text"], r["toxic"]) for r in found.collect()])
+    found = of.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "doc_id", "text", "toxic")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, before = [], None
+        for batch in batches:
+            for doc, text, label in zip(batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3).to_pylist()):
+                if doc != before:  # rows that share an id are one document
+                    rows.append((text, label))
+                before = doc
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+
+    learned = found.repartition(1).sortWithinPartitions("h", "doc_id", "text").mapInArrow(learn, "model binary").collect()
+    return pickle.loads(bytes(learned[0]["model"])) if learned else Model()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
