@@ -30,7 +30,7 @@ SPREAD = 8
 #: Rows without doc_id come after all others.
 NO_ID = np.int64(2 ** 63 - 1)
 #: Texts are hashed in flushes of about so many characters, which bounds a task's memory.
-FLUSH_CHARS = 10_000_000
+FLUSH_CHARS = 3_000_000
 #: An anchor with this share of all windows is split; at most so many anchors can be.
 HOT_SHARE = 8192
 
@@ -150,7 +150,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = Non
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 16 * parts
+    buckets = buckets or 8 * parts
     hot = hot_anchors(rows, window)
 
     def spans_of(docs_, tags, start, source) -> pa.RecordBatch:
