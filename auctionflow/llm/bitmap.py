@@ -6,7 +6,7 @@ of long texts that cannot have a partner.  Where ids outnumber its bits it lets
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +27,34 @@ def id_bitmap(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def in_bitmap(rows: DataFrame, hash_column: str, bitmap: np.ndarray, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``rows`` and found: whether the row's hash is in ``bitmap``."""
-    schema = rows.select(*keep, F.lit(True).alias("found")).schema
+def tester(bitmap: np.ndarray) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+    """A function for tasks: call it once a task for the test of hashes (whether each is in ``bitmap``)."""
     set_words = np.flatnonzero(bitmap)
     sparse = bitmap[set_words]  # what is sent grows with the ids up to its bound
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make() -> Callable[[np.ndarray], np.ndarray]:
         words = np.zeros(1 << (BITS - 6), dtype=np.int64)
         words[set_words] = sparse
+
+        def test(hashes: np.ndarray) -> np.ndarray:
+            slot = hashes.astype(np.uint64) >> np.uint64(64 - BITS)
+            return ((words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)).astype(np.int64)) & 1).astype(bool)
+
+        return test
+
+    return make
+
+
+def in_bitmap(rows: DataFrame, hash_column: str, bitmap: np.ndarray, keep: list[str]) -> DataFrame:
+    """``keep`` columns of ``rows`` and found: whether the row's hash is in ``bitmap``."""
+    schema = rows.select(*keep, F.lit(True).alias("found")).schema
+    make = tester(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = make()
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            slot = table[hash_column].to_numpy().astype(np.uint64) >> np.uint64(64 - BITS)
-            found = (words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)).astype(np.int64)) & 1
-            yield from table.select(keep).append_column("found", pa.array(found.astype(bool))).to_batches()
+            found = test(table[hash_column].to_numpy())
+            yield from table.select(keep).append_column("found", pa.array(found)).to_batches()
 
-    return rows.select(*keep, hash_column).mapInArrow(test, schema)
+    return rows.select(*keep, hash_column).mapInArrow(run, schema)

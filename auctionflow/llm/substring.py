@@ -23,14 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auctionflow.llm.bitmap import id_bitmap, in_bitmap
+from auctionflow.llm.bitmap import id_bitmap, tester
 from auctionflow.llm.shared import mixed, rolling, staged, texts, word_hashes
 
 SPREAD = 8
 #: Rows without doc_id come after all others.
 NO_ID = np.int64(2 ** 63 - 1)
 #: Texts are hashed in flushes of about so many characters, which bounds a task's memory.
-FLUSH_CHARS = 3_000_000
+FLUSH_CHARS = 2_000_000
 #: An anchor with this share of all windows is split; at most so many anchors can be.
 HOT_SHARE = 8192
 
@@ -257,46 +257,55 @@ def without_duplicates(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     key = lambda c: F.xxhash64(F.coalesce(c, F.lit(int(NO_ID))))
-    bitmap = id_bitmap(spans.select(key(F.col("doc_id")).alias("h")))
-    marked = in_bitmap(rows.withColumn("h", key(F.col("doc_id"))), "h", bitmap, ["doc_id", "text"])
+    marked = tester(id_bitmap(spans.select(key(F.col("doc_id")).alias("h"))))
+    rows = rows.withColumn("h", key(F.col("doc_id")))
     schema = "doc_id long, n_words long, n_removed long, text string, factors array<struct<start:long,length:long,source:long>>"
     kinds = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string()),
                        ("factors", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("source", pa.int64())])))])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
-            out: list[list] = [[] for _ in kinds]
-            for doc, text, own in zip(batch.column(0).to_pylist(), texts(batch.column(1)), found):
-                words = text.encode().split()
-                parse = factors([(s["start"], s["length"], s["source"]) for s in own or []], len(words))
-                kept, at = [], 0
-                for start, length, _ in parse:
-                    kept += words[at:start]
-                    at = start + length
-                kept += words[at:]
-                for column, value in zip(out, (doc, len(words), len(words) - len(kept), b" ".join(kept).decode(),
-                                               [{"start": s, "length": n, "source": src} for s, n, src in parse])):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, kinds)], schema=kinds)
-
-    clean = marked.where("not found").select("doc_id", "text").mapInArrow(cut, schema)
+    def cut(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        out: list[list] = [[] for _ in kinds]
+        for doc, text, own in zip(batch.column(0).to_pylist(), texts(batch.column(1)), found):
+            words = text.encode().split()
+            parse = factors([(s["start"], s["length"], s["source"]) for s in own or []], len(words))
+            kept, at = [], 0
+            for start, length, _ in parse:
+                kept += words[at:start]
+                at = start + length
+            kept += words[at:]
+            for column, value in zip(out, (doc, len(words), len(words) - len(kept), b" ".join(kept).decode(),
+                                           [{"start": s, "length": n, "source": src} for s, n, src in parse])):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, kinds)], schema=kinds)
+
+    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for start in range(0, batch.num_rows, 1000):
+            yield batch.slice(start, 1000)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that cannot have spans."""
+        test = marked()
+        for part in (p for batch in batches for p in slices(batch)):
+            part = part.filter(pa.array(~test(part.column(2).to_numpy())))
+            yield cut(part, [None] * part.num_rows)
+
+    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that may have spans, with their tags."""
+        test = marked()
+        for part in (p for batch in batches for p in slices(batch)):
+            part = part.filter(pa.array(test(part.column(2).to_numpy())))
+            tags = pa.array([text_tag(t.encode()) for t in texts(part.column(1))], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), tags], names=["doc_id", "text", "tag"])
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch)):
+            yield cut(part, part.column(2).to_pylist())
+
     own = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "length", "source")).alias("spans"))
-    dirty = with_tag(marked.where("found").select("doc_id", "text"))
+    dirty = rows.mapInArrow(tagged, "doc_id long, text string, tag long")
     on = (F.coalesce(dirty["doc_id"], F.lit(int(NO_ID))) == F.coalesce(own["doc_id"], F.lit(int(NO_ID)))) & (dirty["tag"] == own["tag"])
-    dirty = dirty.join(own, on, "left").select(dirty["doc_id"], "text", "spans").mapInArrow(cut, schema)
-    return clean.unionByName(dirty)
-
-
-def with_tag(rows: DataFrame) -> DataFrame:
-    """Add tag, as of ``text_tag``, to (doc_id, text)."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tags = pa.array([text_tag(t.encode()) for t in texts(batch.column(1))], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tags], names=["doc_id", "text", "tag"])
-
-    return rows.mapInArrow(add, "doc_id long, text string, tag long")
+    dirty = dirty.join(own, on, "left").select(dirty["doc_id"], "text", "spans").mapInArrow(parsed, schema)
+    return rows.mapInArrow(whole, schema).unionByName(dirty)
 
 
 def deduplicated(docs: DataFrame, window: int = 13) -> DataFrame:
