@@ -66,7 +66,7 @@ def under(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) ->
 
 def masked_text(text: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarray) -> str:
     """The unescaped text under the mask; tokens that share a character show it once."""
-    out, reach = [], 0
+    reach = 0
     pieces: list[tuple[int, int]] = []
     for s, e in zip(starts[mask].tolist(), ends[mask].tolist()):
         if pieces and s <= reach:
@@ -74,8 +74,7 @@ def masked_text(text: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarra
         else:
             pieces.append((s, e))
         reach = max(reach, e)
-    out = [unescaped(text[s:e]) for s, e in pieces]
-    return "".join(out)
+    return "".join(unescaped(text[s:e]) for s, e in pieces)
 
 
 _PART = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("part", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32())),

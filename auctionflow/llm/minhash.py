@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from auctionflow.functions.ordering import order_key
 from auctionflow.llm.bitmap import id_bitmap, in_bitmap
 from auctionflow.llm.components import merged
-from auctionflow.llm.shared import mixed, rolling, staged, texts, word_hashes
+from auctionflow.llm.shared import mixed, rolling, staged, texts, tidy, word_hashes
 
 EMPTY = np.uint64(2 ** 64 - 1)
 
@@ -97,7 +97,7 @@ def sketched(docs: DataFrame, width: int, bands: int, band_rows: int) -> DataFra
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, hi long, lo long, bands array<long>")
+        tidy(sketch), "doc_id long, n_shingles long, hi long, lo long, bands array<long>")
 
 
 # --- links -----------------------------------------------------------------------
@@ -130,7 +130,7 @@ def verified(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -
                 keep.append(small > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(tidy(check), "a long, b long")
 
 
 def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -167,7 +167,7 @@ def prefix_pairs(members: DataFrame, documents: DataFrame, width: int, percent:
                                                   pa.array(np.concatenate(sets).astype(np.int64))], names=["doc", "component", "n", "s"])
 
     own = members.join(documents.select(F.col("doc_id").alias("doc"), "text"), "doc").select("doc", "component", "text")
-    each = staged(own.mapInArrow(shingle, "doc long, component long, n long, s long"), "shingles")
+    each = staged(own.mapInArrow(tidy(shingle), "doc long, component long, n long, s long"), "shingles")
     shared = each.groupBy("s").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("df > 1")
     each = each.join(shared.select("s", "df", (F.col("lo") < F.col("hi")).alias("across")), "s")
     # one row a document: its shared shingles in the common order; those that are in one component only make no pair

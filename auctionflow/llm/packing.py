@@ -9,6 +9,7 @@ place from its rank among the pieces of its length, and ranks are prefix sums ov
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import zlib
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auctionflow.llm.shared import bucket_count, staged, texts, with_offsets
+from auctionflow.llm.shared import bucket_count, staged, texts, tidy, with_offsets
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
@@ -52,7 +53,7 @@ class Encoder:
     of the same merges if the vocabulary file allows it (ids in order of merging), which is several times as fast.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 150_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -91,6 +92,12 @@ class Encoder:
         return (self.first[head] if head else b"") + b"".join(map(self.rest.__getitem__, tail))
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder a worker process: its vocabulary is read once, not once a task."""
+    return Encoder(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
                  keep_ids: bool = False) -> DataFrame:
     """Cut each document's ids (its tokens, then ``end_id``) into pieces of ``capacity``; the first may be shorter.
@@ -100,12 +107,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        encoder, end = encoder_of(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                             ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
-        for batch in batches:
+        for part in (batch.slice(start, 1000) for batch in batches for start in range(0, batch.num_rows, 1000)):
             rows: list[list] = [[] for _ in schema]
-            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+            for doc, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
                 ids = encoder.ids(text) + end
                 n = len(ids) // 4
                 lead = n % capacity or min(n, capacity)
@@ -119,7 +126,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
                     at, piece = at + length, piece + 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(cut), PIECES)
 
 
 # --- the plan -------------------------------------------------------------------

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import math
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +72,25 @@ def with_offsets(df: DataFrame, keys: list[str], bucket: str, order: list[str],
 # --- inside tasks ---------------------------------------------------------------
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` (batches in, batches out), giving unused memory back to the system when its task ends.
+
+    Python workers are reused by later tasks of any kind; without this each keeps the largest size it ever had.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # a function of the GNU C library
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """The strings of an Arrow column; null reads as empty."""
     for value in column:

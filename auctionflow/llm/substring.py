@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auctionflow.llm.bitmap import id_bitmap, tester
-from auctionflow.llm.shared import mixed, rolling, staged, texts, word_hashes
+from auctionflow.llm.shared import mixed, rolling, staged, texts, tidy, word_hashes
 
 SPREAD = 8
 #: Rows without doc_id come after all others.
@@ -115,7 +115,7 @@ def hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n), pa.array([0] * (len(n) - 1) + [len(sent)], pa.int64())],
                                              names=["anchor", "n", "windows"])
 
-    counted = staged(rows.mapInArrow(count, "anchor long, n long, windows long"), "anchors")
+    counted = staged(rows.mapInArrow(tidy(count), "anchor long, n long, windows long"), "anchors")
     windows = counted.agg(F.sum("windows")).first()[0] or 0
     hot = counted.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") * 2 * HOT_SHARE >= max(windows, 1))
     return np.sort(np.array([r["anchor"] for r in hot.select("anchor").collect()], dtype=np.int64).astype(np.uint64))
@@ -223,8 +223,8 @@ def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = Non
         if held:
             yield meet(held)
 
-    sent = rows.mapInArrow(send, "bucket long, settled boolean, blob binary")
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(look_up, SPANS)
+    sent = rows.mapInArrow(tidy(send), "bucket long, settled boolean, blob binary")
+    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(look_up), SPANS)
 
 
 def factors(spans: list[tuple[int, int, int]], n_words: int) -> list[tuple[int, int, int]]:

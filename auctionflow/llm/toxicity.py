@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auctionflow.llm.minhash import band_keys, shingle_set, sketches
-from auctionflow.llm.shared import texts
+from auctionflow.llm.shared import texts, tidy
 
 _TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)
@@ -36,7 +36,7 @@ CRF_DOCS = 300
 #: How much more frequent a telling feature is in toxic documents.
 LIFT = 5
 #: Words whose emission a worker remembers.
-MOST_WORDS = 300_000
+MOST_WORDS = 150_000
 
 
 def tokens(text: str) -> list[str]:
@@ -320,7 +320,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
                 before = doc
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
 
-    learned = found.repartition(1).sortWithinPartitions("h", "doc_id", "text").mapInArrow(learn, "model binary").collect()
+    learned = found.repartition(1).sortWithinPartitions("h", "doc_id", "text").mapInArrow(tidy(learn), "model binary").collect()
     return pickle.loads(bytes(learned[0]["model"])) if learned else Model()
 
 
@@ -351,7 +351,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                                                   pa.array(spans, schema.field("spans").type)], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, n_toxic long, spans array<struct<start:long,end:long,p:double>>")
+    return rows.mapInArrow(tidy(run), "doc_id long, score double, n_toxic long, spans array<struct<start:long,end:long,p:double>>")
 
 
 def scored_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -374,4 +374,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
                 _, aggregates, _ = _scored(model, [_TOKEN.findall(t) for t in texts(part.column(at))], emissions)
                 yield part.filter(pa.array(model.score(aggregates) < threshold))
 
-    return docs.mapInArrow(clean, schema)
+    return docs.mapInArrow(tidy(clean), schema)
