@@ -33,6 +33,8 @@ NO_ID = np.int64(2 ** 63 - 1)
 FLUSH_CHARS = 2_000_000
 #: An anchor with this share of all windows is split; at most so many anchors can be.
 HOT_SHARE = 8192
+#: Windows of a block at most; its size is sent as 16 bits.
+BLOCK = 60_000
 
 SPANS = "doc_id long, tag long, start long, length long, source long"
 
@@ -103,6 +105,12 @@ def runs(row: np.ndarray, start: np.ndarray, value: np.ndarray) -> np.ndarray:
     return new
 
 
+def pieces(new: np.ndarray, total: int, most: int) -> np.ndarray:
+    """The run starts ``new`` (of ``total`` places) and a start after every ``most`` places within a longer run."""
+    parts = -(-np.diff(np.append(new, total)) // most)
+    return np.repeat(new, parts) + most * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+
+
 def hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
     """Anchors with at least 1 / HOT_SHARE of all windows that are sent; at most HOT_SHARE of them."""
 
@@ -175,8 +183,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = Non
             row, start, anchor, hashes = flush.row[at], flush.start[at], flush.anchor[at], flush.hash[at]
             if len(hot):
                 anchor = np.where(np.isin(anchor, hot), hashes, anchor)
-            new = np.flatnonzero(runs(row, start, anchor))
-            new = np.unique(np.concatenate([new, *(new + k for k in range(60_000, len(at), 60_000))])) if np.diff(np.append(new, len(at))).max(initial=0) > 60_000 else new
+            new = pieces(np.flatnonzero(runs(row, start, anchor)), len(at), BLOCK)
             sizes = np.diff(np.append(new, len(at)))
             bucket = (mixed(anchor[new], 5) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")

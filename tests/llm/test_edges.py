@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and extra columns with clashing names."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -202,6 +203,19 @@ def test_substrings(docs, none):
     assert rows[7][0].factors[0].source == 1 and substring.deduplicated(none).collect() == []
 
 
+def test_substrings_of_long_repetitive_texts(spark):
+    texts = ["a plain text " + PASSAGE, "0 " * 100_000, "x y z " * 33_000, "another " + PASSAGE + " text",
+             "0 " * 70_000 + PASSAGE, "y z x " * 30_000 + "end"]
+    rows = by_id(substring.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)))
+    assert [rows[i][0].n_removed for i in range(6)] == [0, 0, 0, 60, 70_060, 90_000]
+    assert [rows[i][0].text for i in (3, 4, 5)] == ["another text", "", "end"] and rows[1][0].n_words == 100_000
+
+
+def test_pieces_cut_only_long_runs():
+    assert list(substring.pieces(np.array([0, 5, 70_005, 79_990]), 80_000, 60_000)) == [0, 5, 60_005, 70_005, 79_990]
+    assert list(substring.pieces(np.array([0]), 120_000, 60_000)) == [0, 60_000] and not len(substring.pieces(np.empty(0, int), 0, 60_000))
+
+
 def test_factors_are_greedy_and_disjoint():
     assert substring.factors([(0, 13, 5), (1, 13, 7), (20, 13, 5)], 40) == [(0, 13, 5), (13, 1, 7), (20, 13, 5)]
     assert substring.factors([], 10) == []
