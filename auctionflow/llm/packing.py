@@ -48,8 +48,8 @@ class Encoder:
     """Byte-level BPE ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     The vocabulary's pattern never joins a space to what precedes it, so a text without runs of white space around a
-    space splits at its spaces into chunks that encode alone; their ids are remembered.  Other texts are encoded whole.
-    Strings of special tokens in a text are ordinary text.  Chunks in Latin letters go through a second implementation
+    space splits at its spaces into chunks that encode alone; their ids are remembered.  Other texts are encoded whole,
+    and so are texts that hold the string of an added token (``<|endoftext|>``), which is one id there.  Chunks in Latin letters go through a second implementation
     of the same merges if the vocabulary file allows it (ids in order of merging), which is several times as fast.
     """
 
@@ -57,7 +57,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
         fast = self._merges(path)
         slow = lambda s: self.whole.encode(s, add_special_tokens=False).ids
         encode = (lambda s: fast(s) if s.isascii() or max(s) < "ɐ" else slow(s)) if fast else slow
@@ -86,7 +86,7 @@ class Encoder:
         if not text:
             return b""
         apart = not text.isascii() or text[-1] == " " or any(x in text for x in ("  ", " \n", "\t", "\r", "\x0b", "\x0c"))
-        if not self.plain or (apart and _JOINED.search(text)):
+        if not self.plain or (apart and _JOINED.search(text)) or any(x in text for x in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         head, *tail = text.split(" ")
         return (self.first[head] if head else b"") + b"".join(map(self.rest.__getitem__, tail))

@@ -59,6 +59,18 @@ def test_packing(docs, none):
     assert packing.pack_documents(none, TOKENIZER).collect() == []
 
 
+def test_ids_of_texts_with_added_tokens(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+    plain, encoder = Tokenizer.from_file(TOKENIZER), packing.Encoder(TOKENIZER)
+    same = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", "x <|endoftext|>  y\n <|endoftext|><|endoftext|> z", "<|endoftext |> <|endoftext|"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in same]
+    assert [list(np.frombuffer(encoder.ids(t), "<u4")) for t in same] == want and [w.count(50256) for w in want] == [1, 1, 1, 3, 0]
+    rows = by_id(packing.pack_documents(spark.createDataFrame(list(enumerate(same)), "doc_id long, text string"), TOKENIZER))
+    assert all((r.length, r.ids_crc32) == (len(w) + 1, zlib.crc32(np.array([*w, 2], "<u4").tobytes())) for i, w in enumerate(want) for r in rows[i])
+
+
 def test_packed_sequences_hold_the_ids(docs):
     packed = packing.pack_documents(docs.where("doc_id < 5"), TOKENIZER, capacity=16, keep_ids=True).cache()
     whole = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
