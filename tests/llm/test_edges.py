@@ -86,6 +86,24 @@ def test_toxicity(docs, none, labels):
     assert unlabelled.columns == docs.columns and unlabelled.count() == len(ROWS)
 
 
+def test_crf_learns_every_telling_feature():
+    rng = np.random.default_rng(5)
+    words = lambda: " ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (40, 6)))
+    toxic = [(f"{words()} {'villain' if i < 400 else 'scoundrel'} {words()}", 1) for i in range(480)]
+    model = toxicity.fit(toxic + [(f"{words()} {words()}", 0) for _ in range(600)])
+    assert model.weights["=villain"] > 0 and model.weights["=scoundrel"] > 0
+    p, _, _ = toxicity._scored(model, [toxicity.tokens("some scoundrel here")])
+    assert p[1] >= 0.5 > max(p[0], p[2])
+
+
+def test_training_drops_copies_only():
+    own = lambda i, n: " ".join(f"own{i}x{k}" for k in range(n))
+    apart = [(PASSAGE + " " + own(i, 60), i % 2) for i in range(60)]  # a third of all shingles of two texts are shared
+    assert toxicity.without_copies(apart) == apart
+    copies = [(own(1, 200), 1), (own(2, 200), 0), (own(1, 200), 1), (own(2, 200) + " end", 0), ("", 0), ("", 0)]
+    assert toxicity.without_copies(copies) == [copies[i] for i in (0, 1, 4, 5)]
+
+
 def test_secrets_and_ledger(spark, docs, none):
     found, entries = secrets.scan_documents(docs)
     rows = by_id(found)
