@@ -7,12 +7,13 @@ without common words give few signatures, running prose gives many.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auctionflow.llm.shared import mixed, staged, texts, word_hashes
@@ -75,9 +76,11 @@ def fingerprint(signed: np.ndarray) -> str:
     return f"{len(signed)}:{xxhash.xxh3_128_hexdigest(signed.tobytes())}"
 
 
-def length_partition(length: int, least: float) -> int:
+def length_partition(length: Column, least: float) -> Column:
     """Partitions of set lengths such that sets of similarity ``least`` are in the same or in adjacent ones."""
-    return int(np.floor(np.log(max(length, 1)) / -np.log(least) + 1e-9))
+    if least >= 1:
+        return length.cast("long")
+    return F.floor(F.log(F.greatest(length, F.lit(1))) / -math.log(least) + 1e-9) if least > 0 else F.lit(0).cast("long")
 
 
 # --- all similar pairs -----------------------------------------------------------
@@ -87,8 +90,8 @@ def similar_pairs(docs: DataFrame, least: float = 0.8, chain: int = 2, distance:
     """Pairs (a, b, likeness) of different signature sets with likeness >= ``least``, by their smallest doc_ids.
 
     Documents with equal sets are one class, represented by its smallest doc_id (``signed`` gives the membership).  Sets
-    are partitioned by length; within a partition and its neighbour, candidates share one of the rarest signatures that
-    any similar pair must share (prefix filtering), and each is compared once, pruned by length.
+    are partitioned by length and meet those of their own and the next partition; there, candidates share one of the
+    rarest signatures that any similar pair must share (prefix filtering), and each is compared once, pruned by length.
     """
     sets = staged(signed(docs, chain, distance).where("doc_id is not null and n_signatures > 0"), "signed")
     classes = staged(sets.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")), "classes")
@@ -103,10 +106,12 @@ def similar_pairs(docs: DataFrame, least: float = 0.8, chain: int = 2, distance:
     left = (spare - (F.col("n_signatures") - F.size("by_rarity"))).cast("int")
     prefix = alone.where(left > 0).select("doc_id", "n_signatures", F.explode(F.slice("by_rarity", F.lit(1), left)).alias("p"))
     prefix = prefix.select("doc_id", "n_signatures", "p.s")
-    other = prefix.select(F.col("doc_id").alias("b"), F.col("n_signatures").alias("nb"), "s")
-    mine = prefix.select(F.col("doc_id").alias("a"), F.col("n_signatures").alias("na"), "s")
-    near = (F.least("na", "nb") >= F.greatest("na", "nb") * least - 1e-9) & (F.col("a") < F.col("b"))
-    pairs = mine.join(other, "s").where(near).select("a", "b").distinct()
+    prefix = prefix.withColumn("part", length_partition(F.col("n_signatures"), least))
+    other = prefix.select(F.col("doc_id").alias("b"), F.col("n_signatures").alias("nb"), "s", "part")
+    mine = prefix.select(F.col("doc_id").alias("a"), F.col("n_signatures").alias("na"), "s", F.col("part").alias("own"),
+                         F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
+    near = (F.least("na", "nb") >= F.greatest("na", "nb") * least - 1e-9) & ((F.col("own") < F.col("part")) | (F.col("a") < F.col("b")))
+    pairs = mine.join(other, ["s", "part"]).where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     set_a = heads.select(F.col("doc_id").alias("a"), F.col("signatures").alias("sa"))
     set_b = heads.select(F.col("doc_id").alias("b"), F.col("signatures").alias("sb"))
     compared = pairs.join(set_a, "a").join(set_b, "b")

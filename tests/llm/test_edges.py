@@ -269,6 +269,21 @@ def test_similar_pairs_against_all_pairs(spark, docs):
     assert want and {(r.a, r.b) for r in spotsigs.similar_pairs(df).collect()} == want
 
 
+@pytest.mark.parametrize("least", [0.5, 0.8])
+def test_similar_pairs_meet_by_length_partition(spark, least):
+    words = [f"the thing{i} of value{i % 7}" for i in range(60)]
+    texts = [" ".join(words[:k]) for k in range(30, 61, 2)][::(-1 if least < 0.8 else 1)]  # sets of lengths on both sides of partitions
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [spotsigs.signatures(t) for t in texts]
+    parts = [r.p for r in spark.createDataFrame([(i, len(s)) for i, s in enumerate(sets)], "i long, n long").orderBy("i").select(
+        spotsigs.length_partition(F.col("n"), least).alias("p")).collect()]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if spotsigs.likeness(sets[i], sets[j]) >= least}
+    assert {abs(parts[i] - parts[j]) for i, j in want} == {0, 1}
+    found = spotsigs.similar_pairs(df, least)
+    assert sorted((r.a, r.b) for r in found.collect()) == sorted(want)
+    assert "part" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pipeline_on_edges(spark, docs, none, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     for source, name in ((docs, "some"), (none, "none")):
