@@ -1,9 +1,10 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
-Every document is factored against the index of all reference blocks: from the left, a factor is the longest run of
-window starts whose word sequences the index holds for a document with a smaller id; it covers the words of its windows,
-so only factors of ``window`` words or more exist.  Windows that straddle the end of a factor are looked up like all
-others, so no duplicate hides at a boundary.
+Every document is factored against the index of all reference blocks by a lookup of window hashes: every window of
+``window`` words is looked up among those of the documents with smaller ids, also the windows that straddle the end of a
+factor, so no duplicate hides at a boundary, and the union of the windows found is exact.  A factor is a run of such
+windows with one source.  No place in a reference is kept, so factors are not extended along a reference as in a full
+relative Lempel-Ziv parse: one long copy can become several factors, and their cuts and sources depend on partitioning.
 
 The index is never whole in one place.  Window starts are grouped into content-defined blocks: consecutive windows with
 the same anchor (the least hash among their runs of ``window`` - 7 words).  Equal windows have equal anchors wherever
@@ -152,8 +153,9 @@ def _unpack(blob: bytes):
 def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = None) -> DataFrame:
     """Runs of windows of every document that also start in a document with a smaller doc_id.
 
-    Returns doc_id, tag (of the row's text), start (word), length (words covered) and source (the smallest such
-    document).  The runs of a document may touch or overlap.  Rows without doc_id count as the last documents; rows that
+    Returns doc_id, tag (of the row's text), start (word), length (words covered) and source (the smallest such document
+    of the flush where a task settled the run, else of the windows that were sent).  The words covered do not depend on
+    partitioning, the cuts between runs and the sources do.  The runs of a document may touch or overlap.  Rows without doc_id count as the last documents; rows that
     share a doc_id are not duplicates of each other.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
