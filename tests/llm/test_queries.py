@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from auctionflow.llm import secrets
+from auctionflow.llm import mixing, secrets, spotsigs, toxicity
 from auctionflow.llm.oracle import ORACLE
 from auctionflow.llm.queries import QUERIES, TOKENIZER
 
@@ -240,3 +241,114 @@ def test_pipeline(spark, docs):
         filled[r.sequence_id] += r.length
     assert max(filled.values()) <= 1024
     assert secrets.scan_text("password: hunter2hunter2") == [("assign", 0, 24)]
+
+
+def spots(text):
+    """Spot signatures as a plain set: (anchor, next content word, the one after or None), else (word,) of every word."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else " " if c in string.punctuation else c for c in text)
+    words = WORD.findall(low) or WORD.findall(text)
+    found = set()
+    for i, w in enumerate(words):
+        after = [x for x in words[i + 1:] if x not in spotsigs.COMMON][:2] if w in spotsigs.COMMON else []
+        if after:
+            found.add((w, after[0], after[1] if len(after) > 1 else None))
+    return found or {(w,) for w in words}
+
+
+def test_op10_sets_and_likeness(spark, docs):
+    rows = {r.doc_id: r for r in result(spark, "op10")}
+    own = [spots(text) for _, text, _ in docs]
+    prints = {}
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for i, (doc, text, _) in enumerate(docs):
+        half, k = len(text) // 2, (i + 1) % len(docs)
+        edited, r = spots(text[:len(text) - half] + docs[k][1][:half]), rows[doc]
+        assert (r.near_edited, r.near_next) == (jaccard(own[i], edited), jaccard(own[i], own[k])), doc
+        for s, f in ((own[i], r.fingerprint), (edited, r.edited_fingerprint)):
+            assert int(f.split(":")[0]) == len(s) and prints.setdefault(frozenset(s), f) == f
+    assert len(set(prints.values())) == len(prints) and any(0 < r.near_edited < 1 for r in rows.values())
+
+
+def one_of_each(rows):
+    """The least id of each group linked by a Jaccard similarity of 0.8 of five-word shingles."""
+    sets = {}
+    for r in rows:
+        words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or ""))
+        sets[r.doc_id] = {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+    group = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            least, most = sorted((len(sets[a]), len(sets[b])))
+            if a < b and group[a] != group[b] and 5 * least >= 4 * most and least and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((group[a], group[b]))
+                group = {d: x if g == y else g for d, g in group.items()}
+    return [(r.doc_id, r.text) for r in rows if group[r.doc_id] == r.doc_id]
+
+
+def redact(text):
+    out, done = "", 0
+    for s, e in sorted((s, e) for _, s, e in secrets.scan_text(text or "")):
+        if s >= done:
+            out += text[done:s] + "[secret]"
+        done = max(done, e)
+    return out + text[done:] if done else text
+
+
+def mix(rows):
+    """The copies taken: 1.5 times all words, dealt by weight up to twice a source, in order of md5 of the id."""
+    by_source, out = defaultdict(list), []
+    for r in rows:
+        by_source[r.source].append((hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id, r.text, WORD.findall(r.text or "")))
+    names = sorted(by_source, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.CYCLE[i % len(mixing.CYCLE)] for i, s in enumerate(names)}
+    size = {s: sum(len(d[3]) for d in by_source[s]) for s in names}
+    left, free, target = 1.5 * sum(size.values()), set(names), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if 2 * size[s] < level * weight[s]}
+        for s in full or free:
+            target[s] = 2.0 * size[s] if full else level * weight[s]
+        left, free = left - sum(target[s] for s in full), free - full if full else set()
+    for s in names:
+        words = int(target[s] + 0.5)
+        while words:
+            for _, doc, text, own in sorted(by_source[s], key=lambda d: (d[0], d[1], len(d[3]))):
+                if own and words:
+                    out.append((doc, text if len(own) <= words else " ".join(own[:words])))
+                    words -= min(words, len(own))
+    return out
+
+
+def pieces(rows):
+    tokenizer, out = Tokenizer.from_file(TOKENIZER), []
+    for r in rows:
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 2]
+        at = 0
+        for k in range(-(-len(ids) // 1024)):
+            n = 1024 if k else len(ids) % 1024 or 1024
+            out.append((r.doc_id, k, at, n, zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[at:at + n]))))
+            at += n
+    return out
+
+
+def test_pipeline_stages_against_plain_versions(spark, tmp_path):
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.train(rows, spark.read.parquet(f"{SF}/labels.parquet"))
+    def clean(own):
+        return [(r.doc_id, r.text) for r in own if model.score(toxicity._scored(model, [toxicity._TOKEN.findall(r.text or "")])[1])[0] < 0.3]
+    plain = [clean, one_of_each, lambda own: [(r.doc_id, redact(r.text)) for r in own], mix, pieces]
+    key = lambda r: tuple(("", x) if isinstance(x, str) else (str(x is None), x or 0) for x in r)
+    changed = []
+    for k, ((name, stage), expected) in enumerate(zip(corpus_pipeline.STAGES, plain)):
+        own = rows.collect()
+        stage(spark, rows, SF).write.parquet(str(tmp_path / str(k)))
+        rows = spark.read.parquet(str(tmp_path / str(k)))
+        columns = ["doc_id", "text"] if k < 4 else ["doc_id", "piece", "start", "length", "ids_crc32"]
+        got = [tuple(r[c] for c in columns) for r in rows.collect()]
+        assert sorted(got, key=key) == sorted(expected(own), key=key), name
+        changed.append(sorted(got, key=key) != sorted([(r.doc_id, r.text) for r in own], key=key))
+    assert all(changed)
+    by_sequence = defaultdict(list)
+    for r in rows.collect():
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    assert all(o == sum(n for _, n in sorted(own)[:i]) and o + n <= 1024 for own in by_sequence.values() for i, (o, n) in enumerate(sorted(own)))
