@@ -146,6 +146,100 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIG
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
 """
 
+# CRC-32 byte by byte: a table of 256 remainders, by its rule, then one step a byte.
+CRC_TABLE = r"""crc_steps AS (
+  SELECT i AS n, i AS v, 0 AS k FROM range(0, 256) AS t(i)
+  UNION ALL
+  SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM crc_steps WHERE k < 8
+), crc_table AS (
+  SELECT list(v ORDER BY n) AS tab FROM crc_steps WHERE k = 8
+)"""
+
+
+def _crc(codes: str) -> str:
+    """The CRC-32 of a list of bytes, beside ``crc_table``."""
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+# Prefixes are compared as whole strings; subtree sums go from each node to the prefixes of its smallest member.
+OP11 = r"""
+WITH RECURSIVE CRC_TABLE, t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 5 AS base, CRC % 9 AS h
+  FROM (SELECT DISTINCT c FROM t), crc_table
+), r AS (
+  SELECT convs.c, 0 AS own, t.p, t.role, t.text FROM convs JOIN t ON t.c = convs.base AND t.p <= convs.h
+  UNION ALL
+  SELECT convs.c, 1, t.p, t.role, t.text FROM convs JOIN t ON t.c = convs.c AND t.p > convs.h
+), o AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, p) AS d, text, length(role) || ':' || role || length(text) || ':' || text AS turn FROM r
+), m AS (
+  SELECT c, d, text, string_agg(turn, '') OVER (PARTITION BY c ORDER BY d) AS key FROM o
+  UNION ALL
+  SELECT c, 0, '', '' FROM convs
+), e AS (
+  SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM m
+), n AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * strlen(any_value(text)) AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM e GROUP BY d, key
+), up AS (
+  SELECT n.d, n.key, p.d AS pd, p.key AS pkey FROM n JOIN m ON m.c = n.conv_id AND m.d = n.d - 1 JOIN n p ON p.d = m.d AND p.key = m.key
+), kids AS (
+  SELECT pd AS d, pkey AS key, count(*) AS k FROM up GROUP BY pd, pkey
+), w AS (
+  SELECT n.*, coalesce(kids.k, 0) AS k FROM n LEFT JOIN kids USING (d, key)
+), sums AS (
+  SELECT m.d, m.key, sum(w.saved) AS saved, count(*) FILTER (WHERE w.k = 0) AS leaves
+  FROM w JOIN m ON m.c = w.conv_id AND m.d <= w.d GROUP BY m.d, m.key
+)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(w.n_convs AS BIGINT) AS n_convs, CAST(w.k AS BIGINT) AS n_children,
+       CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN sums USING (d, key) LEFT JOIN up USING (d, key) LEFT JOIN n p ON p.d = up.pd AND p.key = up.pkey
+"""
+
+# Words one edit apart agree in what is left when one code point is taken out: of both at the same place, or of the longer only.
+OP12 = r"""
+WITH RECURSIVE CRC_TABLE, runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL
+), coded AS (
+  SELECT run, n, [unicode(x) FOR x IN string_split(doc || ':' || run, '')] AS u FROM runs WHERE length(run) >= 5
+), hashed AS (
+  SELECT run, n, CRC AS h
+  FROM (SELECT run, n, CAST(flatten([CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END FOR x IN u]) AS BIGINT[]) AS b FROM coded), crc_table
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), pairs AS (
+  SELECT DISTINCT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION
+  SELECT DISTINCT v.word, cut.word FROM v JOIN cut ON cut.rest = v.word
+  UNION
+  SELECT DISTINCT cut.word, v.word FROM v JOIN cut ON cut.rest = v.word
+), near AS (
+  SELECT x AS word, count(*) AS n_near, arg_max(y, (v.n, z)) AS best, max(v.n) AS best_n
+  FROM (SELECT x, y, -row_number() OVER (ORDER BY encode(y)) AS z FROM pairs) p JOIN v ON v.word = p.y GROUP BY x
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * v.n THEN best END AS form, CASE WHEN best_n >= 2 * v.n THEN best_n END AS form_n
+  FROM v LEFT JOIN near USING (word)
+), chain AS (
+  SELECT word, word AS at, form FROM f
+  UNION ALL
+  SELECT chain.word, f.word, f.form FROM chain JOIN f ON f.word = chain.form
+)
+SELECT f.word, f.form, chain.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN chain ON chain.word = f.word AND chain.form IS NULL
+"""
+
 
 def _op5() -> str:
     lists = "CASE lang " + " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in COMMON.items()) + " ELSE [] END"
@@ -158,4 +252,6 @@ ORACLE: dict[str, str] = {
     "op6_similarity_sketch_dedup": OP6,
     "op8_offset_masks": OP8,
     "op9_lempel_ziv_substrings": OP9,
+    "op11_prefix_trie": OP11.replace("CRC_TABLE", CRC_TABLE).replace("CRC", _crc("[CAST(unicode(x) AS BIGINT) FOR x IN string_split(CAST(c AS VARCHAR), '')]")),
+    "op12_spelling_variants": OP12.replace("CRC_TABLE", CRC_TABLE).replace("CRC", _crc("b")),
 }

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auctionflow.llm import chat, minhash, mixing, packing, quality, secrets, sharding, spotsigs, substring, toxicity
+from auctionflow.llm import bktree, chat, minhash, mixing, packing, quality, secrets, sharding, spelling, spotsigs, substring, toxicity, trie
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -78,6 +78,19 @@ def op10_spot_signatures(spark, sf):
                        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_prefix_trie(spark, sf):
+    return trie.conversation_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+def op12_spelling_variants(spark, sf):
+    return spelling.variant_groups(documents(spark, sf))
+
+
+def op13_bk_tree_dedup(spark, sf):
+    return bktree.near_duplicates(documents(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bin_slack_packing, op2_crf_toxicity, op3_blob_ledger_secrets, op4_curriculum_mix, op5_divergence_quality,
-    op6_similarity_sketch_dedup, op7_hash_tree_shards, op8_offset_masks, op9_lempel_ziv_substrings, op10_spot_signatures)}
+    op6_similarity_sketch_dedup, op7_hash_tree_shards, op8_offset_masks, op9_lempel_ziv_substrings, op10_spot_signatures,
+    op11_prefix_trie, op12_spelling_variants, op13_bk_tree_dedup)}

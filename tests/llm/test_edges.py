@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from auctionflow.llm import chat, minhash, mixing, packing, quality, secrets, sharding, spotsigs, substring, toxicity
+from auctionflow.llm import bktree, chat, minhash, mixing, packing, quality, secrets, sharding, spelling, spotsigs, substring, toxicity, trie
 from auctionflow.llm.queries import TOKENIZER
 
 LONG = " ".join(f"word{i % 997} of the thing" for i in range(60_000))
@@ -328,3 +328,175 @@ def test_fullest_against_enumeration():
                     if sum(c * n for c, n in zip(lengths, k)) <= room), default=0)
         chosen = packing.fullest(lengths, counts, room)
         assert sum(x * n for x, n in chosen.items()) == best and all(n <= counts[x] for x, n in chosen.items())
+
+
+# --- prefix trie -----------------------------------------------------------------
+
+
+def test_subtree_totals_against_recursion(spark):
+    """Random trees, a long chain, a wide star, a caterpillar and a forest of single nodes."""
+    rng = np.random.default_rng(11)
+    parents: dict[tuple, tuple | None] = {}
+    for t, (n, reach) in enumerate([(60, 60), (60, 2), (90, 1), (40, 1000), (1, 1)]):
+        names = [(1000 * t, 0)]
+        parents[names[0]] = None
+        for i in range(1, n):
+            above = names[0] if reach == 1000 else names[-int(rng.integers(1, min(reach, len(names)) + 1))]
+            names.append((1000 * t + i, above[1] + 1))
+            parents[names[-1]] = above
+    for i in range(30):  # a caterpillar: a spine with a leg at each joint
+        above = (9000 + i - 1, i - 1) if i else None
+        parents[(9000 + i, i)] = above
+        parents[(9500 + i, i + 1)] = (9000 + i, i)
+    value = {k: int(rng.integers(-5, 100)) for k in parents}
+    want = {k: [0, 0] for k in parents}
+    for k in parents:
+        at = k
+        while at is not None:
+            want[at][0] += value[k]
+            want[at][1] += 1
+            at = parents[at]
+    rows = [(*k, *(p or (None, None)), value[k], 1) for k, p in parents.items()]
+    tree = spark.createDataFrame(rows, "c long, d long, pc long, pd long, value long, one long")
+    got = {(r.c, r.d): [r.value, r.one] for r in trie.subtree_totals(tree, ["value", "one"]).collect()}
+    assert got == want
+    assert trie.subtree_totals(tree.limit(0), ["value", "one"]).collect() == []
+
+
+CONVERSATIONS = [  # conv_id, turn, role, text
+    (10, 0, "user", "hi"), (10, 1, "assistant", "hello"), (10, 1, "assistant", "hello"), (10, None, None, None), (11, 5, "user", "é漢🙂"), (11, 2, "user", ""),
+    (12, 0, "user", "hi"), (13, 0, None, "x"), (14, 0, "user", "hi"), (14, 1, "assistant", "hello"), (21, 3, "a", "b"), (-3, 0, "user", "hi"), (0, 0, "user", "hi"),
+    (None, 0, "user", "lost"), (None, None, None, None), *[(23, i, "user", f"turn {i}") for i in range(40)], *[(24, i, "user", f"turn {i}") for i in range(40)],
+    *[(25 + 5 * i, j, "user", f"same {j}") for i in range(50) for j in range(6)]]
+
+
+def test_trie_on_edges(spark):
+    import duckdb
+    import pandas as pd
+
+    from auctionflow.llm.oracle import ORACLE
+    extra = ["hi", "lo", "depth", "at", "size", "pos"]
+    schema = "conv_id long, turn long, role string, text string, " + ", ".join(f"{c} string" for c in extra)
+    table = spark.createDataFrame([(*r, *extra) for r in CONVERSATIONS], schema)
+    got = trie.conversation_trie(table.repartition(5))
+    con = duckdb.connect()
+    con.register("found", pd.DataFrame(CONVERSATIONS, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    con.execute("CREATE TABLE conversations AS SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, role::VARCHAR AS role, text::VARCHAR AS text FROM found")
+    want = con.execute(ORACLE["op11_prefix_trie"])
+    columns = [c[0] for c in want.description]
+    assert sorted(tuple(str(r[c]) for c in columns) for r in got.collect()) == sorted(tuple(map(str, r)) for r in want.fetchall())
+    assert trie.conversation_trie(table.limit(0)).collect() == [] and trie.conversation_trie(table.where("conv_id is null")).collect() == []
+
+
+def test_long_conversation_is_hashed_in_blocks(spark, monkeypatch):
+    rows = [(5, i, "user", f"turn {i % 7}") for i in range(300)] + [(10, i, "user", f"turn {i % 7}") for i in range(250)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    whole = sorted(trie.conversation_trie(table).collect())
+    monkeypatch.setattr(trie, "BLOCK", 16)
+    assert sorted(trie.conversation_trie(table).collect()) == whole and len(whole) == 301 and whole[-1].depth == 300 - (whole[-1].conv_id == 10)
+
+
+# --- spelling variants -----------------------------------------------------------
+
+
+def one_edit(x: str, y: str) -> bool:
+    if len(x) == len(y):
+        return sum(a != b for a, b in zip(x, y)) == 1
+    x, y = sorted((x, y), key=len)
+    return len(y) == len(x) + 1 and any(y[:i] + y[i + 1:] == x for i in range(len(y)))
+
+
+@pytest.mark.parametrize("tile", [4, 512])
+def test_near_words_against_all_pairs(spark, monkeypatch, tile):
+    monkeypatch.setattr(spelling, "TILE", tile)
+    rng = np.random.default_rng(tile)
+    words = {"".join(rng.choice(list("abé"), size=n)) for n in (5, 6, 7, 8) for _ in range(120)} | {"a" * n for n in range(5, 12)} | {"x" * 3000, "x" * 3001, "y" + "x" * 3000}
+    count = {w: int(rng.integers(3, 50)) for w in sorted(words)}
+    got = {r.word: r for r in spelling.near_words(spark.createDataFrame(list(count.items()), "word string, n long")).collect()}
+    for w in words:
+        near = [v for v in words if v != w and one_edit(v, w)]
+        if not near:
+            assert w not in got
+            continue
+        best = min(near, key=lambda v: (-count[v], v))
+        assert (got[w].n_near, got[w].best, got[w].best_n) == (len(near), best, count[best])
+    assert set(got) <= words and "x" * 3001 in got
+
+
+def test_spelling_on_edges(spark, docs, none):
+    rows = {r.word: r for r in spelling.variant_groups(docs.unionByName(docs).unionByName(docs), every=10 ** 12).collect()}
+    assert rows["passage"].n == 3 * 5 * 60 and rows["x" * 50_000].n == 3 and rows["alpha"].n == 9 and rows["alpha"].root == "alpha"
+    assert spelling.variant_groups(none).collect() == [] and spelling.variant_groups(docs.where("text is null")).collect() == []
+    texts = [(1, "Colour " * 40), (None, "colour " * 8 + "COLOUR"), (2, "color " * 10 + "colr " * 3 + "Éclair éclair Éclair éclair " * 2), (3, None), (4, "")]
+    rows = {r.word: r for r in spelling.variant_groups(spark.createDataFrame(texts, "doc_id long, text string"), 4, every=10 ** 12).collect()}
+    assert (rows["colr"].form, rows["colr"].root, rows["color"].form, rows["color"].n_near) == ("color", "colour", "colour", 2)
+    assert (rows["colour"].n, rows["colour"].form, rows["colour"].form_n, rows["éclair"].n, rows["éclair"].n_near) == (49, None, None, 4, 1)
+    assert rows["Éclair"].form is None  # only A-Z is lower-cased, and the counts are equal
+
+
+def test_variants_of_runs():
+    import zlib
+    docs = range(2000)
+    hit = [d for d in docs if zlib.crc32(f"{d}:word".encode()) % 97 == 0]
+    assert hit and {d for d in docs if spelling.variant(str(d), "word") != "word"} == set(hit)
+    assert all(len(spelling.variant(str(d), "word")) == 3 for d in hit)
+
+
+# --- BK-trees --------------------------------------------------------------------
+
+
+def test_simhash_of_parts_is_that_of_the_whole(monkeypatch):
+    text = LONG[:200_000] + " É \x0b x"
+    whole = bktree.simhash(text, 4)
+    monkeypatch.setattr(bktree, "PART", 1000)
+    assert bktree.simhash(text, 4) == whole
+    assert bktree.simhash("", 4) == 0 and bktree.simhash("A b", 4) == bktree.simhash("a  B", 4) != 0
+
+
+@pytest.mark.parametrize(("shard", "mean"), [(8, 256), (2048, 0.001), (2048, 256)])
+def test_radius_links_against_all_pairs(spark, monkeypatch, shard, mean):
+    """Clusters of near fingerprints, chains and loners; cut into tiles, with more blocks, and as usual."""
+    from auctionflow.llm.components import components
+    monkeypatch.setattr(bktree, "SHARD", shard)
+    monkeypatch.setattr(bktree, "MEAN", mean)
+    rng = np.random.default_rng(7)
+    values = {0, 2 ** 64 - 1}
+    for center in rng.integers(0, 2 ** 63, 12).tolist():
+        at = center * 2 + 1
+        for _ in range(25):
+            for b in rng.choice(64, int(rng.integers(1, 6)), replace=False).tolist():
+                at ^= 1 << b
+            values.add(at)
+    values = sorted(values)
+    label = {v: v for v in values}
+    for i, x in enumerate(values):
+        for y in values[i + 1:]:
+            if (x ^ y).bit_count() <= 4 and label[x] != label[y]:
+                old, new = sorted((label[x], label[y]), reverse=True)
+                label = {k: new if v == old else v for k, v in label.items()}
+    signed = [v - 2 ** 64 if v >> 63 else v for v in values]
+    links = bktree.radius_links(spark.createDataFrame([(v,) for v in signed], "fp long").repartition(5), 4)
+    found = {r.node: r.component for r in components(links).collect()}
+    groups = {}
+    for v, s in zip(values, signed):
+        groups.setdefault(label[v], set()).add(found.get(s, s))
+    assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups) > 3
+
+
+def test_blocks_leave_no_pair_out():
+    rng = np.random.default_rng(1)
+    for agree in (1, 2, 3):
+        masks = bktree.block_masks(4, agree)
+        for _ in range(200):
+            change = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+            assert any(not change & m for m in masks)
+    assert len(bktree.masks_for(1000, 4)) == 5 and len(bktree.masks_for(10 ** 10, 4)) == 35
+
+
+def test_bk_tree_dedup_on_edges(docs, none):
+    rows = by_id(bktree.near_duplicates(docs))
+    assert rows[1][0].component_id == rows[6][0].component_id == rows[6][1].component_id == 1 and len(rows[6]) == 2
+    assert {rows[i][0].fingerprint for i in (2, 3, 4)} == {"0" * 16} and {rows[i][0].component_id for i in (2, 3, 4)} == {2}
+    assert rows[11][0].component_id == 10 and rows[9][0].component_id == 8 and len(rows[None]) == 2
+    assert {r.component_id for r in rows[None] if r.fingerprint == "0" * 16} == {2}
+    assert bktree.near_duplicates(none).collect() == []

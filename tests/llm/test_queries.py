@@ -352,3 +352,29 @@ def test_pipeline_stages_against_plain_versions(spark, tmp_path):
     for r in rows.collect():
         by_sequence[r.sequence_id].append((r.offset, r.length))
     assert all(o == sum(n for _, n in sorted(own)[:i]) and o + n <= 1024 for own in by_sequence.values() for i, (o, n) in enumerate(sorted(own)))
+
+
+def test_op13_against_all_pairs(spark, docs):
+    import xxhash
+    prints = {}
+    for doc, text, _ in docs:
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        words = WORD.findall(words)
+        hashes = [xxhash.xxh64_intdigest(" ".join(words[i:i + 4]).encode(), 42) for i in range(max(1, len(words) - 3))] if words else []
+        prints[doc] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    component = {d: d for d in prints}
+
+    def root(d):
+        while component[d] != d:
+            d = component[d]
+        return d
+
+    ids = sorted(prints)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                x, y = sorted((root(a), root(b)))
+                component[y] = x
+    rows = result(spark, "op13")
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in rows) == sorted((d, f"{prints[d]:016x}", root(d)) for d in prints)
+    assert len({r.component_id for r in rows}) < len(rows)
