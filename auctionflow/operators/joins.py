@@ -112,20 +112,25 @@ def connect_persons_auctions(persons: DataFrame, auctions: DataFrame, sample_n:
     ``(0, ts, ingestion, 0, 0, person_id)``; every ``sample_n``-th auction
     per subtask (subtask = pmod(person_id, subtasks)) becomes
     ``(0, 0, 0, ts, ingestion, -person_id)`` (P3/P4/P5)."""
+    s = sample_every(auctions.select(*AUCTION_ORDER), sample_n, AUCTION_ORDER, "person_id",
+                     subtasks, "nth", rows_per_slice)
+    return connected(persons, s)
+
+
+def connected(persons: DataFrame, sampled: DataFrame) -> DataFrame:
+    """The rows of J2: all ``persons`` and the ``sampled`` auctions."""
     p = persons.select(F.lit(0).cast("long").alias("window_evicting_ts"),
                        F.col("ts").alias("person_creation_ts"),
                        F.col("ingestion_ts").alias("person_ingestion_ts"),
                        F.lit(0).cast("long").alias("auction_creation_ts"),
                        F.lit(0).cast("long").alias("auction_ingestion_ts"),
                        "person_id")
-    s = sample_every(auctions.select(*AUCTION_ORDER), sample_n, AUCTION_ORDER, "person_id",
-                     subtasks, "nth", rows_per_slice)
-    a = s.select(F.lit(0).cast("long").alias("window_evicting_ts"),
-                 F.lit(0).cast("long").alias("person_creation_ts"),
-                 F.lit(0).cast("long").alias("person_ingestion_ts"),
-                 F.col("ts").alias("auction_creation_ts"),
-                 F.col("ingestion_ts").alias("auction_ingestion_ts"),
-                 (-F.col("person_id")).alias("person_id"))
+    a = sampled.select(F.lit(0).cast("long").alias("window_evicting_ts"),
+                       F.lit(0).cast("long").alias("person_creation_ts"),
+                       F.lit(0).cast("long").alias("person_ingestion_ts"),
+                       F.col("ts").alias("auction_creation_ts"),
+                       F.col("ingestion_ts").alias("auction_ingestion_ts"),
+                       (-F.col("person_id")).alias("person_id"))
     return p.unionByName(a)
 
 

@@ -67,6 +67,31 @@ def bid_records(results: DataFrame, processed: Column, threshold_ms: int = LATEN
                     accepted.alias("_emit"))
 
 
+def series_of(kind: str) -> tuple[list[str], list[str]]:
+    """The series of a kind of latency lines and its columns."""
+    if kind == "q8":
+        return ["person", "auction", "flight"], Q8_COLUMNS
+    if kind in ("q5", "session", "winning"):
+        return ["bid", "flight"], WINNING_COLUMNS if kind == "winning" else BID_COLUMNS
+    raise ValueError(f"unknown latency kind {kind!r}")
+
+
+def line_columns(kind: str, time: str = "processed_ts") -> list[Column]:
+    """The columns of a line from running statistics (``{series}_rcount``, ``_rsum``, ``_rmin``, ``_rmax``, ``_rss``)."""
+    series, layout = series_of(kind)
+    names = {"person": "person", "auction": "auction", "bid": "bidLatency", "flight": "flightTime"}
+    out = {"subtask": F.col("subtask"), "ts": F.col(time)}
+    for s in series:
+        n = names[s]
+        out[f"{n}Count"] = F.col(f"{s}_rcount")
+        out[f"{n}Mean"] = _mean(s)
+        out[f"{n}Min"] = F.col(f"{s}_rmin")
+        out[f"{n}Max"] = F.col(f"{s}_rmax")
+        out[f"{n}Std"] = exact_std(F.col(f"{s}_rcount"), F.col(f"{s}_rsum"), F.col(f"{s}_rss"))
+        out[f"{n}Sum"] = F.col(f"{s}_rsum")
+    return [out[c].alias(c) for c in layout]
+
+
 def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: list[str],
                     subtasks: int = 4, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
                     checkpoint: bool = True, close_lines: bool = False) -> DataFrame:
@@ -77,7 +102,7 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
     under the count headers; "winning" adds separate sum columns).
     ``close_lines`` appends each subtask's closing line (statistics over all
     its rows, ts = its last processed time)."""
-    series = ["person", "auction", "flight"] if kind == "q8" else ["bid", "flight"]
+    series, _ = series_of(kind)
     cols = ["subtask", "processed_ts", *order_cols, *series, "_emit"]
     r = records.withColumn("subtask", subtask_of(F.col(key_col), subtasks)).select(*dict.fromkeys(cols))
     if checkpoint:
@@ -88,23 +113,7 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
         r = r.checkpoint()
     run = running_aggregates(r.select(*dict.fromkeys(cols)), ["subtask"], ["processed_ts", *order_cols],
                              series, rows_per_slice=rows_per_slice)
-    run = run.where("_emit")
-    if kind == "q8":
-        names = {"person": "person", "auction": "auction", "flight": "flightTime"}
-    elif kind in ("q5", "session", "winning"):
-        names = {"bid": "bidLatency", "flight": "flightTime"}
-    else:
-        raise ValueError(f"unknown latency kind {kind!r}")
-    out = {"subtask": F.col("subtask"), "ts": F.col("processed_ts")}
-    for s, n in names.items():
-        out[f"{n}Count"] = F.col(f"{s}_rcount")
-        out[f"{n}Mean"] = _mean(s)
-        out[f"{n}Min"] = F.col(f"{s}_rmin")
-        out[f"{n}Max"] = F.col(f"{s}_rmax")
-        out[f"{n}Std"] = exact_std(F.col(f"{s}_rcount"), F.col(f"{s}_rsum"), F.col(f"{s}_rss"))
-        out[f"{n}Sum"] = F.col(f"{s}_rsum")
-    layout = Q8_COLUMNS if kind == "q8" else (WINNING_COLUMNS if kind == "winning" else BID_COLUMNS)
-    lines = run.select(*[out[c].alias(c) for c in layout])
+    lines = run.where("_emit").select(*line_columns(kind))
     if not close_lines:
         return lines
     # The line written at close holds the statistics over all rows of the
@@ -115,13 +124,7 @@ def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: lis
                                       F.min(v).alias(f"{v}_rmin"), F.max(v).alias(f"{v}_rmax"),
                                       F.sum(F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)"))
                                       .alias(f"{v}_rss"))])
-    close = {"subtask": F.col("subtask"), "ts": F.col("_ts")}
-    for v, n in names.items():
-        close[f"{n}Count"], close[f"{n}Mean"] = F.col(f"{v}_rcount"), _mean(v)
-        close[f"{n}Min"], close[f"{n}Max"] = F.col(f"{v}_rmin"), F.col(f"{v}_rmax")
-        close[f"{n}Std"] = exact_std(F.col(f"{v}_rcount"), F.col(f"{v}_rsum"), F.col(f"{v}_rss"))
-        close[f"{n}Sum"] = F.col(f"{v}_rsum")
-    return lines.unionByName(tot.select(*[close[c].alias(c) for c in layout]))
+    return lines.unionByName(tot.select(*line_columns(kind, "_ts")))
 
 
 def write_latency_csv(lines: DataFrame, path: str, mode: str = "append") -> None:

@@ -80,6 +80,14 @@ def job_bid_stats(spark: SparkSession, inputs: Inputs, duration_ms: int = 60_000
     return lines
 
 
+PROBE_ORDER = ["last_ts", "last_ingestion_ts", "auction_id", "bid_id"]
+
+
+def probed(bids: DataFrame) -> DataFrame:
+    """Sampled bids as the records of the winning-bid sink."""
+    return bids.select("auction_id", "bid_id", F.col("ts").alias("last_ts"), F.col("ingestion_ts").alias("last_ingestion_ts"))
+
+
 def job_combo_probe(spark: SparkSession, inputs: Inputs, sample_n: int = 200_000, subtasks: int = 4,
                     csv_dir: str | None = None) -> DataFrame:
     """E4's live output: the first of every ``sample_n`` bids per subtask goes
@@ -87,11 +95,8 @@ def job_combo_probe(spark: SparkSession, inputs: Inputs, sample_n: int = 200_000
     order = ["ts", "ingestion_ts", "bid_id"]
     probe = sample_every(inputs.events(spark, "bid").select("auction_id", *order), sample_n, order, "auction_id",
                          subtasks, "first")
-    probe = probe.select("auction_id", "bid_id", F.col("ts").alias("last_ts"),
-                         F.col("ingestion_ts").alias("last_ingestion_ts"))
-    rec = latency.bid_records(probe, F.col("last_ingestion_ts"))
-    lines = latency.running_latency(rec, "winning", "auction_id",
-                                    ["last_ts", "last_ingestion_ts", "auction_id", "bid_id"], subtasks)
+    rec = latency.bid_records(probed(probe), F.col("last_ingestion_ts"))
+    lines = latency.running_latency(rec, "winning", "auction_id", PROBE_ORDER, subtasks)
     if csv_dir:
         latency.write_latency_csv(lines, f"{csv_dir}/winning")
     return lines
@@ -136,74 +141,122 @@ def run(name: str, spark: SparkSession, inputs: Inputs, **params):
 
 @dataclass
 class StreamInputs:
-    """Stream sources: generators on the ``rate`` source (``autogen``), or
-    page sources (Kafka option dicts or folders of page files) per kind."""
+    """Stream sources: streaming DataFrames of decoded records per kind
+    (``tables``, which come first), generators on the ``rate`` source
+    (``autogen``), or page sources (Kafka option dicts or folders of page
+    files) per kind."""
 
     autogen: bool = True
     rows_per_second: int = 1_000
     subtasks: int = 1
     seed: int = 42
     pages: dict = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)
+    delay_ms: int | None = None
 
-    def events(self, spark: SparkSession, kind: str) -> DataFrame:
-        from auctionflow.streaming.queries import GENERATOR_DELAY_MS, KAFKA_DELAY_MS, with_event_time
+    @property
+    def delay(self) -> int:
+        """How far behind the latest event the watermark runs."""
+        from auctionflow.streaming.queries import GENERATOR_DELAY_MS, KAFKA_DELAY_MS
+        if self.delay_ms is not None:
+            return self.delay_ms
+        return GENERATOR_DELAY_MS if self.autogen and not self.tables else KAFKA_DELAY_MS
+
+    def records(self, spark: SparkSession, kind: str) -> DataFrame:
+        if kind in self.tables:
+            return self.tables[kind]
         if self.autogen:
             c = generate.stream_counters(spark, self.rows_per_second, self.subtasks)
             fn = {"person": generate.generate_persons, "auction": generate.generate_auctions,
                   "bid": generate.generate_bids}[kind]
-            return with_event_time(fn(c, self.seed, rows_per_second=self.rows_per_second), GENERATOR_DELAY_MS)
+            return fn(c, self.seed, rows_per_second=self.rows_per_second)
         if kind not in self.pages:
             raise ValueError(f"no page source for {kind}")
-        decoded = pages.decode_pages(pages.read_pages(spark, self.pages[kind], kind, stream=True), kind)
-        return with_event_time(decoded, KAFKA_DELAY_MS)
+        return pages.decode_pages(pages.read_pages(spark, self.pages[kind], kind, stream=True), kind)
+
+    def events(self, spark: SparkSession, kind: str) -> DataFrame:
+        from auctionflow.streaming.queries import with_event_time
+        return with_event_time(self.records(spark, kind), self.delay)
 
 
 def start_job(name: str, spark: SparkSession, inputs: StreamInputs, checkpoint_root: str,
               output_root: str | None = None, trigger: dict | None = None, **params) -> dict:
-    """Start a job as Structured Streaming queries (one per output) and
-    return ``{output name: StreamingQuery}``.  Outputs go to Parquet folders
-    under ``output_root`` (``noop`` when None); every query has its own
-    checkpoint under ``checkpoint_root`` (a shared folder on clusters).
+    """Start a job as one Structured Streaming query and return
+    ``{output name: StreamingQuery}``.  Each source is read once, whatever
+    the number of outputs; a batch's outputs become visible together
+    (:class:`streaming.batched.BatchStore`).  Outputs go to Parquet folders
+    ``{output}/batch={id}`` under ``output_root`` (discarded when None);
+    checkpoint and carries lie under ``checkpoint_root`` (a shared folder on
+    clusters).
 
     * ``debug``: person pages decoded and discarded (E1);
     * ``q8``: J2 connect + K1 latency lines (E2);
     * ``q5``: A1 bid rounds + K2 latency lines (E3);
-    * ``qx``: J3 winning bids + K4 lines, J4 chunks, A5 sessions, A6 highest session (E4).
+    * ``qx``: the live probe (P5 "first") + K4 lines ``combo``, J3 winning bids + K4, J4 chunks, A5 sessions + K3
+      ``session_latency``, A6 highest session (E4);
+    * ``qx_probe``: the live probe and its lines only.
+
+    Rows that come too late go to ``too_late``.  ``reorder_ms`` is how far
+    processing times of records that are written as they are read (K1, the
+    probe) may run against event times.
     """
+    from auctionflow.streaming import batched as M
     from auctionflow.streaming import queries as S
 
-    def sink(df: DataFrame, out: str):
-        kwargs = {"sink": "file", "path": f"{output_root}/{out}"} if output_root else {"sink": "noop"}
-        return S.start(df, f"{checkpoint_root}/{out}", name=None, trigger=trigger, **kwargs)
-
-    subtasks = params.get("subtasks", 4)
+    if name not in JOBS:
+        raise ValueError(f"unknown job {name!r}; expected one of {sorted(JOBS)}")
+    subtasks, sample_n = params.get("subtasks", 4), params.get("sample_n", 200_000)
+    reorder_ms = params.get("reorder_ms", 0)
     if name == "debug":
-        src = StreamInputs(autogen=False, pages=inputs.pages) if inputs.pages else inputs
-        return {"persons": sink(src.events(spark, "person"), "persons")}
-    if name == "q8":
-        conn = S.connect_persons_auctions(inputs.events(spark, "person"), inputs.events(spark, "auction"),
-                                          params.get("sample_n", 200_000), subtasks)
-        rec = latency.q8_records(conn, F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
-        lines = S.running_latency(rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"],
-                                  subtasks)
-        return {"q8_latency": sink(lines.drop("event_time"), "q8_latency")}
-    if name == "q5":
-        r = S.bid_rounds(inputs.events(spark, "bid"), params.get("duration_ms", 60_000))
-        lines = S.running_latency(latency.bid_records(r, F.col("round_end")), "q5", "auction_id",
-                                  ["last_ts", "last_ingestion_ts", "round_no"], subtasks)
-        return {"q5_latency": sink(lines.drop("event_time"), "q5_latency")}
-    if name == "qx":
-        bids, auctions = inputs.events(spark, "bid"), inputs.events(spark, "auction")
-        winning = S.last_bids_per_round(bids, auctions)
-        sess = sessions.bidder_sessions(bids, params.get("session_gap_ms", 60_000),
-                                        params.get("allowed_lateness_ms", 15_000))
-        return {
-            "winning_latency": sink(S.running_latency(latency.bid_records(winning, F.col("close_ts")), "winning",
-                                                      "auction_id", ["last_ts", "last_ingestion_ts", "round_no"],
-                                                      subtasks).drop("event_time"), "winning_latency"),
-            "bid_chunks": sink(S.bid_chunks(bids, params.get("chunk_size", 32)).drop("event_time"), "bid_chunks"),
-            "bidder_sessions": sink(sess.drop("window"), "bidder_sessions"),
-            "highest_session": sink(aggregates.highest_per_window(sess, params.get("window_ms", 10_000)),
-                                    "highest_session"),
-        }
-    raise ValueError(f"unknown job {name!r}; expected one of {sorted(JOBS)}")
+        src = inputs.events(spark, "person")
+        kwargs = {"sink": "file", "path": f"{output_root}/persons"} if output_root else {"sink": "noop"}
+        return {"persons": S.start(src, f"{checkpoint_root}/persons", trigger=trigger, **kwargs)}
+    kinds = {"q8": ["person", "auction"], "q5": ["bid"], "qx": ["bid", "auction"], "qx_probe": ["bid"]}[name]
+    source = M.tagged(**{k: inputs.records(spark, k) for k in kinds})
+
+    def ready(batch: M.Batch, rows: DataFrame) -> tuple[list[DataFrame], int | None]:
+        passed, mark = M.in_order(batch, rows, "ts", inputs.delay, by="kind", kinds=kinds, late_output="too_late")
+        return [M.of_kind(passed, k) for k in kinds], mark
+
+    def q8(batch: M.Batch, rows: DataFrame) -> None:
+        (persons, auctions), _ = ready(batch, rows)
+        kept = M.sampled(batch, auctions.select(*joins.AUCTION_ORDER), sample_n, joins.AUCTION_ORDER, "person_id", subtasks, "nth")
+        rec = latency.q8_records(joins.connected(persons, kept), F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
+        batch.emit("q8_latency", M.latency_lines(batch, rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"],
+                                                 subtasks, reorder_ms=reorder_ms))
+
+    def q5(batch: M.Batch, rows: DataFrame) -> None:
+        (bids,), mark = ready(batch, rows)
+        rec = latency.bid_records(M.bid_rounds(batch, bids, params.get("duration_ms", 60_000), mark), F.col("round_end"))
+        batch.emit("q5_latency", M.latency_lines(batch, rec, "q5", "auction_id", ["last_ts", "last_ingestion_ts", "auction_id", "round_no"], subtasks))
+
+    def probe(batch: M.Batch, bids: DataFrame) -> None:
+        order = ["ts", "ingestion_ts", "bid_id"]
+        taken = M.sampled(batch, bids.select("auction_id", *order), sample_n, order, "auction_id", subtasks, "first", "probe")
+        rec = latency.bid_records(probed(taken), F.col("last_ingestion_ts"))
+        batch.emit("combo", M.latency_lines(batch, rec, "winning", "auction_id", PROBE_ORDER, subtasks, "combo", reorder_ms))
+
+    def qx_probe(batch: M.Batch, rows: DataFrame) -> None:
+        (bids,), _ = ready(batch, rows)
+        probe(batch, bids)
+
+    def qx(batch: M.Batch, rows: DataFrame) -> None:
+        (bids, auctions), mark = ready(batch, rows)
+        probe(batch, bids)
+        order = ["last_ts", "last_ingestion_ts"]
+        won = M.winning_bids(batch, bids, auctions, mark)
+        batch.emit("winning_bids", won)
+        batch.emit("winning_latency", M.latency_lines(batch, latency.bid_records(won, F.col("close_ts")), "winning", "auction_id",
+                                                      [*order, "auction_id", "round_no"], subtasks, "winning"))
+        batch.emit("bid_chunks", M.full_chunks(batch, bids, params.get("chunk_size", 32)))
+        sess = M.closed_sessions(batch, bids, params.get("session_gap_ms", 60_000), mark)
+        batch.emit("bidder_sessions", sess)
+        batch.emit("session_latency", M.latency_lines(batch, latency.bid_records(sess, F.col("session_end")), "session", "person_id",
+                                                      [*order, "person_id", "session_start"], subtasks, "session"))
+        batch.emit("highest_session", M.highest_per_window(batch, sess, params.get("window_ms", 10_000), mark))
+
+    step = {"q8": q8, "q5": q5, "qx": qx, "qx_probe": qx_probe}[name]
+    outputs = {"q8": ["q8_latency"], "q5": ["q5_latency"], "qx_probe": ["combo"],
+               "qx": ["combo", "winning_bids", "winning_latency", "bid_chunks", "bidder_sessions", "session_latency", "highest_session"]}[name]
+    query, _ = M.start(source, f"{checkpoint_root}/{name}", step, output_root, trigger)
+    return dict.fromkeys(outputs, query)
