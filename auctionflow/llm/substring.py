@@ -37,12 +37,13 @@ HOT_SHARE = 8192
 #: Windows of a block at most; its size is sent as 16 bits.
 BLOCK = 60_000
 
-SPANS = "doc_id long, tag long, start long, length long, source long"
+SPANS = "doc_id long, tag long, tag2 long, start long, length long, source long"
 
 
-def text_tag(text: bytes) -> int:
-    """Tells apart the texts of rows that share a doc_id."""
-    return xxhash.xxh32_intdigest(text)
+def text_tag(text: bytes) -> tuple[int, int]:
+    """128 bits that tell apart the texts of rows that share a doc_id, or have none."""
+    whole = xxhash.xxh3_128_intdigest(text)
+    return tuple(x - 2 ** 64 if x >> 63 else x for x in divmod(whole, 2 ** 64))
 
 
 class Flush:
@@ -55,7 +56,7 @@ class Flush:
         hashes = np.concatenate([word_hashes(w, len(w)) for w in words]) if len(words) else np.empty(0, np.uint64)
         starts = np.cumsum(sizes) - sizes
         self.docs = np.array(docs, dtype=np.int64)[order]
-        self.tags = np.array([text_tag(rows[i]) for i in order], dtype=np.int64)
+        self.tags = np.array([text_tag(rows[i]) for i in order], dtype=np.int64).reshape(-1, 2)
         counts = np.maximum(sizes - window + 1, 0)
         self.row = np.repeat(np.arange(len(words)), counts)
         first = np.cumsum(counts) - counts
@@ -113,7 +114,7 @@ def pieces(new: np.ndarray, total: int, most: int) -> np.ndarray:
 
 
 def hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
-    """Anchors with at least 1 / HOT_SHARE of all windows that are sent; at most HOT_SHARE of them."""
+    """Anchors with at least half of 1 / HOT_SHARE of all windows that are sent; at most twice HOT_SHARE of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flush in flushes(batches, window):
@@ -130,13 +131,13 @@ def hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
     return np.sort(np.array([r["anchor"] for r in hot.select("anchor").collect()], dtype=np.int64).astype(np.uint64))
 
 
-_META = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("n", "<u2")])
+_META = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("tag2", "<i8"), ("start", "<u4"), ("n", "<u2")])
 
 
 def _pack(docs, tags, start, n, hashes) -> bytes:
     """Blocks as bytes: their number, the compressed columns of documents (as steps), tags, starts and sizes, the hashes."""
     columns = b"".join(np.ascontiguousarray(c.astype(_META[k])).tobytes() for k, c in
-                       (("doc", np.diff(docs, prepend=np.int64(0))), ("tag", tags), ("start", start), ("n", n)))
+                       (("doc", np.diff(docs, prepend=np.int64(0))), ("tag", tags[:, 0]), ("tag2", tags[:, 1]), ("start", start), ("n", n)))
     small = pa.compress(columns, codec="zstd", asbytes=True)
     return np.array([len(docs), len(small)], dtype="<u4").tobytes() + small + hashes.tobytes()
 
@@ -144,19 +145,19 @@ def _pack(docs, tags, start, n, hashes) -> bytes:
 def _unpack(blob: bytes):
     count, size = (int(x) for x in np.frombuffer(blob, "<u4", 2))
     columns, at, out = pa.decompress(blob[8:8 + size], decompressed_size=count * _META.itemsize, codec="zstd", asbytes=True), 0, []
-    for k in ("doc", "tag", "start", "n"):
-        out.append(np.frombuffer(columns, _META[k], count, at))
+    for k in _META.names:
+        out.append(np.frombuffer(columns, _META[k], count, at).astype(np.int64))
         at += count * _META[k].itemsize
-    return np.cumsum(out[0]), out[1].astype(np.int64), out[2].astype(np.int64), out[3].astype(np.int64), np.frombuffer(blob, "<u8", offset=8 + size)
+    return np.cumsum(out[0]), np.stack(out[1:3], axis=1), out[3], out[4], np.frombuffer(blob, "<u8", offset=8 + size)
 
 
 def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = None) -> DataFrame:
     """Runs of windows of every document that also start in a document with a smaller doc_id.
 
-    Returns doc_id, tag (of the row's text), start (word), length (words covered) and source (the smallest such document
+    Returns doc_id, tag and tag2 (128 bits of the row's text), start (word), length (words covered) and source (the smallest such document
     of the flush where a task settled the run, else of the windows that were sent).  The words covered do not depend on
-    partitioning, the cuts between runs and the sources do.  The runs of a document may touch or overlap.  Rows without doc_id count as the last documents; rows that
-    share a doc_id are not duplicates of each other.
+    partitioning, the cuts between runs and the sources do.  The runs of a document may touch or overlap.  Rows without doc_id count as the last documents and,
+    like rows that share a doc_id, are no duplicates of each other; the hash of the whole text tells such rows apart.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -164,11 +165,11 @@ def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = Non
     hot = hot_anchors(rows, window)
 
     def spans_of(docs_, tags, start, source) -> pa.RecordBatch:
-        new = np.flatnonzero(runs(docs_, start, source) | np.append(True, tags[1:] != tags[:-1])) if len(docs_) else np.empty(0, np.int64)
+        new = np.flatnonzero(runs(docs_, start, source) | np.append(True, (tags[1:] != tags[:-1]).any(axis=1))) if len(docs_) else np.empty(0, np.int64)
         length = np.diff(np.append(new, len(docs_))) + window - 1
         doc = docs_[new]
         return pa.RecordBatch.from_arrays([pa.array(doc, mask=doc == NO_ID), *(pa.array(x.astype(np.int64)) for x in
-                                          (tags[new], start[new], length, source[new]))], names=["doc_id", "tag", "start", "length", "source"])
+                                          (tags[new, 0], tags[new, 1], start[new], length, source[new]))], names=["doc_id", "tag", "tag2", "start", "length", "source"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flush in flushes(batches, window):
@@ -180,7 +181,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, buckets: int | None = Non
             local = spans_of(flush.docs[flush.row[settled]], flush.tags[flush.row[settled]], flush.start[settled], smallest[settled])
             with pa.ipc.new_stream(sink, local.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_batch(local)
-            keys, blobs, kinds = [int(flush.tags[0]) % buckets], [sink.getvalue().to_pybytes()], [True]
+            keys, blobs, kinds = [int(flush.tags[0, 0]) % buckets], [sink.getvalue().to_pybytes()], [True]
             at = np.flatnonzero(~known)
             row, start, anchor, hashes = flush.row[at], flush.start[at], flush.anchor[at], flush.hash[at]
             if len(hot):
@@ -303,16 +304,17 @@ def without_duplicates(docs: DataFrame, spans: DataFrame) -> DataFrame:
         test = marked()
         for part in (p for batch in batches for p in slices(batch)):
             part = part.filter(pa.array(test(part.column(2).to_numpy())))
-            tags = pa.array([text_tag(t.encode()) for t in texts(part.column(1))], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), tags], names=["doc_id", "text", "tag"])
+            tags = np.array([text_tag(t.encode()) for t in texts(part.column(1))], dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(tags[:, 0].copy()), pa.array(tags[:, 1].copy())],
+                                             names=["doc_id", "text", "tag", "tag2"])
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in slices(batch)):
             yield cut(part, part.column(2).to_pylist())
 
-    own = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "length", "source")).alias("spans"))
-    dirty = rows.mapInArrow(tagged, "doc_id long, text string, tag long")
-    on = (F.coalesce(dirty["doc_id"], F.lit(int(NO_ID))) == F.coalesce(own["doc_id"], F.lit(int(NO_ID)))) & (dirty["tag"] == own["tag"])
+    own = spans.groupBy("doc_id", "tag", "tag2").agg(F.collect_list(F.struct("start", "length", "source")).alias("spans"))
+    dirty = rows.mapInArrow(tagged, "doc_id long, text string, tag long, tag2 long")
+    on = (F.coalesce(dirty["doc_id"], F.lit(int(NO_ID))) == F.coalesce(own["doc_id"], F.lit(int(NO_ID)))) & (dirty["tag"] == own["tag"]) & (dirty["tag2"] == own["tag2"])
     dirty = dirty.join(own, on, "left").select(dirty["doc_id"], "text", "spans").mapInArrow(parsed, schema)
     return rows.mapInArrow(whole, schema).unionByName(dirty)
 
