@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from auctionflow.operators.aggregates import exact_std, latency_summary  # noqa: F401
 from auctionflow.operators.sampling import subtask_of
-from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, running_aggregates
+from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, fits_a_slice, running_aggregates
 from auctionflow.session import ensure_checkpoint_dir
 
 LATENCY_THRESHOLD_MS = 10 * 60 * 1000
@@ -94,25 +94,29 @@ def line_columns(kind: str, time: str = "processed_ts") -> list[Column]:
 
 def running_latency(records: DataFrame, kind: str, key_col: str, order_cols: list[str],
                     subtasks: int = 4, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-                    checkpoint: bool = True, close_lines: bool = False) -> DataFrame:
+                    checkpoint: bool = True, close_lines: bool = False, at_most: DataFrame | int | None = None) -> DataFrame:
     """K1-K4 lines.  ``records`` come from :func:`q8_records` (kind "q8") or
     :func:`bid_records` (kinds "q5", "session", "winning").  Rows are routed
     to ``pmod(|key|, subtasks)`` and ordered by ``processed_ts`` then
     ``order_cols``; counts are real counts (the reference's K3/K4 write sums
     under the count headers; "winning" adds separate sum columns).
     ``close_lines`` appends each subtask's closing line (statistics over all
-    its rows, ts = its last processed time)."""
+    its rows, ts = its last processed time).  ``at_most`` (a table with at
+    least as many rows, such as the events behind the records, or their
+    number) saves the checkpoint and the count of subtasks' rows where all
+    records fit one slice."""
     series, _ = series_of(kind)
     cols = ["subtask", "processed_ts", *order_cols, *series, "_emit"]
     r = records.withColumn("subtask", subtask_of(F.col(key_col), subtasks)).select(*dict.fromkeys(cols))
-    if checkpoint:
+    at_most = at_most if at_most is None or isinstance(at_most, int) else at_most.count()
+    if checkpoint and not fits_a_slice(at_most, rows_per_slice):
         # the sink input (rounds, sessions, sampled rows) is far smaller than
         # the events behind it; write it once so the per-subtask statistics
         # and the ordered pass do not both recompute the upstream plan
         ensure_checkpoint_dir(records.sparkSession)
         r = r.checkpoint()
-    run = running_aggregates(r.select(*dict.fromkeys(cols)), ["subtask"], ["processed_ts", *order_cols],
-                             series, rows_per_slice=rows_per_slice)
+        at_most = r.count()
+    run = running_aggregates(r, ["subtask"], ["processed_ts", *order_cols], series, rows_per_slice=rows_per_slice, at_most=at_most)
     lines = run.where("_emit").select(*line_columns(kind))
     if not close_lines:
         return lines

@@ -13,8 +13,8 @@ Plan:
 * ordinary keys are folded in one pass over data hash-partitioned by key and
   sorted within partitions, streaming through Arrow batches with O(1) state
   per key (key, close, round number) and never holding a group;
-* keys with more than ``chain_rows`` candidates take the parallel
-  pointer-doubling route of :mod:`plans.chains` (same result);
+* keys with more than ``chain_rows`` candidates are folded in slices, all
+  at once, by :mod:`plans.chains` (same result);
 * everything else is built-in: bids are assigned to rounds by an as-of
   lookup (:func:`plans.ordered.next_marker`, parallel within hot keys) or
   by the fold's annotation, and rounds are summarised by partial aggregates.
@@ -28,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auctionflow.functions.ordering import order_key
-from auctionflow.plans.chains import chain_openers
-from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, hot_keys, next_marker, placed, sequence_numbers
+from auctionflow.plans.chains import parallel_rounds
+from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, hot_keys, next_marker, placed
 from auctionflow.session import ensure_checkpoint_dir
 
-# The fold streams about a million candidates per second in one task, so a
-# key is handed to the parallel pointer-doubling route (O(log n) join
-# levels, each a job) only when it holds more candidates than this.
-DEFAULT_CHAIN_ROWS = 50_000_000
+# A key with more candidates than one slice is folded in slices: no task
+# holds more than a slice of it.
+DEFAULT_CHAIN_ROWS = DEFAULT_ROWS_PER_SLICE
 
 _FOLD_FIELDS = [("round_no", pa.int64()), ("open_t", pa.int64()), ("round_close", pa.int64()),
                 ("opener", pa.bool_())]
@@ -104,16 +103,16 @@ def _fold_batches(batches):
 
 def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None = None,
                 rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, chain_rows: int = DEFAULT_CHAIN_ROWS,
-                at_most: DataFrame | None = None) -> DataFrame:
+                at_most: DataFrame | int | None = None) -> DataFrame:
     """Annotate every row with its round: ``round_no`` (1-based per key),
     ``open_t``, ``round_close`` and ``opener``.  Rows are renamed to ``key``,
     ``t``, ``close_t``; other columns pass through.  ``(key, t)`` must be
     unique (callers collapse equal times first).  Rows without a key, a time
     or a close are dropped: they neither open nor belong to a round.
 
-    Keys with more than ``chain_rows`` rows take the parallel pointer-
-    doubling route (:mod:`plans.chains`, whose scans slice at
-    ``rows_per_slice``); all others one sorted streaming pass."""
+    Keys with more than ``chain_rows`` rows are cut into slices of
+    ``rows_per_slice`` (:mod:`plans.chains`); all others are folded in one
+    sorted streaming pass."""
     close_col = F.col(close_t) if isinstance(close_t, str) else close_t
     rest = [c for c in df.columns if c not in (key, t) and not (isinstance(close_t, str) and c == close_t)]
     inp = df.select(F.col(key).cast("long").alias("key"), F.col(t).cast("long").alias("t"),
@@ -124,8 +123,7 @@ def fold_rounds(df: DataFrame, key: str, t: str, close_t, tie: list[str] | None
         return _fold_sorted(inp, tie)
     hk = hot.select("key")
     normal = _fold_sorted(inp.join(hk, "key", "left_anti"), tie)
-    max_n = hot.agg(F.max("_n")).first()[0]
-    return normal.unionByName(_rounds_by_doubling(inp.join(hk, "key", "left_semi"), rows_per_slice, max_n))
+    return normal.unionByName(parallel_rounds(inp.join(hk, "key", "left_semi"), hot, n_hot, rows_per_slice))
 
 
 def _fold_sorted(inp: DataFrame, tie: list[str] | None) -> DataFrame:
@@ -136,25 +134,6 @@ def _fold_sorted(inp: DataFrame, tie: list[str] | None) -> DataFrame:
     return sorted_in.mapInArrow(_fold_batches, schema)
 
 
-def _rounds_by_doubling(rows: DataFrame, rows_per_slice: int, max_n: int | None = None) -> DataFrame:
-    """Same annotation as the fold, for hot keys: chain openers by pointer
-    doubling, round numbers by distributed row numbers, and each row's round
-    = (round of the next opener after it) - 1, or the key's last round."""
-    openers = chain_openers(rows.select("key", "t", "close_t"), "key", rows_per_slice, max_n)
-    numbered = sequence_numbers(openers.join(rows.select("key", "t", "close_t"), ["key", "t"]),
-                                ["key"], ["t"], out="round_no", rows_per_slice=rows_per_slice)
-    marks = numbered.select("key", F.col("t").alias("_ot"), F.col("round_no").alias("_next_round"))
-    ahead = next_marker(rows, marks, ["key"], "t", "_ot", ["_next_round"], strict=True,
-                        rows_per_slice=rows_per_slice)
-    totals = numbered.groupBy("key").agg(F.max("round_no").alias("_last_round"))
-    info = numbered.select("key", "round_no", F.col("t").alias("open_t"), F.col("close_t").alias("round_close"))
-    out = (ahead.join(totals, "key")
-                .withColumn("round_no", F.coalesce(F.col("_next_round") - 1, F.col("_last_round")))
-                .join(info, ["key", "round_no"])
-                .withColumn("opener", F.col("t") == F.col("open_t")))
-    return out.select(*rows.columns, *[n for n, _ in _FOLD_FIELDS])
-
-
 def auction_rounds(auctions: DataFrame, rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
                    chain_rows: int = DEFAULT_CHAIN_ROWS) -> DataFrame:
     """J3 rounds: per auction id, ``round_no, open_ts, close_ts,
@@ -233,26 +212,24 @@ def bid_round_snapshots(bids: DataFrame, duration_ms: int, n: int = 300_000, sub
     from auctionflow.operators.sampling import sample_every
     from auctionflow.plans.ordered import running_aggregates
     order = ["ts", "ingestion_ts", "bid_id"]
-    per_ts = bids.groupBy("auction_id", "ts").agg(F.count(F.lit(1)).alias("_n"))
+    n_bids = bids.count()
+    # last ts so far is the bid's own ts (arrival order is by ts); its
+    # ingestion is the smallest ingestion of the round's bids at that ts
+    # that arrived so far, i.e. the first bid at that ts
+    per_ts = bids.groupBy("auction_id", "ts").agg(F.min("ingestion_ts").alias("last_ingestion_ts"))
     folded = fold_rounds(per_ts, "auction_id", "ts", F.col("ts") + F.lit(duration_ms),
-                         rows_per_slice=rows_per_slice, chain_rows=chain_rows, at_most=bids)
+                         rows_per_slice=rows_per_slice, chain_rows=chain_rows, at_most=n_bids)
     b = (bids.select("auction_id", *order, "bid")
-             .join(folded.select(F.col("key").alias("auction_id"), F.col("t").alias("ts"), "round_no"),
+             .join(folded.select(F.col("key").alias("auction_id"), F.col("t").alias("ts"), "round_no", "last_ingestion_ts"),
                    ["auction_id", "ts"]))
-    # the annotated bids feed three branches (slice statistics, running
-    # aggregates, first ingestion per ts): write them once to the session's
-    # checkpoint folder instead of re-running the fold per branch
-    ensure_checkpoint_dir(bids.sparkSession)
-    b = b.checkpoint()
+    if n_bids > rows_per_slice:
+        # with hot rounds the annotated bids are read more than once: write
+        # them to the session's checkpoint folder instead of folding again
+        ensure_checkpoint_dir(bids.sparkSession)
+        b = b.checkpoint()
     # running accumulator per (auction, round): count and max price so far
-    run = running_aggregates(b, ["auction_id", "round_no"], order, ["bid"], rows_per_slice=rows_per_slice)
+    run = running_aggregates(b, ["auction_id", "round_no"], order, ["bid"], rows_per_slice=rows_per_slice, at_most=n_bids)
     non_first = run.where(F.col("bid_rcount") > 1)
-    sampled = sample_every(non_first, n, order, "auction_id", subtasks, "first", rows_per_slice)
-    # last ts so far is the bid's own ts (arrival order is by ts); its
-    # ingestion is the smallest ingestion of the round's bids at that ts
-    # that arrived so far, i.e. the first bid at that ts
-    first_at_ts = (b.groupBy("auction_id", "round_no", "ts")
-                    .agg(F.min("ingestion_ts").alias("last_ingestion_ts")))
-    out = sampled.join(first_at_ts, ["auction_id", "round_no", "ts"])
+    out = sample_every(non_first, n, order, "auction_id", subtasks, "first", rows_per_slice, n_bids)
     return out.select("auction_id", "round_no", F.col("bid_rmax").alias("max_price"), F.col("ts").alias("last_ts"),
                       "last_ingestion_ts", F.col("bid_rcount").alias("bid_count"))

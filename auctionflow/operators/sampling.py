@@ -24,13 +24,15 @@ def subtask_of(key: Column, subtasks: int) -> Column:
 
 
 def sample_every(df: DataFrame, n: int, order_cols: list[str], key_col: str, subtasks: int = 4,
-                 phase: str = "nth", rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
-    """Keep every n-th row per subtask; adds ``subtask`` and ``seq``."""
+                 phase: str = "nth", rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+                 at_most: DataFrame | int | None = None) -> DataFrame:
+    """Keep every n-th row per subtask; adds ``subtask`` and ``seq``.
+    ``at_most`` as of :func:`plans.ordered.hot_keys`."""
     if n < 1:
         raise ValueError("n must be >= 1")
     if phase not in ("nth", "first"):
         raise ValueError("phase is 'nth' or 'first'")
     tagged = df.withColumn("subtask", subtask_of(F.col(key_col), subtasks))
-    numbered = sequence_numbers(tagged, ["subtask"], order_cols, out="seq", rows_per_slice=rows_per_slice)
+    numbered = sequence_numbers(tagged, ["subtask"], order_cols, out="seq", rows_per_slice=rows_per_slice, at_most=at_most)
     keep = (F.col("seq") % n == 0) if phase == "nth" else ((F.col("seq") - 1) % n == 0)
     return numbered.where(keep)

@@ -29,7 +29,7 @@ def gap_bucket(ts_col: str, gap_ms: int) -> Column:
 
 
 def session_ids(buckets: DataFrame, keys: list[str], gap_ms: int, lo: str = "_lo", hi: str = "_hi",
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | None = None) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | int | None = None) -> DataFrame:
     """Number the sessions of a bucket table (one row per key and bucket with
     the min ``lo`` / max ``hi`` event time).  Adds ``_sid`` (per key).  Buckets
     without a key or time are dropped.

@@ -137,27 +137,29 @@ def _window_latencies(spark, sf):
 def latency_q8(spark, sf):
     conn = joins.connect_persons_auctions(B.persons(spark, sf), B.auctions(spark, sf), sample_n=5, subtasks=4)
     rec = latency.q8_records(conn, F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
-    return latency.running_latency(rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"])
+    return latency.running_latency(rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"],
+                                   at_most=B.table(spark, sf, "events"))
 
 
 def latency_q5(spark, sf):
     r = rounds.bid_rounds(B.bids(spark, sf), HOUR)
     rec = latency.bid_records(r, F.col("round_end"))
-    return latency.running_latency(rec, "q5", "auction_id", ["last_ts", "last_ingestion_ts", "auction_id", "round_no"])
+    return latency.running_latency(rec, "q5", "auction_id", ["last_ts", "last_ingestion_ts", "auction_id", "round_no"],
+                                   at_most=B.bids(spark, sf))
 
 
 def latency_session(spark, sf):
     s = sessions.bidder_sessions(B.bids(spark, sf), 5 * 60_000)
     rec = latency.bid_records(s, F.col("session_end"))
     return latency.running_latency(rec, "session", "person_id",
-                                   ["last_ts", "last_ingestion_ts", "person_id", "session_start"])
+                                   ["last_ts", "last_ingestion_ts", "person_id", "session_start"], at_most=B.bids(spark, sf))
 
 
 def latency_winning(spark, sf):
     r = rounds.last_bids_per_round(B.bids(spark, sf), B.auctions(spark, sf))
     rec = latency.bid_records(r, F.col("close_ts"))
     return latency.running_latency(rec, "winning", "auction_id",
-                                   ["last_ts", "last_ingestion_ts", "auction_id", "round_no"])
+                                   ["last_ts", "last_ingestion_ts", "auction_id", "round_no"], at_most=B.auctions(spark, sf))
 
 
 def latency_summary(spark, sf):

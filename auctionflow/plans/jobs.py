@@ -61,8 +61,8 @@ def job_new_users(spark: SparkSession, inputs: Inputs, window: WindowSpec | None
         return joins.new_user_auctions(p, a, window)
     conn = joins.connect_persons_auctions(p, a, sample_n, subtasks)
     rec = latency.q8_records(conn, F.greatest("person_ingestion_ts", "auction_ingestion_ts"))
-    lines = latency.running_latency(rec, "q8", "person_id",
-                                    ["person_creation_ts", "auction_creation_ts", "person_id"], subtasks)
+    lines = latency.running_latency(rec, "q8", "person_id", ["person_creation_ts", "auction_creation_ts", "person_id"], subtasks,
+                                    at_most=p.select("ts").unionAll(a.select("ts")))
     if csv_dir:
         latency.write_latency_csv(lines, f"{csv_dir}/q8")
     return lines
@@ -71,10 +71,9 @@ def job_new_users(spark: SparkSession, inputs: Inputs, window: WindowSpec | None
 def job_bid_stats(spark: SparkSession, inputs: Inputs, duration_ms: int = 60_000, subtasks: int = 4,
                   csv_dir: str | None = None) -> DataFrame:
     """Bids -> A1 rounds -> K2 lines (now = round end)."""
-    r = rounds.bid_rounds(inputs.events(spark, "bid"), duration_ms)
-    rec = latency.bid_records(r, F.col("round_end"))
-    lines = latency.running_latency(rec, "q5", "auction_id",
-                                    ["last_ts", "last_ingestion_ts", "auction_id", "round_no"], subtasks)
+    bids = inputs.events(spark, "bid")
+    rec = latency.bid_records(rounds.bid_rounds(bids, duration_ms), F.col("round_end"))
+    lines = latency.running_latency(rec, "q5", "auction_id", ["last_ts", "last_ingestion_ts", "auction_id", "round_no"], subtasks, at_most=bids)
     if csv_dir:
         latency.write_latency_csv(lines, f"{csv_dir}/q5")
     return lines
@@ -93,10 +92,10 @@ def job_combo_probe(spark: SparkSession, inputs: Inputs, sample_n: int = 200_000
     """E4's live output: the first of every ``sample_n`` bids per subtask goes
     to the winning-bid sink as it is read (now = its ingestion) -> K4 lines."""
     order = ["ts", "ingestion_ts", "bid_id"]
-    probe = sample_every(inputs.events(spark, "bid").select("auction_id", *order), sample_n, order, "auction_id",
-                         subtasks, "first")
+    bids = inputs.events(spark, "bid")
+    probe = sample_every(bids.select("auction_id", *order), sample_n, order, "auction_id", subtasks, "first")
     rec = latency.bid_records(probed(probe), F.col("last_ingestion_ts"))
-    lines = latency.running_latency(rec, "winning", "auction_id", PROBE_ORDER, subtasks)
+    lines = latency.running_latency(rec, "winning", "auction_id", PROBE_ORDER, subtasks, at_most=bids)
     if csv_dir:
         latency.write_latency_csv(lines, f"{csv_dir}/winning")
     return lines
@@ -115,11 +114,11 @@ def job_combo(spark: SparkSession, inputs: Inputs, session_gap_ms: int = 60_000,
     return {
         "winning_bids": winning,
         "winning_latency": latency.running_latency(latency.bid_records(winning, F.col("close_ts")), "winning",
-                                                   "auction_id", order + ["auction_id", "round_no"], subtasks),
+                                                   "auction_id", order + ["auction_id", "round_no"], subtasks, at_most=auctions),
         "bid_chunks": chunks.bid_chunks(bids, chunk_size),
         "bidder_sessions": sess,
         "session_latency": latency.running_latency(latency.bid_records(sess, F.col("session_end")), "session",
-                                                   "person_id", order + ["person_id", "session_start"], subtasks),
+                                                   "person_id", order + ["person_id", "session_start"], subtasks, at_most=bids),
         "highest_session": aggregates.highest_per_window(sess, window_ms),
     }
 

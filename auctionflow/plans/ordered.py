@@ -7,8 +7,8 @@ split such keys into slices of like size:
 
 1. ``groupBy(key).agg(count)`` (partial aggregation) finds keys with more than
    ``rows_per_slice`` rows.  At most ``N / rows_per_slice`` keys qualify.
-2. Each hot key is cut at quantiles of its times, so an outlier or a burst
-   costs nothing.  Where one time alone fills a slice, its rows are cut again
+2. Each hot key is cut at quantiles of its times, as many as its own rows
+   need, so an outlier or a burst costs nothing.  Where one time alone fills a slice, its rows are cut again
    at quantiles of the second order column.  ``_slice`` counts the cuts at or
    before a row's (time, second column), so slices are contiguous in the scan
    order; other keys have slice 0.
@@ -39,6 +39,8 @@ from auctionflow.session import ensure_checkpoint_dir
 DEFAULT_ROWS_PER_SLICE = 4_000_000
 MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
 MAX_LITERAL_CUTS = 2_048
+FAN = 64                # cuts of one node of the search tree
+MAX_BROADCAST_CUTS = 500_000  # 16 bytes and a key each: some 20 MB
 _LOWEST = -(2 ** 63)
 _CUTS = "array<decimal(38,0)>"
 
@@ -50,17 +52,24 @@ def placed(df: DataFrame, keys: list[str], t_col: str) -> DataFrame:
     return df
 
 
+def fits_a_slice(at_most: DataFrame | int | None, rows_per_slice: int) -> bool:
+    """Whether ``at_most`` (a table or a number of rows) is known to fit one slice."""
+    if at_most is None:
+        return False
+    return (at_most if isinstance(at_most, int) else at_most.count()) <= rows_per_slice
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-             at_most: DataFrame | None = None) -> tuple[DataFrame, int]:
+             at_most: DataFrame | int | None = None) -> tuple[DataFrame, int]:
     """Keys with more than ``rows_per_slice`` rows and their count ``_n``; and
     the number of such keys.
 
     ``at_most`` is a cheaper table with at least as many rows, such as the
-    scan that ``df`` aggregates.  If even all its rows fit one slice, no key
-    is hot and the plan behind ``df`` is not run."""
+    scan that ``df`` aggregates, or their number.  If even all its rows fit
+    one slice, no key is hot and the plan behind ``df`` is not run."""
     if df.isStreaming:
         raise ValueError("ordered scans are batch operators; use the streaming processors")
-    if at_most is not None and at_most.count() <= rows_per_slice:
+    if fits_a_slice(at_most, rows_per_slice):
         return df.sparkSession.createDataFrame([], df.select(*keys, F.lit(0).cast("long").alias("_n")).schema), 0
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(rows_per_slice))
     # One job in the common case: up to MAX_LITERAL_KEYS hot keys come back
@@ -78,24 +87,38 @@ def _position(t: Column, tie: Column | None) -> Column:
     return order_key(t, F.lit(_LOWEST) if tie is None else F.coalesce(tie.cast("long"), F.lit(_LOWEST)))
 
 
+def _doublings(parts: Column) -> Column:
+    """The least c with 2^c >= ``parts`` (1 at least)."""
+    return F.length(F.bin(F.greatest(parts - 1, F.lit(1)).cast("long")))
+
+
+def _quantiles(df: DataFrame, groups: list[str], value: str, classes: list[int]) -> DataFrame:
+    """``groups`` and ``_q``: the quantiles i / 2^c of ``value``, c being the group's own ``_class``.
+
+    One aggregate with a digest per class; a group fills only that of its class, so a digest is as fine as its group needs."""
+    each = [F.percentile_approx(F.when(F.col("_class") == c, F.col(value)), [i / 2 ** c for i in range(1, 2 ** c)], max(10_000, 20 * 2 ** c)) for c in classes]
+    return df.groupBy(*groups).agg(F.coalesce(*each).cast("array<bigint>").alias("_q"))
+
+
 def slice_cuts(df: DataFrame, hot: DataFrame, keys: list[str], t_col: str, rows_per_slice: int,
                tie_col: str | None = None) -> DataFrame:
     """``keys`` and ``_cuts``: the ascending positions at which the slices of
-    the hot keys begin (all but the first).  No slice has more than about
+    the hot keys begin (all but the first).  A key gets as many slices as its
+    own rows need, rounded up to a power of two, so all keys together have at
+    most 4 N / ``rows_per_slice``.  No slice has more than about
     ``rows_per_slice`` rows, unless rows agree in both order columns."""
-    parts = -(-hot.agg(F.max("_n")).first()[0] // rows_per_slice)
-    at = [i / parts for i in range(1, parts)]
-    accuracy = max(10_000, 20 * parts)
-    own = df.join(hot.select(*keys), keys, "left_semi")
-    marks = own.groupBy(*keys).agg(F.percentile_approx(t_col, at, accuracy).alias("_q"))
-    marks = marks.select(*keys, F.explode(F.col("_q").cast("array<bigint>")).alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    sized = hot.select(*keys, _doublings(F.ceil(F.col("_n") / rows_per_slice)).alias("_class"))
+    classes = sorted(r["_class"] for r in sized.select("_class").distinct().collect())  # 40 at most
+    own = df.join(sized, keys)
+    marks = _quantiles(own, keys, t_col, classes)
+    marks = marks.select(*keys, F.explode("_q").alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
     cuts = marks.select(*keys, _position(F.col("_v"), None).alias("_p"))
     if tie_col is not None:
         # a time that is two quantiles at once fills a slice alone
-        full = marks.where("_c > 1").select(*keys, "_v")
-        within = (own.select(*keys, F.col(t_col).alias("_v"), F.col(tie_col).alias("_tie")).join(full, [*keys, "_v"])
-                     .groupBy(*keys, "_v").agg(F.percentile_approx("_tie", at, accuracy).alias("_q")))
-        within = within.select(*keys, "_v", F.explode(F.col("_q").cast("array<bigint>")).alias("_tie"))
+        full = marks.where("_c > 1").select(*keys, "_v", _doublings(F.col("_c") + 1).alias("_class"))
+        within = df.select(*keys, F.col(t_col).alias("_v"), F.col(tie_col).alias("_tie")).join(full, [*keys, "_v"])
+        within = _quantiles(within, [*keys, "_v"], "_tie", list(range(1, max(classes) + 1)))
+        within = within.select(*keys, "_v", F.explode("_q").alias("_tie"))
         cuts = (cuts.unionByName(full.select(*keys, _position(F.col("_v") + 1, None).alias("_p")))
                     .unionByName(within.select(*keys, _position(F.col("_v"), F.col("_tie")).alias("_p"))))
     return cuts.groupBy(*keys).agg(F.sort_array(F.collect_set("_p")).alias("_cuts"))
@@ -118,8 +141,8 @@ def _cuts_before(cuts: Column, position: Column, steps: int) -> Column:
 def apply_slices(df: DataFrame, cuts: DataFrame, n_hot: int, keys: list[str], t_col: str,
                  tie_col: str | None = None) -> DataFrame:
     """Add ``_slice``, the cuts of the row's key at or before it; 0 for
-    ordinary keys.  Few cuts become literals; more are joined (broadcast only
-    if the planner measures them small)."""
+    ordinary keys.  Few cuts become literals; more go through a search tree
+    (:func:`_descend`), so no row ever carries all cuts of its key."""
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long"))
     total, most = cuts.agg(F.sum(F.size("_cuts")), F.max(F.size("_cuts"))).first()
@@ -136,14 +159,37 @@ def apply_slices(df: DataFrame, cuts: DataFrame, n_hot: int, keys: list[str], t_
             own = F.when(match, value) if own is None else own.when(match, value)
         df = df.withColumn("_cuts", own if own is not None else F.lit(None).cast(_CUTS))
     else:
-        df = df.join(cuts, keys, "left")
+        return _descend(df, cuts, keys, position, int(total or 0), int(most or 0))
     found = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(_cuts_before(F.col("_cuts"), position, steps))
     return df.withColumn("_slice", found).drop("_cuts")
 
 
+def _descend(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column, total: int, most: int) -> DataFrame:
+    """Add ``_slice`` by a search tree of the cuts with FAN cuts a node.
+
+    One join a level (two for 4,096 cuts of a key, three for 262,144) on (key, node): a row meets FAN cuts at most, and
+    the node of a row of a hot key differs from row to row, so a join that has to shuffle spreads it."""
+    depth = 1
+    while FAN ** depth < most:
+        depth += 1
+    each = cuts.select(*keys, F.posexplode("_cuts").alias("_i", "_p"))
+    out = df.withColumn("_pos", position).withColumn("_slice", F.lit(0).cast("long"))
+    for level in reversed(range(depth)):
+        step = FAN ** level
+        nodes = (each.where(F.col("_i") % step == 0)
+                     .groupBy(*keys, F.floor(F.col("_i") / (step * FAN)).alias("_slice")).agg(F.sort_array(F.collect_list("_p")).alias("_cuts")))
+        if total <= MAX_BROADCAST_CUTS:
+            nodes = F.broadcast(nodes)
+        found = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_cuts_before(F.col("_cuts"), F.col("_pos"), FAN.bit_length()))
+        if level:
+            found = F.greatest(found - 1, F.lit(0))  # the child whose first cut is the last at or before the row
+        out = out.join(nodes, [*keys, "_slice"], "left").withColumn("_slice", (F.col("_slice") * FAN + found).cast("long")).drop("_cuts")
+    return out.select(*df.columns, "_slice")
+
+
 def add_slices(df: DataFrame, keys: list[str], order_cols: list[str],
                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
-               at_most: DataFrame | None = None) -> tuple[DataFrame, bool]:
+               at_most: DataFrame | int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_slice`` (0 for ordinary keys).  Returns (df, sliced)."""
     hot, n_hot = hot_keys(df, keys, rows_per_slice, at_most)
     if n_hot == 0:
@@ -155,11 +201,12 @@ def add_slices(df: DataFrame, keys: list[str], order_cols: list[str],
 
 
 def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "_seq",
-                     rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                     rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | int | None = None) -> DataFrame:
     """1-based ``row_number`` per ``keys`` in ``order_cols`` order (the first
-    order column must be the numeric time), parallel within hot keys."""
+    order column must be the numeric time), parallel within hot keys.
+    ``at_most`` as of :func:`hot_keys`."""
     df = placed(df, keys, order_cols[0])
-    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice)
+    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice, at_most)
     if not any_hot:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
@@ -173,12 +220,13 @@ def sequence_numbers(df: DataFrame, keys: list[str], order_cols: list[str], out:
 
 
 def running_aggregates(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str],
-                       rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                       rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | int | None = None) -> DataFrame:
     """Running count / sum / min / max / sum of squares (DECIMAL) of each
     value column per ``keys`` in order, current row included, nulls skipped.
-    Adds ``{v}_rcount, {v}_rsum, {v}_rmin, {v}_rmax, {v}_rss``."""
+    Adds ``{v}_rcount, {v}_rsum, {v}_rmin, {v}_rmax, {v}_rss``.  ``at_most``
+    as of :func:`hot_keys`."""
     df = placed(df, keys, order_cols[0])
-    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice)
+    sliced, any_hot = add_slices(df, keys, order_cols, rows_per_slice, at_most)
 
     def sq(v: str) -> Column:
         return F.col(v).cast("decimal(38,0)") * F.col(v).cast("decimal(38,0)")
@@ -230,7 +278,7 @@ def _add_nullable(a: Column, b: Column) -> Column:
 
 def next_marker(rows: DataFrame, markers: DataFrame, keys: list[str], t_col: str, marker_t: str,
                 payload: list[str], strict: bool = True,
-                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | None = None) -> DataFrame:
+                rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, at_most: DataFrame | int | None = None) -> DataFrame:
     """As-of lookup forward: for every row, the payload of the first marker of
     the same key with ``marker_t > t`` (``>=`` when ``strict`` is False);
     among markers of equal time the one with the smallest payload hash wins.

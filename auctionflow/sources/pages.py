@@ -95,10 +95,17 @@ def kind_of(kind: str) -> PageKind:
 
 def read_pages(spark: SparkSession, source: str | dict, kind: str, stream: bool = False) -> DataFrame:
     """S1-S3, S11.  ``source`` is a path of Parquet page files (Kafka's column
-    names), or a dict of Kafka options (``kafka.bootstrap.servers`` ...); the
-    topic defaults to the kind's topic and reading starts at the earliest
-    offset.  The Kafka connector jar must be on the classpath for Kafka."""
+    names), a dict of options of a page log in files (``{"format":
+    "pagelog", "path": ...}``, :mod:`sources.pagelog`), or a dict of Kafka
+    options (``kafka.bootstrap.servers`` ...); the topic defaults to the
+    kind's topic and reading starts at the earliest offset.  The Kafka
+    connector jar must be on the classpath for Kafka."""
     k = kind_of(kind)
+    if isinstance(source, dict) and source.get("format") == "pagelog":
+        from auctionflow.sources import pagelog
+        pagelog.register(spark)
+        reader = spark.readStream if stream else spark.read
+        return reader.format("pagelog").options(**{"topic": k.topic, **{o: v for o, v in source.items() if o != "format"}}).load()
     if isinstance(source, dict):
         opts = {"subscribe": k.topic, "startingOffsets": "earliest"}
         opts.update(source)

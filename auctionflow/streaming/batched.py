@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from auctionflow.functions.ordering import order_key
-from auctionflow.operators import aggregates, latency, rounds, sessions
+from auctionflow.operators import aggregates, joins, latency, rounds, sessions
 from auctionflow.operators.sampling import subtask_of
 from auctionflow.operators.windows import WindowSpec, assign_window
 from auctionflow.plans.ordered import DEFAULT_ROWS_PER_SLICE, next_marker, placed, running_aggregates, sequence_numbers
@@ -84,6 +84,13 @@ class BatchStore:
         last = rows.groupBy(*keys).agg(F.max("batch").alias("batch"))
         return rows.join(last, [*keys, "batch"]).drop("batch")
 
+    def carried(self, name: str) -> DataFrame:
+        """Carry ``name`` as the last committed batch left it: the state of the stream as a table."""
+        done = self.committed()
+        if not done:
+            raise ValueError("no batch is committed yet")
+        return self.spark.read.parquet(f"{self.root}/state/{name}/batch={done[-1]}")
+
     def prune(self, below: int) -> None:
         """Delete carries of batches before ``below``; the newest two stay for a replay."""
         for name in self._names(f"{self.root}/state"):
@@ -299,6 +306,32 @@ def sketch_quantiles(sketches: DataFrame, series: list[str], quantiles: list[flo
     return sketches.select(*others, *cols)
 
 
+# --------------------------------------------------------------------- J2
+
+def person_states(batch: Batch, persons: DataFrame, auctions: DataFrame, mark: int | None, ttl_ms: int | None = None,
+                  name: str = "person_state", evicted: str | None = None) -> DataFrame:
+    """J2's state as a table (columns of :func:`operators.joins.person_auction_state`)
+    after this batch; read it later with :meth:`BatchStore.carried`.
+
+    With ``ttl_ms`` a person without any event for that long before the
+    watermark is evicted (to output ``evicted``); one that comes back starts
+    anew.  Without it, state grows with the persons, as in the reference."""
+    own = joins.person_auction_state(persons, auctions)
+    every = own.unionByName(batch.carry(name, own.schema)).groupBy("person_id").agg(
+        F.max("person_ts").alias("person_ts"),
+        F.max_by("person_ingestion_ts", order_key("person_ts", "person_ingestion_ts")).alias("person_ingestion_ts"),
+        F.sum("person_events").alias("person_events"), F.sum("auction_count").alias("auction_count"),
+        F.min("first_auction_ts").alias("first_auction_ts"), F.max("last_auction_ts").alias("last_auction_ts"),
+        F.max("last_auction_ingestion_ts").alias("last_auction_ingestion_ts"))
+    if ttl_ms is None or mark is None:
+        return batch.keep(name, every)
+    every = batch.keep(f"{name}_all", every)
+    idle = F.greatest("person_ts", "last_auction_ts") < F.lit(mark - ttl_ms)
+    if evicted:
+        batch.emit(evicted, every.where(idle))
+    return batch.keep(name, every.where(~idle))
+
+
 # ------------------------------------------------------------------- A5, A6
 
 def closed_sessions(batch: Batch, bids: DataFrame, gap_ms: int, mark: int | None, key: str = "person_id",

@@ -1,12 +1,15 @@
 """``transformWithState`` processors for the sequential operators.
 
-All share :class:`OrderedProcessor`: input rows of a key are buffered in list
-state until the watermark passes them, then fed to ``on_event`` in event-time
-order (ties broken by the row's ``order`` fields), so a stream gives the same
-answer as the batch fold whatever the arrival order within the watermark
-delay.  One event-time timer per key is kept (at the smallest pending time,
-or at the open round's close), and the per-key state is an aggregate, not a
-copy of the rows: buffers only hold rows newer than the watermark.
+All share :class:`OrderedProcessor`: input rows of a key are buffered in map
+state by time bucket until the watermark passes them, then fed to
+``on_event`` in event-time order (ties broken by the row's ``order``
+fields), so a stream gives the same answer as the batch fold whatever the
+arrival order within the watermark delay.  One event-time timer per key is
+kept (at the smallest pending time, or at the open round's close).  A timer
+reads the buckets that the watermark has reached and rewrites at most the
+one it stands in; rows of later buckets are neither read nor sorted nor
+written again.  The per-key state is an aggregate, not a copy of the rows:
+buffers only hold rows newer than the watermark.
 
 Timers fire when the watermark reaches them; late rows (older than the
 watermark) are dropped before buffering (T8).
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
 
 NO_TIMER = -(2**63)
 
@@ -35,10 +38,17 @@ class OrderedProcessor(StatefulProcessor):
 
     row_fields: list[tuple[str, object]] = []
     state_fields: list[tuple[str, object]] = []
+    #: Width of a bucket of pending rows.
+    bucket_ms = 1_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", StructType([StructField(n, t) for n, t in self.row_fields]))
+        longs = lambda *names: StructType([StructField(n, LongType()) for n in names])
+        rows = StructType([StructField(n, t) for n, t in self.row_fields])
+        # rows that come together are one chunk: a new row never rewrites the rows before it
+        self.pending = handle.getMapState("pending", longs("bucket", "chunk"), StructType([StructField("rows", ArrayType(rows))]))
+        # (bucket, chunks, smallest time) of the pending rows
+        self.index = handle.getValueState("index", StructType([StructField("buckets", ArrayType(longs("bucket", "chunks", "low")))]))
         self.state = handle.getValueState("state", StructType([StructField(n, t) for n, t in self.state_fields]))
         self.timer = handle.getValueState("timer", StructType([StructField("at", LongType())]))
 
@@ -64,8 +74,35 @@ class OrderedProcessor(StatefulProcessor):
             self.handle.registerTimer(at)
             self.timer.update((at,))
 
-    def _next_timer(self, st: dict, pending: list[tuple]) -> int | None:
-        cands = [min(r[0] for r in pending) + 1] if pending else []
+    def _load_index(self) -> dict[int, tuple[int, int]]:
+        return {b: (n, low) for b, n, low in self.index.get()[0]} if self.index.exists() else {}
+
+    def _store_index(self, index: dict[int, tuple[int, int]]) -> None:
+        self.index.update(([(b, n, low) for b, (n, low) in index.items()],))
+
+    def _hold(self, index: dict[int, tuple[int, int]], rows: list[tuple]) -> None:
+        """Add pending rows, one chunk a bucket."""
+        buckets: dict[int, list[tuple]] = {}
+        for r in rows:
+            buckets.setdefault(r[0] // self.bucket_ms, []).append(r)
+        for b, own in buckets.items():
+            n, low = index.get(b, (0, own[0][0]))
+            self.pending.updateValue((b, n), (own,))
+            index[b] = (n + 1, min(low, *(r[0] for r in own)))
+
+    def _take(self, index: dict[int, tuple[int, int]], wm: int) -> list[tuple]:
+        """Remove and return the pending rows before ``wm``."""
+        ready: list[tuple] = []
+        for b in [b for b, (_, low) in index.items() if low < wm]:
+            n, _ = index.pop(b)
+            for chunk in range(n):
+                ready += [tuple(r) for r in self.pending.getValue((b, chunk))[0]]
+                self.pending.removeKey((b, chunk))
+        self._hold(index, [r for r in ready if r[0] >= wm])  # of the bucket that wm stands in
+        return [r for r in ready if r[0] < wm]
+
+    def _next_timer(self, st: dict, index: dict[int, tuple[int, int]]) -> int | None:
+        cands = [min(low for _, low in index.values()) + 1] if index else []
         close = self.close_time(st)
         if close is not None:
             cands.append(close)
@@ -78,7 +115,9 @@ class OrderedProcessor(StatefulProcessor):
         new = [tuple(r[n] for n in names) for r in rows]
         new = [r for r in new if wm <= 0 or r[0] >= wm]
         if new:
-            self.pending.appendList(new)
+            index = self._load_index()
+            self._hold(index, new)
+            self._store_index(index)
             # New rows can only move the timer earlier: no need to read the
             # buffered rows back (the timer already covers them and any close).
             at = min(r[0] for r in new) + 1
@@ -90,9 +129,8 @@ class OrderedProcessor(StatefulProcessor):
         wm = timerValues.getCurrentWatermarkInMs()
         self.timer.clear()
         st = self._load()
-        pending = list(self.pending.get()) if self.pending.exists() else []
-        ready = sorted((r for r in pending if r[0] < wm), key=self.sort_key)
-        rest = [r for r in pending if r[0] >= wm]
+        index = self._load_index()
+        ready = sorted(self._take(index, wm), key=self.sort_key)
         out = []
         names = [n for n, _ in self.row_fields]
         for r in ready:
@@ -100,11 +138,9 @@ class OrderedProcessor(StatefulProcessor):
         close = self.close_time(st)
         if close is not None and close <= wm:
             out.extend(self.on_close_time(key, st))
-        self.pending.clear()
-        if rest:
-            self.pending.put(rest)
+        self._store_index(index)
         self._store(st)
-        self._set_timer(self._next_timer(st, rest))
+        self._set_timer(self._next_timer(st, index))
         stamp = datetime.datetime.fromtimestamp(max(wm, 0) / 1000.0, tz=datetime.timezone.utc)
         return iter(Row(**r.asDict(), event_time=stamp) for r in out)
 

@@ -52,8 +52,61 @@ def test_running_latency_sliced(spark):
     assert rows(a) == rows(b)
 
 
-def test_rounds_by_doubling_equal_fold(spark):
-    """Forcing every key onto the pointer-doubling route gives the fold's rounds."""
+def plain_chain(rows):
+    """Round number, opener's time and close of each (t, close) of one key, ascending."""
+    out, no, open_t, close, bound = [], 0, None, None, None
+    for t, c in rows:
+        if bound is None or t >= bound:
+            no, open_t, close, bound = no + 1, t, c, max(c, t + 1)
+        out.append((t, no, open_t, close, t == open_t))
+    return out
+
+
+def test_sliced_rounds_against_a_plain_chain(spark):
+    """Regular phases that never meet, rounds longer than slices, closes before their opener, one round over everything."""
+    import random
+    rng = random.Random(5)
+    keys = {1: [(3 * i, 3 * i + 100) for i in range(400)],
+            2: [(t, t + rng.randrange(1, 50)) for t in sorted(rng.sample(range(5_000), 500))],
+            3: [(t, t + rng.choice([-10, 0, 1, 5, 700])) for t in sorted(rng.sample(range(3_000), 300))],
+            4: [(i, 10_000) for i in range(120)], 5: [(i, i + 1) for i in range(60)],
+            6: [(t, t + 333) for t in sorted(rng.sample(range(9_000), 45))], 7: [(5, 6), (9, 20)]}
+    df = spark.createDataFrame([(k, t, c, f"{k}-{t}") for k, own in keys.items() for t, c in own], "k long, t long, c long, extra string").repartition(5)
+    want = sorted((k, *r, f"{k}-{r[0]}") for k, own in keys.items() for r in plain_chain(own))
+    for size in (7, 40):
+        got = rounds.fold_rounds(df, "k", "t", "c", rows_per_slice=size, chain_rows=size)
+        assert rows(got, ["key", "t", "round_no", "open_t", "round_close", "opener", "extra"]) == want
+    assert rows(rounds.fold_rounds(df, "k", "t", "c"), ["key", "t", "round_no", "open_t", "round_close", "opener", "extra"]) == want
+
+
+def test_cuts_follow_each_keys_own_size(spark):
+    """A key of 21 rows beside one of 2,000 gets two slices at 20 rows a slice; none is much larger than that."""
+    from auctionflow.plans.ordered import add_slices, hot_keys, slice_cuts
+    df = spark.range(2021).selectExpr("IF(id < 2000, 1, 2) AS k", "IF(id < 2000, id * id, id) AS t", "id")
+    hot, n = hot_keys(df, ["k"], 20)
+    cuts = {r.k: len(r._cuts) for r in slice_cuts(df, hot, ["k"], "t", 20).collect()}
+    assert n == 2 and cuts[2] == 1 and 99 <= cuts[1] <= 127
+    sliced, _ = add_slices(df, ["k"], ["t", "id"], 20)
+    sizes = sliced.groupBy("k", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 24 and len([r for r in sizes if r.k == 2]) == 2
+
+
+def test_search_tree_of_cuts(spark, monkeypatch):
+    """The tree gives every row the same slice as literal cuts, with one, two and three levels, and joins few cuts a row."""
+    from auctionflow.plans import ordered
+    df = spark.range(3000).selectExpr("id % 3 AS k", "CAST(id * 7919 % 3001 AS LONG) AS t", "id")
+    plain, _ = ordered.add_slices(df, ["k"], ["t", "id"], 20)
+    want = rows(plain, ["id", "_slice"])
+    monkeypatch.setattr(ordered, "MAX_LITERAL_CUTS", 0)
+    for fan, broadcast in ((64, 500_000), (8, 500_000), (4, 0)):
+        monkeypatch.setattr(ordered, "FAN", fan)
+        monkeypatch.setattr(ordered, "MAX_BROADCAST_CUTS", broadcast)
+        found, _ = ordered.add_slices(df, ["k"], ["t", "id"], 20)
+        assert rows(found, ["id", "_slice"]) == want
+
+
+def test_rounds_in_slices_equal_fold(spark):
+    """Forcing every key onto the sliced route gives the fold's rounds."""
     bids, auctions = B.bids(spark, SF01), B.auctions(spark, SF01)
     a = rounds.auction_rounds(auctions, rows_per_slice=3, chain_rows=3)
     b = rounds.auction_rounds(auctions)
