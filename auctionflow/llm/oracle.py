@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from auctionflow.llm.quality import CLASS_LIMIT, COMMON, WORD_LIMIT
 
-# The words taken from a source follow from prefix sums in md5 order; targets level off at twice a source's size.
+# The words taken from a source follow from prefix sums in md5 order; targets level off at twice a source's size.  A document
+# is first trained on (first_position, in millionths) when the integral of its source's schedule over three knots reaches
+# the share of the words that come before.
 OP4 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
   FROM documents
 ), s AS (
-  SELECT source, source_size, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS weight
+  SELECT source, source_size, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS weight,
+         CAST([[3, 1, 1], [1, 1, 1], [1, 1, 3]][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE[]) AS knots
   FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
 ), r AS (
   SELECT 0 AS i, CAST((SELECT sum(source_size) FROM s) AS DOUBLE) * 1.5 / (SELECT sum(weight) FROM s) AS level
@@ -23,13 +26,22 @@ WITH RECURSIVE d AS (
 ), t AS (
   SELECT s.*, least(2.0::DOUBLE * source_size, (SELECT max(level) FROM r) * weight) AS target FROM s
 ), p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS words,
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.knots, CAST(round(t.target) AS BIGINT) AS words,
          CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), f AS (
+  SELECT *, CAST((size > 0 AND words > before) AS BIGINT) + CAST((size > 0 AND words > before + source_size) AS BIGINT) AS n_copies,
+         before / CAST(words AS DOUBLE) * ((knots[1] + knots[2]) / 2 + (knots[2] + knots[3]) / 2) AS area, (knots[1] + knots[2]) / 2 AS half
+  FROM p
+), g AS (
+  SELECT *, CASE WHEN area < half THEN 0 ELSE 1 END AS seg, CASE WHEN area < half THEN area ELSE area - half END AS rest,
+         CASE WHEN area < half THEN knots[1] ELSE knots[2] END AS a, CASE WHEN area < half THEN knots[2] ELSE knots[3] END AS b
+  FROM f
 )
 SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, words - before)) + greatest(0, least(size, words - before - source_size)) AS BIGINT) AS taken
-FROM p
+       CAST(greatest(0, least(size, words - before)) + greatest(0, least(size, words - before - source_size)) AS BIGINT) AS taken, n_copies,
+       CASE WHEN n_copies > 0 THEN CAST(round((seg + least(2 * rest / (a + sqrt(greatest(a * a + 2 * (b - a) * rest, 0))), 1)) / 2 * 1000000) AS BIGINT) END AS first_position
+FROM g
 """
 
 # Shares of character classes and common words against the sums of the language's longer documents.

@@ -44,7 +44,8 @@ def op4_curriculum_mix(spark, sf):
     first = F.get(F.col("copies.position"), 0)
     return (mixed.withColumn("first", first).repartitionByRange(F.col("first").asc_nulls_last(), "h")
             .sortWithinPartitions(F.col("first").asc_nulls_last(), "h")
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .select("doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"),
+                    F.round(first * 1_000_000).cast("long").alias("first_position")))
 
 
 def op5_divergence_quality(spark, sf):
