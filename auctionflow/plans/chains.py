@@ -169,6 +169,7 @@ def parallel_rounds(rows: DataFrame, hot: DataFrame, n_hot: int, rows_per_slice:
     unique) with ``round_no, open_t, round_close, opener``, as the fold gives
     them.  ``hot`` and ``n_hot`` are as of :func:`plans.ordered.hot_keys`."""
     ensure_checkpoint_dir(rows.sparkSession)
+    rows = rows.checkpoint()  # the cuts and the slices are taken from it
     cuts = slice_cuts(rows, hot, ["key"], "t", rows_per_slice).checkpoint()
     place = lambda df, t: apply_slices(df, cuts, n_hot, ["key"], t)
     sliced = place(rows, "t").checkpoint()

@@ -39,10 +39,9 @@ from auctionflow.session import ensure_checkpoint_dir
 DEFAULT_ROWS_PER_SLICE = 4_000_000
 MAX_LITERAL_KEYS = 64   # a flat CASE per row; more keys go through a hash join
 MAX_LITERAL_CUTS = 2_048
-FAN = 64                # cuts of one node of the search tree
+FAN = 16                # cuts of one node of the search tree
 MAX_BROADCAST_CUTS = 500_000  # 16 bytes and a key each: some 20 MB
 _LOWEST = -(2 ** 63)
-_CUTS = "array<decimal(38,0)>"
 
 
 def placed(df: DataFrame, keys: list[str], t_col: str) -> DataFrame:
@@ -112,8 +111,11 @@ def slice_cuts(df: DataFrame, hot: DataFrame, keys: list[str], t_col: str, rows_
     own = df.join(sized, keys)
     marks = _quantiles(own, keys, t_col, classes)
     marks = marks.select(*keys, F.explode("_q").alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    cuts = marks.select(*keys, _position(F.col("_v"), None).alias("_p"))
     if tie_col is not None:
+        ensure_checkpoint_dir(df.sparkSession)
+        marks = marks.checkpoint()  # small, and read three times
+    cuts = marks.select(*keys, _position(F.col("_v"), None).alias("_p"))
+    if tie_col is not None and not marks.where("_c > 1").isEmpty():
         # a time that is two quantiles at once fills a slice alone
         full = marks.where("_c > 1").select(*keys, "_v", _doublings(F.col("_c") + 1).alias("_class"))
         within = df.select(*keys, F.col(t_col).alias("_v"), F.col(tie_col).alias("_tie")).join(full, [*keys, "_v"])
@@ -124,18 +126,23 @@ def slice_cuts(df: DataFrame, hot: DataFrame, keys: list[str], t_col: str, rows_
     return cuts.groupBy(*keys).agg(F.sort_array(F.collect_set("_p")).alias("_cuts"))
 
 
-def _cuts_before(cuts: Column, position: Column, steps: int) -> Column:
-    """How many of the ascending ``cuts`` are at or before ``position``, by binary search."""
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+def _cuts_before(cuts: list[int], t: Column, tie: Column | None) -> Column:
+    """How many of the ascending positions ``cuts`` are at or before a row: a balanced tree of comparisons of longs, which
+    stays within generated code."""
+
+    def reached(p: int) -> Column:
+        at, second = p // 2 ** 64 - 2 ** 61, p % 2 ** 64 - 2 ** 63
+        if tie is None or second == _LOWEST:
+            return t >= F.lit(at)
+        return (t > F.lit(at)) | ((t == F.lit(at)) & (F.coalesce(tie.cast("long"), F.lit(_LOWEST)) >= F.lit(second)))
 
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        after = F.get(cuts, mid) <= position
-        done = s["lo"] >= s["hi"]
-        return F.struct(F.when(done | ~after, s["lo"]).otherwise(mid + 1).alias("lo"),
-                        F.when(done | after, s["hi"]).otherwise(mid).alias("hi"))
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(reached(cuts[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["lo"].cast("long"))
+    return tree(0, len(cuts))
 
 
 def apply_slices(df: DataFrame, cuts: DataFrame, n_hot: int, keys: list[str], t_col: str,
@@ -146,44 +153,42 @@ def apply_slices(df: DataFrame, cuts: DataFrame, n_hot: int, keys: list[str], t_
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("long"))
     total, most = cuts.agg(F.sum(F.size("_cuts")), F.max(F.size("_cuts"))).first()
-    position = _position(F.col(t_col), None if tie_col is None else F.col(tie_col))
-    steps = int(most or 0).bit_length() + 1
-    if n_hot <= MAX_LITERAL_KEYS and (total or 0) <= MAX_LITERAL_CUTS:
-        own = None
-        for r in cuts.collect():
-            match = None
-            for k in keys:
-                cond = F.col(k) == F.lit(r[k])
-                match = cond if match is None else (match & cond)
-            value = F.array(*[F.lit(c) for c in r["_cuts"]]).cast(_CUTS)
-            own = F.when(match, value) if own is None else own.when(match, value)
-        df = df.withColumn("_cuts", own if own is not None else F.lit(None).cast(_CUTS))
-    else:
-        return _descend(df, cuts, keys, position, int(total or 0), int(most or 0))
-    found = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(_cuts_before(F.col("_cuts"), position, steps))
-    return df.withColumn("_slice", found).drop("_cuts")
+    tie = None if tie_col is None else F.col(tie_col)
+    if n_hot > MAX_LITERAL_KEYS or (total or 0) > MAX_LITERAL_CUTS:
+        return _descend(df, cuts, keys, _position(F.col(t_col), tie), int(total or 0), int(most or 0))
+    found = None
+    for r in cuts.collect():
+        match = None
+        for k in keys:
+            cond = F.col(k) == F.lit(r[k])
+            match = cond if match is None else (match & cond)
+        value = _cuts_before([int(c) for c in r["_cuts"]], F.col(t_col), tie)
+        found = F.when(match, value) if found is None else found.when(match, value)
+    none = F.lit(0).cast("long")
+    return df.withColumn("_slice", none if found is None else found.otherwise(none))
 
 
 def _descend(df: DataFrame, cuts: DataFrame, keys: list[str], position: Column, total: int, most: int) -> DataFrame:
-    """Add ``_slice`` by a search tree of the cuts with FAN cuts a node.
+    """Add ``_slice`` by a search tree of the cuts with FAN cuts a node, one column each.
 
-    One join a level (two for 4,096 cuts of a key, three for 262,144) on (key, node): a row meets FAN cuts at most, and
-    the node of a row of a hot key differs from row to row, so a join that has to shuffle spreads it."""
+    One join a level (three for 4,096 cuts of a key) on (key, node): a row meets FAN cuts at most, and the node of a row of
+    a hot key differs from row to row, so a join that has to shuffle spreads it."""
     depth = 1
     while FAN ** depth < most:
         depth += 1
     each = cuts.select(*keys, F.posexplode("_cuts").alias("_i", "_p"))
     out = df.withColumn("_pos", position).withColumn("_slice", F.lit(0).cast("long"))
+    places = [f"_c{j}" for j in range(FAN)]
     for level in reversed(range(depth)):
         step = FAN ** level
-        nodes = (each.where(F.col("_i") % step == 0)
-                     .groupBy(*keys, F.floor(F.col("_i") / (step * FAN)).alias("_slice")).agg(F.sort_array(F.collect_list("_p")).alias("_cuts")))
+        own = each.where(F.col("_i") % step == 0).select(*keys, F.floor(F.col("_i") / (step * FAN)).alias("_slice"), (F.floor(F.col("_i") / step) % FAN).alias("_j"), "_p")
+        nodes = own.groupBy(*keys, "_slice").agg(*[F.max(F.when(F.col("_j") == j, F.col("_p"))).alias(c) for j, c in enumerate(places)])
         if total <= MAX_BROADCAST_CUTS:
             nodes = F.broadcast(nodes)
-        found = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_cuts_before(F.col("_cuts"), F.col("_pos"), FAN.bit_length()))
+        found = sum((F.when(F.col(c) <= F.col("_pos"), 1).otherwise(0) for c in places), F.lit(0))
         if level:
             found = F.greatest(found - 1, F.lit(0))  # the child whose first cut is the last at or before the row
-        out = out.join(nodes, [*keys, "_slice"], "left").withColumn("_slice", (F.col("_slice") * FAN + found).cast("long")).drop("_cuts")
+        out = out.join(nodes, [*keys, "_slice"], "left").withColumn("_slice", (F.col("_slice") * FAN + found).cast("long")).drop(*places)
     return out.select(*df.columns, "_slice")
 
 

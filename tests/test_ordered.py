@@ -98,7 +98,7 @@ def test_search_tree_of_cuts(spark, monkeypatch):
     plain, _ = ordered.add_slices(df, ["k"], ["t", "id"], 20)
     want = rows(plain, ["id", "_slice"])
     monkeypatch.setattr(ordered, "MAX_LITERAL_CUTS", 0)
-    for fan, broadcast in ((64, 500_000), (8, 500_000), (4, 0)):
+    for fan, broadcast in ((128, 500_000), (16, 500_000), (4, 0)):
         monkeypatch.setattr(ordered, "FAN", fan)
         monkeypatch.setattr(ordered, "MAX_BROADCAST_CUTS", broadcast)
         found, _ = ordered.add_slices(df, ["k"], ["t", "id"], 20)
