@@ -21,15 +21,17 @@ SHAPES = ((3.0, 1.0, 1.0), (1.0, 1.0, 1.0), (1.0, 1.0, 3.0))
 
 
 def measured(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
-    """doc_id, source, size (words of the text, null: 0) and the md5 of the id, which gives the order within a source.
+    """doc_id, source, size (words of the text, null: 0) and h, which gives the order within a source: the md5 of the id,
+    for rows without id that of their text, so that they are not one hot key.
 
     With ``whole_rows`` also row, the whole row as a struct.
     """
     words = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD_PATTERN)), F.lit(0))
     doc = F.col("doc_id").cast("long")
+    named = F.coalesce(doc.cast("string"), F.concat(F.lit("text "), F.col("text").cast("string")), F.lit(""))
     row = [F.struct("*").alias("row")] if whole_rows else []
     return docs.select(doc.alias("doc_id"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size"),
-                       F.md5(F.coalesce(doc.cast("string"), F.lit("")).cast("binary")).alias("h"), *row)
+                       F.md5(named.cast("binary")).alias("h"), *row)
 
 
 def sources_of(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from auctionflow.llm.quality import CLASS_LIMIT, COMMON, WORD_LIMIT
 OP4 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'text ' || text, '')) AS h
   FROM documents
 ), s AS (
   SELECT source, source_size, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS weight,

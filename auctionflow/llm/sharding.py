@@ -88,8 +88,9 @@ def slots(df: DataFrame, key: Column, rows_per_bucket: int = 50_000, shard: str
 def shard_documents(docs: DataFrame, shards: int = 40, base: int = 40, racks: int = 8, regions: int = 4) -> DataFrame:
     """doc_id, size (UTF-8 bytes of the text plus 16), text_crc32, law, shard, slot and grown_shard (with one shard more).
 
-    The law is ``key``: doc_id and the number of shards decide.  Null texts have no bytes; null ids draw as one key;
-    repeated rows share a shard and get slots of their own.
+    The law is ``key``: doc_id and the number of shards decide.  Null texts have no bytes; null ids draw as one key,
+    so their rows share a shard, where their slots follow the hash of checksum and size instead; repeated rows share a shard and
+    get slots of their own.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"),
@@ -97,4 +98,5 @@ def shard_documents(docs: DataFrame, shards: int = 40, base: int = 40, racks: in
     grown = max(base, 1)
     rows = tree_shard(rows, F.col("doc_id"), uniform_tree(shards, grown, racks, regions), "shard")
     rows = tree_shard(rows, F.col("doc_id"), uniform_tree(shards + 1, grown, racks, regions), "grown_shard")
-    return slots(rows, F.col("doc_id")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(" ", F.lit("text"), "text_crc32", "size"))
+    return slots(rows, named).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -72,7 +72,17 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
 
 
 def fingerprint(signed: np.ndarray) -> str:
-    """The set as a string: its length and a 128-bit digest of its sorted members."""
+    """The set as a string: its members in ascending order, 16 hex digits each; ``members`` reads them back."""
+    return signed.astype(">u8").tobytes().hex()
+
+
+def members(printed: str) -> np.ndarray:
+    """The signatures of a ``fingerprint``, so two fingerprints suffice for ``likeness``."""
+    return np.frombuffer(bytes.fromhex(printed), ">u8").astype(np.uint64)
+
+
+def digest(signed: np.ndarray) -> str:
+    """A short name of the set, to group equal ones: its length and a 128-bit digest of its sorted members."""
     return f"{len(signed)}:{xxhash.xxh3_128_hexdigest(signed.tobytes())}"
 
 
@@ -94,8 +104,8 @@ def similar_pairs(docs: DataFrame, least: float = 0.8, chain: int = 2, distance:
     rarest signatures that any similar pair must share (prefix filtering), and each is compared once, pruned by length.
     """
     sets = staged(signed(docs, chain, distance).where("doc_id is not null and n_signatures > 0"), "signed")
-    classes = staged(sets.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")), "classes")
-    heads = staged(sets.join(classes, ["fingerprint", "doc_id"], "left_semi").dropDuplicates(["doc_id"]), "heads")
+    classes = staged(sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "classes")
+    heads = staged(sets.join(classes, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"]), "heads")
     each = heads.select("doc_id", "n_signatures", F.explode("signatures").alias("s"))
     rarity = each.groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
     common = each.join(rarity, "s")
@@ -121,7 +131,7 @@ def similar_pairs(docs: DataFrame, least: float = 0.8, chain: int = 2, distance:
 
 
 def signed(docs: DataFrame, chain: int = 2, distance: int = 1) -> DataFrame:
-    """doc_id, n_signatures, fingerprint and signatures of every row; null text: empty, without signatures."""
+    """doc_id, n_signatures, digest and signatures of every row; null text: empty, without signatures."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,56 +139,90 @@ def signed(docs: DataFrame, chain: int = 2, distance: int = 1) -> DataFrame:
         for batch in batches:
             sets = [signatures(t, chain, distance, common) for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.string()),
-                pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n_signatures", "fingerprint", "signatures"])
+                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.string()),
+                pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n_signatures", "digest", "signatures"])
 
-    return rows.mapInArrow(sign, "doc_id long, n_signatures long, fingerprint string, signatures array<long>")
+    return rows.mapInArrow(sign, "doc_id long, n_signatures long, digest string, signatures array<long>")
 
 
 # --- each document beside an edited copy and its successor ---------------------------
 
 
-def _cuts(ids: DataFrame, parts: int) -> tuple[int | None, list[int]]:
-    """The smallest id, and about ``parts`` ids of the table that cut its range into shares of like size."""
-    if parts < 2:
-        return ids.agg(F.min("doc_id")).first()[0], []
-    found = ids.agg(F.min("doc_id"), F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()
-    return found[0], sorted({c for c in found[1] or [] if c > found[0]})
+#: Characters of texts and fingerprints that a task gathers before it hands out a batch.
+FLUSH_CHARS = 8_000_000
+
+
+def _lowest(keys: DataFrame, cuts: np.ndarray) -> list[int]:
+    """The smallest key of the table in each range between ``cuts``, in order; ranges without keys have none."""
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.sort(batch.column(0).to_numpy())
+            part, at = np.unique(np.searchsorted(cuts, own, side="right"), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(own[at])], names=["part", "key"])
+
+    found = keys.mapInArrow(lowest, "part long, key long").groupBy("part").agg(F.min("key").alias("key"))
+    return sorted(r.key for r in found.collect())  # one row a range
+
+
+def _ranges(named: DataFrame, others: DataFrame, parts: int) -> tuple[np.ndarray, int]:
+    """The first keys of about ``parts`` ranges of like size, in order, and how many of them are of rows with an id.
+
+    Both have a key.  Ranges of ``others``, rows without id, follow those of ``named``; their keys are hashes, cut evenly.
+    Every first key is one of the table: quantiles of ids are, unless beyond the 53 bits that they are kept in.
+    """
+    shares = [i / parts for i in range(1, parts)] or [0.5]
+    low, high, n, cuts = named.agg(F.min("key"), F.max("key"), F.count("*"), F.percentile_approx("key", shares, 10_000)).first()
+    n_others = others.count()
+    share = lambda some: max(1, round(parts * some / (n + n_others)))
+    firsts = []
+    if n:
+        firsts = sorted({low, *(cuts[i * parts // share(n) - 1] for i in range(1, share(n)))})
+        if max(-low, high) >= 2 ** 53:
+            firsts = _lowest(named, np.array(firsts[1:], dtype=np.int64))
+    with_id = len(firsts)
+    if n_others:
+        want = share(n_others)
+        firsts += _lowest(others, np.array([2 ** 64 * i // want - 2 ** 63 for i in range(1, want)], dtype=np.int64))
+    return np.array(firsts, dtype=np.int64), with_id
 
 
 def beside_next(docs: DataFrame, chain: int = 2, distance: int = 1, parts: int | None = None) -> DataFrame:
     """Every document with its edited text and its successor: doc_id, n_chars, edited (text), fingerprint,
     edited_fingerprint, near_edited and near_next.
 
-    The order is by doc_id, then text (null ids last).  The edited text replaces the last floor(n_chars / 2) code points
+    The order is by doc_id, then text; rows without id come last, by the hash of their text, so that they too are dealt
+    into many ranges (those of one text stay together).  The edited text replaces the last floor(n_chars / 2) code points
     by as many first ones (or all) of the next document; after the last comes the first.  Documents are dealt into ranges
-    of ids cut at ids of the table, and the rows at a cut go to the range before as well, so each range knows every
+    that begin at keys of the table, and the rows of a first key go to the range before as well, so each range knows every
     successor, and texts are shuffled once.
     """
-    last = 2 ** 63 - 1
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(last)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc, F.xxhash64(text)).alias("key"), doc.isNull().alias("no_id"), text.alias("text"))
     parts = parts or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first, cuts = _cuts(rows.select("doc_id"), parts)
-    bounds = np.array(cuts, dtype=np.int64)
+    named, others = docs.select(doc.alias("key")).where("key is not null"), docs.where(doc.isNull()).select(F.xxhash64(text).alias("key"))
+    firsts, with_id = _ranges(named, others, parts)
+    n = max(1, len(firsts))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            own = np.searchsorted(bounds, ids, side="right")
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.zeros(len(ids), np.int32)), *batch.columns], names=names)
-            at_cut = (own > 0) & (ids == bounds[own - 1]) if len(bounds) else np.zeros(len(ids), bool)
-            for mask, to in ((at_cut, own - 1), (ids == first, np.full(len(ids), len(bounds)))):
-                if mask.any():
-                    extra = batch.filter(pa.array(mask))
-                    yield pa.RecordBatch.from_arrays([pa.array(to[mask]), pa.array(np.full(extra.num_rows, 1 + (mask is not at_cut), np.int32)), *extra.columns], names=names)
+            keys, no_id = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            own = np.where(no_id, with_id + np.searchsorted(firsts[with_id:], keys, side="right"),
+                           np.searchsorted(firsts[:with_id], keys, side="right")) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.zeros(len(own), np.int32)), *batch.columns], names=names)
+            at_first = keys == firsts[own]
+            if at_first.any():
+                extra, to = batch.filter(pa.array(at_first)), own[at_first]
+                yield pa.RecordBatch.from_arrays([pa.array((to - 1) % n), pa.array(np.ones(len(to), np.int32)), *extra.columns], names=names)
 
-    names = ["part", "guest", "doc_id", "no_id", "text"]
+    names = ["part", "guest", "key", "no_id", "text"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = common_hashes()
         part, before, set_before = None, None, None
         out: list[list] = [[] for _ in schema]
+        held = 0
 
         def emit(own, signed_own, text_next, signed_next):
             doc, no_id, text = own
@@ -188,6 +232,10 @@ def beside_next(docs: DataFrame, chain: int = 2, distance: int = 1, parts: int |
             for column, value in zip(out, (None if no_id else doc, len(text), edited, fingerprint(signed_own), fingerprint(signed_edited),
                                            likeness(signed_own, signed_edited), likeness(signed_own, signed_next))):
                 column.append(value)
+            return len(edited) + 16 * (len(signed_own) + len(signed_edited))
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
@@ -198,14 +246,16 @@ def beside_next(docs: DataFrame, chain: int = 2, distance: int = 1, parts: int |
                     continue  # a second row at the cut: the first has already served
                 signed_now = signatures(text, chain, distance, common)
                 if before is not None:
-                    emit(before, set_before, text, signed_now)
+                    held += emit(before, set_before, text, signed_now)
+                    if held >= FLUSH_CHARS:
+                        yield flush()
+                        out, held = [[] for _ in schema], 0
                 before, set_before = (None, None) if guest else ((doc, no_id, text), signed_now)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
-            out = [[] for _ in schema]
+            yield flush()
+            out, held = [[] for _ in schema], 0
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()), ("fingerprint", pa.string()),
                         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
-    dealt = rows.mapInArrow(deal, "part long, guest int, doc_id long, no_id boolean, text string")
-    n = max(1, len(cuts) + 1)
-    ordered = dealt.repartition(n, "part").sortWithinPartitions("part", "guest", "doc_id", "text")
+    dealt = rows.mapInArrow(deal, "part long, guest int, key long, no_id boolean, text string")
+    ordered = dealt.repartition(n, "part").sortWithinPartitions("part", "guest", "key", "text")
     return ordered.mapInArrow(compare, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -265,7 +265,9 @@ def test_op10_sets_and_likeness(spark, docs):
         edited, r = spots(text[:len(text) - half] + docs[k][1][:half]), rows[doc]
         assert (r.near_edited, r.near_next) == (jaccard(own[i], edited), jaccard(own[i], own[k])), doc
         for s, f in ((own[i], r.fingerprint), (edited, r.edited_fingerprint)):
-            assert int(f.split(":")[0]) == len(s) and prints.setdefault(frozenset(s), f) == f
+            assert len(f) == 16 * len(s) and prints.setdefault(frozenset(s), f) == f
+        pair = spotsigs.members(r.fingerprint), spotsigs.members(r.edited_fingerprint)
+        assert spotsigs.likeness(*pair) == r.near_edited  # the two strings suffice
     assert len(set(prints.values())) == len(prints) and any(0 < r.near_edited < 1 for r in rows.values())
 
 
